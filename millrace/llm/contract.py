@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.shared import table
 from millrace.session import configure
@@ -28,8 +29,42 @@ def query(sql: str | None = None):
     return add
 
 
+@query()
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.token_counts import count_tokens
+
+    counted = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+@query()
+def op2_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.sharding import shard_by_bytes
+
+    return shard_by_bytes(table(spark, sf_dir, "documents"), 40, keep=["doc_id"])
+
+
 @query()
 def op3_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.bpe import encode_documents
 
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+#: The query's rules (fixed values).
+URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "block"), ("example.net/de/8", "block"), ("org/es/", "block")]
+
+
+@query(
+    f"""WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    p AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1, 's') AS path FROM u),
+    r AS (SELECT * FROM (VALUES {", ".join(f"('{t.partition('/')[0]}', '/{t.partition('/')[2]}', '{v}')" for t, v in URL_RULES)}) t(rhost, rpath, rverdict)),
+    m AS (SELECT p.page_id, p.host, p.path, r.*, row_number() OVER (PARTITION BY p.page_id ORDER BY length(rhost) DESC NULLS LAST, length(rpath) DESC) AS k
+    FROM p LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+    SELECT page_id, host, path, rhost || rpath AS rule, coalesce(rverdict, 'allow') AS verdict FROM m WHERE k = 1"""
+)
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.url_rules import Rule, judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"), [Rule.parse(t, v) for t, v in URL_RULES])
