@@ -302,6 +302,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     One narrow pass without a shuffle; a batch of about 4 MB of text is in memory.
     """
+    keep = [c for c in keep if c not in (id_col, "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")]
     extra = [(f.name, f.dataType) for f in docs.select(*keep).schema] if keep else []
     schema = ", ".join(
         [f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}"]

@@ -10,7 +10,8 @@ any other normalisation would change counts. The version digest covers the
 tokenizer's file and this rule, so another vocabulary never meets these counts.
 
 Nulls and empty texts count 0 tokens; repeated rows and equal texts get equal
-counts from one encoding; other columns named in keep are carried.
+counts from one encoding; columns named in keep are carried, but for those named
+like an output.
 """
 
 from __future__ import annotations
@@ -156,7 +157,7 @@ def count_tokens(docs: DataFrame, path: str, cache_path: str | None = None, id_c
     of the rows are narrow. A digest that many rows share is split by Spark's
     skew join, as the cache side holds it once.
     """
-    spark = docs.sparkSession
+    spark, keep = docs.sparkSession, [c for c in keep if c not in (id_col, "n_bytes", "n_tokens")]
     cache = CountCache(spark, cache_path or new_path(spark, "token-counts"), version_digest(path))
     texts = distinct_texts(docs, text_col).repartition("digest")
     stored = cache.read()
@@ -166,6 +167,7 @@ def count_tokens(docs: DataFrame, path: str, cache_path: str | None = None, id_c
     counts = cache.read()
     if stored is not None:  # an empty cache got each digest once just now
         counts = counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    text = text_or_empty(text_col)
-    rows = docs.select(id_col, *keep, F.octet_length(text).cast("bigint").alias("n_bytes"), digest(text).alias("digest"))
-    return rows.join(counts, "digest", "left").select(id_col, *keep, "n_bytes", "n_tokens")
+    text, counts = text_or_empty(text_col), counts.select(F.col("digest").alias("_digest"), F.col("n_tokens").alias("_n_tokens"))
+    rows = docs.select(id_col, *keep, F.octet_length(text).cast("bigint").alias("_n_bytes"), digest(text).alias("_digest"))
+    named = [F.col("_n_bytes").alias("n_bytes"), F.col("_n_tokens").alias("n_tokens")]
+    return rows.join(counts, "_digest", "left").select(id_col, *keep, *named)
