@@ -68,3 +68,18 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.url_rules import Rule, judge_urls
 
     return judge_urls(table(spark, sf_dir, "pages"), [Rule.parse(t, v) for t, v in URL_RULES])
+
+
+@query()
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.line_dedup import dedup_lines
+
+    left = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_removed", F.octet_length("text").cast("bigint").alias("n_bytes_left"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@query()
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.order_minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))

@@ -52,3 +52,13 @@ def text_or_empty(c: str | Column = "text") -> Column:
 def digest(c: Column) -> Column:
     """SHA-256 of a text as 32 bytes; equal digests stand for equal texts."""
     return F.unhex(F.sha2(c, 256))
+
+
+def numbered(docs: DataFrame, id_col: str) -> DataFrame:
+    """docs with _row: the id where ids are unique, else a number in id order."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    ids = docs.select(F.col(id_col).alias("_i"))
+    bad = ids.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR _i IS NULL").limit(1).count()
+    if kind in ("bigint", "int") and not bad:
+        return docs.withColumn("_row", F.col(id_col).cast("bigint"))
+    return stored(docs.orderBy(F.col(id_col).asc_nulls_first()).withColumn("_row", F.monotonically_increasing_id()), "numbered")
