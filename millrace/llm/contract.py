@@ -83,3 +83,17 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.order_minhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.quality_gam import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op8_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.templates import mark_leaks
+
+    return mark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
