@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.bpe import slices
 from millrace.llm.components import connected
-from millrace.llm.packed import BLOCKS_SCHEMA, Bloom, Packer, WordHashes, exchange, gather, mix, release, targets_for, unpack
+from millrace.llm.packed import BLOCKS_SCHEMA, Bloom, Packer, WordHashes, exchange, gather, mix, release, targets_for, unpack, without_rows
 from millrace.llm.shared import numbered, stored
 
 #: k-mer words; bands (hash functions whose tuples are compared); k-mers in a tuple; one-byte minima; least estimated resemblance; similarity as a fraction; block size.
@@ -261,7 +261,8 @@ def cross_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataF
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, class_id (least row of the class: the id where ids are unique) and kept (one row of each class)."""
-    rows = numbered(docs.select(id_col, text_col), id_col)
+    rows = numbered(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")), "_id")
+    text_col = "_t"
     narrow = stored(sketches(rows, text_col), "sketches")
     reps = narrow.groupBy("d1", "d2").agg(F.min("row").alias("row"), F.min_by(F.struct("n", "minima", "bands"), "row").alias("s"))
     reps = stored(reps.select("d1", "d2", "row", "s.n", "s.minima", "s.bands"), "distinct-sketches")
@@ -279,4 +280,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     release(docs)
     classes = reps.join(labels.withColumnRenamed("node", "row"), "row", "left").select("d1", "d2", F.coalesce("label", "row").alias("class_id"))
     named = narrow.select("row", "d1", "d2").join(classes, ["d1", "d2"]).select("row", "class_id", (F.col("row") == F.col("class_id")).alias("kept"))
-    return rows.select(id_col, "_row").join(named.withColumnRenamed("row", "_row"), "_row").select(id_col, "class_id", "kept")
+    ids = rows.select(F.col("_id").alias(id_col), F.col("_row").alias("_r"))
+    return ids.join(named, F.col("_r") == F.col("row")).select(id_col, "class_id", "kept")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without the near-duplicates of an earlier document, with all their columns."""
+    rows = numbered(docs, id_col)
+    dropped = near_duplicates(rows, "_row", text_col).where("NOT kept").select("_row")
+    return without_rows(rows, dropped).select(docs.columns)

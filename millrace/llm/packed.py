@@ -18,6 +18,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.shared import stored
+
 BLOCKS_SCHEMA = "kind int, target int, block binary"
 MIX1, MIX2, MIX3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -161,3 +163,20 @@ class Bloom:
         for at in self.places(h, size):
             found &= (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1
         return found
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs (with _row) but for the rows of gone (_row). Only rows that a Bloom filter can't clear are shuffled."""
+    keys = stored(gone.select("_row", F.lit(0).alias("line")).distinct(), "dropped-rows")
+    shared = docs.sparkSession.sparkContext.broadcast(Bloom.over(keys, keys.count()))
+    at = docs.columns.index("_row")
+
+    def part(inside: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                rows = b.column(at).to_numpy(zero_copy_only=False)
+                yield b.filter(pa.array(shared.value.has(rows, np.zeros(len(rows), np.int64)) == inside))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    return part(False).union(part(True).join(keys.select("_row"), "_row", "left_anti").select(docs.columns))
