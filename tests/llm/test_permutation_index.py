@@ -1,0 +1,58 @@
+import numpy as np
+import pytest
+
+from millrace.llm.contract import QUERIES
+from millrace.llm.permutation_index import nearest
+
+
+def brute(rows, k=10):
+    ok = {}
+    for i, v in rows:
+        if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v):
+            ok.setdefault(i, np.array(v, np.float64))
+    ids = np.array(sorted(ok))
+    x = np.array([ok[i] for i in ids])
+    out = {}
+    for i in ids[ids % 100 == 0] if len(ids) else []:
+        d = np.sqrt(((x - ok[i]) ** 2).sum(1))
+        order = [j for j in np.lexsort((ids, d)) if ids[j] != i][:k]
+        out[int(i)] = [(int(ids[j]), float(d[j])) for j in order]
+    return out
+
+
+def found(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    return {q: [v[k] for k in sorted(v)] for q, v in out.items()}, out
+
+
+def test_small_table_is_exact(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(400)]
+    rows += [(i, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]) for i in range(400, 900)]  # one very frequent vector
+    rows += [(1000, None), (1100, [0.0] * 6), (1200, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (1300, [float("nan")] * 6), (None, [1.0] * 6), (100, rows[100][1])]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id bigint, embedding array<float>, rank int").repartition(5)
+    rows32 = [(i, None if v is None else [None if c is None else float(np.float32(c)) for c in v]) for i, v in rows]
+    want = brute(rows32)
+    got, ranks = found(nearest(df, lambda c: c % 100 == 0))
+    assert set(got) == set(want)
+    for q in want:
+        assert [i for i, _ in got[q]] == [i for i, _ in want[q]] and sorted(ranks[q]) == list(range(1, 11))
+        assert np.allclose([s for _, s in got[q]], [s for _, s in want[q]], rtol=1e-14)
+
+
+@pytest.mark.parametrize("n", [0, 1, 5])
+def test_few_rows(spark, n):
+    df = spark.createDataFrame([(i * 100, [1.0, float(i)]) for i in range(n)], "vec_id bigint, embedding array<float>")
+    got, _ = found(nearest(df, lambda c: c % 100 == 0))
+    assert {q: len(v) for q, v in got.items()} == ({i * 100: n - 1 for i in range(n)} if n > 1 else {})
+
+
+def test_recall(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    want = brute(rows)
+    got, _ = found(QUERIES["op6_permutation_index"](spark, sf))
+    hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 10 for q in want]
+    assert set(got) == set(want) and np.mean(hits) >= 0.9
