@@ -1,19 +1,22 @@
 """Operator 9, line dedup: an exact set-similarity join over lines.
 
-A line is the set of its lower-cased, blank-separated words. A line is removed if
+A line is the set of its words: runs of bytes other than ASCII white space, A-Z
+lower-cased. A line is removed if
 an earlier line (smaller doc_id, then smaller line number), kept or not, has a
 word set with Jaccard similarity of at least 4/5. Lines without words stay.
 
 Steps:
 1. a frequency sketch of all words (fixed size) gives every word a rarity code;
    the order (code, hash) is the same everywhere, which is all that the prefix
-   filter needs for exactness, and rare words come first, which keeps lists short;
+   filter needs for exactness, and rare words come first, which keeps lists short.
+   A second sketch tells which words surely occur once; those need no posting;
 2. each line sends its set's digest (equal sets) and, for each word of its prefix,
    a posting; postings of a word meet and pairs pass length, positional and bit
-   filters. Long lists first try the earliest lines only;
+   filters. A line that has more than FIRST partners on a list names FIRST of them;
+   on a very long list it tries the earliest lines only;
 3. the texts of candidate lines are fetched and Jaccard is verified on the words;
-4. lines on long lists for which no earlier match was found yet try all earlier
-   lines of their lists, in pairs of blocks of bounded size, and are verified too;
+4. lines that had more partners, and no verified match so far, try all earlier
+   lines of those lists, in pairs of blocks of bounded size, and are verified too;
 5. the documents are joined with the numbers of their removed lines.
 
 A group of n near copies thus costs about n candidates, not n squared, and no
@@ -27,6 +30,7 @@ are untouched; those named like an output are replaced.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
@@ -36,76 +40,93 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import slices
-from millrace.llm.packed import BLOCKS_SCHEMA, Bloom, Packer, WordHashes, exchange, gather, mix, release, targets_for, unpack
-from millrace.llm.shared import numbered, stored
+from millrace.llm.bytewords import Words, words
+from millrace.llm.packed import BLOCKS_SCHEMA, Bloom, Packer, exchange, gather, mix, release, targets_for, unpack
+from millrace.llm.shared import discard, numbered, stored
 
-#: Similarity threshold as a fraction; sketch cells; list length up to which all pairs are tried at once; earliest lines tried on longer lists; block size.
+#: Similarity threshold as a fraction; sketch cells, and bits of the sketch of repeated words; list length up to which all pairs are filtered at once; partners named at first; earliest lines tried on longer lists; block size.
 NUM, DEN = 4, 5
-CELLS, CHUNKS = 1 << 20, 64
-SHORT_LIST, LEADERS, BLOCK = 64, 8, 4096
+CELLS, BITS, CHUNKS = 1 << 20, 1 << 25, 64
+SHORT_LIST, FIRST, LEADERS, BLOCK = 4096, 3, 8, 4096
 #: Smallest set that can be similar to a different one.
 LEAST = -(-NUM // (DEN - NUM))
 LINES, POSTINGS = 0, 1
 LINE_TYPES = ["<u8", "<u8", "<i8", "<u4"]  # digest (2), row, line
-POSTING_TYPES = ["<u4", "<u8", "<i8", "<u4", "<u4", "<u4", "<u4"]  # word, digest, row, line, size, position, bits
+POSTING_TYPES = ["<u4", "<u4", "<u8", "<u8", "<i8", "<u4", "<u4", "<u4"]  # word, digest, bits (2), row, line, size, position
 PAIR_SCHEMA = "row1 bigint, line1 int, row2 bigint, line2 int"
-HOT_SCHEMA = "word bigint, row bigint, line int, size int, pos int, bits bigint"
 
 
-def _words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """All words of all lines, the words of each line and the lines of each text."""
-    lines = [t.lower().split("\n") for t in texts]
-    split = [line.split() for ls in lines for line in ls]
-    return list(chain.from_iterable(split)), np.fromiter(map(len, split), np.int64, len(split)), np.fromiter(map(len, lines), np.int64, len(lines))
+@dataclass
+class Sketch:
+    """A rarity code per hash cell (1 MB) and one bit per place that two words or more fall on (4 MB)."""
 
+    codes: np.ndarray
+    repeated: np.ndarray
 
-def rarity_codes(docs: DataFrame, text_col: str) -> np.ndarray:
-    """A log-scaled count for each of CELLS hash cells, over all words of all rows (1 MB)."""
-    step = CELLS // CHUNKS
+    def code(self, h: np.ndarray) -> np.ndarray:
+        return self.codes[(h & np.uint64(CELLS - 1)).astype(np.int64)]
+
+    def maybe_repeated(self, h: np.ndarray) -> np.ndarray:
+        at = (h >> np.uint64(20) & np.uint64(BITS - 1)).astype(np.int64)
+        return self.repeated[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 == 1
+
+
+SKETCH_SCHEMA = "chunk int, counts binary, once binary, twice binary"
+
+
+def word_sketch(docs: DataFrame, text_col: str) -> Sketch:
+    """Counts of all words of all rows in CELLS hash cells, and which of BITS places repeat; the driver gets CHUNKS rows of fixed size."""
+
+    def pack(k: int, counts: np.ndarray, once: np.ndarray, twice: np.ndarray) -> pa.RecordBatch:
+        zip_ = zstandard.ZstdCompressor(level=1)
+        blobs = [pa.array([zip_.compress(x.tobytes())], pa.binary()) for x in (counts, once, twice)]
+        return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *blobs], ["chunk", "counts", "once", "twice"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, total, zip_ = WordHashes(), np.zeros(CELLS, np.int64), zstandard.ZstdCompressor(level=1)
+        total, once, twice = np.zeros(CELLS, np.int64), np.zeros(BITS, bool), np.zeros(BITS, bool)
         for b in slices(batches, "_text"):
-            words, _, _ = _words([t for t in b.column(0).to_pylist() if t is not None])
-            total += np.bincount((table.of(words) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
-        yield from rows(total, zip_)
-
-    def rows(total: np.ndarray, zip_) -> Iterator[pa.RecordBatch]:
-        for k in range(CHUNKS):
-            part = total[k * step : (k + 1) * step]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zip_.compress(part.tobytes())], pa.binary())], ["chunk", "counts"])
+            h = words(b.column(0)).hashes
+            total += np.bincount((h & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+            at = np.sort((h >> np.uint64(20) & np.uint64(BITS - 1)).astype(np.uint32))
+            twice[at[1:][at[1:] == at[:-1]]] = True
+            twice[at[once[at]]] = True
+            once[at] = True
+        if total.any():
+            for k, (c, o, t) in enumerate(zip(np.split(total, CHUNKS), np.split(np.packbits(once), CHUNKS), np.split(np.packbits(twice), CHUNKS), strict=True)):
+                yield pack(k, c, o, t)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        unzip, zip_ = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+        unzip, sums = zstandard.ZstdDecompressor(), {}
         for b in batches:
-            for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                sums[k] = sums.get(k, 0) + np.frombuffer(unzip.decompress(c), np.int64)
-        for k, s in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zip_.compress(s.tobytes())], pa.binary())], ["chunk", "counts"])
-
-    parts = docs.select(F.col(text_col).alias("_text")).mapInArrow(count, "chunk int, counts binary")
-    total = np.zeros(CELLS, np.int64)
+            for k, *blobs in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                c, o, t = (np.frombuffer(unzip.decompress(x), d) for x, d in zip(blobs, (np.int64, np.uint8, np.uint8), strict=True))
+                if k in sums:
+                    c0, o0, t0 = sums[k]
+                    c, o, t = c + c0, o | o0, t | t0 | (o & o0)
+                sums[k] = (c, o, t)
+        for k, arrays in sums.items():
+            yield pack(k, *arrays)
+
+    parts = docs.select(F.col(text_col).alias("_text")).mapInArrow(count, SKETCH_SCHEMA)
+    # joined over salted groups of tasks, then once per chunk
+    salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16))).repartition("chunk", "salt").drop("salt").mapInArrow(add, SKETCH_SCHEMA)
+    counts, repeated = np.zeros((CHUNKS, CELLS // CHUNKS), np.int64), np.zeros((CHUNKS, BITS // 8 // CHUNKS), np.uint8)
     unzip = zstandard.ZstdDecompressor()
-    # sums over salted groups of tasks, then one per chunk; the driver gets CHUNKS rows of fixed size
-    salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16))).repartition("chunk", "salt").drop("salt").mapInArrow(add, "chunk int, counts binary")
-    for k, c in salted.repartition("chunk").mapInArrow(add, "chunk int, counts binary").collect():
-        total[k * step : (k + 1) * step] += np.frombuffer(unzip.decompress(bytes(c)), np.int64)
-    return np.minimum(63, np.ceil(4 * np.log2(total + 1))).astype(np.uint8)
+    for k, c, t in salted.repartition("chunk").mapInArrow(add, SKETCH_SCHEMA).select("chunk", "counts", "twice").collect():
+        counts[k], repeated[k] = np.frombuffer(unzip.decompress(bytes(c)), np.int64), np.frombuffer(unzip.decompress(bytes(t)), np.uint8)
+    return Sketch(np.minimum(63, np.ceil(4 * np.log2(counts.ravel() + 1))).astype(np.uint8), repeated.ravel())
 
 
-def line_sets(words: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words of each line, rarest first: (word hashes, line of each, start of each line, size of each line); lines without words have size 0."""
-    line = np.repeat(np.arange(len(sizes)), sizes)
-    key = line.astype(np.uint64) << np.uint64(44) | codes[(words & np.uint64(CELLS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(38) | words >> np.uint64(26)
+def line_sets(w: Words, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of each line, rarest first: (hashes, line of each, start of each line, size of each line); lines without words have size 0."""
+    key = w.line.astype(np.uint64) << np.uint64(40) | codes.astype(np.uint64) << np.uint64(34) | w.hashes >> np.uint64(30)
     order = np.argsort(key)
-    words = words[order]  # lines stay in place, as their number leads the key
-    first = np.ones(len(words), bool)
-    first[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
-    words, line = words[first], line[first]
-    n = np.bincount(line, minlength=len(sizes))
-    return words, line, np.cumsum(n) - n, n
+    h, line = w.hashes[order], w.line  # lines stay in place, as their number leads the key
+    first = np.ones(len(h), bool)
+    first[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
+    h, line = h[first], line[first]
+    n = np.bincount(line, minlength=len(w.line_text))
+    return h, line, np.cumsum(n) - n, n
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
@@ -116,29 +137,23 @@ def overlap_needed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (NUM * (a + b) + NUM + DEN - 1) // (NUM + DEN)
 
 
-def send_lines(docs: DataFrame, text_col: str, codes: np.ndarray) -> DataFrame:
+def send_lines(docs: DataFrame, text_col: str, sketch: Sketch) -> DataFrame:
     """Blocks of line digests and postings; equal sets of a task send their earliest line only (and the digests of all)."""
-    shared, targets = docs.sparkSession.sparkContext.broadcast(codes), targets_for(docs)
+    shared, targets = docs.sparkSession.sparkContext.broadcast(sketch), targets_for(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, lines, postings = WordHashes(), Packer(LINES, targets), Packer(POSTINGS, targets)
+        lines, postings = Packer(LINES, targets), Packer(POSTINGS, targets)
         seen: dict[int, int] = {}  # earliest row of the sets that this task has sent
         for b in slices(batches, "_text"):
-            keep = [i for i, t in enumerate(b.column(1).to_pylist()) if t is not None]
-            texts = [b.column(1)[i].as_py() for i in keep]
-            if not texts:
-                continue
-            rows = b.column(0).to_numpy(zero_copy_only=False)[keep]
-            flat, sizes, per_text = _words(texts)
-            row_of = np.repeat(rows, per_text)
-            number = np.arange(len(sizes)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-            words, line, start, n = line_sets(table.of(flat), sizes, shared.value)
+            w = words(b.column(1))
+            row_of, number = b.column(0).to_numpy(zero_copy_only=False)[w.line_text], w.line_number
+            h, line, start, n = line_sets(w, shared.value.code(w.hashes))
             full = np.flatnonzero(n)
             if not len(full):
                 continue
             with np.errstate(over="ignore"):
                 at = start[full]
-                d1, d2 = np.add.reduceat(mix(words, 1), at), np.add.reduceat(mix(words, 2), at)
+                d1, d2 = np.add.reduceat(mix(h, 1), at), np.add.reduceat(mix(h, 2), at)
             yield from lines.add(d1, d1, d2, row_of[full], number[full].astype("<u4"))
             # postings of the earliest line of each set, unless this task has sent an earlier one
             order = np.lexsort((number[full], row_of[full], d1))
@@ -150,14 +165,16 @@ def send_lines(docs: DataFrame, text_col: str, codes: np.ndarray) -> DataFrame:
                 seen.update(zip(d1[fresh].tolist(), row_of[full[fresh]].tolist(), strict=True))
             chosen = np.zeros(len(n), bool)
             chosen[full[fresh]] = True
-            pos = np.arange(len(words)) - start[line]
-            sel = chosen[line] & (pos < prefix_length(n)[line])
-            bits = np.zeros(len(n), np.uint32)
-            bits[full] = np.bitwise_or.reduceat(np.uint32(1) << (words >> np.uint64(59)).astype(np.uint32), at)
-            digest = np.zeros(len(n), np.uint64)
-            digest[full] = d1
-            l, w = line[sel], (words[sel] & np.uint64(0xFFFFFFFF)).astype("<u4")
-            yield from postings.add(mix(w), w, digest[l], row_of[l], number[l].astype("<u4"), n[l].astype("<u4"), pos[sel].astype("<u4"), bits[l])
+            pos = np.arange(len(h)) - start[line]
+            sel = np.flatnonzero(chosen[line] & (pos < prefix_length(n)[line]))
+            sel = sel[shared.value.maybe_repeated(h[sel])]
+            bits, digest = np.zeros((2, len(n)), np.uint64), np.zeros(len(n), "<u4")
+            place, upper = np.uint64(1) << (h >> np.uint64(57) & np.uint64(63)), h >> np.uint64(63) == 1
+            bits[0, full] = np.bitwise_or.reduceat(np.where(upper, np.uint64(0), place), at)
+            bits[1, full] = np.bitwise_or.reduceat(np.where(upper, place, np.uint64(0)), at)
+            digest[full] = d2.astype("<u4")
+            l, x = line[sel], (h[sel] & np.uint64(0xFFFFFFFF)).astype("<u4")
+            yield from postings.add(mix(x), x, digest[l], bits[0, l], bits[1, l], row_of[l], number[l].astype("<u4"), n[l].astype("<u4"), pos[sel].astype("<u4"))
         yield from lines.flush()
         yield from postings.flush()
 
@@ -165,12 +182,15 @@ def send_lines(docs: DataFrame, text_col: str, codes: np.ndarray) -> DataFrame:
 
 
 def may_match(size: np.ndarray, pos: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Length, positional and bit filters for pairs (i, j)."""
+    """Length, positional and bit filters for pairs (i, j); a bit that only one set has stands for a word that only it has."""
     a, b = size[i].astype(np.int64), size[j].astype(np.int64)
     need = overlap_needed(a, b)
     ok = (np.minimum(a, b) * DEN >= np.maximum(a, b) * NUM) & (np.minimum(a - pos[i], b - pos[j]) >= need)
-    only_a, only_b = np.bitwise_count(bits[i] & ~bits[j]), np.bitwise_count(bits[j] & ~bits[i])
-    return ok & (a - only_a >= need) & (b - only_b >= need)
+    at = np.flatnonzero(ok)
+    x, y, i, j = bits[0, i[at]], bits[0, j[at]], bits[1, i[at]], bits[1, j[at]]
+    count = lambda v, w: np.bitwise_count(v & ~w).astype(np.int64)
+    ok[at] = (a[at] - count(x, y) - count(i, j) >= need[at]) & (b[at] - count(y, x) - count(j, i) >= need[at])
+    return ok
 
 
 def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +198,7 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = gather(batches)
 
     def out(kind: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-        names = ["word", "row1", "line1", "row2", "line2", "size", "pos", "bits"]
+        names = ["word", "row1", "line1", "row2", "line2", "size", "pos", "bits0", "bits1"]
         for lo in range(0, len(columns[0]), 200_000):
             arrays = [pa.array(np.full(len(columns[0][lo : lo + 200_000]), kind, np.int32))]
             yield pa.RecordBatch.from_arrays(arrays + [pa.array(c[lo : lo + 200_000].astype(np.int64)) for c in columns], ["kind", *names])
@@ -188,44 +208,54 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     d1, d2, row, number = d1[order], d2[order], row[order], number[order]
     again = np.flatnonzero((d1[1:] == d1[:-1]) & (d2[1:] == d2[:-1])) + 1
     none = np.zeros(len(again), np.int64)
-    yield from out(0, none, none, none, row[again], number[again], none, none, none)
-
-    word, digest, row, number, size, pos, bits = unpack(held.pop(POSTINGS, []), POSTING_TYPES)
-    order = np.lexsort((number, row, digest, size, word))  # copies of a set from several tasks
-    first = np.ones(len(order), bool)
-    w, d, s = word[order], digest[order], size[order]
-    first[1:] = (w[1:] != w[:-1]) | (d[1:] != d[:-1]) | (s[1:] != s[:-1])
-    order = order[first]
-    order = order[np.lexsort((number[order], row[order], word[order]))]
-    word, row, number, size, pos, bits = (x[order] for x in (word, row, number, size, pos, bits))
+    yield from out(0, none, none, none, row[again], number[again], none, none, none, none)
+
+    word, digest, b0, b1, row, number, size, pos = unpack(held.pop(POSTINGS, []), POSTING_TYPES)
+    order = np.lexsort((number, row, b0, digest, size, word))  # copies of a set from several tasks
+    word, digest, b0, b1, row, number, size, pos = (x[order] for x in (word, digest, b0, b1, row, number, size, pos))
+    first = np.ones(len(word), bool)
+    first[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in (word, size, digest, b0, b1)])
+    word, row, number, size, pos = (x[first] for x in (word, row, number, size, pos))  # by word, then size
+    bits = np.stack([b0[first], b1[first]])
     if not len(word):
         return
     start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
     length = np.diff(np.r_[start, len(word)])
     begin, count = np.repeat(start, length), np.repeat(length, length)
+    age = np.empty(len(word), np.int64)
+    age[np.lexsort((number, row))] = np.arange(len(word))
+    named, more = np.zeros(len(word), np.int64), np.zeros(len(word), bool)
 
     def pairs(i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
         ok = may_match(size, pos, bits, i, j)
         i, j = i[ok], j[ok]
-        zero = np.zeros(len(i), np.int64)
-        yield from out(1, zero, row[i], number[i], row[j], number[j], zero, zero, zero)
-
-    short = np.flatnonzero(count <= SHORT_LIST)
-    for shift in range(1, SHORT_LIST):
-        short = short[short - shift >= begin[short]]
-        if not len(short):
-            break
-        yield from pairs(short - shift, short)
-    hot = np.flatnonzero(count > SHORT_LIST)
-    for k in range(LEADERS):
-        later = hot[hot > begin[hot] + k]
-        if len(later):
-            yield from pairs(begin[later] + k, later)
+        early, late = np.where(age[i] < age[j], i, j), np.where(age[i] < age[j], j, i)
+        more[late[named[late] >= FIRST]] = True
+        new = named[late] < FIRST
+        early, late = early[new], late[new]
+        np.add.at(named, late, 1)
+        zero = np.zeros(len(late), np.int64)
+        if len(late):
+            yield from out(1, zero, row[early], number[early], row[late], number[late], zero, zero, zero, zero)
+
+    active, shift = np.flatnonzero((count <= SHORT_LIST) & (count > 1)), 0
+    while len(active):
+        shift += 1
+        active = active[active - shift >= begin[active]]
+        active = active[size[active - shift].astype(np.int64) * DEN >= size[active].astype(np.int64) * NUM]
+        if len(active):
+            yield from pairs(active - shift, active)
+    for s, n in zip(start[length > SHORT_LIST].tolist(), length[length > SHORT_LIST].tolist(), strict=True):
+        members = s + np.argsort(age[s : s + n])
+        for k in range(LEADERS):
+            yield from pairs(np.full(n - k - 1, members[k]), members[k + 1 :])
+        more[members] = True
+    hot = np.flatnonzero(np.logical_or.reduceat(more, start).repeat(length))
     z = np.zeros(len(hot), np.int64)
-    yield from out(2, word[hot], z, z, row[hot], number[hot], size[hot], pos[hot], bits[hot])
+    yield from out(2, word[hot], z, z, row[hot], number[hot], size[hot], pos[hot], *bits[:, hot].view(np.int64))
 
 
-MEET_SCHEMA = "kind int, word bigint, row1 bigint, line1 bigint, row2 bigint, line2 bigint, size bigint, pos bigint, bits bigint"
+MEET_SCHEMA = "kind int, word bigint, row1 bigint, line1 bigint, row2 bigint, line2 bigint, size bigint, pos bigint, bits0 bigint, bits1 bigint"
 
 
 def fetch_lines(docs: DataFrame, text_col: str, wanted: Bloom) -> DataFrame:
@@ -248,7 +278,7 @@ def fetch_lines(docs: DataFrame, text_col: str, wanted: Bloom) -> DataFrame:
 
 
 def similar(a: str, b: str) -> bool:
-    x, y = set(a.lower().split()), set(b.lower().split())
+    x, y = set(a.encode().lower().split()), set(b.encode().lower().split())
     shared = len(x & y)
     return DEN * shared >= NUM * (len(x) + len(y) - shared)
 
@@ -278,11 +308,12 @@ def block_pairs(hot: DataFrame, decided: DataFrame) -> DataFrame:
     lists = hot.groupBy("word").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("row", "line"), F.col("blocks")).cast("int")
     dealt = flagged.join(lists, "word").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("word", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "row", "line", "size", "pos", "bits", "open")
+    dealt = dealt.select("word", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "row", "line", "size", "pos", "bits0", "bits1", "open")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
-        row, line, own, size, pos, bits, open_ = (table.column(c).to_numpy() for c in ("row", "line", "own", "size", "pos", "bits", "open"))
+        row, line, own, size, pos, open_ = (table.column(c).to_numpy() for c in ("row", "line", "own", "size", "pos", "open"))
+        bits = np.stack([table.column(c).to_numpy().view(np.uint64) for c in ("bits0", "bits1")])
         lo, hi = (table.column(c)[0].as_py() for c in ("lo", "hi"))
         for y in np.flatnonzero(open_).tolist():
             before = (row < row[y]) | ((row == row[y]) & (line < line[y]))
@@ -299,18 +330,18 @@ def block_pairs(hot: DataFrame, decided: DataFrame) -> DataFrame:
 
 def removed_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Distinct (row, line) of lines with an earlier match; docs has _row."""
-    codes = rarity_codes(docs, text_col)
-    met = stored(exchange(send_lines(docs, text_col, codes)).mapInArrow(meet, MEET_SCHEMA), "line-meet")
+    sketch = word_sketch(docs, text_col)
+    met = stored(exchange(send_lines(docs, text_col, sketch)).mapInArrow(meet, MEET_SCHEMA), "line-meet")
     release(docs)
     later = [F.col("row2").alias("row"), F.col("line2").cast("int").alias("line")]
-    copies = met.where("kind = 0").select(*later)
     pairs = stored(met.where("kind = 1").select("row1", F.col("line1").cast("int"), "row2", F.col("line2").cast("int")).distinct(), "line-pairs")
-    decided = stored(copies.union(verify(docs, text_col, pairs)).distinct(), "lines-removed")
-    release(docs)
-    hot = met.where("kind = 2").select("word", *later, "size", "pos", "bits")
+    decided = stored(met.where("kind = 0").select(*later).union(verify(docs, text_col, pairs)).distinct(), "lines-removed")
+    hot = met.where("kind = 2").select("word", *later, "size", "pos", "bits0", "bits1")
     rest = stored(block_pairs(hot, decided), "line-rest")
     if rest.limit(1).count():
-        decided = decided.union(verify(docs, text_col, rest)).distinct()
+        decided = stored(decided.union(verify(docs, text_col, rest)).distinct(), "lines-removed")
+    discard(met, pairs, rest)
+    release(docs)
     return decided
 
 
@@ -318,7 +349,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """docs with their remaining lines in text_col, plus n_lines and n_removed."""
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     rows = numbered(docs.select(*names), id_col)
-    per_doc = stored(removed_lines(rows, text_col).groupBy("row").agg(F.collect_list("line").alias("_gone")), "removed-by-document")
+    gone = removed_lines(rows, text_col)
+    per_doc = stored(gone.groupBy("row").agg(F.collect_list("line").alias("_gone")), "removed-by-document")
+    discard(gone)
     release(docs)
     joined = rows.join(per_doc, rows["_row"] == per_doc["row"], "left").select(*names, "_gone")
     at = names.index(text_col)

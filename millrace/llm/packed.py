@@ -9,6 +9,7 @@ instead of many small rows. Also here: a Bloom filter of bounded size over
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -113,9 +114,11 @@ def gather(batches: Iterator[pa.RecordBatch]) -> dict[int, list[bytes]]:
 
 
 def release(df: DataFrame) -> None:
-    """Let Spark drop the shuffle files of stages that nothing refers to any more."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    """Let Spark drop the shuffle files of stages that nothing refers to any more; its cleaner follows the driver's garbage collection."""
+    for _ in range(2):
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def key_hash(rows: np.ndarray, lines: np.ndarray) -> np.ndarray:

@@ -15,7 +15,7 @@ def brute(docs):
             continue
         kept = []
         for line in text.split("\n"):
-            words = frozenset(line.lower().split())
+            words = frozenset(line.encode().lower().split())
             if not words:
                 kept.append(line)
                 continue
@@ -46,9 +46,9 @@ def corpus(rnd, n_docs, vocab=300, near=0.5):
     return docs
 
 
-@pytest.mark.parametrize("limits", [(64, 8, 4096), (2, 1, 5)])
+@pytest.mark.parametrize("limits", [(4096, 3, 8, 4096), (2, 1, 1, 5), (4096, 1, 1, 7)])
 def test_like_brute_force(spark, monkeypatch, limits):
-    for name, value in zip(("SHORT_LIST", "LEADERS", "BLOCK"), limits):
+    for name, value in zip(("SHORT_LIST", "FIRST", "LEADERS", "BLOCK"), limits):
         monkeypatch.setattr(m, name, value)
     docs = corpus(random.Random(5), 150) + [(500, None), (501, ""), (502, "\n\n"), (503, "A b\na B\nb  a"), (504, "x " * 30000)]
     base = random.Random(2).choices([f"z{i}" for i in range(99)], k=40)
@@ -76,3 +76,19 @@ def test_whole_table(spark):
     rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
     got = {r["doc_id"]: r["text"] for r in dedup_lines(docs).collect()}
     assert [got[i] for i, _ in rows] == brute(rows)
+
+
+def test_words_of_bytes():
+    import pyarrow as pa
+
+    from millrace.llm.bytewords import words
+
+    texts = ["A b  a", "", None, "x\n\ny\tB ", " ", "Ünï ÜNÏ", "z" * 70 + " " + "z" * 70]
+    w = words(pa.array(["skip this"] + texts).slice(1))
+    plain = [(i, n, x) for i, t in enumerate(texts) for n, line in enumerate((t or "").split("\n")) for x in line.encode().lower().split()]
+    assert w.text.tolist() == [i for i, _, _ in plain]
+    assert w.line_number[w.line].tolist() == [n for _, n, _ in plain]
+    by = {}
+    for h, (_, _, x) in zip(w.hashes.tolist(), plain):
+        assert by.setdefault(x, h) == h
+    assert len(set(by.values())) == len(by)
