@@ -27,6 +27,3 @@ def wrap_uint32(value: Column) -> Column:
     v = value.cast("bigint")
     return F.when(v >= F.lit(1 << 31), v - F.lit(1 << 32)).otherwise(v).cast("int")
 
-
-def greatest_known(*values: Column) -> Column:
-    return F.greatest(*values)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.arrays import ordered_distinct
@@ -167,13 +167,10 @@ def null_filter(t):
     WHERE o_orderstatus = 'F' GROUP BY 1) ON o_custkey = c_custkey)"""
 )
 def sort_nulls_first_rank(t):
-    """The position of each row in a global sort, from a range exchange and per-partition offsets, not one task."""
+    """The position of each row in a global sort: rows before its total, from one row per distinct total, and its place among equals."""
     counts = t("orders").where("o_orderstatus = 'F'").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("total"))
     rows = t("customer").select("c_custkey").join(counts, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "total")
     by_total = rows.groupBy("total").agg(F.count(F.lit(1)).alias("n"))
-    # distinct totals are few; ranks within equal totals are windows by total
-    from pyspark.sql import Window
-
     before = by_total.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy(F.col("total").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     within = rows.withColumn("k", F.row_number().over(Window.partitionBy("total").orderBy("c_custkey")))
     joined = within.alias("w").join(before.alias("b"), F.col("w.total").eqNullSafe(F.col("b.total")))

@@ -48,7 +48,6 @@ REVIEWS = _table(
 )
 
 RAW_TABLES = {"catalog_games": CATALOG_GAMES, "review_counts": REVIEW_COUNTS, "reviews": REVIEWS}
-KEYS = {"catalog_games": ["igdb_id"], "review_counts": ["app_id"], "reviews": []}
 
 #: Columns read from each catalog dump; all arrive as text.
 DUMP_COLUMNS = {

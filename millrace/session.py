@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, fields
 from datetime import datetime
 
 from pyspark.sql import Column, SparkSession
@@ -51,13 +51,14 @@ class EngineConfig:
 
     The defaults are fixed values that decide results (thresholds, template,
     retry schedule); from_env() overrides them with MILLRACE_<FIELD> variables.
+    Row batches of the loaders (catalog, census, page flushes) have no setting:
+    partitions and streamed readers take their place.
     """
 
     min_review_length: int = 20
     min_playtime_minutes: int = 120
     top_n_reviews: int = 30
     heavy_review_threshold: int = 10000
-    heavy_page_flush_interval: int = 1000
     stop_tolerance_min: int = 50
     stop_tolerance_ratio: float = 0.15
     stop_max_retries: int = 6
@@ -66,15 +67,12 @@ class EngineConfig:
     http_max_retries: int = 5
     http_backoff_base_seconds: float = 2.0
     page_size: int = 100
-    catalog_batch_size: int = 1000
-    census_batch_size: int = 200
     backfill_batch_size: int = 100
     pause_every_batches: int = 10
     pause_seconds: float = 120.0
     duplicate_error_threshold: int = 10000
     checklist_glyphs: str = "✅☐"
     cover_url_template: str = "https://images.igdb.com/igdb/image/upload/t_cover_big/{image_id}.jpg"
-    extra: dict = field(default_factory=dict)
 
     @classmethod
     def from_env(cls, environ: dict[str, str] | None = None, prefix: str = "MILLRACE_") -> EngineConfig:
@@ -82,6 +80,6 @@ class EngineConfig:
         given = {}
         for f in fields(cls):
             raw = env.get(prefix + f.name.upper())
-            if raw is not None and f.name != "extra":
+            if raw is not None:
                 given[f.name] = type(f.default)(raw)
         return cls(**given)
