@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import table
+from millrace.llm.shared import importable, table
 from millrace.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,8 +18,7 @@ ORACLES: dict[str, str] = {}
 def query(sql: str | None = None):
     def add(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            configure(spark)
-            return f(spark, sf_dir)
+            return f(importable(configure(spark)), sf_dir)
 
         QUERIES[f.__name__] = run
         if sql:

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it; on a cluster, ship it with --py-files."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir.
 
