@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SEGMENT = 1 << 22
+SEGMENT = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True

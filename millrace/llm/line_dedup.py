@@ -48,6 +48,8 @@ from millrace.llm.shared import discard, numbered, stored
 NUM, DEN = 4, 5
 CELLS, BITS, CHUNKS = 1 << 20, 1 << 25, 64
 SHORT_LIST, FIRST, LEADERS, BLOCK = 4096, 3, 8, 4096
+#: Bytes of text handled at a time; bounds a task's memory.
+SLICE = 2_000_000
 #: Smallest set that can be similar to a different one.
 LEAST = -(-NUM // (DEN - NUM))
 LINES, POSTINGS = 0, 1
@@ -84,7 +86,7 @@ def word_sketch(docs: DataFrame, text_col: str) -> Sketch:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, once, twice = np.zeros(CELLS, np.int64), np.zeros(BITS, bool), np.zeros(BITS, bool)
-        for b in slices(batches, "_text"):
+        for b in slices(batches, "_text", SLICE):
             h = words(b.column(0)).hashes
             total += np.bincount((h & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
             at = np.sort((h >> np.uint64(20) & np.uint64(BITS - 1)).astype(np.uint32))
@@ -144,7 +146,7 @@ def send_lines(docs: DataFrame, text_col: str, sketch: Sketch) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines, postings = Packer(LINES, targets), Packer(POSTINGS, targets)
         seen: dict[int, int] = {}  # earliest row of the sets that this task has sent
-        for b in slices(batches, "_text"):
+        for b in slices(batches, "_text", SLICE):
             w = words(b.column(1))
             row_of, number = b.column(0).to_numpy(zero_copy_only=False)[w.line_text], w.line_number
             h, line, start, n = line_sets(w, shared.value.code(w.hashes))
@@ -263,7 +265,7 @@ def fetch_lines(docs: DataFrame, text_col: str, wanted: Bloom) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "_text"):
+        for b in slices(batches, "_text", SLICE):
             texts = b.column(1).to_pylist()
             lines = [t.split("\n") if t is not None else [] for t in texts]
             n = np.fromiter(map(len, lines), np.int64, len(lines))

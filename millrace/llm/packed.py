@@ -52,7 +52,7 @@ class WordHashes(dict):
 class Packer:
     """Buffers records of one kind and cuts them into a block per target."""
 
-    def __init__(self, kind: int, targets: int, limit: int = 1 << 20):
+    def __init__(self, kind: int, targets: int, limit: int = 1 << 19):
         self.kind, self.targets, self.limit = kind, targets, limit
         self.held: list[tuple[np.ndarray, ...]] = []
         self.n = 0
