@@ -8,13 +8,16 @@ included, are candidates. A candidate pair is linked when a banded alignment of
 its words matches at least 4/5 of the longer text. Classes are the connected
 components of the links.
 
-Steps: equal word sequences collapse to their least row; every bucket first links
-its members to its least row (linear in the bucket); after verification, members
-of one bucket that are still in different classes are compared with each other in
-pairs of blocks of bounded size, so no candidate is dropped. Candidates must also
+Steps: equal word sequences collapse to their least row; every bucket first names
+its least row as a partner of its members (linear in the bucket), and partners
+that two buckets name are verified; then members of one bucket that are still in
+different classes are compared with each other in pairs of blocks of bounded size,
+so no candidate is dropped. Candidates must also
 be of like length (a condition of the threshold) and have an estimated k-mer
-resemblance, from 64 one-byte minima, of at least 0.3; pairs that pass the
-threshold lie far above that unless their edits break nearly every k-mer.
+resemblance, from 64 one-byte minima, of at least 0.4: texts that merely share a
+long passage stay below it, and texts whose k-mers resemble each other by 0.8 lie
+eight standard deviations above. A pair whose scattered edits break most k-mers is
+found through a third text that is closer to both, if there is one.
 
 Texts with fewer than five words have one k-mer, the whole text. Null texts and
 texts without words are all alike. Null or repeated ids: rows count separately by
@@ -37,7 +40,7 @@ from millrace.llm.packed import BLOCKS_SCHEMA, Bloom, Packer, WordHashes, exchan
 from millrace.llm.shared import numbered, stored
 
 #: k-mer words; bands (hash functions whose tuples are compared); k-mers in a tuple; one-byte minima; least estimated resemblance; similarity as a fraction; block size.
-K, BANDS, ORDER, MINIMA, RESEMBLANCE = 5, 32, 2, 64, 0.3
+K, BANDS, ORDER, MINIMA, RESEMBLANCE = 5, 32, 2, 64, 0.4
 NUM, DEN = 4, 5
 BLOCK = 2048
 SKETCH_SCHEMA = "row bigint, d1 bigint, d2 bigint, n int, minima binary, bands binary"
@@ -118,7 +121,7 @@ def sketches(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def buckets(reps: DataFrame) -> DataFrame:
-    """kind 1: (row, leader) pairs of each bucket; kind 2: (bucket, row) of buckets with three members or more."""
+    """kind 1: (leader, row) pairs of the buckets and in how many of a task's they occur; kind 2: (bucket, row) of buckets with several members."""
     targets = targets_for(reps)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,14 +146,14 @@ def buckets(reps: DataFrame) -> DataFrame:
         length = np.diff(np.r_[start, len(band)])
         lead, count = np.repeat(start, length), np.repeat(length, length)
         star = np.flatnonzero((np.arange(len(band)) > lead) & (np.minimum(n, n[lead]) * DEN >= np.maximum(n, n[lead]) * NUM))
-        pairs = np.unique(np.stack([row[lead[star]], row[star]], 1), axis=0)
-        many = np.flatnonzero(count > 2)
-        for kind, x, y in ((1, pairs[:, 0], pairs[:, 1]), (2, band[many].view(np.int64), row[many])):
+        pairs, times = np.unique(np.stack([row[lead[star]], row[star]], 1), axis=0, return_counts=True)
+        many = np.flatnonzero(count > 1)
+        for kind, x, y, z in ((1, pairs[:, 0], pairs[:, 1], times), (2, band[many].view(np.int64), row[many], count[many])):
             for lo in range(0, len(x), 200_000):
-                part = x[lo : lo + 200_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind, np.int32)), pa.array(part), pa.array(y[lo : lo + 200_000])], ["kind", "x", "y"])
+                part = slice(lo, lo + 200_000)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x[part]), kind, np.int32)), pa.array(x[part]), pa.array(y[part]), pa.array(z[part])], ["kind", "x", "y", "times"])
 
-    return exchange(reps.select("row", "n", "bands").mapInArrow(send, BLOCKS_SCHEMA)).mapInArrow(meet, "kind int, x bigint, y bigint")
+    return exchange(reps.select("row", "n", "bands").mapInArrow(send, BLOCKS_SCHEMA)).mapInArrow(meet, "kind int, x bigint, y bigint, times bigint")
 
 
 def resemblance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -268,7 +271,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = stored(reps.select("d1", "d2", "row", "s.n", "s.minima", "s.bands"), "distinct-sketches")
     met = stored(buckets(reps), "buckets")
     release(docs)
-    star = met.where("kind = 1").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    shared = met.where("kind = 1").groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.sum("times").alias("times"))
+    star = stored(shared.where("times > 1").select("a", "b"), "stars")
     links = stored(verify(rows, text_col, stored(alike(star, reps), "star-pairs")), "links")
     labels = connected(links)
     members = met.where("kind = 2").select(F.col("x").alias("bucket"), F.col("y").alias("row"))
