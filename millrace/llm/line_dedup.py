@@ -355,7 +355,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     per_doc = stored(gone.groupBy("row").agg(F.collect_list("line").alias("_gone")), "removed-by-document")
     discard(gone)
     release(docs)
-    joined = rows.join(per_doc, rows["_row"] == per_doc["row"], "left").select(*names, "_gone")
+    # the same plan at every size: what is removed grows with the documents and is never broadcast
+    joined = rows.join(per_doc.hint("merge"), rows["_row"] == per_doc["row"], "left").select(*names, "_gone")
     at = names.index(text_col)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema] + ["n_lines int", "n_removed int"])
 
