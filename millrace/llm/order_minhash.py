@@ -243,23 +243,26 @@ def cross_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataF
     """Pairs of one bucket whose classes differ, alike in length and minima; a task holds two blocks of a bucket at most."""
     named = members.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
     mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("lo <> hi")
-    rows = named.join(mixed.select("bucket", "blocks"), "bucket").join(reps.select("row", "n", "minima"), "row")
+    rows = named.join(mixed.select("bucket", "blocks"), "bucket").join(reps.select("row", "n", "minima", "bands"), "row")
     own = F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "row", "label", "n", "minima")
+    dealt = dealt.select("bucket", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "row", "label", "n", "minima", "bands")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(list(batches))
         row, label, n, own = (t.column(c).to_numpy() for c in ("row", "label", "n", "own"))
         minima = np.frombuffer(b"".join(t.column("minima").to_pylist()), np.uint8).reshape(-1, MINIMA)
-        n, apart = n.astype(np.int64), t.column("b1")[0] != t.column("b2")[0]
+        bands = np.frombuffer(b"".join(t.column("bands").to_pylist()), "<i8").reshape(-1, BANDS)
+        n, apart, bucket = n.astype(np.int64), t.column("b1")[0] != t.column("b2")[0], t.column("bucket")[0].as_py()
         for i in range(len(row)):
             j = np.flatnonzero((row > row[i]) & (label != label[i]) & (np.minimum(n, n[i]) * DEN >= np.maximum(n, n[i]) * NUM) & (own != own[i] if apart else True))
             j = j[resemblance(minima[j], minima[i][None]) >= RESEMBLANCE]
+            # a pair that shares several buckets belongs to the first of them
+            j = j[bands[i][(bands[j] == bands[i]).argmax(1)] == bucket]
             if len(j):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), row[i])), pa.array(row[j])], ["a", "b"])
 
-    return dealt.groupBy("bucket", "b1", "b2").applyInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.groupBy("bucket", "b1", "b2").applyInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
