@@ -11,13 +11,13 @@ components of the links.
 Steps: equal word sequences collapse to their least row; every bucket first names
 its least row as a partner of its members (linear in the bucket), and partners
 that two buckets name are verified; then members of one bucket that are still in
-different classes are compared with each other in pairs of blocks of bounded size,
-so no candidate is dropped. Candidates must also
-be of like length (a condition of the threshold) and have an estimated k-mer
-resemblance, from 64 one-byte minima, of at least 0.4: texts that merely share a
-long passage stay below it, and texts whose k-mers resemble each other by 0.8 lie
-eight standard deviations above. A pair whose scattered edits break most k-mers is
-found through a third text that is closer to both, if there is one.
+different classes are compared with each other, texts at hand, in pairs of blocks
+of bounded size, so no candidate is dropped and only links leave a task.
+
+The alignment decides every candidate that meets two conditions of its threshold:
+like length, and words in common, counted by bins of their hashes, which never
+count less than the alignment can match. How much the k-mers of a candidate
+resemble each other doesn't matter.
 
 Texts with fewer than five words have one k-mer, the whole text. Null texts and
 texts without words are all alike. Null or repeated ids: rows count separately by
@@ -39,13 +39,14 @@ from millrace.llm.components import connected
 from millrace.llm.packed import BLOCKS_SCHEMA, Bloom, Packer, WordHashes, exchange, gather, mix, release, targets_for, unpack, without_rows
 from millrace.llm.shared import numbered, stored
 
-#: k-mer words; bands (hash functions whose tuples are compared); k-mers in a tuple; one-byte minima; least estimated resemblance; similarity as a fraction; block size.
-K, BANDS, ORDER, MINIMA, RESEMBLANCE = 5, 32, 2, 64, 0.4
+#: k-mer words; bands (hash functions whose tuples are compared); k-mers in a tuple; similarity as a fraction; rows and bytes of text in a block; bins of words.
+K, BANDS, ORDER = 5, 32, 2
 NUM, DEN = 4, 5
-BLOCK = 2048
-SKETCH_SCHEMA = "row bigint, d1 bigint, d2 bigint, n int, minima binary, bands binary"
-_SEEDS = mix(np.arange(MINIMA, dtype=np.uint64), 77)
-_ODD = mix(np.arange(MINIMA, dtype=np.uint64), 78) | np.uint64(1)
+BLOCK, BLOCK_BYTES = 2048, 1 << 24
+BINS = 128
+SKETCH_SCHEMA = "row bigint, d1 bigint, d2 bigint, n int, bins binary, bands binary"
+_SEEDS = mix(np.arange(BANDS, dtype=np.uint64), 77)
+_ODD = mix(np.arange(BANDS, dtype=np.uint64), 78) | np.uint64(1)
 #: k-mers hashed at a time (bounds memory for very long texts).
 STRIDE = 1 << 14
 
@@ -70,11 +71,11 @@ def kmers(h: np.ndarray) -> np.ndarray:
 
 
 def sketch(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(minima: 64 bytes, bands: BANDS 64-bit values) of a text's word hashes, not empty."""
+    """(words in each of BINS bins, 255 for more: bytes, bands: BANDS 64-bit values) of a text's word hashes, not empty."""
     s = kmers(h)
-    least = np.full((MINIMA, ORDER), np.iinfo(np.uint64).max, np.uint64)
-    where = np.full((MINIMA, ORDER), -1, np.int64)
-    rows = np.arange(MINIMA)
+    least = np.full((BANDS, ORDER), np.iinfo(np.uint64).max, np.uint64)
+    where = np.full((BANDS, ORDER), -1, np.int64)
+    rows = np.arange(BANDS)
     with np.errstate(over="ignore"):
         for lo in range(0, len(s), STRIDE):
             x = (s[None, lo : lo + STRIDE] ^ _SEEDS[:, None]) * _ODD[:, None]
@@ -89,32 +90,32 @@ def sketch(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 least[first, 1], where[first, 1] = least[first, 0], where[first, 0]
                 least[first, 0], where[first, 0] = value[first], at[first] + lo
                 least[second, 1], where[second, 1] = value[second], at[second] + lo
-    minima = (mix(least[:, 0]) >> np.uint64(56)).astype(np.uint8)
-    pos = np.sort(where[:BANDS], axis=1)  # text order; -1 where a text has one k-mer
+    pos = np.sort(where, axis=1)  # text order; -1 where a text has one k-mer
     picked = np.where(pos >= 0, s[np.maximum(pos, 0)], np.uint64(0))
     bands = np.arange(BANDS, dtype=np.uint64)
     for i in range(ORDER):
         bands = mix(bands ^ picked[:, i], i)
-    return minima, bands
+    bins = np.minimum(np.bincount((h & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS), 255).astype(np.uint8)
+    return bins, bands
 
 
 def sketches(docs: DataFrame, text_col: str) -> DataFrame:
-    """One narrow row per document: digest of its words, length, minima and bands."""
+    """One narrow row per document: digest of its words, length, bins and bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordHashes()
         for b in slices(batches, "_text"):
-            digests, n, minima, bands = [], [], [], []
+            digests, n, bins, bands = [], [], [], []
             for t in b.column(1).to_pylist():
                 words = (t or "").lower().split()
                 digests.append(xxhash.xxh3_128_digest(" ".join(words)))
                 n.append(len(words))
-                m, d = sketch(table.of(words)) if words else (np.zeros(MINIMA, np.uint8), np.zeros(0, np.uint64))
-                minima.append(m.tobytes()), bands.append(d.tobytes())
+                m, d = sketch(table.of(words)) if words else (np.zeros(BINS, np.uint8), np.zeros(0, np.uint64))
+                bins.append(m.tobytes()), bands.append(d.tobytes())
             d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(n, pa.int32()), pa.array(minima, pa.binary()), pa.array(bands, pa.binary())],
-                ["row", "d1", "d2", "n", "minima", "bands"],
+                [b.column(0), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(n, pa.int32()), pa.array(bins, pa.binary()), pa.array(bands, pa.binary())],
+                ["row", "d1", "d2", "n", "bins", "bands"],
             )
 
     return docs.select("_row", F.col(text_col).alias("_text")).mapInArrow(run, SKETCH_SCHEMA)
@@ -156,24 +157,9 @@ def buckets(reps: DataFrame) -> DataFrame:
     return exchange(reps.select("row", "n", "bands").mapInArrow(send, BLOCKS_SCHEMA)).mapInArrow(meet, "kind int, x bigint, y bigint, times bigint")
 
 
-def resemblance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated k-mer resemblance of rows of minima; one in 256 agrees by chance."""
-    agree = (a == b).mean(-1)
-    return (agree - 1 / 256) / (1 - 1 / 256)
-
-
-def alike(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose minima agree enough."""
-    one, two = reps.select(F.col("row").alias("a"), F.col("minima").alias("m1")), reps.select(F.col("row").alias("b"), F.col("minima").alias("m2"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
-            if t.num_rows:
-                m1, m2 = (np.frombuffer(b"".join(t.column(i).to_pylist()), np.uint8).reshape(-1, MINIMA) for i in (2, 3))
-                hit = np.flatnonzero(resemblance(m1, m2) >= RESEMBLANCE)
-                yield pa.RecordBatch.from_arrays([t.column(0).take(pa.array(hit)), t.column(1).take(pa.array(hit))], ["a", "b"])
-
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "m1", "m2").mapInArrow(run, "a bigint, b bigint")
+def in_common(a: np.ndarray, b: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """Whether rows of bins may have as many words in common as an alignment has to match."""
+    return (np.minimum(a, b).sum(-1, dtype=np.int64) >= need) | ((a == 255) & (b == 255)).any(-1)
 
 
 def aligned(a: list[str], b: list[str]) -> bool:
@@ -216,10 +202,9 @@ def aligned(a: list[str], b: list[str]) -> bool:
     return len(a) - free.bit_count() >= need
 
 
-def verify(docs: DataFrame, text_col: str, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts align; pairs must be stored. Only texts of candidates are moved."""
-    ends = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct().withColumn("line", F.lit(0))
-    wanted = docs.sparkSession.sparkContext.broadcast(Bloom.over(ends, 2 * pairs.count()))
+def texts_of(docs: DataFrame, text_col: str, ends: DataFrame) -> DataFrame:
+    """(_row, t) of the rows of ends, which must be stored, and a few more: only texts of candidates are moved."""
+    wanted = docs.sparkSession.sparkContext.broadcast(Bloom.over(ends.select("row", F.lit(0).alias("line")), ends.count()))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -228,39 +213,61 @@ def verify(docs: DataFrame, text_col: str, pairs: DataFrame) -> DataFrame:
             if len(hit):
                 yield b.take(pa.array(hit))
 
+    return stored(docs.select("_row", F.col(text_col).alias("t")).mapInArrow(pick, "_row bigint, t string"), "candidate-texts")
+
+
+def verify(docs: DataFrame, text_col: str, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose texts align; pairs must be stored."""
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in slices(batches, "tb"):
             texts = ((x or "").lower().split() for x in t.column(2).to_pylist()), ((x or "").lower().split() for x in t.column(3).to_pylist())
             hit = pa.array([i for i, (x, y) in enumerate(zip(*texts, strict=True)) if aligned(x, y)], pa.int64())
             yield pa.RecordBatch.from_arrays([t.column(0).take(hit), t.column(1).take(hit)], ["a", "b"])
 
-    texts = stored(docs.select("_row", F.col(text_col).alias("t")).mapInArrow(pick, "_row bigint, t string"), "candidate-texts")
+    texts = texts_of(docs, text_col, stored(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct(), "pair-ends"))
     one, two = texts.select(F.col("_row").alias("a"), F.col("t").alias("ta")), texts.select(F.col("_row").alias("b"), F.col("t").alias("tb"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(check, "a bigint, b bigint")
 
 
-def cross_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of one bucket whose classes differ, alike in length and minima; a task holds two blocks of a bucket at most."""
+def cross_links(docs: DataFrame, text_col: str, members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links (a, b) between members of one bucket whose classes differ; a task holds two blocks of a bucket at most.
+
+    A task joins classes as it finds links and skips pairs that are in one class by
+    then, so it returns fewer links than it has rows.
+    """
     named = members.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
-    mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("lo <> hi")
-    rows = named.join(mixed.select("bucket", "blocks"), "bucket").join(reps.select("row", "n", "minima", "bands"), "row")
+    apart = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
+    mixed = stored(named.join(apart, "bucket"), "mixed-buckets")
+    texts = texts_of(docs, text_col, stored(mixed.select("row").distinct(), "mixed-rows")).withColumnRenamed("_row", "row")
+    sizes = mixed.join(texts.select("row", F.octet_length("t").alias("size")), "row").groupBy("bucket")
+    blocks = sizes.agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_BYTES, F.lit(1.0))).cast("int").alias("blocks"))
+    rows = mixed.join(blocks, "bucket").join(reps.select("row", "n", "bins", "bands"), "row").join(texts, "row")
     own = F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "row", "label", "n", "minima", "bands")
+    dealt = dealt.select("bucket", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "row", "label", "n", "bins", "bands", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(list(batches))
         row, label, n, own = (t.column(c).to_numpy() for c in ("row", "label", "n", "own"))
-        minima = np.frombuffer(b"".join(t.column("minima").to_pylist()), np.uint8).reshape(-1, MINIMA)
+        bins = np.frombuffer(b"".join(t.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
         bands = np.frombuffer(b"".join(t.column("bands").to_pylist()), "<i8").reshape(-1, BANDS)
-        n, apart, bucket = n.astype(np.int64), t.column("b1")[0] != t.column("b2")[0], t.column("bucket")[0].as_py()
+        words = lambda i: t.column("t")[int(i)].as_py().lower().split()
+        n, label, apart, bucket = n.astype(np.int64), label.copy(), t.column("b1")[0] != t.column("b2")[0], t.column("bucket")[0].as_py()
+        links: list[tuple[int, int]] = []
         for i in range(len(row)):
             j = np.flatnonzero((row > row[i]) & (label != label[i]) & (np.minimum(n, n[i]) * DEN >= np.maximum(n, n[i]) * NUM) & (own != own[i] if apart else True))
-            j = j[resemblance(minima[j], minima[i][None]) >= RESEMBLANCE]
             # a pair that shares several buckets belongs to the first of them
             j = j[bands[i][(bands[j] == bands[i]).argmax(1)] == bucket]
-            if len(j):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), row[i])), pa.array(row[j])], ["a", "b"])
+            j = j[in_common(bins[j], bins[i][None], -(-NUM * np.maximum(n[j], n[i]) // DEN))]
+            mine = words(i) if len(j) else []
+            for k in j:
+                if label[k] != label[i] and aligned(mine, words(k)):
+                    label[label == label[k]] = label[i]
+                    links.append((int(row[i]), int(row[k])))
+        if links:
+            a, b = zip(*links, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return dealt.groupBy("bucket", "b1", "b2").applyInArrow(run, "a bigint, b bigint")
 
@@ -270,20 +277,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = numbered(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")), "_id")
     text_col = "_t"
     narrow = stored(sketches(rows, text_col), "sketches")
-    reps = narrow.groupBy("d1", "d2").agg(F.min("row").alias("row"), F.min_by(F.struct("n", "minima", "bands"), "row").alias("s"))
-    reps = stored(reps.select("d1", "d2", "row", "s.n", "s.minima", "s.bands"), "distinct-sketches")
+    reps = narrow.groupBy("d1", "d2").agg(F.min("row").alias("row"), F.min_by(F.struct("n", "bins", "bands"), "row").alias("s"))
+    reps = stored(reps.select("d1", "d2", "row", "s.n", "s.bins", "s.bands"), "distinct-sketches")
     met = stored(buckets(reps), "buckets")
     release(docs)
     shared = met.where("kind = 1").groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.sum("times").alias("times"))
     star = stored(shared.where("times > 1").select("a", "b"), "stars")
-    links = stored(verify(rows, text_col, stored(alike(star, reps), "star-pairs")), "links")
+    links = stored(verify(rows, text_col, star), "links")
     labels = connected(links)
     members = met.where("kind = 2").select(F.col("x").alias("bucket"), F.col("y").alias("row"))
-    rest = stored(cross_pairs(members, labels, reps).join(star, ["a", "b"], "left_anti"), "cross-pairs")
-    if rest.limit(1).count():
-        more = stored(verify(rows, text_col, rest), "links")
-        if more.limit(1).count():
-            labels = connected(links.union(more))
+    more = stored(cross_links(rows, text_col, members, labels, reps), "links")
+    if more.limit(1).count():
+        labels = connected(links.union(more))
     release(docs)
     classes = reps.join(labels.withColumnRenamed("node", "row"), "row", "left").select("d1", "d2", F.coalesce("label", "row").alias("class_id"))
     named = narrow.select("row", "d1", "d2").join(classes, ["d1", "d2"]).select("row", "class_id", (F.col("row") == F.col("class_id")).alias("kept"))

@@ -109,3 +109,26 @@ def test_planted_copies_of_the_table(spark):
     want = classes([texts[i] for i in ids])
     got = {r["doc_id"]: r["class_id"] for r in near_duplicates(docs).collect()}
     assert [got[i] for i in ids] == [ids[c] for c in want]
+
+
+def test_scattered_edits_are_decided_by_alignment(spark):
+    """A word in ten replaced: the k-mers hardly resemble each other, the alignment matches 0.9."""
+    rnd = random.Random(3)
+    texts = []
+    for _ in range(40):
+        base = [f"u{rnd.randrange(10**6)}" for _ in range(300)]
+        other = [f"e{rnd.randrange(10**6)}" if i % 10 == rnd.randrange(4, 6) else w for i, w in enumerate(base)]
+        texts += [" ".join(base), " ".join(other)]
+    bands = [set(sketch(WordHashes().of(t.split()))[1].tolist()) for t in texts]
+    want = [i - 1 if i % 2 and bands[i] & bands[i - 1] and aligned(texts[i].split(), texts[i - 1].split()) else i for i in range(len(texts))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(df).collect()}
+    assert [got[i] for i in range(len(texts))] == want and sum(c != i for i, c in enumerate(want)) > 25
+
+
+def test_bins_never_count_less_than_alignments():
+    rnd = random.Random(6)
+    for _ in range(200):
+        a, b = (rnd.choices("abcdefgh" * 3 + "z", k=rnd.choice([5, 40, 900])) for _ in "ab")
+        x, y = (sketch(WordHashes().of(w))[0] for w in (a, b))
+        assert m.in_common(x[None], y[None], np.array([lcs(a, b) if len(a) < 100 and len(b) < 100 else sum(min(a.count(c), b.count(c)) for c in set(a))]))[0]
