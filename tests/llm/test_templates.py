@@ -99,3 +99,11 @@ def test_whole_table(spark):
     got = {r["doc_id"]: r["item_ids"] for r in QUERIES["op8_template_decontamination"](spark, sf).collect()}
     want = brute(docs, items)
     assert {i for i, v in want.items() if v} == {i for i, v in got.items() if v} and sum(map(bool, want.values())) > 3
+
+
+def test_occurrences_are_judged_apart(spark):
+    """A verbatim copy beside a variant, two variants, and an item whose own template repeats."""
+    one, two = (ITEM.replace("12", a).replace("km", b).replace("Bob Smith", c) for a, b, c in (("73", "miles", "Carla"), ("41", "yards", "Emil")))
+    twice = "then they added 3 large red apples to the big basket and then they added 4 large red apples to the big basket"
+    docs = [(1, f"Intro. {ITEM}. {one}"), (2, f"Intro. {one}. {two}"), (3, f"Intro: {twice}"), (4, "Intro. " + ITEM.replace("12 km", "5 km").replace("12 apples", "9 apples"))]
+    assert run(spark, docs, [(3, ITEM), (4, twice)]) == {1: [3], 2: [3], 3: [4], 4: []}
