@@ -107,3 +107,10 @@ def test_occurrences_are_judged_apart(spark):
     twice = "then they added 3 large red apples to the big basket and then they added 4 large red apples to the big basket"
     docs = [(1, f"Intro. {ITEM}. {one}"), (2, f"Intro. {one}. {two}"), (3, f"Intro: {twice}"), (4, "Intro. " + ITEM.replace("12 km", "5 km").replace("12 apples", "9 apples"))]
     assert run(spark, docs, [(3, ITEM), (4, twice)]) == {1: [3], 2: [3], 3: [4], 4: []}
+
+
+def test_names_that_begin_sentences_or_have_more_capitals(spark):
+    tom = "Tom has 12 red apples. Tom eats 5 apples today. How many apples are left?"
+    mac = "in the morning old McDonald and NASA sold eleven brown cows to the farmer next door for money"
+    docs = [(1, "Intro. " + tom.replace("Tom", "Anna")), (2, "Intro. " + tom.replace("Tom", "Mary Ann").replace("12", "9")), (3, "Intro: " + mac.replace("McDonald", "O'Brien").replace("NASA", "ESA")), (4, "Intro: " + tom), (5, "so " + tom.lower()), (6, "Intro: " + mac.upper())]
+    assert run(spark, docs, [(1, tom), (2, mac)]) == {1: [1], 2: [1], 3: [2], 4: [1], 5: [1], 6: [2]}
