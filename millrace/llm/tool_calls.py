@@ -20,13 +20,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.shared import stored
 
-MAX_LEVELS = 1000
+#: Rounds after which the calls placed so far are stored as one table.
+ROUNDS = 64
 
 
 @dataclass(frozen=True)
@@ -84,7 +86,7 @@ def levels(calls: DataFrame) -> DataFrame:
     missing = edges.where("known IS NULL").groupBy("call_id").agg(F.count(F.lit(1)).alias("n_missing"))
     edges, waiting = edges.where("known").select("call_id", "dep"), calls.select("call_id")
     done = None
-    for level in range(MAX_LEVELS):
+    for level in count():
         left = edges if done is None else edges.join(done.select(F.col("call_id").alias("dep")), "dep", "left_anti")
         if done is not None:
             waiting = calls.select("call_id").join(done.select("call_id"), "call_id", "left_anti")
@@ -92,6 +94,8 @@ def levels(calls: DataFrame) -> DataFrame:
         if not ready.limit(1).count():
             break
         done = ready if done is None else done.union(ready)
+        if level % ROUNDS == ROUNDS - 1:
+            done = stored(done, "call-levels")
     done = calls.select("call_id").withColumn("level", F.lit(None).cast("int")).limit(0) if done is None else done
     return calls.select("call_id").join(done, "call_id", "left").join(missing, "call_id", "left").select("call_id", "level", F.coalesce("n_missing", F.lit(0)).alias("n_missing"))
 

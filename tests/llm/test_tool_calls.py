@@ -53,3 +53,11 @@ def test_empty(spark):
 
 def test_oracle(spark):
     compare(QUERIES["op7_tool_call_linking"](spark, "/root/testdata/sf0.01"), ORACLES["op7_tool_call_linking"], "/root/testdata/sf0.01")
+
+
+def test_chains_of_any_length(spark, monkeypatch):
+    """No number of rounds ends the levels before the chain does."""
+    monkeypatch.setattr("millrace.llm.tool_calls.MAX_LEVELS", 4, raising=False)
+    monkeypatch.setattr("millrace.llm.tool_calls.ROUNDS", 3, raising=False)
+    df = spark.createDataFrame([(str(i), [str(i - 1)] if i else []) for i in range(9)], "call_id string, depends_on array<string>")
+    assert {r["call_id"]: r["level"] for r in levels(df).collect()} == {str(i): i for i in range(9)}
