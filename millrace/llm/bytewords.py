@@ -14,8 +14,6 @@ import pyarrow as pa
 
 SEGMENT = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _VALUE = np.arange(256, dtype=np.uint64)
 _VALUE[65:91] += 32
 _VALUE += np.uint64(1)
@@ -88,7 +86,7 @@ def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
 def words(column: pa.Array) -> Words:
     raw, offsets = text_buffer(column)
     n_texts = len(offsets) - 1
-    space = _SPACE[raw]
+    space = (raw == 32) | ((raw - np.uint8(9)) < 5)
     begins = ~space
     ends = ~space
     if len(raw):
@@ -98,9 +96,11 @@ def words(column: pa.Array) -> Words:
         ends[:-1] &= space[1:] | edge[1:-1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     newline = np.flatnonzero(raw == 10)
-    text = np.searchsorted(offsets, start, "right") - 1
+    # words of each text and between newlines are counted, not looked up one by one
+    text = np.repeat(np.arange(n_texts), np.diff(np.searchsorted(start, offsets)))
+    passed = np.repeat(np.arange(len(newline) + 1), np.diff(np.r_[0, np.searchsorted(start, newline), len(start)]))
     before = np.searchsorted(newline, offsets[:-1])  # newlines before each text
     lines = np.diff(np.r_[before, len(newline)]) + 1
     first_line = before + np.arange(n_texts)
     line_text = np.repeat(np.arange(n_texts), lines)
-    return Words(word_hashes(raw, start, end), text, np.searchsorted(newline, start) + text, line_text, np.arange(len(line_text)) - first_line[line_text])
+    return Words(word_hashes(raw, start, end), text, passed + text, line_text, np.arange(len(line_text)) - first_line[line_text])

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.packed import release
 from millrace.llm.shared import stored
 
 MAX_ROUNDS = 40
@@ -27,7 +26,6 @@ def connected(edges: DataFrame) -> DataFrame:
         jumped = stored(stepped.join(up, "step", "left").select("node", F.least("step", "up").alias("label"), "was"), "labels")
         changed = jumped.where("label <> was").limit(1).count()
         labels = jumped.select("node", "label")
-        release(labels)
         if not changed:
             return labels
     raise RuntimeError("components did not settle")

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.bpe import slices
 from millrace.llm.bytewords import Words, words
-from millrace.llm.packed import BLOCKS_SCHEMA, Bloom, Packer, exchange, gather, mix, release, targets_for, unpack
+from millrace.llm.packed import BLOCKS_SCHEMA, Bloom, Packer, exchange, gather, mix, targets_for, unpack
 from millrace.llm.shared import discard, numbered, stored
 
 #: Similarity threshold as a fraction; sketch cells, and bits of the sketch of repeated words; list length up to which all pairs are filtered at once; partners named at first; earliest lines tried on longer lists; block size.
@@ -334,7 +334,6 @@ def removed_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Distinct (row, line) of lines with an earlier match; docs has _row."""
     sketch = word_sketch(docs, text_col)
     met = stored(exchange(send_lines(docs, text_col, sketch)).mapInArrow(meet, MEET_SCHEMA), "line-meet")
-    release(docs)
     later = [F.col("row2").alias("row"), F.col("line2").cast("int").alias("line")]
     pairs = stored(met.where("kind = 1").select("row1", F.col("line1").cast("int"), "row2", F.col("line2").cast("int")).distinct(), "line-pairs")
     decided = stored(met.where("kind = 0").select(*later).union(verify(docs, text_col, pairs)).distinct(), "lines-removed")
@@ -343,7 +342,6 @@ def removed_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     if rest.limit(1).count():
         decided = stored(decided.union(verify(docs, text_col, rest)).distinct(), "lines-removed")
     discard(met, pairs, rest)
-    release(docs)
     return decided
 
 
@@ -354,7 +352,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gone = removed_lines(rows, text_col)
     per_doc = stored(gone.groupBy("row").agg(F.collect_list("line").alias("_gone")), "removed-by-document")
     discard(gone)
-    release(docs)
     # the same plan at every size: what is removed grows with the documents and is never broadcast
     joined = rows.join(per_doc.hint("merge"), rows["_row"] == per_doc["row"], "left").select(*names, "_gone")
     at = names.index(text_col)

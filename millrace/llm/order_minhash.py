@@ -1,27 +1,36 @@
 """Operator 10, near-duplicate documents by Order MinHash with banded alignment.
 
-Words are lower-cased and blank-separated; a k-mer is five words with its
-occurrence number, so that repeated passages count as often as they occur. For
-each of BANDS hash functions, the ORDER least k-mers are taken in the order in
-which they stand in the text; texts that agree on one such tuple, order
-included, are candidates. A candidate pair is linked when a banded alignment of
-its words matches at least 4/5 of the longer text. Classes are the connected
-components of the links.
-
-Steps: equal word sequences collapse to their least row; every bucket first names
-its least row as a partner of its members (linear in the bucket), and partners
-that two buckets name are verified; then members of one bucket that are still in
-different classes are compared with each other, texts at hand, in pairs of blocks
-of bounded size, so no candidate is dropped and only links leave a task.
+Words are runs of bytes other than ASCII white space, A-Z lower-cased; a k-mer is
+five words with its occurrence number, so that repeated passages count as often as
+they occur. For each of BANDS hash functions, the ORDER least k-mers are taken in
+the order in which they stand in the text; texts that have one such tuple in
+common, order included, are candidates. A candidate pair is linked when a banded
+alignment of its words matches at least 4/5 of the longer text. Classes are the
+connected components of the links.
+
+Steps: equal word sequences collapse to their least row. Then, ROUNDS times, every
+row names one partner, the leader (least row) with which it shares most buckets
+among those of other classes that it has not tried, and the classes of partners
+that align are joined: a group of n near copies costs about n alignments. At last,
+members of one bucket that are still in different classes are compared with each
+other, texts at hand, in pairs of blocks of bounded size, so no candidate is
+dropped and only links leave a task.
 
 The alignment decides every candidate that meets two conditions of its threshold:
 like length, and words in common, counted by bins of their hashes, which never
 count less than the alignment can match. How much the k-mers of a candidate
-resemble each other doesn't matter.
+resemble each other doesn't matter. Texts that share no tuple are no candidates:
+with edits at random places, a text of some hundred words meets a copy that aligns
+at 0.9 practically always and one at 0.8 in about nine of ten cases; a text whose
+edits leave no five words in a row is never found.
 
 Texts with fewer than five words have one k-mer, the whole text. Null texts and
-texts without words are all alike. Null or repeated ids: rows count separately by
-a number in id order. Empty tables give empty results; other columns don't matter.
+texts without words are all alike. Very long texts are handled in strides; only
+their words' hashes are in memory. Null or repeated ids: rows count separately, in
+the order of their ids (nulls first), then by content; class_no numbers the
+classes. Of equal texts the first row stays; which of two rows that are equal in
+every column comes first doesn't show in the result. Empty tables give empty
+results; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -35,67 +44,103 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import slices
+from millrace.llm.bytewords import words
 from millrace.llm.components import connected
-from millrace.llm.packed import BLOCKS_SCHEMA, Bloom, Packer, WordHashes, exchange, gather, mix, release, targets_for, unpack, without_rows
-from millrace.llm.shared import numbered, stored
+from millrace.llm.packed import BLOCKS_SCHEMA, Bloom, Packer, exchange, gather, mix, targets_for, unpack, without_rows
+from millrace.llm.shared import discard, numbered, stored
 
-#: k-mer words; bands (hash functions whose tuples are compared); k-mers in a tuple; similarity as a fraction; rows and bytes of text in a block; bins of words.
-K, BANDS, ORDER = 5, 32, 2
+#: k-mer words; hash functions whose tuples are compared; k-mers in a tuple; similarity as a fraction; rounds of naming partners; rows and bytes of text in a block; bins of words; bytes of text handled at a time.
+K, BANDS, ORDER = 5, 64, 2
 NUM, DEN = 4, 5
-BLOCK, BLOCK_BYTES = 2048, 1 << 24
+ROUNDS = 2
+BLOCK, BLOCK_BYTES = 1024, 1 << 23
 BINS = 128
+SLICE = 2_000_000
 SKETCH_SCHEMA = "row bigint, d1 bigint, d2 bigint, n int, bins binary, bands binary"
-_SEEDS = mix(np.arange(BANDS, dtype=np.uint64), 77)
-_ODD = mix(np.arange(BANDS, dtype=np.uint64), 78) | np.uint64(1)
+_SEEDS = (mix(np.arange(BANDS, dtype=np.uint64), 77) >> np.uint64(32)).astype(np.uint32)[:, None]
+_ODD = (mix(np.arange(BANDS, dtype=np.uint64), 78) >> np.uint64(32)).astype(np.uint32)[:, None] | np.uint32(1)
+_ROWS = np.arange(BANDS)
 #: k-mers hashed at a time (bounds memory for very long texts).
 STRIDE = 1 << 14
 
 
-def kmers(h: np.ndarray) -> np.ndarray:
-    """Hashes of the k-mers of word hashes, labelled with their occurrence number."""
-    k = min(K, len(h))
+def grams(h: np.ndarray, k: int) -> np.ndarray:
+    """A hash of every k words in a row."""
     n = len(h) - k + 1
     with np.errstate(over="ignore"):
         s = h[:n].copy()
         for i in range(1, k):
             s = (s ^ (s >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + h[i : n + i]
-        order = np.argsort(s, kind="stable")
-        x = s[order]
-        new = np.r_[True, x[1:] != x[:-1]]
-        if not new.all():
-            start = np.flatnonzero(new)
-            number = np.empty(n, np.uint64)
-            number[order] = np.arange(n, dtype=np.uint64) - np.repeat(start, np.diff(np.r_[start, n])).astype(np.uint64)
-            s = s + number * np.uint64(0x9E3779B97F4A7C15)
-    return mix(s, 5)
-
-
-def sketch(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(words in each of BINS bins, 255 for more: bytes, bands: BANDS 64-bit values) of a text's word hashes, not empty."""
-    s = kmers(h)
-    least = np.full((BANDS, ORDER), np.iinfo(np.uint64).max, np.uint64)
-    where = np.full((BANDS, ORDER), -1, np.int64)
-    rows = np.arange(BANDS)
+    return s
+
+
+def kmers(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """k-mers of texts of n words each, whose word hashes are h, labelled with their occurrence number within a text; and how many each text has."""
+    text = np.repeat(np.arange(len(n)), n)
+    parts, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    if len(h) >= K:
+        whole = np.flatnonzero(text[: len(h) - K + 1] == text[K - 1 :])
+        parts.append(grams(h, K)[whole]), owners.append(text[whole])
+    ends = np.cumsum(n)
+    for i in np.flatnonzero((n < K) & (n > 0)).tolist():
+        parts.append(grams(h[ends[i] - n[i] : ends[i]], int(n[i]))), owners.append(np.array([i]))
+    s, owner = np.concatenate(parts), np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    s, owner = s[order], owner[order]
     with np.errstate(over="ignore"):
-        for lo in range(0, len(s), STRIDE):
-            x = (s[None, lo : lo + STRIDE] ^ _SEEDS[:, None]) * _ODD[:, None]
-            for _ in range(min(ORDER, x.shape[1])):
-                at = x.argmin(1)
-                value = x[rows, at]
-                x[rows, at] = np.iinfo(np.uint64).max
-                # insert into the sorted least values
-                a, b = least[:, 0], least[:, 1]
-                first = value < a
-                second = ~first & (value < b)
-                least[first, 1], where[first, 1] = least[first, 0], where[first, 0]
-                least[first, 0], where[first, 0] = value[first], at[first] + lo
-                least[second, 1], where[second, 1] = value[second], at[second] + lo
-    pos = np.sort(where, axis=1)  # text order; -1 where a text has one k-mer
-    picked = np.where(pos >= 0, s[np.maximum(pos, 0)], np.uint64(0))
-    bands = np.arange(BANDS, dtype=np.uint64)
+        own = s ^ mix(owner.astype(np.uint64), 4)
+        sorted_ = np.sort(own)
+        again = sorted_[1:][sorted_[1:] == sorted_[:-1]]
+        if len(again):
+            at = np.flatnonzero(np.isin(own, again))
+            at = at[np.argsort(own[at], kind="stable")]
+            x = own[at]
+            start = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+            number = np.arange(len(x)) - np.repeat(start, np.diff(np.r_[start, len(x)]))
+            s[at] += number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return mix(s, 5), np.bincount(owner, minlength=len(n))
+
+
+def least_two(s: np.ndarray) -> np.ndarray:
+    """Positions of the two least k-mers under each hash function, in text order; a text with one k-mer names it twice."""
+    if len(s) == 1:
+        return np.zeros((BANDS, ORDER), np.int64)
+    if len(s) > STRIDE:
+        at = np.concatenate([lo + least_two(s[lo : lo + STRIDE]) for lo in range(0, len(s), STRIDE)], axis=1)
+    else:
+        at = None
+    x = (s[None] if at is None else s[at]).astype(np.uint32)
+    x = (x ^ _SEEDS) * _ODD
+    one = x.argmin(1)
+    if at is not None:  # a stride of one k-mer names it twice
+        x[at == at[_ROWS, one][:, None]] = np.iinfo(np.uint32).max
+    x[_ROWS, one] = np.iinfo(np.uint32).max
+    two = x.argmin(1)
+    pair = np.stack([one, two], 1) if at is None else np.stack([at[_ROWS, one], at[_ROWS, two]], 1)
+    return np.sort(pair, axis=1)
+
+
+def sketch(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Of each text: words in each of BINS bins (255 for more), and the distinct tuples of its hash functions (64 bits each, in their order)."""
+    text = np.repeat(np.arange(len(n)), n)
+    bins = np.bincount(text * BINS + (h & np.uint64(BINS - 1)).astype(np.int64), minlength=len(n) * BINS).reshape(len(n), BINS)
+    bins = np.minimum(bins, 255).astype(np.uint8)
+    s, count = kmers(h, n)
+    ends = np.cumsum(count)
+    some = np.flatnonzero(count)
+    picked = np.empty((len(some), BANDS, ORDER), np.uint64)
+    for k, (lo, hi) in enumerate(zip((ends - count)[some].tolist(), ends[some].tolist(), strict=True)):
+        part = s[lo:hi]
+        picked[k] = part[least_two(part)]
+    tuples = np.full((len(some), BANDS), K, np.uint64)
     for i in range(ORDER):
-        bands = mix(bands ^ picked[:, i], i)
-    bins = np.minimum(np.bincount((h & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS), 255).astype(np.uint8)
+        tuples = mix(tuples ^ picked[:, :, i], i)
+    tuples.sort(axis=1)
+    new = np.ones(tuples.shape, bool)
+    new[:, 1:] = tuples[:, 1:] != tuples[:, :-1]
+    bands = [b""] * len(n)
+    for k, i in enumerate(some.tolist()):
+        bands[i] = tuples[k][new[k]].tobytes()
     return bins, bands
 
 
@@ -103,18 +148,16 @@ def sketches(docs: DataFrame, text_col: str) -> DataFrame:
     """One narrow row per document: digest of its words, length, bins and bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordHashes()
-        for b in slices(batches, "_text"):
-            digests, n, bins, bands = [], [], [], []
-            for t in b.column(1).to_pylist():
-                words = (t or "").lower().split()
-                digests.append(xxhash.xxh3_128_digest(" ".join(words)))
-                n.append(len(words))
-                m, d = sketch(table.of(words)) if words else (np.zeros(BINS, np.uint8), np.zeros(0, np.uint64))
-                bins.append(m.tobytes()), bands.append(d.tobytes())
+        for b in slices(batches, "_text", SLICE):
+            w = words(b.column(1))
+            n = np.bincount(w.text, minlength=b.num_rows)
+            bins, bands = sketch(w.hashes, n)
+            ends = (np.cumsum(n) * 8).tolist()
+            raw = memoryview(w.hashes.tobytes())
+            digests = [xxhash.xxh3_128_digest(raw[lo:hi]) for lo, hi in zip([0, *ends], ends, strict=False)]
             d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(n, pa.int32()), pa.array(bins, pa.binary()), pa.array(bands, pa.binary())],
+                [b.column(0), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(n, pa.int32()), pa.array([x.tobytes() for x in bins], pa.binary()), pa.array(bands, pa.binary())],
                 ["row", "d1", "d2", "n", "bins", "bands"],
             )
 
@@ -162,7 +205,7 @@ def in_common(a: np.ndarray, b: np.ndarray, need: np.ndarray) -> np.ndarray:
     return (np.minimum(a, b).sum(-1, dtype=np.int64) >= need) | ((a == 255) & (b == 255)).any(-1)
 
 
-def aligned(a: list[str], b: list[str]) -> bool:
+def aligned(a: list[bytes], b: list[bytes]) -> bool:
     """Whether an alignment of two word lists within the band matches 4/5 of the longer one.
 
     A sufficient alignment leaves at most n + m - 2 * need words unmatched, so it
@@ -188,7 +231,7 @@ def aligned(a: list[str], b: list[str]) -> bool:
     known = set(a)
     if sum(w in known for w in b) < need:
         return False
-    at: dict[str, int] = {}
+    at: dict[bytes, int] = {}
     for i, w in enumerate(a):
         at[w] = at.get(w, 0) | 1 << i
     full = free = (1 << len(a)) - 1
@@ -216,18 +259,35 @@ def texts_of(docs: DataFrame, text_col: str, ends: DataFrame) -> DataFrame:
     return stored(docs.select("_row", F.col(text_col).alias("t")).mapInArrow(pick, "_row bigint, t string"), "candidate-texts")
 
 
+def split_words(column: pa.Array) -> Iterator[list[bytes]]:
+    for t in column.cast(pa.binary()):
+        yield (t.as_py() or b"").lower().split()
+
+
 def verify(docs: DataFrame, text_col: str, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts align; pairs must be stored."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in slices(batches, "tb"):
-            texts = ((x or "").lower().split() for x in t.column(2).to_pylist()), ((x or "").lower().split() for x in t.column(3).to_pylist())
-            hit = pa.array([i for i, (x, y) in enumerate(zip(*texts, strict=True)) if aligned(x, y)], pa.int64())
+        for t in (y for x in slices(batches, "ta", SLICE) for y in slices(iter([x]), "tb", SLICE)):
+            hit = pa.array([i for i, (x, y) in enumerate(zip(split_words(t.column(2)), split_words(t.column(3)), strict=True)) if aligned(x, y)], pa.int64())
             yield pa.RecordBatch.from_arrays([t.column(0).take(hit), t.column(1).take(hit)], ["a", "b"])
 
-    texts = texts_of(docs, text_col, stored(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct(), "pair-ends"))
+    ends = stored(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct(), "pair-ends")
+    texts = texts_of(docs, text_col, ends)
     one, two = texts.select(F.col("_row").alias("a"), F.col("t").alias("ta")), texts.select(F.col("_row").alias("b"), F.col("t").alias("tb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(check, "a bigint, b bigint")
+    out = stored(pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(check, "a bigint, b bigint"), "links")
+    discard(ends, texts)
+    return out
+
+
+def partners(named: DataFrame, labels: DataFrame | None, tried: DataFrame | None) -> DataFrame:
+    """(a, b): one leader a for every row b, of another class and not tried before: the one with most buckets in common, then the least."""
+    if labels is not None:
+        of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
+        named = named.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("la", "a") != F.coalesce("lb", "b"))
+        named = named.select("a", "b", "times").join(tried, ["a", "b"], "left_anti")
+    best = named.groupBy("b").agg(F.max(F.struct("times", (-F.col("a")).alias("a"))).alias("best"))
+    return stored(best.select((-F.col("best.a")).alias("a"), "b"), "partners")
 
 
 def cross_links(docs: DataFrame, text_col: str, members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
@@ -239,10 +299,12 @@ def cross_links(docs: DataFrame, text_col: str, members: DataFrame, labels: Data
     named = members.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
     apart = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
     mixed = stored(named.join(apart, "bucket"), "mixed-buckets")
-    texts = texts_of(docs, text_col, stored(mixed.select("row").distinct(), "mixed-rows")).withColumnRenamed("_row", "row")
-    sizes = mixed.join(texts.select("row", F.octet_length("t").alias("size")), "row").groupBy("bucket")
+    ends = stored(mixed.select("row").distinct(), "mixed-rows")
+    texts = texts_of(docs, text_col, ends)
+    named_texts = texts.withColumnRenamed("_row", "row")
+    sizes = mixed.join(named_texts.select("row", F.octet_length("t").alias("size")), "row").groupBy("bucket")
     blocks = sizes.agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_BYTES, F.lit(1.0))).cast("int").alias("blocks"))
-    rows = mixed.join(blocks, "bucket").join(reps.select("row", "n", "bins", "bands"), "row").join(texts, "row")
+    rows = mixed.join(blocks, "bucket").join(reps.select("row", "n", "bins", "bands"), "row").join(named_texts, "row")
     own = F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("bucket", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "row", "label", "n", "bins", "bands", "t")
@@ -251,53 +313,68 @@ def cross_links(docs: DataFrame, text_col: str, members: DataFrame, labels: Data
         t = pa.Table.from_batches(list(batches))
         row, label, n, own = (t.column(c).to_numpy() for c in ("row", "label", "n", "own"))
         bins = np.frombuffer(b"".join(t.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
-        bands = np.frombuffer(b"".join(t.column("bands").to_pylist()), "<i8").reshape(-1, BANDS)
-        words = lambda i: t.column("t")[int(i)].as_py().lower().split()
+        raw = t.column("bands").to_pylist()
+        bands = np.frombuffer(b"".join(x + x[:8] * (BANDS - len(x) // 8) for x in raw), "<i8").reshape(-1, BANDS)  # filled up with a tuple of the row
+        text = lambda i: t.column("t")[int(i)].as_py().encode().lower().split()
         n, label, apart, bucket = n.astype(np.int64), label.copy(), t.column("b1")[0] != t.column("b2")[0], t.column("bucket")[0].as_py()
         links: list[tuple[int, int]] = []
         for i in range(len(row)):
             j = np.flatnonzero((row > row[i]) & (label != label[i]) & (np.minimum(n, n[i]) * DEN >= np.maximum(n, n[i]) * NUM) & (own != own[i] if apart else True))
-            # a pair that shares several buckets belongs to the first of them
-            j = j[bands[i][(bands[j] == bands[i]).argmax(1)] == bucket]
             j = j[in_common(bins[j], bins[i][None], -(-NUM * np.maximum(n[j], n[i]) // DEN))]
-            mine = words(i) if len(j) else []
+            if len(j):  # a pair that shares several buckets belongs to the least of them
+                shared = np.isin(bands[j], bands[i])
+                j = j[np.where(shared, bands[j], np.iinfo(np.int64).max).min(1) == bucket]
+            mine = text(i) if len(j) else []
             for k in j:
-                if label[k] != label[i] and aligned(mine, words(k)):
+                if label[k] != label[i] and aligned(mine, text(k)):
                     label[label == label[k]] = label[i]
                     links.append((int(row[i]), int(row[k])))
         if links:
             a, b = zip(*links, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return dealt.groupBy("bucket", "b1", "b2").applyInArrow(run, "a bigint, b bigint")
+    out = stored(dealt.repartition("bucket", "b1", "b2").groupBy("bucket", "b1", "b2").applyInArrow(run, "a bigint, b bigint"), "links")
+    discard(mixed, ends, texts)
+    return out
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, class_id (least row of the class: the id where ids are unique) and kept (one row of each class)."""
-    rows = numbered(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")), "_id")
-    text_col = "_t"
-    narrow = stored(sketches(rows, text_col), "sketches")
+def classes_of(docs: DataFrame, text_col: str) -> DataFrame:
+    """(row, class_no, kept) of docs, which have _row."""
+    narrow = stored(sketches(docs, text_col), "sketches")
     reps = narrow.groupBy("d1", "d2").agg(F.min("row").alias("row"), F.min_by(F.struct("n", "bins", "bands"), "row").alias("s"))
     reps = stored(reps.select("d1", "d2", "row", "s.n", "s.bins", "s.bands"), "distinct-sketches")
     met = stored(buckets(reps), "buckets")
-    release(docs)
-    shared = met.where("kind = 1").groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.sum("times").alias("times"))
-    star = stored(shared.where("times > 1").select("a", "b"), "stars")
-    links = stored(verify(rows, text_col, star), "links")
-    labels = connected(links)
+    named = stored(met.where("kind = 1").groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.sum("times").alias("times")), "leaders")
+    labels, tried, links = None, None, None
+    for _ in range(ROUNDS):
+        pairs = partners(named, labels, tried)
+        found = verify(docs, text_col, pairs)
+        tried, links = (pairs, found) if tried is None else (tried.union(pairs), links.union(found))
+        labels = connected(links)
     members = met.where("kind = 2").select(F.col("x").alias("bucket"), F.col("y").alias("row"))
-    more = stored(cross_links(rows, text_col, members, labels, reps), "links")
+    more = cross_links(docs, text_col, members, labels, reps)
     if more.limit(1).count():
         labels = connected(links.union(more))
-    release(docs)
-    classes = reps.join(labels.withColumnRenamed("node", "row"), "row", "left").select("d1", "d2", F.coalesce("label", "row").alias("class_id"))
-    named = narrow.select("row", "d1", "d2").join(classes, ["d1", "d2"]).select("row", "class_id", (F.col("row") == F.col("class_id")).alias("kept"))
+    classes = reps.join(labels.withColumnRenamed("node", "row"), "row", "left").select("d1", "d2", F.coalesce("label", "row").alias("class_no"))
+    return narrow.select("row", "d1", "d2").join(classes, ["d1", "d2"]).select("row", "class_no", (F.col("row") == F.col("class_no")).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, class_id (the id of the class's row that is kept), kept (one row of each class) and class_no (its row number; the id where ids are unique)."""
+    rows = numbered(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")), "_id")
+    named = classes_of(rows, "_t")
     ids = rows.select(F.col("_id").alias(id_col), F.col("_row").alias("_r"))
-    return ids.join(named, F.col("_r") == F.col("row")).select(id_col, "class_id", "kept")
+    out = ids.join(named, F.col("_r") == F.col("row"))
+    if rows.numbered:
+        heads = ids.select(F.col(id_col).alias("class_id"), F.col("_r").alias("_c"))
+        out = out.join(heads, F.col("class_no") == F.col("_c"))
+    else:
+        out = out.withColumn("class_id", F.col("class_no").cast(docs.schema[id_col].dataType))
+    return out.select(id_col, "class_id", "kept", "class_no")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the near-duplicates of an earlier document, with all their columns."""
     rows = numbered(docs, id_col)
-    dropped = near_duplicates(rows, "_row", text_col).where("NOT kept").select("_row")
+    dropped = classes_of(rows, text_col).where("NOT kept").select(F.col("row").alias("_row"))
     return without_rows(rows, dropped).select(docs.columns)

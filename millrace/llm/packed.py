@@ -3,18 +3,15 @@
 A mapping task sorts its records by target and sends one block per target; a
 receiving task gets whole columns back. The JVM moves a few large binaries
 instead of many small rows. Also here: a Bloom filter of bounded size over
-(row, line) keys, and hashing of words.
+(row, line) keys.
 """
 
 from __future__ import annotations
 
-import gc
-import time
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,21 +31,6 @@ def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered in a table of bounded size."""
-
-    LIMIT = 700_000
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > self.LIMIT:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 class Packer:
     """Buffers records of one kind and cuts them into a block per target."""
 
@@ -113,14 +95,6 @@ def gather(batches: Iterator[pa.RecordBatch]) -> dict[int, list[bytes]]:
     return held
 
 
-def release(df: DataFrame) -> None:
-    """Let Spark drop the shuffle files of stages that nothing refers to any more; its cleaner follows the driver's garbage collection."""
-    for _ in range(2):
-        gc.collect()
-        df.sparkSession.sparkContext._jvm.System.gc()
-        time.sleep(0.2)
-
-
 def key_hash(rows: np.ndarray, lines: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return mix(mix(rows.astype(np.int64).view(np.uint64)) + lines.astype(np.uint64))

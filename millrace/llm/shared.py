@@ -11,8 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Most bytes of a batch that goes to a Python worker, however long its texts are.
+BATCH_BYTES = "16m"
+
+
 def importable(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it; on a cluster, ship it with --py-files."""
+    """Let Python workers import this package from where the driver has it (on a cluster, ship it with --py-files), and bound their batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
@@ -71,10 +76,20 @@ def digest(c: Column) -> Column:
 
 
 def numbered(docs: DataFrame, id_col: str) -> DataFrame:
-    """docs with _row: the id where ids are unique, else a number in id order."""
+    """docs with _row: the id where ids are unique, else a number in the order of the ids (nulls first), then of the rows' contents.
+
+    Rows that are equal in all columns may swap numbers. The attribute numbered
+    tells whether numbers were given. Hashes of the contents spread the rows of a
+    frequent id, or without one, over many sorting tasks.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
     ids = docs.select(F.col(id_col).alias("_i"))
     bad = ids.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR _i IS NULL").limit(1).count()
-    if kind in ("bigint", "int") and not bad:
-        return docs.withColumn("_row", F.col(id_col).cast("bigint"))
-    return stored(docs.orderBy(F.col(id_col).asc_nulls_first()).withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    given = kind not in ("bigint", "int") or bool(bad)
+    if given:
+        sorted_ = docs.orderBy(F.col(id_col).asc_nulls_first(), F.xxhash64(*docs.columns))
+        out = stored(sorted_.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    else:
+        out = docs.withColumn("_row", F.col(id_col).cast("bigint"))
+    out.numbered = given
+    return out

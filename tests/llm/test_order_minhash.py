@@ -6,7 +6,18 @@ import pytest
 from millrace.llm import order_minhash as m
 from millrace.llm.components import connected
 from millrace.llm.order_minhash import aligned, kmers, near_duplicates, sketch
-from millrace.llm.packed import Bloom, WordHashes
+from millrace.llm.packed import Bloom
+
+
+def sketched(texts):
+    """Word hashes' bins and tuples of texts, as sets."""
+    import pyarrow as pa
+
+    from millrace.llm.bytewords import words
+
+    w = words(pa.array(texts))
+    bins, bands = sketch(w.hashes, np.bincount(w.text, minlength=len(texts)))
+    return bins, [set(np.frombuffer(x, "<u8").tolist()) for x in bands]
 
 
 def lcs(a, b):
@@ -31,11 +42,18 @@ def test_alignment_like_dynamic_programming():
 
 
 def test_order_matters_and_occurrences_count():
-    h = WordHashes().of([f"w{i}" for i in range(400)])
-    same = (sketch(h)[1] == sketch(np.r_[h[200:], h[:200]])[1]).mean()
-    assert same < 0.75 and (sketch(h)[1] == sketch(h)[1]).all()
-    r = WordHashes().of(["a", "b", "c", "d", "e"] * 3)
-    assert len(set(kmers(r).tolist())) == 11
+    w = [f"w{i}" for i in range(400)]
+    _, (one, two, again) = sketched([" ".join(w), " ".join(w[200:] + w[:200]), " ".join(w).upper()])
+    assert one == again and len(one & two) < 0.75 * len(one)
+    assert len(set(kmers(np.array([1, 2, 3, 4, 5] * 3 + [1, 2, 3, 4, 5], np.uint64), np.array([15, 5]))[0].tolist())) == 11
+    assert kmers(np.arange(7, dtype=np.uint64), np.array([0, 3, 4]))[1].tolist() == [0, 1, 1]
+
+
+def test_strides_change_nothing(monkeypatch):
+    texts = [" ".join(f"w{i % 700}" for i in range(n)) for n in (12, 13, 1000, 1004, 1005)]
+    whole = sketched(texts)[1]
+    monkeypatch.setattr(m, "STRIDE", 8)
+    assert sketched(texts)[1] == whole
 
 
 def corpus(rnd):
@@ -70,7 +88,7 @@ def classes(texts):
     return [find(i) for i in range(len(texts))]
 
 
-@pytest.mark.parametrize("block", [2048, 3])
+@pytest.mark.parametrize("block", [1024, 3])
 def test_like_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(m, "BLOCK", block)
     texts = corpus(random.Random(9))
@@ -83,9 +101,10 @@ def test_like_brute_force(spark, monkeypatch, block):
 
 
 def test_repeated_ids_and_empty_table(spark):
-    df = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "q"), (1, "other words here")], "doc_id bigint, text string")
+    df = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "q"), (1, "other words here"), (7, "other words here")], "doc_id bigint, text string")
     got = near_duplicates(df).collect()
-    assert len(got) == 4 and sum(r["kept"] for r in got) == 3
+    assert len(got) == 5 and sum(r["kept"] for r in got) == 3 and len({r["class_no"] for r in got}) == 3
+    assert [r["class_id"] for r in got if r["doc_id"] == 7] == [1]
     assert near_duplicates(df.limit(0)).count() == 0
 
 
@@ -119,7 +138,7 @@ def test_scattered_edits_are_decided_by_alignment(spark):
         base = [f"u{rnd.randrange(10**6)}" for _ in range(300)]
         other = [f"e{rnd.randrange(10**6)}" if i % 10 == rnd.randrange(4, 6) else w for i, w in enumerate(base)]
         texts += [" ".join(base), " ".join(other)]
-    bands = [set(sketch(WordHashes().of(t.split()))[1].tolist()) for t in texts]
+    _, bands = sketched(texts)
     want = [i - 1 if i % 2 and bands[i] & bands[i - 1] and aligned(texts[i].split(), texts[i - 1].split()) else i for i in range(len(texts))]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     got = {r["doc_id"]: r["class_id"] for r in near_duplicates(df).collect()}
@@ -130,5 +149,23 @@ def test_bins_never_count_less_than_alignments():
     rnd = random.Random(6)
     for _ in range(200):
         a, b = (rnd.choices("abcdefgh" * 3 + "z", k=rnd.choice([5, 40, 900])) for _ in "ab")
-        x, y = (sketch(WordHashes().of(w))[0] for w in (a, b))
+        x, y = sketched([" ".join(a), " ".join(b)])[0]
         assert m.in_common(x[None], y[None], np.array([lcs(a, b) if len(a) < 100 and len(b) < 100 else sum(min(a.count(c), b.count(c)) for c in set(a))]))[0]
+
+
+@pytest.mark.parametrize(("share", "least"), [(0.95, 0.99), (0.9, 0.99), (0.85, 0.95), (0.8, 0.8)])
+def test_recall_with_scattered_edits(spark, share, least):
+    """Words at random places replaced, 300 words: the share of pairs aligned at the threshold or more that are linked."""
+    rnd = random.Random(int(share * 100))
+    texts = []
+    for _ in range(60):
+        base = [f"u{rnd.randrange(10**6)}" for _ in range(300)]
+        other = list(base)
+        for i in rnd.sample(range(300), round(300 * (1 - share))):
+            other[i] = f"e{rnd.randrange(10**6)}"
+        texts += [" ".join(base), " ".join(other)]
+    pairs = [i for i in range(0, 120, 2) if aligned(texts[i].split(), texts[i + 1].split())]
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    found = sum(got[i] == got[i + 1] for i in pairs)
+    print(f"aligned at {share}: {found} of {len(pairs)}")
+    assert len(pairs) == 60 and found >= least * 60
