@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,9 +55,9 @@ K, BANDS, ORDER = 5, 64, 2
 NUM, DEN = 4, 5
 ROUNDS = 2
 BLOCK, BLOCK_BYTES = 1024, 1 << 23
-BINS = 128
+BINS = 512
 SLICE = 2_000_000
-SKETCH_SCHEMA = "row bigint, d1 bigint, d2 bigint, n int, bins binary, bands binary"
+SKETCH_SCHEMA = "row bigint, d1 bigint, d2 bigint, n int, size bigint, bands binary"
 _SEEDS = (mix(np.arange(BANDS, dtype=np.uint64), 77) >> np.uint64(32)).astype(np.uint32)[:, None]
 _ODD = (mix(np.arange(BANDS, dtype=np.uint64), 78) >> np.uint64(32)).astype(np.uint32)[:, None] | np.uint32(1)
 _ROWS = np.arange(BANDS)
@@ -120,11 +121,15 @@ def least_two(s: np.ndarray) -> np.ndarray:
     return np.sort(pair, axis=1)
 
 
-def sketch(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """Of each text: words in each of BINS bins (255 for more), and the distinct tuples of its hash functions (64 bits each, in their order)."""
+def word_bins(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of texts of n words each, with hashes h: words in each of BINS bins, 255 for more."""
     text = np.repeat(np.arange(len(n)), n)
     bins = np.bincount(text * BINS + (h & np.uint64(BINS - 1)).astype(np.int64), minlength=len(n) * BINS).reshape(len(n), BINS)
-    bins = np.minimum(bins, 255).astype(np.uint8)
+    return np.minimum(bins, 255).astype(np.uint8)
+
+
+def sketch(h: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """The distinct tuples of the hash functions of each text (64 bits each, in their order)."""
     s, count = kmers(h, n)
     ends = np.cumsum(count)
     some = np.flatnonzero(count)
@@ -141,24 +146,25 @@ def sketch(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
     bands = [b""] * len(n)
     for k, i in enumerate(some.tolist()):
         bands[i] = tuples[k][new[k]].tobytes()
-    return bins, bands
+    return bands
 
 
 def sketches(docs: DataFrame, text_col: str) -> DataFrame:
-    """One narrow row per document: digest of its words, length, bins and bands."""
+    """One narrow row per document: digest of its words, their number, bytes of the text and tuples."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "_text", SLICE):
             w = words(b.column(1))
             n = np.bincount(w.text, minlength=b.num_rows)
-            bins, bands = sketch(w.hashes, n)
+            bands = sketch(w.hashes, n)
+            size = pc.fill_null(pc.binary_length(b.column(1)), 0).cast(pa.int64())
             ends = (np.cumsum(n) * 8).tolist()
             raw = memoryview(w.hashes.tobytes())
             digests = [xxhash.xxh3_128_digest(raw[lo:hi]) for lo, hi in zip([0, *ends], ends, strict=False)]
             d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(n, pa.int32()), pa.array([x.tobytes() for x in bins], pa.binary()), pa.array(bands, pa.binary())],
-                ["row", "d1", "d2", "n", "bins", "bands"],
+                [b.column(0), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(n, pa.int32()), size, pa.array(bands, pa.binary())],
+                ["row", "d1", "d2", "n", "size", "bands"],
             )
 
     return docs.select("_row", F.col(text_col).alias("_text")).mapInArrow(run, SKETCH_SCHEMA)
@@ -205,8 +211,8 @@ def in_common(a: np.ndarray, b: np.ndarray, need: np.ndarray) -> np.ndarray:
     return (np.minimum(a, b).sum(-1, dtype=np.int64) >= need) | ((a == 255) & (b == 255)).any(-1)
 
 
-def aligned(a: list[bytes], b: list[bytes]) -> bool:
-    """Whether an alignment of two word lists within the band matches 4/5 of the longer one.
+def aligned(a: list, b: list) -> bool:
+    """Whether an alignment of two lists of words (or of their hashes) within the band matches 4/5 of the longer one.
 
     A sufficient alignment leaves at most n + m - 2 * need words unmatched, so it
     stays that close to the diagonal. The longest common subsequence within the
@@ -231,7 +237,7 @@ def aligned(a: list[bytes], b: list[bytes]) -> bool:
     known = set(a)
     if sum(w in known for w in b) < need:
         return False
-    at: dict[bytes, int] = {}
+    at: dict = {}
     for i, w in enumerate(a):
         at[w] = at.get(w, 0) | 1 << i
     full = free = (1 << len(a)) - 1
@@ -297,33 +303,46 @@ def cross_links(docs: DataFrame, text_col: str, members: DataFrame, labels: Data
     then, so it returns fewer links than it has rows.
     """
     named = members.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
-    apart = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
-    mixed = stored(named.join(apart, "bucket"), "mixed-buckets")
-    ends = stored(mixed.select("row").distinct(), "mixed-rows")
+    named = stored(named.join(reps.select("row", "size", "bands"), "row"), "bucket-members")
+    count = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_BYTES)).cast("int")
+    mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), count.alias("blocks")).where("lo <> hi").select("bucket", F.greatest("blocks", F.lit(1)).alias("blocks"))
+    rows = stored(named.join(mixed, "bucket").drop("size"), "mixed-buckets")
+    ends = stored(rows.select("row").distinct(), "mixed-rows")
     texts = texts_of(docs, text_col, ends)
-    named_texts = texts.withColumnRenamed("_row", "row")
-    sizes = mixed.join(named_texts.select("row", F.octet_length("t").alias("size")), "row").groupBy("bucket")
-    blocks = sizes.agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_BYTES, F.lit(1.0))).cast("int").alias("blocks"))
-    rows = mixed.join(blocks, "bucket").join(reps.select("row", "n", "bins", "bands"), "row").join(named_texts, "row")
     own = F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")
-    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "row", "label", "n", "bins", "bands", "t")
+    dealt = rows.join(texts.withColumnRenamed("_row", "row"), "row").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("bucket", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "row", "label", "bands", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(list(batches))
-        row, label, n, own = (t.column(c).to_numpy() for c in ("row", "label", "n", "own"))
-        bins = np.frombuffer(b"".join(t.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
-        raw = t.column("bands").to_pylist()
-        bands = np.frombuffer(b"".join(x + x[:8] * (BANDS - len(x) // 8) for x in raw), "<i8").reshape(-1, BANDS)  # filled up with a tuple of the row
-        text = lambda i: t.column("t")[int(i)].as_py().encode().lower().split()
-        n, label, apart, bucket = n.astype(np.int64), label.copy(), t.column("b1")[0] != t.column("b2")[0], t.column("bucket")[0].as_py()
+        row, label, own = (t.column(c).to_numpy() for c in ("row", "label", "own"))
+        label, apart, bucket = label.copy(), t.column("b1")[0] != t.column("b2")[0], t.column("bucket")[0].as_py() % (1 << 64)
+        w = words(t.column("t").combine_chunks())
+        n = np.bincount(w.text, minlength=len(row))
+        ends = np.cumsum(n)
+        bins = word_bins(w.hashes, n)
+        text = lambda i: w.hashes[ends[i] - n[i] : ends[i]].tolist()
+        # a pair that shares several buckets belongs to the least of them: who meets in a lesser one, by that bucket
+        lesser = [np.frombuffer(x, "<u8") for x in t.column("bands").to_pylist()]
+        lesser = [x[x < bucket] for x in lesser]
+        flat, of = np.concatenate(lesser), np.repeat(np.arange(len(row)), [len(x) for x in lesser])
+        order = np.argsort(flat, kind="stable")
+        flat, of = flat[order], of[order]
+        start = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]]) if len(flat) else np.empty(0, np.int64)
+        met: list[list[np.ndarray]] = [[] for _ in row]
+        for lo, hi in zip(start.tolist(), [*start[1:].tolist(), len(flat)], strict=False):
+            if hi - lo > 1:
+                for i in of[lo:hi].tolist():
+                    met[i].append(of[lo:hi])
         links: list[tuple[int, int]] = []
         for i in range(len(row)):
-            j = np.flatnonzero((row > row[i]) & (label != label[i]) & (np.minimum(n, n[i]) * DEN >= np.maximum(n, n[i]) * NUM) & (own != own[i] if apart else True))
+            near = (row > row[i]) & (label != label[i]) & (np.minimum(n, n[i]) * DEN >= np.maximum(n, n[i]) * NUM)
+            if apart:
+                near &= own != own[i]
+            for others in met[i]:
+                near[others] = False
+            j = np.flatnonzero(near)
             j = j[in_common(bins[j], bins[i][None], -(-NUM * np.maximum(n[j], n[i]) // DEN))]
-            if len(j):  # a pair that shares several buckets belongs to the least of them
-                shared = np.isin(bands[j], bands[i])
-                j = j[np.where(shared, bands[j], np.iinfo(np.int64).max).min(1) == bucket]
             mine = text(i) if len(j) else []
             for k in j:
                 if label[k] != label[i] and aligned(mine, text(k)):
@@ -334,15 +353,15 @@ def cross_links(docs: DataFrame, text_col: str, members: DataFrame, labels: Data
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     out = stored(dealt.repartition("bucket", "b1", "b2").groupBy("bucket", "b1", "b2").applyInArrow(run, "a bigint, b bigint"), "links")
-    discard(mixed, ends, texts)
+    discard(named, rows, ends, texts)
     return out
 
 
 def classes_of(docs: DataFrame, text_col: str) -> DataFrame:
     """(row, class_no, kept) of docs, which have _row."""
     narrow = stored(sketches(docs, text_col), "sketches")
-    reps = narrow.groupBy("d1", "d2").agg(F.min("row").alias("row"), F.min_by(F.struct("n", "bins", "bands"), "row").alias("s"))
-    reps = stored(reps.select("d1", "d2", "row", "s.n", "s.bins", "s.bands"), "distinct-sketches")
+    reps = narrow.groupBy("d1", "d2").agg(F.min("row").alias("row"), F.min_by(F.struct("n", "size", "bands"), "row").alias("s"))
+    reps = stored(reps.select("d1", "d2", "row", "s.n", "s.size", "s.bands"), "distinct-sketches")
     met = stored(buckets(reps), "buckets")
     named = stored(met.where("kind = 1").groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.sum("times").alias("times")), "leaders")
     labels, tried, links = None, None, None

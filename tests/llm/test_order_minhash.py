@@ -16,7 +16,8 @@ def sketched(texts):
     from millrace.llm.bytewords import words
 
     w = words(pa.array(texts))
-    bins, bands = sketch(w.hashes, np.bincount(w.text, minlength=len(texts)))
+    n = np.bincount(w.text, minlength=len(texts))
+    bins, bands = m.word_bins(w.hashes, n), sketch(w.hashes, n)
     return bins, [set(np.frombuffer(x, "<u8").tolist()) for x in bands]
 
 
