@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import stored
+from millrace.llm.shared import discard, stored
 
 MAX_ROUNDS = 40
 
@@ -25,7 +25,10 @@ def connected(edges: DataFrame) -> DataFrame:
         up = labels.select(F.col("node").alias("step"), F.col("label").alias("up"))
         jumped = stored(stepped.join(up, "step", "left").select("node", F.least("step", "up").alias("label"), "was"), "labels")
         changed = jumped.where("label <> was").limit(1).count()
+        discard(labels)
         labels = jumped.select("node", "label")
+        labels.stored_at = jumped.stored_at
         if not changed:
+            discard(both)
             return labels
     raise RuntimeError("components did not settle")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -40,8 +42,26 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_FOLDERS: set[str] = set()
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path for a table of this application. What results still read is deleted when the driver's Python ends."""
+    folder = f"{shared_dir(spark)}/millrace-{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        atexit.register(_delete_at_exit, spark, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def _delete_at_exit(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone
+        delete(spark, folder)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -57,9 +77,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete stored tables that no later plan reads."""
     for t in tables:
-        spark = t.sparkSession
-        p = spark._jvm.org.apache.hadoop.fs.Path(t.stored_at)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        delete(t.sparkSession, t.stored_at)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
