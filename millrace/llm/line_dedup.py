@@ -1,30 +1,35 @@
 """Operator 9, line dedup: an exact set-similarity join over lines.
 
 A line is the set of its words: runs of bytes other than ASCII white space, A-Z
-lower-cased. A line is removed if
-an earlier line (smaller doc_id, then smaller line number), kept or not, has a
-word set with Jaccard similarity of at least 4/5. Lines without words stay.
+lower-cased. A line is removed if an earlier line (smaller doc_id, then smaller
+line number), kept or not, has a word set with Jaccard similarity of at least 4/5.
+Lines without words stay.
 
 Steps:
 1. a frequency sketch of all words (fixed size) gives every word a rarity code;
    the order (code, hash) is the same everywhere, which is all that the prefix
    filter needs for exactness, and rare words come first, which keeps lists short.
    A second sketch tells which words surely occur once; those need no posting;
-2. each line sends its set's digest (equal sets) and, for each word of its prefix,
-   a posting; postings of a word meet and pairs pass length, positional and bit
-   filters. A line that has more than FIRST partners on a list names FIRST of them;
-   on a very long list it tries the earliest lines only;
+2. each line sends its set's digest (equal sets are told by 128 bits) and, for each
+   word of its prefix, a posting; postings of a word meet and pairs pass length,
+   positional and bit filters. A line that has more than FIRST partners on a list
+   names FIRST of them; on a very long list it tries the earliest lines only;
 3. the texts of candidate lines are fetched and Jaccard is verified on the words;
-4. lines that had more partners, and no verified match so far, try all earlier
-   lines of those lists, in pairs of blocks of bounded size, and are verified too;
-5. the documents are joined with the numbers of their removed lines.
+4. lines that had more partners, and no verified match so far, are compared with
+   all earlier lines of those lists, texts at hand, in pairs of blocks of bounded
+   size; only the numbers of matched lines leave a task;
+5. documents that lose lines are joined with the numbers of those lines.
 
 A group of n near copies thus costs about n candidates, not n squared, and no
 match is missed: a line without a verified match has tried all its candidates.
 
-Nulls: a null text has no lines and stays null. Null or repeated ids: the rows get
-numbers in id order (nulls first) and count as separate documents. Other columns
-are untouched; those named like an output are replaced.
+Nulls: a null text has no lines and stays null; an empty text has one line without
+words. Null or repeated ids: the rows count as separate documents in the order of
+their ids (nulls first), then of their contents, so equal rows alone may change
+places, which doesn't show. Ties: of equal lines the earliest stays. Very long texts
+are handled a slice of lines at a time where they share a batch, else whole, in
+arrays of their words. Empty tables give empty results. Other columns are
+untouched; those named like an output are replaced.
 """
 
 from __future__ import annotations
@@ -44,18 +49,29 @@ from millrace.llm.bytewords import Words, words
 from millrace.llm.packed import BLOCKS_SCHEMA, Bloom, Packer, exchange, gather, mix, targets_for, unpack
 from millrace.llm.shared import discard, numbered, stored
 
-#: Similarity threshold as a fraction; sketch cells, and bits of the sketch of repeated words; list length up to which all pairs are filtered at once; partners named at first; earliest lines tried on longer lists; block size.
+#: Similarity threshold as a fraction; sketch cells, and bits of the sketch of repeated words.
 NUM, DEN = 4, 5
 CELLS, BITS, CHUNKS = 1 << 20, 1 << 25, 64
-SHORT_LIST, FIRST, LEADERS, BLOCK = 4096, 3, 8, 4096
 #: Bytes of text handled at a time; bounds a task's memory.
 SLICE = 2_000_000
 #: Smallest set that can be similar to a different one.
 LEAST = -(-NUM // (DEN - NUM))
+#: Lines of a slice whose number fits a sort key.
+KEY_LINES = 1 << 24
 LINES, POSTINGS = 0, 1
 LINE_TYPES = ["<u8", "<u8", "<i8", "<u4"]  # digest (2), row, line
 POSTING_TYPES = ["<u4", "<u4", "<u8", "<u8", "<i8", "<u4", "<u4", "<u4"]  # word, digest, bits (2), row, line, size, position
-PAIR_SCHEMA = "row1 bigint, line1 int, row2 bigint, line2 int"
+
+
+@dataclass(frozen=True)
+class Limits:
+    """List length up to which all pairs are filtered at once; partners named at first; earliest lines tried on longer lists; lines and bytes of a block. None of them changes the result."""
+
+    short_list: int = 4096
+    first: int = 3
+    leaders: int = 8
+    block: int = 2048
+    block_bytes: int = 1 << 23
 
 
 @dataclass
@@ -121,8 +137,10 @@ def word_sketch(docs: DataFrame, text_col: str) -> Sketch:
 
 def line_sets(w: Words, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words of each line, rarest first: (hashes, line of each, start of each line, size of each line); lines without words have size 0."""
-    key = w.line.astype(np.uint64) << np.uint64(40) | codes.astype(np.uint64) << np.uint64(34) | w.hashes >> np.uint64(30)
-    order = np.argsort(key)
+    if len(w.line_text) < KEY_LINES:
+        order = np.argsort(w.line.astype(np.uint64) << np.uint64(40) | codes.astype(np.uint64) << np.uint64(34) | w.hashes >> np.uint64(30))
+    else:
+        order = np.lexsort((w.hashes, codes, w.line))
     h, line = w.hashes[order], w.line  # lines stay in place, as their number leads the key
     first = np.ones(len(h), bool)
     first[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
@@ -195,9 +213,8 @@ def may_match(size: np.ndarray, pos: np.ndarray, bits: np.ndarray, i: np.ndarray
     return ok
 
 
-def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeated sets (kind 0), candidate pairs (1) and the postings of long lists (2) of one task."""
-    held = gather(batches)
+def meeting(limits: Limits):
+    """The receiving side of send_lines: repeated sets (kind 0), candidate pairs (1) and the postings of lists on which a line has more partners than it names (2; size counts, line1 marks such lines)."""
 
     def out(kind: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
         names = ["word", "row1", "line1", "row2", "line2", "size", "pos", "bits0", "bits1"]
@@ -205,69 +222,78 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             arrays = [pa.array(np.full(len(columns[0][lo : lo + 200_000]), kind, np.int32))]
             yield pa.RecordBatch.from_arrays(arrays + [pa.array(c[lo : lo + 200_000].astype(np.int64)) for c in columns], ["kind", *names])
 
-    d1, d2, row, number = unpack(held.pop(LINES, []), LINE_TYPES)
-    order = np.lexsort((number, row, d2, d1))
-    d1, d2, row, number = d1[order], d2[order], row[order], number[order]
-    again = np.flatnonzero((d1[1:] == d1[:-1]) & (d2[1:] == d2[:-1])) + 1
-    none = np.zeros(len(again), np.int64)
-    yield from out(0, none, none, none, row[again], number[again], none, none, none, none)
-
-    word, digest, b0, b1, row, number, size, pos = unpack(held.pop(POSTINGS, []), POSTING_TYPES)
-    order = np.lexsort((number, row, b0, digest, size, word))  # copies of a set from several tasks
-    word, digest, b0, b1, row, number, size, pos = (x[order] for x in (word, digest, b0, b1, row, number, size, pos))
-    first = np.ones(len(word), bool)
-    first[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in (word, size, digest, b0, b1)])
-    word, row, number, size, pos = (x[first] for x in (word, row, number, size, pos))  # by word, then size
-    bits = np.stack([b0[first], b1[first]])
-    if not len(word):
-        return
-    start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-    length = np.diff(np.r_[start, len(word)])
-    begin, count = np.repeat(start, length), np.repeat(length, length)
-    age = np.empty(len(word), np.int64)
-    age[np.lexsort((number, row))] = np.arange(len(word))
-    named, more = np.zeros(len(word), np.int64), np.zeros(len(word), bool)
-
-    def pairs(i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
-        ok = may_match(size, pos, bits, i, j)
-        i, j = i[ok], j[ok]
-        early, late = np.where(age[i] < age[j], i, j), np.where(age[i] < age[j], j, i)
-        more[late[named[late] >= FIRST]] = True
-        new = named[late] < FIRST
-        early, late = early[new], late[new]
-        np.add.at(named, late, 1)
-        zero = np.zeros(len(late), np.int64)
-        if len(late):
-            yield from out(1, zero, row[early], number[early], row[late], number[late], zero, zero, zero, zero)
-
-    active, shift = np.flatnonzero((count <= SHORT_LIST) & (count > 1)), 0
-    while len(active):
-        shift += 1
-        active = active[active - shift >= begin[active]]
-        active = active[size[active - shift].astype(np.int64) * DEN >= size[active].astype(np.int64) * NUM]
-        if len(active):
-            yield from pairs(active - shift, active)
-    for s, n in zip(start[length > SHORT_LIST].tolist(), length[length > SHORT_LIST].tolist(), strict=True):
-        members = s + np.argsort(age[s : s + n])
-        for k in range(LEADERS):
-            yield from pairs(np.full(n - k - 1, members[k]), members[k + 1 :])
-        more[members] = True
-    hot = np.flatnonzero(np.logical_or.reduceat(more, start).repeat(length))
-    z = np.zeros(len(hot), np.int64)
-    yield from out(2, word[hot], z, z, row[hot], number[hot], size[hot], pos[hot], *bits[:, hot].view(np.int64))
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = gather(batches)
+        d1, d2, row, number = unpack(held.pop(LINES, []), LINE_TYPES)
+        order = np.lexsort((number, row, d2, d1))
+        d1, d2, row, number = d1[order], d2[order], row[order], number[order]
+        again = np.flatnonzero((d1[1:] == d1[:-1]) & (d2[1:] == d2[:-1])) + 1
+        none = np.zeros(len(again), np.int64)
+        yield from out(0, none, none, none, row[again], number[again], none, none, none, none)
+        del d1, d2, order, again, none
+
+        word, digest, b0, b1, row, number, size, pos = unpack(held.pop(POSTINGS, []), POSTING_TYPES)
+        if not len(word):
+            return
+        lists = word.astype(np.uint64) << np.uint64(32) | size
+        copies = digest.astype(np.uint64) << np.uint64(32) | (mix(b0, 1) ^ mix(b1, 2)) >> np.uint64(32)
+        order = np.lexsort((number, row, copies, lists))  # by word, then size; copies of a set from several tasks side by side
+        lists, copies = lists[order], copies[order]
+        first = np.r_[True, (lists[1:] != lists[:-1]) | (copies[1:] != copies[:-1])]
+        kept = order[first]
+        word, row, number, size, pos, bits = word[kept], row[kept], number[kept], size[kept], pos[kept], np.stack([b0[kept], b1[kept]])
+        del lists, copies, order, kept, b0, b1, digest
+        start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+        length = np.diff(np.r_[start, len(word)])
+        begin, count = np.repeat(start, length), np.repeat(length, length)
+        age = np.empty(len(word), np.int64)
+        age[np.lexsort((number, row))] = np.arange(len(word))
+        named, more = np.zeros(len(word), np.int64), np.zeros(len(word), bool)
+
+        def pairs(i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
+            ok = may_match(size, pos, bits, i, j)
+            i, j = i[ok], j[ok]
+            early, late = np.where(age[i] < age[j], i, j), np.where(age[i] < age[j], j, i)
+            more[late[named[late] >= limits.first]] = True
+            new = named[late] < limits.first
+            early, late = early[new], late[new]
+            np.add.at(named, late, 1)
+            zero = np.zeros(len(late), np.int64)
+            if len(late):
+                yield from out(1, zero, row[early], number[early], row[late], number[late], zero, zero, zero, zero)
+
+        active, shift = np.flatnonzero((count <= limits.short_list) & (count > 1)), 0
+        while len(active):
+            shift += 1
+            active = active[active - shift >= begin[active]]
+            active = active[size[active - shift].astype(np.int64) * DEN >= size[active].astype(np.int64) * NUM]
+            if len(active):
+                yield from pairs(active - shift, active)
+        long = length > limits.short_list
+        for s, n in zip(start[long].tolist(), length[long].tolist(), strict=True):
+            members = s + np.argsort(age[s : s + n])
+            for k in range(limits.leaders):
+                yield from pairs(np.full(n - k - 1, members[k]), members[k + 1 :])
+            more[members] = True
+        hot = np.flatnonzero(np.logical_or.reduceat(more, start).repeat(length))
+        yield from out(2, word[hot], np.zeros(len(hot), np.int64), more[hot], row[hot], number[hot], size[hot], pos[hot], *bits[:, hot].view(np.int64))
+
+    return meet
 
 
 MEET_SCHEMA = "kind int, word bigint, row1 bigint, line1 bigint, row2 bigint, line2 bigint, size bigint, pos bigint, bits0 bigint, bits1 bigint"
 
 
-def fetch_lines(docs: DataFrame, text_col: str, wanted: Bloom) -> DataFrame:
-    """(row, line, text) of the wanted lines, and of few others."""
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+def fetch_lines(docs: DataFrame, text_col: str, ends: DataFrame) -> DataFrame:
+    """(row, line, text) of the lines in ends, which must be stored, and of few others: texts without any aren't split."""
+    keys = ends.select("row", "line").union(ends.select("row", F.lit(-1)))
+    shared = docs.sparkSession.sparkContext.broadcast(Bloom.over(keys, 2 * ends.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "_text", SLICE):
-            texts = b.column(1).to_pylist()
-            lines = [t.split("\n") if t is not None else [] for t in texts]
+            rows = b.column(0).to_numpy(zero_copy_only=False)
+            b = b.filter(pa.array(shared.value.has(rows, np.full(len(rows), -1))))
+            lines = [t.split("\n") if t is not None else [] for t in b.column(1).to_pylist()]
             n = np.fromiter(map(len, lines), np.int64, len(lines))
             rows = np.repeat(b.column(0).to_numpy(zero_copy_only=False), n)
             number = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
@@ -276,19 +302,22 @@ def fetch_lines(docs: DataFrame, text_col: str, wanted: Bloom) -> DataFrame:
                 flat = list(chain.from_iterable(lines))
                 yield pa.RecordBatch.from_arrays([pa.array(rows[hit]), pa.array(number[hit].astype(np.int32)), pa.array([flat[i] for i in hit.tolist()], pa.string())], ["row", "line", "text"])
 
-    return docs.select("_row", F.col(text_col).alias("_text")).mapInArrow(run, "row bigint, line int, text string")
+    return stored(docs.select("_row", F.col(text_col).alias("_text")).mapInArrow(run, "row bigint, line int, text string"), "candidate-lines")
 
 
-def similar(a: str, b: str) -> bool:
-    x, y = set(a.encode().lower().split()), set(b.encode().lower().split())
+def alike(x: set[bytes], y: set[bytes]) -> bool:
     shared = len(x & y)
     return DEN * shared >= NUM * (len(x) + len(y) - shared)
 
 
+def similar(a: str, b: str) -> bool:
+    return alike(set(a.encode().lower().split()), set(b.encode().lower().split()))
+
+
 def verify(docs: DataFrame, text_col: str, pairs: DataFrame) -> DataFrame:
     """Distinct (row, line) of the later lines of verified pairs. pairs must be stored."""
-    ends = pairs.select(F.col("row1").alias("row"), F.col("line1").alias("line")).union(pairs.select("row2", "line2")).distinct()
-    lines = fetch_lines(docs, text_col, Bloom.over(ends, 2 * pairs.count()))
+    ends = stored(pairs.select(F.col("row1").alias("row"), F.col("line1").alias("line")).union(pairs.select("row2", "line2")).distinct(), "pair-ends")
+    lines = fetch_lines(docs, text_col, ends)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -297,59 +326,75 @@ def verify(docs: DataFrame, text_col: str, pairs: DataFrame) -> DataFrame:
                 t = b.take(pa.array(ok))
                 yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], ["row", "line"])
 
-    lines = stored(lines, "candidate-lines")
     one = lines.select(F.col("row").alias("row1"), F.col("line").alias("line1"), F.col("text").alias("a"))
     two = lines.select(F.col("row").alias("row2"), F.col("line").alias("line2"), F.col("text").alias("b"))
     joined = pairs.join(one, ["row1", "line1"]).join(two, ["row2", "line2"])
-    return joined.select("row2", "line2", "a", "b").mapInArrow(run, "row bigint, line int").distinct()
-
-
-def block_pairs(hot: DataFrame, decided: DataFrame) -> DataFrame:
-    """Candidate pairs of long lists whose later line has no match yet; every task holds two blocks of a list at most."""
-    flagged = hot.join(decided.withColumn("done", F.lit(True)), ["row", "line"], "left").withColumn("open", F.col("done").isNull())
-    lists = hot.groupBy("word").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    out = stored(joined.select("row2", "line2", "a", "b").mapInArrow(run, "row bigint, line int").distinct(), "lines-verified")
+    discard(ends, lines)
+    return out
+
+
+def match_blocks(docs: DataFrame, text_col: str, hot: DataFrame, decided: DataFrame, limits: Limits) -> DataFrame:
+    """Distinct (row, line) of lines that have a match on a long list and none before; every task holds two blocks of a list at most."""
+    flagged = hot.join(decided.withColumn("done", F.lit(True)), ["row", "line"], "left").withColumn("open", F.col("more") & F.col("done").isNull()).drop("done", "more")
+    live = flagged.groupBy("word").agg(F.bool_or("open").alias("any")).where("any").select("word")
+    flagged = stored(flagged.join(live, "word"), "open-lists")
+    ends = stored(flagged.select("row", "line").distinct(), "open-lines")
+    lines = fetch_lines(docs, text_col, ends)
+    listed = flagged.join(lines, ["row", "line"])
+    blocks = listed.groupBy("word").agg(F.ceil(F.greatest(F.count(F.lit(1)) / limits.block, F.sum(F.octet_length("text")) / limits.block_bytes, F.lit(1.0))).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("row", "line"), F.col("blocks")).cast("int")
-    dealt = flagged.join(lists, "word").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("word", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "row", "line", "size", "pos", "bits0", "bits1", "open")
+    dealt = listed.join(blocks, "word").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("word", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "row", "line", "size", "pos", "bits0", "bits1", "open", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
+        table = pa.Table.from_batches(list(batches)).sort_by("size")
         row, line, own, size, pos, open_ = (table.column(c).to_numpy() for c in ("row", "line", "own", "size", "pos", "open"))
         bits = np.stack([table.column(c).to_numpy().view(np.uint64) for c in ("bits0", "bits1")])
-        lo, hi = (table.column(c)[0].as_py() for c in ("lo", "hi"))
-        for y in np.flatnonzero(open_).tolist():
-            before = (row < row[y]) | ((row == row[y]) & (line < line[y]))
-            if lo != hi:
-                before &= own != own[y]
-            x = np.flatnonzero(before)
+        text, apart, known, hit = table.column("text"), table.column("lo")[0] != table.column("hi")[0], {}, []
+
+        def words_of(i: int) -> set[bytes]:
+            if i not in known:
+                known[i] = set(text[i].as_py().encode().lower().split())
+            return known[i]
+
+        todo = np.flatnonzero(open_)
+        least, most = np.searchsorted(size, -(-size[todo] * NUM // DEN)), np.searchsorted(size, size[todo] * DEN // NUM, "right")
+        for y, lo, hi in zip(todo.tolist(), least.tolist(), most.tolist(), strict=True):
+            near = slice(lo, hi)
+            before = (row[near] < row[y]) | ((row[near] == row[y]) & (line[near] < line[y]))
+            x = lo + np.flatnonzero(before & (own[near] != own[y]) if apart else before)
             x = x[may_match(size, pos, bits, x, np.full(len(x), y))]
-            if len(x):
-                n = len(x)
-                yield pa.RecordBatch.from_arrays([pa.array(row[x]), pa.array(line[x].astype(np.int32)), pa.array(np.full(n, row[y])), pa.array(np.full(n, line[y], np.int32))], ["row1", "line1", "row2", "line2"])
+            if any(alike(words_of(i), words_of(y)) for i in x.tolist()):
+                hit.append(y)
+        if hit:
+            yield pa.RecordBatch.from_arrays([pa.array(row[hit]), pa.array(line[hit])], ["row", "line"])
 
-    return dealt.groupBy("word", "lo", "hi").applyInArrow(run, PAIR_SCHEMA).distinct()
+    out = stored(dealt.repartition("word", "lo", "hi").groupBy("word", "lo", "hi").applyInArrow(run, "row bigint, line int").distinct(), "lines-matched")
+    discard(flagged, ends, lines)
+    return out
 
 
-def removed_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def removed_lines(docs: DataFrame, text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
     """Distinct (row, line) of lines with an earlier match; docs has _row."""
     sketch = word_sketch(docs, text_col)
-    met = stored(exchange(send_lines(docs, text_col, sketch)).mapInArrow(meet, MEET_SCHEMA), "line-meet")
+    met = stored(exchange(send_lines(docs, text_col, sketch)).mapInArrow(meeting(limits), MEET_SCHEMA), "line-meet")
     later = [F.col("row2").alias("row"), F.col("line2").cast("int").alias("line")]
     pairs = stored(met.where("kind = 1").select("row1", F.col("line1").cast("int"), "row2", F.col("line2").cast("int")).distinct(), "line-pairs")
-    decided = stored(met.where("kind = 0").select(*later).union(verify(docs, text_col, pairs)).distinct(), "lines-removed")
-    hot = met.where("kind = 2").select("word", *later, "size", "pos", "bits0", "bits1")
-    rest = stored(block_pairs(hot, decided), "line-rest")
-    if rest.limit(1).count():
-        decided = stored(decided.union(verify(docs, text_col, rest)).distinct(), "lines-removed")
-    discard(met, pairs, rest)
-    return decided
+    found = verify(docs, text_col, pairs)
+    decided = stored(met.where("kind = 0").select(*later).union(found).distinct(), "lines-removed")
+    hot = met.where("kind = 2").select("word", *later, (F.col("line1") == 1).alias("more"), "size", "pos", "bits0", "bits1")
+    rest = match_blocks(docs, text_col, hot, decided, limits)
+    out = stored(decided.union(rest), "lines-removed")  # rest has no line that is decided
+    discard(met, pairs, found, decided, rest)
+    return out
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
     """docs with their remaining lines in text_col, plus n_lines and n_removed."""
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     rows = numbered(docs.select(*names), id_col)
-    gone = removed_lines(rows, text_col)
+    gone = removed_lines(rows, text_col, limits)
     per_doc = stored(gone.groupBy("row").agg(F.collect_list("line").alias("_gone")), "removed-by-document")
     discard(gone)
     # the same plan at every size: what is removed grows with the documents and is never broadcast
