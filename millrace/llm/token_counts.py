@@ -1,17 +1,21 @@
 """Operator 1, token counts through a digest cache.
 
 The cache is a Parquet table of (content digest, tokenizer version, count). A run
-joins the documents' digests with it, encodes each distinct text that it lacks
+joins the documents' distinct digests with it, encodes each text that it lacks
 once, appends those counts, and joins again. A later run over overlapping texts
-encodes only what is new.
+encodes only what is new, and texts that are stored are never moved: before the
+texts' shuffle, a Bloom filter of bounded size over the missing digests drops them
+(beyond some ten million missing texts it lets all through; they are joined anyway).
 
 Normalised content: NULL becomes the empty text and nothing else changes, since
 any other normalisation would change counts. The version digest covers the
 tokenizer's file and this rule, so another vocabulary never meets these counts.
 
 Nulls and empty texts count 0 tokens; repeated rows and equal texts get equal
-counts from one encoding; columns named in keep are carried, but for those named
-like an output.
+counts from one encoding; null and repeated ids don't matter, as rows meet their
+counts by digest. Very long texts are one row of a batch; their chunks are counted,
+not remembered. Empty tables give empty results. Columns named in keep are
+carried, but for those named like an output.
 """
 
 from __future__ import annotations
@@ -19,17 +23,21 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import CUT, slices
-from millrace.llm.shared import digest, new_path, text_or_empty
+from millrace.llm.packed import Bloom
+from millrace.llm.shared import digest, discard, new_path, stored, text_or_empty
 
 RULE = "null-is-empty/1"
 CACHE_SCHEMA = "digest binary, version string, n_tokens bigint"
 #: Most remembered chunks of a worker and the longest of them.
 TABLE_ENTRIES, TABLE_CHARS = 500_000, 256
+#: Digests that a task remembers so as not to send or encode a text twice.
+SEEN_DIGESTS = 2_000_000
 
 
 def version_digest(path: str) -> str:
@@ -57,6 +65,11 @@ class CountCache:
         counts.select("digest", "n_tokens").write.mode("append").parquet(self.path)
 
 
+def open_cache(spark: SparkSession, folder: str, path: str) -> CountCache:
+    """The cache in a folder for the tokenizer file at path."""
+    return CountCache(spark, folder, version_digest(path))
+
+
 class TextCounter:
     """Counts as the tokenizer's own library gives them, without added special tokens.
 
@@ -66,7 +79,9 @@ class TextCounter:
     """
 
     def __init__(self, path: str):
-        self.table: dict[str, int] = {}
+        #: chunks that begin a text, and chunks after a space
+        self.first: dict[str, int] = {}
+        self.inner: dict[str, int] = {}
         if path.endswith(".model"):
             import sentencepiece
 
@@ -90,21 +105,20 @@ class TextCounter:
         return [len(x) for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _by_chunks(self, texts: list[str]) -> list[int]:
-        if len(self.table) > TABLE_ENTRIES:
-            self.table.clear()
-        known = self.table
+        if len(self.first) + len(self.inner) > TABLE_ENTRIES:
+            self.first.clear(), self.inner.clear()
         cut = [CUT.split(t) for t in texts]
-        for chunks in cut:  # a chunk after another has the space before it, as its key shows
-            chunks[0] = "\0" + chunks[0]
-        unseen = list({c for chunks in cut for c in chunks if c not in known})
-        full = [c[1:] if c[:1] == "\0" else " " + c for c in unseen]
-        found = dict(zip(unseen, self._library(full), strict=True))
-        known.update(found)
-        get = known.__getitem__
-        out = [sum(map(get, chunks)) for chunks in cut]
-        for c in unseen:
-            if len(c) > TABLE_CHARS:
-                del known[c]
+        new_first = list({c[0] for c in cut if c[0] not in self.first})
+        new_inner = list({x for c in cut for x in c[1:] if x not in self.inner})
+        counts = self._library(new_first + [" " + x for x in new_inner])
+        self.first.update(zip(new_first, counts))
+        self.inner.update(zip(new_inner, counts[len(new_first) :], strict=True))
+        get = self.inner.__getitem__
+        out = [self.first[c[0]] + sum(map(get, c[1:])) for c in cut]
+        for known, new in ((self.first, new_first), (self.inner, new_inner)):
+            for x in new:
+                if len(x) > TABLE_CHARS:
+                    del known[x]
         return out
 
 
@@ -128,14 +142,28 @@ def _once(batches: Iterator[pa.RecordBatch], seen: set[bytes]) -> Iterator[pa.Re
             if d not in seen:
                 seen.add(d)
                 rows.append(i)
+        if len(seen) > SEEN_DIGESTS:  # bounds the task's memory; a text sent again is dropped by its receiver
+            seen.clear()
         if rows:
             yield b if len(rows) == b.num_rows else b.take(pa.array(rows))
 
 
-def distinct_texts(docs: DataFrame, text_col: str) -> DataFrame:
-    """(digest, text), each digest once per task: copies collapse before the shuffle, however many there are."""
+def distinct_texts(docs: DataFrame, text_col: str, missing: Bloom | None) -> DataFrame:
+    """(digest, text) of missing texts (all if None), each digest about once per task: copies collapse before the shuffle, however many there are."""
     pairs = docs.select(digest(text_or_empty(text_col)).alias("digest"), text_or_empty(text_col).alias("text"))
-    return pairs.mapInArrow(lambda batches: _once(batches, set()), "digest binary, text string")
+    wanted = docs.sparkSession.sparkContext.broadcast(missing)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def open_() -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if wanted.value is not None and b.num_rows:
+                    keys = np.frombuffer(b"".join(x[:8] for x in b.column(0).to_pylist()), ">i8").astype(np.int64)
+                    b = b.filter(pa.array(wanted.value.has(keys, np.zeros(len(keys), np.int64))))
+                yield b
+
+        return _once(open_(), set())
+
+    return pairs.mapInArrow(run, "digest binary, text string")
 
 
 def encode_counts(texts: DataFrame, path: str) -> DataFrame:
@@ -149,24 +177,41 @@ def encode_counts(texts: DataFrame, path: str) -> DataFrame:
     return texts.mapInArrow(run, "digest binary, n_tokens bigint")
 
 
+def fill(docs: DataFrame, path: str, cache: CountCache, text_col: str = "text") -> None:
+    """Append the counts of the texts that the cache lacks."""
+    stored_, missing = cache.read(), None
+    if stored_ is not None:
+        here = docs.select(digest(text_or_empty(text_col)).alias("digest")).distinct()
+        missing = stored(here.join(stored_.select("digest"), "digest", "left_anti"), "missing-digests")
+        n = missing.count()
+        if not n:
+            discard(missing)
+            return
+    texts = distinct_texts(docs, text_col, None if missing is None else Bloom.over(missing.select(_key("digest"), F.lit(0)), n)).repartition("digest")
+    if missing is not None:
+        texts = texts.join(missing, "digest", "left_semi")
+    cache.append(encode_counts(texts, path))
+    if missing is not None:
+        discard(missing)
+
+
+def _key(c: str):
+    """The first eight bytes of a digest as a number."""
+    return F.conv(F.hex(F.substring(c, 1, 8)), 16, -10).cast("bigint").alias("row")
+
+
 def count_tokens(docs: DataFrame, path: str, cache_path: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> DataFrame:
     """id, keep, n_bytes (UTF-8) and n_tokens per row.
 
     cache_path: the cache's folder; a new one in the shared folder if None.
-    Distinct texts cross the network once, hashed by digest; counts and digests
+    New texts cross the network once, hashed by digest; counts and digests
     of the rows are narrow. A digest that many rows share is split by Spark's
     skew join, as the cache side holds it once.
     """
     spark, keep = docs.sparkSession, [c for c in keep if c not in (id_col, "n_bytes", "n_tokens")]
-    cache = CountCache(spark, cache_path or new_path(spark, "token-counts"), version_digest(path))
-    texts = distinct_texts(docs, text_col).repartition("digest")
-    stored = cache.read()
-    if stored is not None:
-        texts = texts.join(stored.select("digest"), "digest", "left_anti")
-    cache.append(encode_counts(texts, path))
-    counts = cache.read()
-    if stored is not None:  # an empty cache got each digest once just now
-        counts = counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    cache = open_cache(spark, cache_path or new_path(spark, "token-counts"), path)
+    fill(docs, path, cache, text_col)
+    counts = cache.read().groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))  # writers at the same time may have stored one twice
     text, counts = text_or_empty(text_col), counts.select(F.col("digest").alias("_digest"), F.col("n_tokens").alias("_n_tokens"))
     rows = docs.select(id_col, *keep, F.octet_length(text).cast("bigint").alias("_n_bytes"), digest(text).alias("_digest"))
     named = [F.col("_n_bytes").alias("n_bytes"), F.col("_n_tokens").alias("n_tokens")]
