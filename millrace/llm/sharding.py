@@ -4,20 +4,30 @@ Rows are ordered by a 24-byte key: a hash of the text (equal texts are
 neighbours), a hash of the id, and a row number that tells copies apart. Rounds of
 probing count the exact bytes below candidate boundaries in every partition;
 each round narrows the interval of every boundary by interpolation, until the
-bytes below it are within tolerance of its target or the interval holds one row.
-Then one exchange moves the rows, cut finer than the shards so that no task has
-to sort a whole shard; slots follow from the counts below the cuts.
-
-Law `bytes`: each shard's bytes differ from total / shards by at most the
-tolerance (a share of a shard) plus one row. A group of copies larger than a
-shard is split between neighbours; no row is split or dropped.
-
-Nulls have no bytes of text; empty tables give empty results; repeated rows are
-told apart by the row number and each get a slot of their own.
+bytes below it are within tolerance of its target. Then one exchange moves the
+rows, cut finer than the shards so that no task has to sort a whole shard; slots
+follow from the counts of the tasks before.
+
+Equal texts stay together. A group of more bytes than the tolerance, but no more
+than a shard, is heavy: heavy groups (a bounded number, as their bytes are) are
+dealt whole, largest first, each to the shard with most room, and the boundaries
+between the other groups are chosen for the room that is left. Boundaries are
+sought between texts' hashes; only a group larger than a shard, which no shard can
+hold, is cut between its rows.
+
+Law `bytes`: each shard's bytes differ from total / shards by at most twice the
+tolerance (a share of a shard) plus the largest row, or, where there is little but
+heavy groups, by no more than the largest of these (the bound of largest-first
+dealing). Probing that doesn't settle is an error.
+
+Nulls have no bytes of text; very long texts are one row each; empty tables give
+empty results; repeated rows are told apart by the row number and each get a slot of
+their own; null ids are hashed like others.
 """
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,8 +40,9 @@ from millrace.llm.shared import stored, text_or_empty
 
 OVERHEAD = 16
 KEY_BITS = 192
+GROUP_BITS = 128  # of a key, below the hash of its text
 #: Candidate boundaries per open interval and round; rounds; rows per sorting task; most cuts (bounds what is broadcast: 24 bytes each).
-PROBES, MAX_ROUNDS, TASK_ROWS, MAX_CUTS = 16, 60, 2_000_000, 1 << 16
+PROBES, MAX_ROUNDS, TASK_ROWS, MAX_CUTS = 16, 80, 2_000_000, 1 << 13
 
 
 def keyed(df: DataFrame, text_col: str, id_col: str, keep: list[str]) -> DataFrame:
@@ -42,6 +53,7 @@ def keyed(df: DataFrame, text_col: str, id_col: str, keep: list[str]) -> DataFra
         *keep,
         (F.octet_length(text) + OVERHEAD).cast("bigint").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.xxhash64(text).alias("_group"),
         F.unhex(F.concat(unsigned(F.xxhash64(text)), unsigned(F.xxhash64(F.col(id_col))), unsigned(F.monotonically_increasing_id()))).alias("_key"),
     )
     return stored(out, "shard-keys")
@@ -99,37 +111,51 @@ def _search(edges: np.ndarray, keys: pa.Array) -> np.ndarray:
 
 @dataclass
 class Cuts:
-    """Ascending boundaries: rows with a key in [keys[i-1], keys[i]) go to task i. bytes and rows below each."""
+    """Ascending boundaries: rows with a key in [keys[i-1], keys[i]) go to task i; bytes below each."""
 
     keys: list[int]
-    below: np.ndarray
+    below: list[int]
     rounds: int
 
 
 def find_cuts(rows: DataFrame, targets: list[int], tolerance: int, total: tuple[int, int]) -> Cuts:
-    """A boundary for each target number of bytes below, refined until it is within tolerance."""
-    n = len(targets)
+    """A boundary for each target number of bytes below, refined until it is within tolerance.
+
+    Boundaries lie between the hashes of texts; where the two hashes around a target
+    are neighbours and neither is within tolerance, a group larger than that is in
+    the way, and the boundary goes between its rows.
+    """
+    n, least = len(targets), 1 << GROUP_BITS
     low = [(0, 0, 0)] * n  # key, bytes below, rows below
     high = [(1 << KEY_BITS, total[0], total[1])] * n
     best: list[tuple[int, int, int] | None] = [None] * n
     rounds = 0
-    while rounds < MAX_ROUNDS:
+    while True:
+        for i in range(n):
+            if best[i] is None:
+                near = min(low[i], high[i], key=lambda p: abs(p[1] - targets[i]))
+                if abs(near[1] - targets[i]) <= tolerance or high[i][2] - low[i][2] <= 1 or high[i][0] - low[i][0] <= 1:
+                    best[i] = near
+        if all(b is not None for b in best):
+            return Cuts([b[0] for b in best], [b[1] for b in best], rounds)
+        if rounds == MAX_ROUNDS:
+            raise RuntimeError(f"{sum(b is None for b in best)} boundaries are not within tolerance after {rounds} rounds")
         probes: set[int] = set()
         for i in range(n):
             if best[i] is not None:
                 continue
             (a, below_a, _), (b, below_b, _) = low[i], high[i]
+            unit = least if b - a > least else 1
             share = (targets[i] - below_a) / max(1, below_b - below_a)
             guess, step = a + int((b - a) * share), max(1, (b - a) >> (3 + rounds))
             spread = [guess + step * k // (PROBES // 2) for k in range(-PROBES // 2, PROBES // 2)]
             even = [a + (b - a) * k // PROBES for k in range(1, PROBES)]
-            probes.update(p for p in spread + even if a < p < b)
-        if not probes:
-            break
+            found = {p // unit * unit for p in spread + even}
+            found |= {p + unit for p in found}
+            probes.update(p for p in found if a < p < b)
         rounds += 1
         ordered = sorted(probes)
         below = bytes_below(rows, ordered)
-        keys = np.array(ordered, dtype=object)
         sums = below[:-1, 0]
         for i in range(n):
             if best[i] is not None:
@@ -137,18 +163,24 @@ def find_cuts(rows: DataFrame, targets: list[int], tolerance: int, total: tuple[
             k = int(np.searchsorted(sums, targets[i], "right"))
             for j in (k - 1, k):
                 if 0 <= j < len(ordered):
-                    p = (int(keys[j]), int(below[j, 0]), int(below[j, 1]))
+                    p = (ordered[j], int(below[j, 0]), int(below[j, 1]))
                     if p[1] <= targets[i] and p[0] > low[i][0]:
                         low[i] = p
                     elif p[1] > targets[i] and p[0] < high[i][0]:
                         high[i] = p
-            near = min(low[i], high[i], key=lambda p: abs(p[1] - targets[i]))
-            if abs(near[1] - targets[i]) <= tolerance or high[i][2] - low[i][2] <= 1 or high[i][0] - low[i][0] <= 1:
-                best[i] = near
-        if all(b is not None for b in best):
-            break
-    chosen = [b if b is not None else min(low[i], high[i], key=lambda p: abs(p[1] - targets[i])) for i, b in enumerate(best)]
-    return Cuts([c[0] for c in chosen], np.array([c[1:] for c in chosen], np.int64).reshape(-1, 2), rounds)
+
+
+def deal_heavy(groups: list[tuple[int, int]], shards: int) -> tuple[dict[int, int], list[int]]:
+    """Shard of each heavy group (hash, bytes), largest first to the shard with most room, and the bytes dealt to each shard."""
+    filled, where = [(0, s) for s in range(shards)], {}
+    for group, size in sorted(groups, key=lambda g: (-g[1], g[0])):
+        used, s = heapq.heappop(filled)
+        where[group] = s
+        heapq.heappush(filled, (used + size, s))
+    dealt = [0] * shards
+    for used, s in filled:
+        dealt[s] = used
+    return where, dealt
 
 
 def shard_by_bytes(df: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, tolerance: float = 0.002) -> DataFrame:
@@ -157,15 +189,24 @@ def shard_by_bytes(df: DataFrame, shards: int = 40, id_col: str = "doc_id", text
     With keep=None the texts travel too, so that the result can be written with
     partitionBy("shard"); columns of df named like one of the outputs are left out.
     """
-    outputs = {"size", "text_crc32", "law", "shard", "slot", "grown_shard", "_key"}
+    outputs = {"size", "text_crc32", "law", "shard", "slot", "grown_shard", "_key", "_group", "_home", "_task"}
     keep = [c for c in (df.columns if keep is None else keep) if c not in outputs]
-    rows = keyed(df, text_col, id_col, keep)
+    spark, rows = df.sparkSession, keyed(df, text_col, id_col, keep)
     n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    slack = max(1, int(tolerance * size / shards))
+    # groups over the slack are at most size / slack, that is shards / tolerance
+    sizes = rows.groupBy("_group").agg(F.sum("size").alias("bytes")).where((F.col("bytes") > slack) & (F.col("bytes") <= max(slack, size // shards)))
+    where, dealt = deal_heavy([tuple(r) for r in sizes.collect()], shards)
+    heavy = spark.createDataFrame(pd.DataFrame({"_group": np.array(list(where), np.int64), "_home": np.array(list(where.values()), np.int32)}), "_group bigint, _home int")
+    rows = rows.join(F.broadcast(heavy), "_group", "left")  # at most shards / tolerance rows of 12 bytes
+    light = rows.where("_home IS NULL")
+    n_light, light_size = light.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    room = [max(0.0, size / shards - d) for d in dealt]
+    room = [r * light_size / max(1.0, sum(room)) for r in room]  # shards that heavy groups overfill leave less for the others
     fine = max(1, min(MAX_CUTS // shards, -(-n // (shards * TASK_ROWS))))  # tasks per shard
-    parts = shards * fine
-    targets = [size * k // parts for k in range(1, parts)]
-    cuts = find_cuts(rows, targets, max(1, int(tolerance * size / parts)), (size, n))
-    edges = rows.sparkSession.sparkContext.broadcast([k.to_bytes(KEY_BITS // 8 + 1, "big") for k in cuts.keys])
+    edges_at = np.cumsum(np.repeat(np.array(room) / fine, fine))[:-1]
+    cuts = find_cuts(light, [int(x) for x in edges_at], slack, (light_size, n_light))
+    edges = spark.sparkContext.broadcast([k.to_bytes(KEY_BITS // 8 + 1, "big") for k in cuts.keys])
 
     @F.pandas_udf("int")
     def task(key: pd.Series) -> pd.Series:
@@ -176,10 +217,14 @@ def shard_by_bytes(df: DataFrame, shards: int = 40, id_col: str = "doc_id", text
             return pd.Series(np.zeros(len(key), np.int32))
         return pd.Series(_search(inner, pa.array(key)).astype(np.int32))
 
-    starts = np.concatenate([[0], cuts.below[:, 1]])
+    # a heavy group is one task's, spread over its shard's tasks by its hash
+    home = F.col("_home") * fine + F.pmod("_group", F.lit(fine)).cast("int")
+    placed = rows.withColumn("_task", F.coalesce(home, task("_key")))
+    counts = dict(tuple(r) for r in placed.groupBy("_task").count().collect())  # at most MAX_CUTS rows
+    parts = shards * fine
+    starts = np.concatenate([[0], np.cumsum([counts.get(t, 0) for t in range(parts)])])
     offset = [int(starts[t] - starts[t - t % fine]) for t in range(parts)]
-    offsets = rows.sparkSession.createDataFrame(pd.DataFrame({"_task": np.arange(parts, dtype=np.int32), "_off": np.array(offset, np.int64)}))
-    placed = rows.withColumn("_task", task("_key"))
+    offsets = spark.createDataFrame(pd.DataFrame({"_task": np.arange(parts, dtype=np.int32), "_off": np.array(offset, np.int64)}))
     order = Window.partitionBy("_task").orderBy("_key")
     ranked = placed.withColumn("_at", F.row_number().over(order) - 1)
     return ranked.join(F.broadcast(offsets), "_task").select(  # at most MAX_CUTS rows
