@@ -87,9 +87,9 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, ITEM, 0), (1, ITEM, 0), (None, ITEM, 0), (2, "q " * 100000, 0)], "doc_id bigint, text string, leaked int")
     bench = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
     got = sorted((r["doc_id"] or -1, r["leaked"]) for r in mark_leaks(docs, bench).collect())
-    assert got == [(-1, False), (1, True), (1, True), (2, False)]
+    assert got == [(-1, True), (1, True), (1, True), (2, False)]  # rows without an id are judged too
     assert mark_leaks(docs.limit(0), bench).count() == 0 and mark_leaks(docs, bench.limit(0)).where("leaked").count() == 0
-    assert leaks(docs, bench).count() == 1
+    assert leaks(docs, bench).count() == 3
 
 
 def test_whole_table(spark):
@@ -114,3 +114,87 @@ def test_names_that_begin_sentences_or_have_more_capitals(spark):
     mac = "in the morning old McDonald and NASA sold eleven brown cows to the farmer next door for money"
     docs = [(1, "Intro. " + tom.replace("Tom", "Anna")), (2, "Intro. " + tom.replace("Tom", "Mary Ann").replace("12", "9")), (3, "Intro: " + mac.replace("McDonald", "O'Brien").replace("NASA", "ESA")), (4, "Intro: " + tom), (5, "so " + tom.lower()), (6, "Intro: " + mac.upper())]
     assert run(spark, docs, [(1, tom), (2, mac)]) == {1: [1], 2: [1], 3: [2], 4: [1], 5: [1], 6: [2]}
+
+
+def test_short_items_and_items_of_numbers(spark):
+    short, dense, tiny = "What is the capital city of France?", "2 + 3 x 4 - 5 = 7 or 9 km ?", "so be it"
+    docs = [(1, f"Intro here. {short} And more."), (2, f"well: {dense} then"), (3, "so be it and what is the capital"), (4, dense.replace("9", "8")), (None, f"well: {dense} then"), (None, short)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    b = spark.createDataFrame([(1, short), (2, dense), (3, tiny)], "item_id bigint, text string")
+    got = sorted((r["doc_id"] or 0, r["item_ids"]) for r in mark_leaks(d, b).collect())
+    assert got == [(0, [1]), (0, [2]), (1, [1]), (2, [2]), (3, []), (4, [])]
+    from millrace.llm.templates import drop_leaks
+
+    assert sorted(r["doc_id"] for r in drop_leaks(d, b).collect()) == [3, 4]
+
+
+def test_variants_of_one_template_are_one_class(spark):
+    from millrace.llm.templates import template_classes, windows
+
+    text = "after the long storm {} men carried {} km of rope over {} hills and {} rivers to the old town"
+    items = [(i, text.format(i + 2, i + 3, i + 4, i + 5)) for i in range(40)] + [(50, text.format(7, 7, 8, 9)), (51, text.format(7, 8, 9, 7)), (52, "nothing of the kind is said in this item of the benchmark")]
+    known = windows(spark.createDataFrame(items, "i bigint, t string"), "i", "t", None)
+    heads = {r["row"]: r["head"] for r in template_classes(known).collect()}
+    assert heads == {**{i: 0 for i in range(40)}, 50: 50, 51: 51, 52: 52}
+    docs = [(1, "Intro. " + text.format(91, 92, 93, 94)), (2, "Intro. " + text.format(91, 91, 93, 94)), (3, "Intro. " + text.format(3, 3, 3, 3).replace("rope", "wool").replace("hills", "fields").replace("long", "short"))]
+    got = run(spark, docs, items)
+    assert got[1][:40] == list(range(40)) and 50 in got[2] and got[3] == []
+
+
+def spelled(text):
+    """Template tokens and slots by plain rules, names inside sentences included: (token, value) pairs."""
+    out, begins, last_name = [], True, False
+    for raw in text.split():
+        bare = re.sub(r"^\W+|\W+$", "", raw)
+        if re.fullmatch(r"\d+", bare):
+            out.append(("<n>", bare))
+        elif bare.lower() in UNITS and out and out[-1][0] == "<n>":
+            out.append(("<u>", bare.lower()))
+        elif bare[0].isupper() and bare[1:].islower() and not begins:
+            if not last_name:
+                out.append(("<p>", bare.lower()))
+        else:
+            out.append((bare.lower(), None))
+        last_name = out[-1][0] == "<p>"
+        begins = raw[-1] in ".!?"
+    return out
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_names_and_slots_like_brute_force(spark, seed):
+    """One planted occurrence a document, its values replaced throughout or at odds: windows and slots judged by plain rules."""
+    rnd = random.Random(seed)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    names, units = ["Ann", "Bob", "Cleo", "Dora", "Emil"], ["km", "kg", "hours"]
+
+    def question():
+        t = []
+        while len(t) < 30:
+            t += rnd.choices(words, k=rnd.randint(2, 4)) + rnd.choice([[rnd.choice(names)], [str(rnd.randint(2, 4)), rnd.choice(units)], [str(rnd.randint(2, 4))]])
+        return ["in"] + t
+
+    items, docs = [question() for _ in range(20)], []
+    for d in range(60):
+        item, table, odd = rnd.choice(items), {}, rnd.random() < 0.4
+        new = []
+        for w in item:
+            fresh = str(rnd.randint(100, 999)) if w.isdigit() else rnd.choice(names) + "x" * rnd.randint(1, 9) if w in names else rnd.choice(units) if w in units else w
+            new.append(fresh if odd else table.setdefault(w, fresh))
+        docs.append((d, " ".join(rnd.choices(words, k=9) + new + rnd.choices(words, k=9))))
+    want = {}
+    for d, t in docs:
+        have, want[d] = spelled(t), []
+        for i, item in enumerate(items):
+            of = spelled(" ".join(item))
+            hits, slots = set(), set()
+            for a in range(len(of) - 7):
+                for b in range(len(have) - 7):
+                    x, y = of[a : a + 8], have[b : b + 8]
+                    if [k for k, _ in x] == [k for k, _ in y] and sum(k[0] != "<" for k, _ in x) >= 4:
+                        hits.add(a)
+                        slots |= {(v, z) for (_, v), (_, z) in zip(x, y) if v is not None}
+            values = {v for v, _ in slots}
+            if len(hits) >= 3 and len(slots) - len(values) <= 0.25 * len(values):
+                want[d].append(i)
+    got = run(spark, docs, [(i, " ".join(t)) for i, t in enumerate(items)])
+    assert got == want and 20 < sum(map(bool, want.values())) < 60
