@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import importable, table
+from millrace.llm.shared import importable, new_path, table
 from millrace.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,9 +30,12 @@ def query(sql: str | None = None):
 
 @query()
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from millrace.llm.token_counts import count_tokens
+    """A first pass fills a new cache; the counts come from a second, which finds every digest stored and moves no text."""
+    from millrace.llm.token_counts import count_tokens, fill, open_cache
 
-    counted = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    docs, path, folder = table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), new_path(spark, "token-counts")
+    fill(docs, path, open_cache(spark, folder, path))
+    counted = count_tokens(docs, path, folder)
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
@@ -106,37 +109,33 @@ def op6_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    r"""WITH RECURSIVE m AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
-    n_call AS (SELECT conv_id, turn, count(*) AS n_calls FROM conversations WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY 1, 2),
-    n_res AS (SELECT conv_id, turn - 1 AS turn, count(*) AS n_results, min(struct_pack(t := turn, c := text)).c AS content FROM conversations
-      WHERE role = 'user' AND turn > 0 AND conv_id IS NOT NULL GROUP BY 1, 2),
+    r"""WITH m AS (SELECT conv_id, turn, role, text, conv_id || '-' || turn AS id FROM conversations),
     raw AS (SELECT conv_id, turn, coalesce(text, '') AS text, length(coalesce(text, '')) AS chars,
-      len(list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda w: w <> '')) AS words FROM m WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL),
-    shaped AS (SELECT conv_id, turn, CASE WHEN chars < 200 THEN 'short_reply' ELSE 'reply' END AS name, chars, words, substr(text, 1, 40) AS opening,
-      CAST(json_object('chars', chars, 'opening', substr(text, 1, 40), 'words', words) AS VARCHAR) AS arguments,
-      CAST(json_object('words', words, 'opening', substr(text, 1, 40), 'chars', chars) AS VARCHAR) AS sent FROM raw),
-    one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY name, sent) AS k FROM shaped) WHERE k = 1),
-    num AS (SELECT *, (turn + 1) // 2 AS n, ((turn + 1) // 2) & (-((turn + 1) // 2)) AS low FROM one),
-    edge AS (SELECT conv_id, turn, CASE WHEN n > 0 AND n <> low THEN turn - 2 * low END AS parent FROM num),
-    have AS (SELECT e.conv_id, e.turn, p.turn AS parent, CASE WHEN e.parent IS NOT NULL AND p.turn IS NULL THEN 1 ELSE 0 END AS n_missing
-      FROM edge e LEFT JOIN one p ON p.conv_id = e.conv_id AND p.turn = e.parent),
-    up AS (SELECT conv_id, turn, 0 AS level FROM have WHERE parent IS NULL UNION ALL
-      SELECT h.conv_id, h.turn, u.level + 1 FROM have h JOIN up u ON u.conv_id = h.conv_id AND u.turn = h.parent),
-    checked AS (SELECT o.*, u.level, h.n_missing, array_to_string(list_sort(list_filter(CASE WHEN name = 'reply' THEN
-      [CASE WHEN chars < 1 THEN 'chars: below 1' END, CASE WHEN words < 1 THEN 'words: below 1' END, CASE WHEN words > 120 THEN 'words: above 120' END]
-      ELSE [CASE WHEN chars < 1 THEN 'chars: below 1' END, CASE WHEN chars > 300 THEN 'chars: above 300' END] END, lambda x: x IS NOT NULL)), '; ') AS problems
-      FROM one o JOIN up u USING (conv_id, turn) JOIN have h USING (conv_id, turn)),
-    j AS (SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.turn, r.turn) AS cturn, c.turn, c.name, c.arguments, c.level, coalesce(c.n_missing, 0) AS n_missing,
-      coalesce(c.problems, '') AS problems, r.n_results, r.content, c.turn IS NOT NULL AS is_call FROM checked c FULL JOIN n_res r ON r.conv_id = c.conv_id AND r.turn = c.turn),
-    s AS (SELECT j.*, conv_id || '-' || cturn AS call_id, CASE WHEN NOT is_call THEN 'orphan_result' WHEN problems <> '' THEN 'invalid' WHEN n_results IS NULL THEN 'unanswered' ELSE 'ok' END AS status FROM j)
-    SELECT s.call_id, s.turn, s.name, s.level, CAST(s.n_missing AS BIGINT) AS n_missing, coalesce(n.n_calls, 0) AS n_calls, coalesce(s.n_results, 0) AS n_results, status, problems,
-    '{' || CASE WHEN is_call THEN '"arguments":' || arguments || ',' ELSE '' END || '"id":' || CAST(to_json(call_id) AS VARCHAR) ||
-    CASE WHEN is_call THEN ',"level":' || level || ',"name":"' || name || '"' ELSE '' END ||
-    CASE WHEN content IS NOT NULL THEN ',"result":' || CAST(to_json(content) AS VARCHAR) ELSE '' END || ',"status":"' || status || '"}' AS json
-    FROM s LEFT JOIN n_call n ON n.conv_id = s.conv_id AND n.turn = s.turn"""
+      len(list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda w: w <> '')) AS words, id FROM m WHERE role = 'assistant'),
+    shaped AS (SELECT *, CASE WHEN chars < 200 THEN 'short_reply' ELSE 'reply' END AS name,
+      CAST(json_object('chars', chars, 'text', text, 'words', words) AS VARCHAR) AS arguments, CAST(json_object('words', words, 'text', text, 'chars', chars) AS VARCHAR) AS sent FROM raw),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY name, sent) AS k, count(*) OVER (PARTITION BY id) AS n_calls FROM shaped WHERE id IS NOT NULL),
+    one AS (SELECT * FROM ranked WHERE k = 1),
+    runs AS (SELECT *, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run FROM one),
+    placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS INTEGER) AS level FROM runs),
+    checked AS (SELECT *, CASE WHEN turn >= 2 AND level = 0 THEN 1 ELSE 0 END AS n_missing, array_to_string(list_sort(list_filter(CASE WHEN name = 'reply' THEN
+      [CASE WHEN chars < 1 THEN 'chars: below 1' END, CASE WHEN chars < 1 THEN 'text: below 1' END, CASE WHEN words < 1 THEN 'words: below 1' END, CASE WHEN words > 120 THEN 'words: above 120' END]
+      ELSE [CASE WHEN chars < 1 THEN 'chars: below 1' END, CASE WHEN chars > 300 THEN 'chars: above 300' END] END, lambda x: x IS NOT NULL)), '; ') AS problems FROM placed),
+    answers AS (SELECT conv_id || '-' || (turn - 1) AS id, count(*) AS n_results, min(struct_pack(t := turn, c := text)).c AS content FROM m
+      WHERE role = 'user' AND turn > 0 AND conv_id IS NOT NULL GROUP BY 1),
+    context AS (SELECT id, role, min(turn) AS turn, count(*) AS n_results, min(text) AS content FROM m WHERE role <> 'assistant' AND (role <> 'user' OR turn <= 0) AND id IS NOT NULL GROUP BY 1, 2),
+    j AS (SELECT coalesce(c.id, r.id) AS call_id, c.turn, c.name, c.level, coalesce(c.n_missing, 0) AS n_missing, coalesce(c.n_calls, 0) AS n_calls, coalesce(r.n_results, 0) AS n_results,
+      CASE WHEN c.id IS NULL THEN 'orphan_result' WHEN problems <> '' THEN 'invalid' WHEN r.id IS NULL THEN 'unanswered' ELSE 'ok' END AS status, coalesce(c.problems, '') AS problems, c.arguments, r.content
+      FROM checked c FULL JOIN answers r ON r.id = c.id)
+    SELECT call_id, turn, name, level, CAST(n_missing AS BIGINT) AS n_missing, n_calls, n_results, status, problems,
+    '{' || CASE WHEN n_calls > 0 THEN '"arguments":' || arguments || ',' ELSE '' END || '"id":' || CAST(to_json(call_id) AS VARCHAR) ||
+    CASE WHEN n_calls > 0 THEN ',"level":' || level || ',"name":"' || name || '"' ELSE '' END ||
+    CASE WHEN content IS NOT NULL THEN ',"result":' || CAST(to_json(content) AS VARCHAR) ELSE '' END || ',"status":"' || status || '"}' AS json FROM j
+    UNION ALL SELECT id, turn, role, NULL, 0, 0, n_results, 'context', '',
+    '{' || CASE WHEN content IS NOT NULL THEN '"content":' || CAST(to_json(content) AS VARCHAR) || ',' ELSE '' END || '"id":' || CAST(to_json(id) AS VARCHAR) || ',"role":' || CAST(to_json(role) AS VARCHAR) || ',"status":"context"}' FROM context"""
 )
 def op7_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.tool_calls import TOOLS, conversation_calls, link
 
-    calls, results = conversation_calls(table(spark, sf_dir, "conversations"))
-    return link(calls, results, TOOLS)
+    calls, results, context = conversation_calls(table(spark, sf_dir, "conversations"))
+    return link(calls, results, TOOLS, context)
