@@ -296,6 +296,46 @@ def partners(named: DataFrame, labels: DataFrame | None, tried: DataFrame | None
     return stored(best.select((-F.col("best.a")).alias("a"), "b"), "partners")
 
 
+def linked_in_block(t: pa.Table) -> list[tuple[int, int]]:
+    """Links between rows of different classes in one or two blocks of a bucket (columns bucket, b1, b2, own, row, label, shared, t)."""
+    row, label, own = (t.column(c).to_numpy() for c in ("row", "label", "own"))
+    label, apart, bucket = label.copy(), t.column("b1")[0] != t.column("b2")[0], t.column("bucket")[0].as_py()
+    w = words(t.column("t").combine_chunks())
+    n = np.bincount(w.text, minlength=len(row))
+    ends = np.cumsum(n)
+    bins = word_bins(w.hashes, n)
+    text = lambda i: w.hashes[ends[i] - n[i] : ends[i]].tolist()
+    # a pair that shares several buckets belongs to the least of them: who meets in a lesser one, by that bucket
+    shared = t.column("shared").combine_chunks()
+    flat, of = shared.flatten().to_numpy(), np.repeat(np.arange(len(row)), pc.list_value_length(shared).to_numpy())
+    flat, of = flat[flat < bucket], of[flat < bucket]
+    order = np.argsort(flat, kind="stable")
+    flat, of = flat[order], of[order]
+    start = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]]) if len(flat) else np.empty(0, np.int64)
+    met: list[list[np.ndarray]] = [[] for _ in row]
+    for lo, hi in zip(start.tolist(), [*start[1:].tolist(), len(flat)], strict=False):
+        if hi - lo > 1:
+            for i in of[lo:hi].tolist():
+                met[i].append(of[lo:hi])
+    links: list[tuple[int, int]] = []
+    for i in range(len(row)):
+        near = (row > row[i]) & (label != label[i]) & (np.minimum(n, n[i]) * DEN >= np.maximum(n, n[i]) * NUM)
+        if apart:
+            near &= own != own[i]
+        if not near.any():
+            continue
+        for others in met[i]:
+            near[others] = False
+        j = np.flatnonzero(near)
+        j = j[in_common(bins[j], bins[i][None], -(-NUM * np.maximum(n[j], n[i]) // DEN))]
+        mine = text(i) if len(j) else []
+        for k in j:
+            if label[k] != label[i] and aligned(mine, text(k)):
+                label[label == label[k]] = label[i]
+                links.append((int(row[i]), int(row[k])))
+    return links
+
+
 def cross_links(docs: DataFrame, text_col: str, members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
     """Links (a, b) between members of one bucket whose classes differ; a task holds two blocks of a bucket at most.
 
@@ -303,51 +343,18 @@ def cross_links(docs: DataFrame, text_col: str, members: DataFrame, labels: Data
     then, so it returns fewer links than it has rows.
     """
     named = members.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
-    named = stored(named.join(reps.select("row", "size", "bands"), "row"), "bucket-members")
+    named = stored(named.join(reps.select("row", "size"), "row"), "bucket-members")
     count = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_BYTES)).cast("int")
     mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), count.alias("blocks")).where("lo <> hi").select("bucket", F.greatest("blocks", F.lit(1)).alias("blocks"))
     rows = stored(named.join(mixed, "bucket").drop("size"), "mixed-buckets")
-    ends = stored(rows.select("row").distinct(), "mixed-rows")
+    ends = stored(rows.groupBy("row").agg(F.collect_list("bucket").alias("shared")), "mixed-rows")  # BANDS at most
     texts = texts_of(docs, text_col, ends)
     own = F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")
-    dealt = rows.join(texts.withColumnRenamed("_row", "row"), "row").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "row", "label", "bands", "t")
+    dealt = rows.join(ends.join(texts.withColumnRenamed("_row", "row"), "row"), "row").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("bucket", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "row", "label", "shared", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(list(batches))
-        row, label, own = (t.column(c).to_numpy() for c in ("row", "label", "own"))
-        label, apart, bucket = label.copy(), t.column("b1")[0] != t.column("b2")[0], t.column("bucket")[0].as_py() % (1 << 64)
-        w = words(t.column("t").combine_chunks())
-        n = np.bincount(w.text, minlength=len(row))
-        ends = np.cumsum(n)
-        bins = word_bins(w.hashes, n)
-        text = lambda i: w.hashes[ends[i] - n[i] : ends[i]].tolist()
-        # a pair that shares several buckets belongs to the least of them: who meets in a lesser one, by that bucket
-        lesser = [np.frombuffer(x, "<u8") for x in t.column("bands").to_pylist()]
-        lesser = [x[x < bucket] for x in lesser]
-        flat, of = np.concatenate(lesser), np.repeat(np.arange(len(row)), [len(x) for x in lesser])
-        order = np.argsort(flat, kind="stable")
-        flat, of = flat[order], of[order]
-        start = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]]) if len(flat) else np.empty(0, np.int64)
-        met: list[list[np.ndarray]] = [[] for _ in row]
-        for lo, hi in zip(start.tolist(), [*start[1:].tolist(), len(flat)], strict=False):
-            if hi - lo > 1:
-                for i in of[lo:hi].tolist():
-                    met[i].append(of[lo:hi])
-        links: list[tuple[int, int]] = []
-        for i in range(len(row)):
-            near = (row > row[i]) & (label != label[i]) & (np.minimum(n, n[i]) * DEN >= np.maximum(n, n[i]) * NUM)
-            if apart:
-                near &= own != own[i]
-            for others in met[i]:
-                near[others] = False
-            j = np.flatnonzero(near)
-            j = j[in_common(bins[j], bins[i][None], -(-NUM * np.maximum(n[j], n[i]) // DEN))]
-            mine = text(i) if len(j) else []
-            for k in j:
-                if label[k] != label[i] and aligned(mine, text(k)):
-                    label[label == label[k]] = label[i]
-                    links.append((int(row[i]), int(row[k])))
+        links = linked_in_block(pa.Table.from_batches(list(batches)))
         if links:
             a, b = zip(*links, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
