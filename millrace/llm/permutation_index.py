@@ -1,10 +1,11 @@
 """Operator 6, approximate nearest neighbours by a permutation index.
 
-A vector is represented by the order of a bounded sample of pivots by distance
-from it. It is posted in the inverted files of its nearest pivots; a query reads
-the files of its own nearest pivots, ranks what it finds by the footrule distance
-between the two orders, and reranks the best by exact distance in double
-precision.
+A vector is represented by the order of its nearest pivots, a bounded sample of the
+vectors. It is posted, with the pivot's rank, in the inverted files of its POSTED
+nearest pivots; a query reads the files of its READ nearest ones only. The footrule
+distance between the two orders (a pivot that isn't posted counts as the first rank
+beyond) is summed up from these postings, and the best are reranked by exact
+distance in double precision.
 
 Equal vectors are one entry of the index that lists its k + 1 smallest ids, which
 is all that a result of k can need: one very frequent vector costs one entry.
@@ -12,15 +13,17 @@ Entries are dealt into blocks by hash; every block holds its inverted files, and
 the stated query set passes all blocks in chunks, so nothing is sent to a task but
 one block and a stream of queries.
 
-Vectors that are null, zero, hold a null or non-finite component, or have another
-length than most pivots take no part, as queries or candidates. Repeated rows of
-one id count once. Ties go to smaller ids. Null ids take no part.
+Vectors that are null, zero, or hold a null or non-finite component take no part,
+as queries or candidates. Vectors of several lengths are apart: a query finds those
+of its own length; a length too rare to have pivots in the sample is searched
+without files. Repeated rows of one id count once, by the least vector. Ties go to
+smaller ids. Null ids take no part. Empty tables give empty results; other columns
+don't matter. Very long vectors only make blocks larger.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,49 +32,56 @@ from pyspark.sql import functions as F
 
 from millrace.llm.shared import stored
 
-#: Pivots (a sample of this many distinct vectors); files a vector is posted in and a query reads; candidates reranked per block: a floor and a share.
-PIVOTS, POSTED, LEAST_CANDIDATES, SHARE = 256, 24, 512, 0.04
+#: Pivots (a sample of this many distinct vectors, but one in PIVOT_SHARE at most, and FEW at least); files a vector is posted in and files a query reads; candidates reranked per block: a floor and a share.
+PIVOTS, PIVOT_SHARE, FEW, POSTED, READ, LEAST_CANDIDATES, SHARE = 2048, 4, 32, 64, 14, 1024, 0.3
 #: Rows per block: as many as keep 64 blocks busy, within these limits.
 LEAST_BLOCK, MOST_BLOCK, CHUNK = 4096, 1 << 20, 256
 
 
-@dataclass
-class Pivots:
-    vectors: np.ndarray  # float64
-
-    def ranks(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(order of the pivots by distance, rank of each pivot) per row."""
-        d = (self.vectors**2).sum(1)[None, :] - 2 * x @ self.vectors.T
-        order = np.argsort(d, 1, kind="stable")
-        rank = np.empty_like(order)
-        np.put_along_axis(rank, order, np.arange(order.shape[1])[None, :], 1)
-        return order, rank.astype(np.int16)
+def nearest_pivots(pivots: np.ndarray, x: np.ndarray, most: int) -> np.ndarray:
+    """Numbers of the nearest pivots of each row of x, nearest first."""
+    d = (pivots**2).sum(1)[None, :] - 2 * x @ pivots.T
+    most = min(most, len(pivots))
+    near = np.argpartition(d, most - 1, 1)[:, :most]
+    return np.take_along_axis(near, np.argsort(np.take_along_axis(d, near, 1), 1, kind="stable"), 1)
 
 
 class Block:
-    """The entries of a block with the inverted files of the pivots."""
+    """The entries of a block with the inverted files of the pivots; without pivots, every entry is a candidate."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, pivots: Pivots):
-        self.ids, self.x, self.pivots = ids, x, pivots
-        order, self.rank = pivots.ranks(x)
-        near = order[:, :POSTED]
+    def __init__(self, ids: np.ndarray, x: np.ndarray, pivots: np.ndarray | None):
+        self.ids, self.x, self.pivots, self.touched = ids, x, pivots, 0
+        if pivots is None:
+            return
+        near = np.concatenate([nearest_pivots(pivots, x[lo : lo + 4096], POSTED) for lo in range(0, len(x), 4096)])
         at = np.argsort(near.ravel(), kind="stable")
-        self.entries = at // near.shape[1]
-        self.ends = np.searchsorted(near.ravel()[at], np.arange(len(pivots.vectors) + 1))
+        self.posted = near.shape[1]
+        self.entries, self.ranks = at // self.posted, (at % self.posted).astype(np.int16)
+        self.ends = np.searchsorted(near.ravel()[at], np.arange(len(pivots) + 1))
+
+    def candidates(self, files: np.ndarray) -> np.ndarray:
+        """Entries posted in the files, or the best of them by footrule."""
+        parts = [slice(self.ends[p], self.ends[p + 1]) for p in files.tolist()]
+        closer = [(self.posted - r) - np.abs(self.ranks[s] - r) for r, s in enumerate(parts)]  # than an entry without the pivot
+        score = np.bincount(np.concatenate([self.entries[s] for s in parts]), np.concatenate(closer), len(self.ids))
+        found = np.flatnonzero(score)
+        self.touched += len(found)
+        most = max(LEAST_CANDIDATES, int(SHARE * len(self.ids)))
+        if len(found) > most:  # all that tie with the last one are reranked too
+            s = score[found]
+            found = found[s >= np.partition(s, len(s) - most)[len(s) - most]]
+        return found
 
     def search(self, q: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids and exact distances of the k best entries found for each row of q."""
-        order, rank = self.pivots.ranks(q)
+        whole = self.pivots is None or len(self.ids) <= LEAST_CANDIDATES
+        files = None if whole else nearest_pivots(self.pivots, q, READ)
         for i in range(len(q)):
-            found = np.unique(np.concatenate([self.entries[self.ends[p] : self.ends[p + 1]] for p in order[i, :POSTED]]))
-            most = max(LEAST_CANDIDATES, int(SHARE * len(self.ids)))
-            if len(found) > most:
-                footrule = np.abs(self.rank[found] - rank[i]).sum(1, dtype=np.int32)
-                # all that tie with the last one are reranked too
-                found = found[footrule <= np.partition(footrule, most - 1)[most - 1]]
+            found = slice(None) if whole else self.candidates(files[i])
             d = np.sqrt(((self.x[found] - q[i]) ** 2).sum(1))
-            best = np.lexsort((self.ids[found], d))[:k]
-            yield self.ids[found][best], d[best]
+            ids = self.ids[found]
+            best = np.lexsort((ids, d))[:k]
+            yield ids[best], d[best]
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -107,32 +117,31 @@ def nearest(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_co
     asked = rows.where("asks").select(F.col("id").alias("query_id"), key.alias("key"))
     index = stored(grouped.join(asked.select("key").distinct().withColumn("q", F.lit(True)), "key", "left").withColumn("asks", F.col("q").isNotNull()).drop("q"), "index-entries")
 
-    sample = index.orderBy(F.xxhash64("key"), "key").limit(PIVOTS).select("vec").collect()
-    sizes = [len(r["vec"]) for r in sample]
-    size = max(set(sizes), key=sizes.count, default=8)
-    pivots = Pivots(np.array([np.frombuffer(r["vec"], "<f8") for r in sample if len(r["vec"]) == size]).reshape(-1, size // 8))
-    index = index.where(F.octet_length("vec") == size)
     n = index.count()
     blocks = max(-(-n // MOST_BLOCK), min(64, -(-n // LEAST_BLOCK)), 1)
-    shared = spark.sparkContext.broadcast(pivots)
+    sample: dict[int, list[np.ndarray]] = {}
+    for r in index.orderBy(F.xxhash64("key"), "key").limit(min(PIVOTS, max(FEW, n // PIVOT_SHARE))).select("vec").collect():
+        sample.setdefault(len(r["vec"]), []).append(np.frombuffer(r["vec"], "<f8"))
+    shared = spark.sparkContext.broadcast({size: np.array(v) for size, v in sample.items() if len(v) >= FEW})
 
-    entry = index.select(F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "rep", "vec")
-    ask = index.where("asks").select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"), "rep", "vec")
+    entry = index.select(F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int").alias("block"), F.octet_length("vec").alias("size"), F.lit(0).alias("kind"), "rep", "vec")
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    ask = index.where("asks").select(everywhere, F.octet_length("vec").alias("size"), F.lit(1).alias("kind"), "rep", "vec")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, block = None, [], None  # number, parts and index of the current block
+        at, held, block = None, [], None  # number and size, parts and index of the current block
         for b in batches:
-            number, kind = b.column(0).to_numpy(), b.column(1).to_numpy()
-            cuts = np.flatnonzero(np.r_[True, (number[1:] != number[:-1]) | (kind[1:] != kind[:-1])]) if len(number) else []
+            number, size, kind = (b.column(i).to_numpy() for i in range(3))
+            cuts = np.flatnonzero(np.r_[True, (number[1:] != number[:-1]) | (size[1:] != size[:-1]) | (kind[1:] != kind[:-1])]) if len(number) else []
             for lo, hi in zip(cuts, [*cuts[1:], b.num_rows], strict=True):
-                if number[lo] != at:
-                    at, held, block = number[lo], [], None
-                ids, vecs = b.column(2)[lo:hi].to_numpy(), b.column(3)[lo:hi]
+                if (number[lo], size[lo]) != at:
+                    at, held, block = (number[lo], size[lo]), [], None
+                ids, vecs = b.column(3)[lo:hi].to_numpy(), b.column(4)[lo:hi]
                 if kind[lo] == 0:
                     held.append((ids, _matrix(vecs)))
                     continue
                 if block is None and held:
-                    block, held = Block(*(np.concatenate(p) for p in zip(*held, strict=True)), shared.value), []
+                    block, held = Block(*(np.concatenate(p) for p in zip(*held, strict=True)), shared.value.get(int(size[lo]))), []
                 if block is None:
                     continue
                 x = _matrix(vecs)
@@ -142,7 +151,7 @@ def nearest(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_co
                     arrays = [np.repeat(ids[c : c + CHUNK], counts), *(np.concatenate(p) for p in zip(*found, strict=True))]
                     yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["asked", "rep", "score"])
 
-    dealt = entry.union(ask).repartition(blocks, "block").sortWithinPartitions("block", "kind")
+    dealt = entry.union(ask).repartition(blocks, "block").sortWithinPartitions("block", "size", "kind")
     local = dealt.mapInArrow(run, "asked bigint, rep bigint, score double")
 
     def first(d: DataFrame, by: str, who: str, most: int) -> DataFrame:

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from millrace.llm import permutation_index as m
 from millrace.llm.contract import QUERIES
 from millrace.llm.permutation_index import nearest
 
@@ -49,10 +50,41 @@ def test_few_rows(spark, n):
     assert {q: len(v) for q, v in got.items()} == ({i * 100: n - 1 for i in range(n)} if n > 1 else {})
 
 
+def test_vectors_of_several_lengths(spark):
+    """Each length is searched by itself; a rare one without files."""
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=5 if i % 7 == 0 else 3 if i % 500 == 1 else 8).tolist()) for i in range(3000)]
+    got, _ = found(nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), lambda c: (c % 100 == 0) | (c == 501)))
+    for q, v in got.items():
+        own = [(i, x) for i, x in rows if len(x) == len(rows[q][1])]
+        d = sorted((float(np.sqrt(((np.array(x) - np.array(rows[q][1])) ** 2).sum())), i) for i, x in own if i != q)
+        assert len(v) == min(10, len(own) - 1)
+        if len(own) <= m.LEAST_CANDIDATES:
+            assert [i for i, _ in v] == [i for _, i in d[:10]]
+    assert set(got) == {501, *range(0, 3000, 100)} and len(got[501]) == 4
+
+
+def test_recall_where_the_share_decides():
+    """One block of uniform directions, as hard as it gets: about a third of the entries is touched."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(30_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    block = m.Block(np.arange(len(x)), x, x[rng.choice(len(x), m.PIVOTS, replace=False)])
+    q, hits, most = x[:60], [], []
+    best = np.argsort(-(q @ x.T), 1)[:, 1:11]
+    candidates = block.candidates
+    block.candidates = lambda files: most.append(c := candidates(files)) or c
+    for i, (ids, _) in enumerate(block.search(q, 11)):
+        hits.append(len(set(ids.tolist()) & set(best[i].tolist())) / 10)
+    assert np.mean(hits) >= 0.9 and block.touched / (60 * len(x)) < 0.36 and max(map(len, most)) < 0.32 * len(x)
+    print(f"recall {np.mean(hits):.3f}, touched {block.touched / (60 * len(x)):.3f}")
+
+
 def test_recall(spark):
     sf = "/root/testdata/sf0.1"
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()]
     want = brute(rows)
     got, _ = found(QUERIES["op6_permutation_index"](spark, sf))
     hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 10 for q in want]
+    print(f"recall {np.mean(hits):.3f} of {len(want)} queries")
     assert set(got) == set(want) and np.mean(hits) >= 0.9
