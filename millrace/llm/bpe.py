@@ -10,8 +10,10 @@ Short pieces are merged many at a time: their trees are the rows of one array.
 Long pieces have a tree each. Pieces repeat, so a worker keeps the ids of those
 seen last in a table of bounded size.
 
-Nulls are empty texts; an empty text has no ids and decodes to "". Repeated rows
-give repeated results; other columns are not touched (encode_documents returns
+Nulls are empty texts; an empty text has no ids and decodes to "". Very long texts
+are one row of a batch; a piece of a million characters takes some tens of
+megabytes. Repeated rows give repeated results; empty tables give empty results;
+other columns are not touched (encode_documents returns
 its own columns; with keep, the named ones too).
 """
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +38,7 @@ CUT = re.compile(r" (?<=\S )(?=\S)")
 #: The vocabulary's pattern, white space spelled out (fixed value).
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-NO_MERGE = np.int64(1) << 62
+NO_MERGE = 1 << 62
 #: Longest piece (bytes) merged in the batch of short ones; most table entries and characters of a remembered entry.
 SHORT, TABLE_ENTRIES, TABLE_CHARS = 64, 400_000, 256
 
@@ -82,39 +85,45 @@ class Vocabulary:
 
 
 class PairTree:
-    """Minimum tree over the pairs of one piece; least() is the leftmost pair of the lowest rank."""
+    """Minimum tree over the pairs of one piece, eight bytes a node; a node is rank * width + place, so the least is the leftmost pair of the lowest rank."""
 
-    def __init__(self, ranks: list[int]):
+    def __init__(self, ranks):
+        ranks = np.asarray(ranks, np.int64)
         self.width = 1 << max(0, (len(ranks) - 1).bit_length())
-        self.none = (int(NO_MERGE), self.width)
-        leaves = [(r, i) for i, r in enumerate(ranks)] + [self.none] * (self.width - len(ranks))
-        self.nodes = [self.none] * self.width + leaves
-        for k in range(self.width - 1, 0, -1):
-            self.nodes[k] = min(self.nodes[2 * k], self.nodes[2 * k + 1])
+        nodes = np.full(2 * self.width, NO_MERGE, np.int64)
+        leaves = nodes[self.width : self.width + len(ranks)]
+        leaves[:] = np.where(ranks < NO_MERGE, ranks * self.width + np.arange(len(ranks)), NO_MERGE)
+        k = self.width
+        while k > 1:  # a level at a time
+            k >>= 1
+            nodes[k : 2 * k] = np.minimum(nodes[2 * k : 4 * k : 2], nodes[2 * k + 1 : 4 * k : 2])
+        self.nodes = array("q", nodes.tobytes())
 
     def least(self) -> tuple[int, int]:
-        return self.nodes[1]
+        """Rank and place of the next merge; the rank of none is beyond all."""
+        return (self.nodes[1] // self.width, self.nodes[1] % self.width) if self.nodes[1] < NO_MERGE else (int(NO_MERGE), 0)
 
     def put(self, i: int, rank: int) -> None:
-        k = self.width + i
-        self.nodes[k] = (rank, i)
+        nodes, k = self.nodes, self.width + i
+        nodes[k] = rank * self.width + i if rank < NO_MERGE else NO_MERGE
         while k > 1:
             k >>= 1
-            best = min(self.nodes[2 * k], self.nodes[2 * k + 1])
-            if self.nodes[k] == best:
+            a, b = nodes[2 * k], nodes[2 * k + 1]
+            best = a if a < b else b
+            if nodes[k] == best:
                 break
-            self.nodes[k] = best
+            nodes[k] = best
 
 
 def merge_long(v: Vocabulary, piece: bytes) -> list[int]:
     """Ids of one piece by its own tree."""
-    ids = v.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
-    n, none = len(ids), int(NO_MERGE)
+    first = v.byte_ids[np.frombuffer(piece, np.uint8)]
+    n, none = len(first), int(NO_MERGE)
     if n < 2:
-        return ids
-    after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
+        return first.tolist()
+    ids, after, before = array("q", first.tobytes()), array("q", range(1, n + 1)), array("q", range(-1, n - 1))
     rank = lambda a, b: v.rank_of.get(ids[a] << 32 | ids[b], none)
-    tree = PairTree([rank(i, i + 1) for i in range(n - 1)])
+    tree = PairTree(v.pair_ranks(first[:-1], first[1:]))
     while (least := tree.least())[0] < none:
         r, i = least
         gone = after[i]
