@@ -341,7 +341,7 @@ def match_blocks(docs: DataFrame, text_col: str, hot: DataFrame, decided: DataFr
     flagged = stored(flagged.join(live, "word"), "open-lists")
     ends = stored(flagged.select("row", "line").distinct(), "open-lines")
     lines = fetch_lines(docs, text_col, ends)
-    listed = flagged.join(lines, ["row", "line"])
+    listed = stored(flagged.join(lines, ["row", "line"]), "listed-lines")
     blocks = listed.groupBy("word").agg(F.ceil(F.greatest(F.count(F.lit(1)) / limits.block, F.sum(F.octet_length("text")) / limits.block_bytes, F.lit(1.0))).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("row", "line"), F.col("blocks")).cast("int")
     dealt = listed.join(blocks, "word").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -371,7 +371,7 @@ def match_blocks(docs: DataFrame, text_col: str, hot: DataFrame, decided: DataFr
             yield pa.RecordBatch.from_arrays([pa.array(row[hit]), pa.array(line[hit])], ["row", "line"])
 
     out = stored(dealt.repartition("word", "lo", "hi").groupBy("word", "lo", "hi").applyInArrow(run, "row bigint, line int").distinct(), "lines-matched")
-    discard(flagged, ends, lines)
+    discard(flagged, ends, lines, listed)
     return out
 
 
