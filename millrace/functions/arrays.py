@@ -13,8 +13,3 @@ def ordered_distinct(positioned: Column, value: str) -> Column:
 
 def empty_not_null(arr: Column) -> Column:
     return F.coalesce(arr, F.array().cast("array<string>"))
-
-
-def translate(keys: Column, names: Column) -> Column:
-    """Map keys through a map column and drop the misses; for dictionaries that fit a row."""
-    return F.filter(F.transform(keys, lambda k: F.try_element_at(names, k)), lambda v: v.isNotNull())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -40,6 +40,11 @@ class Check:
             return failing_not_null(df, self.columns[0])
         return failing_unique(df, list(self.columns), self.kind == "unique")
 
+    def status_column(self, failures: Column) -> Column:
+        """status() as an expression."""
+        worst = F.when(failures > self.warn_above, "warn").otherwise("pass")
+        return F.when(failures > self.error_above, "error").otherwise(worst) if self.severity == "error" else worst
+
     def status(self, failures: int) -> str:
         if self.severity == "error" and failures > self.error_above:
             return "error"

@@ -54,16 +54,16 @@ def upsert_with_previous(
 def advance_watermark(
     target: DataFrame, marks: DataFrame, key: str, watermark: str, marked_at: str, value: str, now: Column
 ) -> DataFrame:
-    """Mark the keys in `marks` as loaded and raise their watermark; it never goes down.
+    """Mark the keys in `marks` as loaded, at the time `now` (of the marks or fixed), and raise their watermark; it never goes down.
 
     Keys absent from `target` are ignored; rows without a mark are unchanged.
     """
-    m = marks.select(F.col(key).alias("_key"), F.col(value).alias("_value"), F.lit(True).alias("_hit"))
+    m = marks.select(F.col(key).alias("_key"), F.col(value).alias("_value"), now.alias("_now"), F.lit(True).alias("_hit"))
     hit = F.col("_hit").isNotNull()
     raised = F.greatest(F.coalesce(F.col(watermark), F.lit(0)), F.col("_value"))
     return target.join(m, F.col(key) == F.col("_key"), "left").select(
         *[
-            (F.when(hit, now).otherwise(F.col(c)) if c == marked_at else F.when(hit, raised).otherwise(F.col(c)) if c == watermark else F.col(c)).alias(c)
+            (F.when(hit, F.col("_now")).otherwise(F.col(c)) if c == marked_at else F.when(hit, raised).otherwise(F.col(c)) if c == watermark else F.col(c)).alias(c)
             for c in target.columns
         ]
     )

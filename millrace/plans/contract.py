@@ -17,8 +17,8 @@ from millrace.functions.json_fields import json_text, typed_fields
 from millrace.functions.numeric import exact_ratio, wrap_uint32
 from millrace.functions.text import blank_to_null, brace_list, char_length, digits_only, fill_template, has_any_glyph, leading_date
 from millrace.operators.gating import completeness, keep_complete, size_class, stop_tolerance, work_list
-from millrace.operators.lookup import last_wins, resolve_names
-from millrace.operators.quality import failing_not_null, failing_unique
+from millrace.operators.lookup import attach_lists, last_wins, resolve_names
+from millrace.operators.quality import Check, failing_not_null, failing_unique
 from millrace.operators.ranking import top_n_wide
 from millrace.operators.upsert import advance_watermark, upsert_replace, upsert_with_previous
 from millrace.plans.models import daily_trend, median_and_rates, renamed
@@ -161,20 +161,28 @@ def null_filter(t):
     return t("documents").join(t("labels"), "doc_id", "left").where(F.col("quality").isNull()).select("doc_id", "lang")
 
 
+#: Keys numbered by one task in sort_nulls_first_rank.
+RUN_KEYS = 100_000
+
+
 @query(
     """SELECT c_custkey, total, row_number() OVER (ORDER BY total ASC NULLS FIRST, c_custkey) AS position
     FROM (SELECT c_custkey, sum_n AS total FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS sum_n FROM orders
     WHERE o_orderstatus = 'F' GROUP BY 1) ON o_custkey = c_custkey)"""
 )
 def sort_nulls_first_rank(t):
-    """The position of each row in a global sort: rows before its total, from one row per distinct total, and its place among equals."""
+    """The position of each row in a global sort: rows before its total, from one row per distinct total, and its place among equals, from one per run of keys."""
     counts = t("orders").where("o_orderstatus = 'F'").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("total"))
     rows = t("customer").select("c_custkey").join(counts, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "total")
-    by_total = rows.groupBy("total").agg(F.count(F.lit(1)).alias("n"))
-    before = by_total.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy(F.col("total").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = rows.withColumn("k", F.row_number().over(Window.partitionBy("total").orderBy("c_custkey")))
-    joined = within.alias("w").join(before.alias("b"), F.col("w.total").eqNullSafe(F.col("b.total")))
-    return joined.select("c_custkey", F.col("w.total").alias("total"), (F.col("before") + F.col("k")).cast("bigint").alias("position"))
+    # a total that very many rows share is numbered in runs of keys, so that no task holds all of its rows
+    placed = rows.withColumn("run", F.floor(F.col("c_custkey") / RUN_KEYS))
+    by_run = placed.groupBy("total", "run").agg(F.count(F.lit(1)).alias("n"))
+    earlier = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    by_total = by_run.groupBy("total").agg(F.sum("n").alias("n")).select(F.col("total").alias("t"), earlier(Window.orderBy(F.col("total").asc_nulls_first())).alias("before"))
+    starts = by_run.select("total", "run", earlier(Window.partitionBy("total").orderBy("run")).alias("in_total")).join(by_total, F.col("total").eqNullSafe(F.col("t"))).drop("t")
+    within = placed.withColumn("k", F.row_number().over(Window.partitionBy("total", "run").orderBy("c_custkey")))
+    joined = within.alias("w").join(starts.alias("s"), F.col("w.total").eqNullSafe(F.col("s.total")) & (F.col("w.run") == F.col("s.run")))
+    return joined.select("c_custkey", F.col("w.total").alias("total"), (F.col("before") + F.col("in_total") + F.col("k")).cast("bigint").alias("position"))
 
 
 @query("SELECT p_partkey AS part_id, p_name AS part_name, p_size AS size FROM part")
@@ -183,7 +191,7 @@ def renamed_projection(t):
 
 
 @query(
-    """SELECT l_orderkey, string_agg(p_brand, '|' ORDER BY pos) AS brands FROM (
+    """SELECT l_orderkey, string_agg(p_brand, '|' ORDER BY pos, p_brand) AS brands FROM (
     SELECT l_orderkey, p_brand, min(l_linenumber * 1000000 + l_partkey) AS pos FROM lineitem
     JOIN part ON p_partkey = l_partkey WHERE p_size > 10 GROUP BY 1, 2) GROUP BY 1"""
 )
@@ -202,49 +210,52 @@ def last_wins_lookup(t):
     return last_wins(t("events").select("user_id", "event_type", "value", "event_id"), "user_id", "event_id")
 
 
-_SLICES = """old AS (SELECT user_id, count(*) AS total, max(value) AS best FROM events WHERE event_id % 3 = 0 AND user_id % 4 <> 0 GROUP BY 1),
-    new AS (SELECT user_id, CASE WHEN user_id % 5 = 0 THEN NULL ELSE count(*) END AS total, max(value) AS best FROM events
-    WHERE event_id % 3 = 1 AND user_id % 3 <> 0 GROUP BY 1)"""
+#: Events before this time are what is stored, the others what comes in; a key is a user and an hour of the day.
+_SPLIT = "2024-01-16 00:00:00"
+_SLICES = f"""keyed AS (SELECT *, user_id * 24 + CAST(extract(hour FROM ts) AS BIGINT) AS slot FROM events),
+    old AS (SELECT slot, count(*) AS total, max(value) AS best FROM keyed WHERE ts < TIMESTAMP '{_SPLIT}' GROUP BY 1),
+    new AS (SELECT slot, CASE WHEN slot % 5 = 0 THEN NULL ELSE count(*) END AS total, max(value) AS best FROM keyed WHERE NOT ts < TIMESTAMP '{_SPLIT}' GROUP BY 1)"""
 
 
 def _slices(t):
-    e, agg = t("events"), [F.count(F.lit(1)).alias("total"), F.max("value").alias("best")]
-    old = e.where("event_id % 3 = 0 AND user_id % 4 <> 0").groupBy("user_id").agg(*agg)
-    new = e.where("event_id % 3 = 1 AND user_id % 3 <> 0").groupBy("user_id").agg(*agg)
-    return old, new.withColumn("total", F.when(F.col("user_id") % 5 != 0, F.col("total")))
+    """The whole table, cut by time."""
+    e = t("events").withColumn("slot", F.col("user_id") * 24 + F.hour("ts"))
+    agg, before = [F.count(F.lit(1)).alias("total"), F.max("value").alias("best")], F.col("ts") < F.lit(_SPLIT).cast(e.schema["ts"].dataType)
+    new = e.where(~before).groupBy("slot").agg(*agg)
+    return e.where(before).groupBy("slot").agg(*agg), new.withColumn("total", F.when(F.col("slot") % 5 != 0, F.col("total")))
 
 
 @query(
-    f"""WITH {_SLICES} SELECT coalesce(n.user_id, o.user_id) AS user_id, CASE WHEN n.user_id IS NOT NULL THEN n.total ELSE o.total END AS total,
-    CASE WHEN n.user_id IS NOT NULL THEN n.best ELSE o.best END AS best FROM new n FULL JOIN old o ON n.user_id = o.user_id"""
+    f"""WITH {_SLICES} SELECT coalesce(n.slot, o.slot) AS slot, CASE WHEN n.slot IS NOT NULL THEN n.total ELSE o.total END AS total,
+    CASE WHEN n.slot IS NOT NULL THEN n.best ELSE o.best END AS best FROM new n FULL JOIN old o ON n.slot = o.slot"""
 )
 def keyed_upsert(t):
     old, new = _slices(t)
-    return upsert_replace(old, new, ["user_id"])
+    return upsert_replace(old, new, ["slot"])
 
 
 @query(
-    f"""WITH {_SLICES} SELECT coalesce(n.user_id, o.user_id) AS user_id, CASE WHEN n.user_id IS NOT NULL THEN n.total ELSE o.total END AS total,
-    CASE WHEN n.user_id IS NOT NULL THEN n.best ELSE o.best END AS best,
-    CASE WHEN n.user_id IS NOT NULL AND o.user_id IS NOT NULL THEN o.total WHEN o.user_id IS NOT NULL THEN o.prev ELSE NULL END AS prev
-    FROM new n FULL JOIN (SELECT *, total - 1 AS prev FROM old) o ON n.user_id = o.user_id"""
+    f"""WITH {_SLICES} SELECT coalesce(n.slot, o.slot) AS slot, CASE WHEN n.slot IS NOT NULL THEN n.total ELSE o.total END AS total,
+    CASE WHEN n.slot IS NOT NULL THEN n.best ELSE o.best END AS best,
+    CASE WHEN n.slot IS NOT NULL AND o.slot IS NOT NULL THEN o.total WHEN o.slot IS NOT NULL THEN o.prev ELSE NULL END AS prev
+    FROM new n FULL JOIN (SELECT *, total - 1 AS prev FROM old) o ON n.slot = o.slot"""
 )
 def upsert_prev_value(t):
     old, new = _slices(t)
-    return upsert_with_previous(old.withColumn("prev", F.col("total") - 1), new, ["user_id"], "total", "prev")
+    return upsert_with_previous(old.withColumn("prev", F.col("total") - 1), new, ["slot"], "total", "prev")
 
 
 @query(
-    f"""WITH {_SLICES} SELECT o.user_id, CASE WHEN m.user_id IS NOT NULL THEN greatest(coalesce(o.seen, 0), m.v) ELSE o.seen END AS seen,
-    CASE WHEN m.user_id IS NOT NULL THEN 'marked' ELSE o.state END AS state
-    FROM (SELECT user_id, CASE WHEN user_id % 2 = 0 THEN total END AS seen, 'open' AS state FROM old) o
-    LEFT JOIN (SELECT user_id, coalesce(total, 0) AS v FROM new) m ON m.user_id = o.user_id"""
+    f"""WITH {_SLICES} SELECT o.slot, CASE WHEN m.slot IS NOT NULL THEN greatest(coalesce(o.seen, 0), m.v) ELSE o.seen END AS seen,
+    CASE WHEN m.slot IS NOT NULL THEN 'marked' ELSE o.state END AS state
+    FROM (SELECT slot, CASE WHEN slot % 2 = 0 THEN total END AS seen, 'open' AS state FROM old) o
+    LEFT JOIN (SELECT slot, coalesce(total, 0) AS v FROM new) m ON m.slot = o.slot"""
 )
 def watermark_mark(t):
     old, new = _slices(t)
-    target = old.select("user_id", F.when(F.col("user_id") % 2 == 0, F.col("total")).alias("seen"), F.lit("open").alias("state"))
-    marks = new.select("user_id", F.coalesce("total", F.lit(0)).alias("v"))
-    return advance_watermark(target, marks, "user_id", "seen", "state", "v", F.lit("marked"))
+    target = old.select("slot", F.when(F.col("slot") % 2 == 0, F.col("total")).alias("seen"), F.lit("open").alias("state"))
+    marks = new.select("slot", F.coalesce("total", F.lit(0)).alias("v"))
+    return advance_watermark(target, marks, "slot", "seen", "state", "v", F.lit("marked"))
 
 
 _TOTALS = "SELECT user_id, CASE WHEN user_id % 10 = 0 THEN 0 WHEN user_id % 10 = 1 THEN NULL ELSE user_id * 137 END AS total FROM (SELECT DISTINCT user_id FROM events)"
@@ -350,9 +361,72 @@ def decimal_and_boolean_casts(t):
 
 
 @query(
-    """SELECT l_orderkey, string_agg(l_returnflag, '' ORDER BY p) AS flags FROM (
+    """SELECT l_orderkey, string_agg(l_returnflag, '' ORDER BY p, l_returnflag) AS flags FROM (
     SELECT l_orderkey, l_returnflag, min(l_linenumber * 1000000 + l_partkey) AS p FROM lineitem GROUP BY 1, 2) GROUP BY 1"""
 )
 def ordered_distinct_flags(t):
+    """Flags in the order of their first position, those of one position by name."""
     pos = F.struct((F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("p"), F.col("l_returnflag").alias("f"))
     return t("lineitem").groupBy("l_orderkey").agg(F.array_join(ordered_distinct(F.collect_list(pos), "f"), "").alias("flags"))
+
+
+@query("SELECT *, o_totalprice > 100000 AS is_large, CAST(o_orderdate AS DATE) AS day FROM orders")
+def star_and_derived(t):
+    return t("orders").select("*", (F.col("o_totalprice") > 100000).alias("is_large"), F.to_date("o_orderdate").alias("day"))
+
+
+_DOC = """'{"flag":' || CASE event_id % 3 WHEN 0 THEN '"true"' WHEN 1 THEN 'false' ELSE 'null' END || ',"ratio":"' || CAST(value AS VARCHAR) || '","at":' || CAST(event_id * 86399 AS VARCHAR) || '.25,"sub":' || props || '}'"""
+
+
+@query(
+    f"""SELECT event_id, CAST(json_extract_string(d, '$.flag') AS BOOLEAN) AS flag, CAST(json_extract_string(d, '$.ratio') AS DOUBLE) AS ratio,
+    strftime(make_timestamp(CAST(round(CAST(json_extract_string(d, '$.at') AS DOUBLE) * 1000000) AS BIGINT)), '%Y-%m-%d %H:%M:%S.%f') AS at,
+    CAST(json_extract(d, '$.sub') AS VARCHAR) AS sub, CAST(json_extract_string(d, '$.gone') AS BOOLEAN) AS gone FROM (SELECT event_id, {_DOC} AS d FROM events)"""
+)
+def json_typed_fields(t):
+    """Text to boolean and double, fractional epoch seconds, a sub-document that stays JSON, a missing field."""
+    k = F.col("event_id")
+    flag = F.when(k % 3 == 0, '"true"').when(k % 3 == 1, "false").otherwise("null")
+    doc = F.concat(F.lit('{"flag":'), flag, F.lit(',"ratio":"'), F.col("value").cast("string"), F.lit('","at":'), (k * 86399).cast("string"), F.lit('.25,"sub":'), F.col("props"), F.lit("}"))
+    fields = [("flag", "flag", "boolean"), ("ratio", "ratio", "double"), ("at", "at", "epoch_real"), ("sub", "sub", "json"), ("gone", "gone", "boolean")]
+    typed = typed_fields(t("events").select("event_id", doc.alias("doc")), "doc", fields, [k])
+    return typed.withColumns({"at": F.date_format("at", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "sub": F.to_json("sub")})
+
+
+@query(
+    """WITH names AS (SELECT s_suppkey, n_name FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_acctbal > 0),
+    hits AS (SELECT l_orderkey, n_name, l_returnflag = 'R' AS r, l_linestatus = 'O' AS o, l_linenumber AS pos FROM lineitem JOIN names ON s_suppkey = l_suppkey),
+    r AS (SELECT l_orderkey, string_agg(n_name, '|' ORDER BY p, n_name) AS names, count(*) AS n FROM (SELECT l_orderkey, n_name, min(pos) AS p FROM hits WHERE r GROUP BY 1, 2) GROUP BY 1),
+    o AS (SELECT l_orderkey, string_agg(n_name, '|' ORDER BY p, n_name) AS names, count(*) AS n FROM (SELECT l_orderkey, n_name, min(pos) AS p FROM hits WHERE o GROUP BY 1, 2) GROUP BY 1)
+    SELECT o_orderkey, coalesce(r.names, '') AS returned, coalesce(o.names, '') AS open, CAST(coalesce(r.n, 0) AS INTEGER) AS n_returned
+    FROM orders LEFT JOIN r ON r.l_orderkey = o_orderkey LEFT JOIN o ON o.l_orderkey = o_orderkey"""
+)
+def chained_lookup_lists(t):
+    """Two lookups in a row, routed to two ordered lists; orders without names have empty lists."""
+    nations = t("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    names = t("supplier").where("s_acctbal > 0").select("s_suppkey", "s_nationkey").join(nations, "s_nationkey")
+    items = t("lineitem").select("l_orderkey", F.col("l_linenumber").alias("pos"), F.col("l_suppkey").alias("item"), "l_returnflag", "l_linestatus")
+    lists = resolve_names(items, "l_orderkey", names, "s_suppkey", "n_name", {"returned": F.col("l_returnflag") == "R", "open": F.col("l_linestatus") == "O"})
+    out = attach_lists(t("orders").select(F.col("o_orderkey").alias("l_orderkey")), lists, "l_orderkey", ["returned", "open"])
+    return out.select(F.col("l_orderkey").alias("o_orderkey"), F.array_join("returned", "|").alias("returned"), F.array_join("open", "|").alias("open"), F.size("returned").alias("n_returned"))
+
+
+@query(
+    """SELECT c_custkey, 'https://img.example/' || n_name || '.jpg' AS url FROM customer
+    LEFT JOIN (SELECT n_nationkey, CASE WHEN n_regionkey = 0 THEN '' ELSE n_name END AS n_name FROM nation) n ON n_nationkey = c_nationkey AND n_name <> ''"""
+)
+def left_lookup(t):
+    """A left lookup without the blank values; a miss is NULL."""
+    images = t("nation").select("n_nationkey", F.when(F.col("n_regionkey") == 0, "").otherwise(F.col("n_name")).alias("n_name"))
+    kept = images.where(blank_to_null(F.col("n_name")).isNotNull())
+    joined = t("customer").join(kept, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return joined.select("c_custkey", fill_template("https://img.example/{i}.jpg", "i", F.col("n_name")).alias("url"))
+
+
+@query(
+    """SELECT failures, CASE WHEN failures > 10000 THEN 'error' WHEN failures > 0 THEN 'warn' ELSE 'pass' END AS status FROM (
+    SELECT count(*) AS failures FROM (SELECT 1 FROM events GROUP BY user_id, event_type HAVING count(*) > 1))"""
+)
+def dq_thresholds(t):
+    check = Check("events", "unique_combination", ("user_id", "event_type"), error_above=10000)
+    return check.failing(t("events")).select("failures", check.status_column(F.col("failures")).alias("status"))
