@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import threading
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -15,9 +17,12 @@ from millrace.functions.text import blank_to_null, brace_list, digits_only, fill
 from millrace.operators.gating import completeness, keep_complete, size_class, work_list
 from millrace.operators.lookup import attach_lists, last_wins, positions, resolve_names
 from millrace.operators.upsert import advance_watermark, upsert_replace, upsert_with_previous
+from millrace.plans.registry import Node, Registry
 from millrace.schemas import CATALOG_GAMES, DUMP_COLUMNS
 from millrace.session import EngineConfig, current_time
-from millrace.sources.dumps import read_dump
+from millrace.sources.dumps import CatalogApi, download_dump, read_dump
+from millrace.sources.http import stream_bytes
+from millrace.sources.tables import Commit, Warehouse
 
 #: Fixed value: the store's number among the external catalogs.
 STORE_CATEGORY = 1
@@ -81,12 +86,25 @@ class CatalogMetrics:
     rows_upserted: int
 
 
-def ingest_catalog(spark: SparkSession, warehouse, folder: str, config: EngineConfig = EngineConfig(), now: datetime | None = None) -> CatalogMetrics:
-    """Read the six dumps in a folder and upsert the catalog; games that vanish stay."""
+def ingest_catalog(spark: SparkSession, warehouse: Warehouse, folder: str, config: EngineConfig = EngineConfig(), now: datetime | None = None) -> CatalogMetrics:
+    """Read the six dumps in a folder and upsert the catalog; games that vanish stay.
+
+    The incoming rows are staged, so the plan over the dumps runs once and its rows
+    are counted where they were written.
+    """
     dumps = {t: read_dump(spark, f"{folder}/{t}.csv", cols, "row_no") for t, cols in DUMP_COLUMNS.items()}
-    incoming = catalog_games(dumps, config, now)
-    warehouse.overwrite("raw.catalog_games", upsert_replace(warehouse.read("raw.catalog_games"), incoming, ["igdb_id"]))
-    return CatalogMetrics(dumps["games"].count(), app_ids(dumps["external_games"]).count(), incoming.count())
+    part = warehouse.stage("raw.catalog_games", catalog_games(dumps, config, now))
+    try:
+        incoming = warehouse.read_part("raw.catalog_games", part)
+        warehouse.overwrite("raw.catalog_games", upsert_replace(warehouse.read("raw.catalog_games"), incoming, ["igdb_id"]))
+        return CatalogMetrics(dumps["games"].count(), app_ids(dumps["external_games"]).count(), incoming.count())
+    finally:
+        warehouse.drop_part("raw.catalog_games", part)
+
+
+def download_dumps(api: CatalogApi, folder: str, stream: Callable = stream_bytes) -> list[str]:
+    """Fetch the dumps that ingest_catalog reads."""
+    return [str(download_dump(t, folder, api.locate, stream)) for t in DUMP_COLUMNS]
 
 
 def census_targets(catalog: DataFrame) -> DataFrame:
@@ -94,14 +112,19 @@ def census_targets(catalog: DataFrame) -> DataFrame:
     return catalog.where(F.col("steam_app_id").isNotNull()).select(F.col("steam_app_id").alias("app_id")).distinct()
 
 
-def ingest_census(warehouse, summaries: DataFrame, now: datetime | None = None) -> int:
-    """Upsert the counts of probed applications, keeping the total before; returns how many were probed."""
-    incoming = summaries.withColumn("checked_at", current_time(now))
-    merged = upsert_with_previous(
-        warehouse.read("raw.review_counts"), incoming, ["app_id"], "total_reviews", "prev_total_reviews", ["last_backfill_at", "last_seen_timestamp_updated"]
-    )
-    warehouse.overwrite("raw.review_counts", merged)
-    return summaries.count()
+def ingest_census(warehouse: Warehouse, summaries: DataFrame, now: datetime | None = None) -> int:
+    """Upsert the counts of probed applications, keeping the total before; returns how many were probed. Summaries are read once."""
+    fold_marks(warehouse)
+    part = warehouse.stage("raw.review_counts", summaries.withColumn("checked_at", current_time(now)))
+    try:
+        incoming = warehouse.read_part("raw.review_counts", part)
+        merged = upsert_with_previous(
+            warehouse.read("raw.review_counts"), incoming, ["app_id"], "total_reviews", "prev_total_reviews", ["last_backfill_at", "last_seen_timestamp_updated"]
+        )
+        warehouse.overwrite("raw.review_counts", merged)
+        return incoming.count()
+    finally:
+        warehouse.drop_part("raw.review_counts", part)
 
 
 @dataclass
@@ -111,79 +134,134 @@ class LoadMetrics:
     apps_incomplete: int = 0
 
 
-def load_batch(warehouse, expected: DataFrame, rows: DataFrame, config: EngineConfig, now: datetime | None) -> LoadMetrics:
-    """Publish the rows of complete applications and mark those; the others leave no trace.
+def load_batch(warehouse: Warehouse, expected: DataFrame, rows: DataFrame, config: EngineConfig, now: datetime | None) -> LoadMetrics:
+    """Publish the rows of complete applications and their marks in one commit; the others leave no trace.
 
-    The rows are staged once, so that a source is not read twice; the part that is
-    published holds complete applications only.
+    The rows are staged once, so that a source is not read twice, and published as
+    they are if all applications are complete; else the complete ones are written anew.
     """
-    staged = warehouse.stage("raw.reviews", rows.withColumn("loaded_at", current_time(now)))
-    fetched = warehouse.spark.read.parquet(f"{warehouse._dir('raw.reviews')}/{staged}")
-    verdicts = completeness(expected, fetched, "app_id", "total_reviews", "timestamp_updated", config)
-    final = warehouse.stage("raw.reviews", keep_complete(fetched, verdicts, "app_id"))
-    tally = verdicts.agg(
-        F.count_if("complete").alias("ok"), F.count_if(~F.col("complete")).alias("bad"), F.coalesce(F.sum(F.when(F.col("complete"), F.col("fetched"))), F.lit(0)).alias("n")
-    ).first()
-    warehouse.publish_parts("raw.reviews", [final])
-    mark(warehouse, verdicts.where("complete").select("app_id", "max_seen"), now)
+    staged = [warehouse.stage("raw.reviews", rows.withColumn("loaded_at", current_time(now)))]
+    kept: list[str] = []
+    try:
+        fetched = warehouse.read_part("raw.reviews", staged[0])
+        verdicts = completeness(expected, fetched, "app_id", "total_reviews", "timestamp_updated", config)
+        tally = verdicts.agg(
+            F.count_if("complete").alias("ok"), F.count_if(~F.col("complete")).alias("bad"), F.coalesce(F.sum(F.when(F.col("complete"), F.col("fetched"))), F.lit(0)).alias("n")
+        ).first()
+        if tally["bad"] and tally["n"]:
+            staged.append(warehouse.stage("raw.reviews", keep_complete(fetched, verdicts, "app_id")))
+        kept = staged[-1:] if tally["n"] else []
+        mark = warehouse.stage("raw.review_marks", verdicts.where("complete").select("app_id", "max_seen", current_time(now).alias("marked_at")))
+        warehouse.commit(Commit(added={"raw.reviews": kept, "raw.review_marks": [mark]}))
+    except BaseException:
+        kept = []
+        raise
+    finally:
+        for part in set(staged) - set(kept):
+            warehouse.drop_part("raw.reviews", part)
     return LoadMetrics(tally["n"], tally["ok"], tally["bad"])
 
 
-def mark(warehouse, marks: DataFrame, now: datetime | None) -> None:
+def marked_counts(warehouse: Warehouse) -> DataFrame:
+    """The review counts with all marks applied, also those of loads that ended early."""
+    marks = warehouse.read("raw.review_marks").groupBy("app_id").agg(F.max("max_seen").alias("max_seen"), F.max("marked_at").alias("marked_at"))
     counts = warehouse.read("raw.review_counts")
-    marked = advance_watermark(counts, marks, "app_id", "last_seen_timestamp_updated", "last_backfill_at", "max_seen", current_time(now))
-    warehouse.overwrite("raw.review_counts", marked)
+    return advance_watermark(counts, marks, "app_id", "last_seen_timestamp_updated", "last_backfill_at", "max_seen", F.col("marked_at"))
+
+
+def fold_marks(warehouse: Warehouse) -> None:
+    """Write the marks into the review counts and empty their table, in one commit."""
+    if not warehouse.read("raw.review_marks").limit(1).count():
+        return
+    counts = warehouse.stage("raw.review_counts", marked_counts(warehouse))
+    warehouse.commit(Commit(replaced={"raw.review_counts": [counts], "raw.review_marks": []}))
 
 
 def ingest_reviews(
     spark: SparkSession,
-    warehouse,
+    warehouse: Warehouse,
     read_apps: Callable[[list[tuple[int, int | None]]], DataFrame],
     config: EngineConfig = EngineConfig(),
     now: datetime | None = None,
     sleep: Callable[[float], None] = time.sleep,
 ) -> LoadMetrics:
-    """Load every application that was never loaded: none expected, light batches, then heavy ones alone.
+    """Load every application that was never loaded: none expected, light batches, then heavy ones, each by itself and a few at a time.
 
     read_apps turns (app, expected total) pairs into review rows, for instance
     through the review_pages source. An error in a light batch ends the load, with
-    earlier batches kept; an error in a heavy application skips only that one.
-    The work list is bounded by the catalog's size, not by the reviews.
+    earlier batches kept; an error in a heavy application skips only that one. Rows
+    of a heavy application stream through their task into files, so memory has a
+    bound without flushes. The work list is bounded by the catalog's size, not by the reviews.
     """
-    done = LoadMetrics()
+    done, lock = LoadMetrics(), threading.Lock()
+    fold_marks(warehouse)  # of a load that ended early
     pending = work_list(warehouse.read("raw.review_counts"), "last_backfill_at", "total_reviews").withColumn("class", size_class(F.col("total_reviews"), config))
-    mark(warehouse, pending.where("class = 'zero'").select("app_id", F.lit(0).cast("bigint").alias("max_seen")), now)
     work = [(r["app_id"], r["total_reviews"], r["class"]) for r in pending.select("app_id", "total_reviews", "class").toLocalIterator()]
-    done.apps_backfilled += sum(c == "zero" for _, _, c in work)
+    empty = [(a, 0) for a, _, c in work if c == "zero"]
+    if empty:
+        marks = spark.createDataFrame(empty, "app_id bigint, max_seen bigint").withColumn("marked_at", current_time(now))
+        warehouse.append("raw.review_marks", marks)
+        done.apps_backfilled += len(empty)
 
     def load(apps: list[tuple[int, int | None]]) -> None:
         expected = spark.createDataFrame(apps, "app_id bigint, total_reviews bigint")
         m = load_batch(warehouse, expected, read_apps(apps), config, now)
-        done.reviews_loaded += m.reviews_loaded
-        done.apps_backfilled += m.apps_backfilled
-        done.apps_incomplete += m.apps_incomplete
+        with lock:
+            done.reviews_loaded += m.reviews_loaded
+            done.apps_backfilled += m.apps_backfilled
+            done.apps_incomplete += m.apps_incomplete
+
+    def load_alone(app: tuple[int, int | None]) -> None:
+        try:
+            load([app])
+        except Exception as error:  # the application stays unmarked and is retried by the next run
+            print(f"application {app[0]} skipped: {error}")
 
     light = [(a, t) for a, t, c in work if c == "light"]
     for n, i in enumerate(range(0, len(light), config.backfill_batch_size), 1):
         load(light[i : i + config.backfill_batch_size])
         if n % config.pause_every_batches == 0:
             sleep(config.pause_seconds)
-    for app, total, c in work:
-        if c == "heavy":
-            try:
-                load([(app, total)])
-            except Exception as error:  # the application stays unmarked and is retried by the next run
-                print(f"application {app} skipped: {error}")
+    with ThreadPoolExecutor(config.heavy_workers) as pool:
+        list(pool.map(load_alone, [(a, t) for a, t, c in work if c == "heavy"]))
+    fold_marks(warehouse)
     return done
 
 
-def page_reader(spark: SparkSession, client: str, **options) -> Callable[[list], DataFrame]:
-    """read_apps over the review_pages source; options reach the reader."""
+def page_reader(spark: SparkSession, config: EngineConfig = EngineConfig(), **options) -> Callable[[list], DataFrame]:
+    """read_apps over the review_pages source; the configuration and options reach its readers."""
     from millrace.sources.review_pages import ReviewPages
 
     spark.dataSource.register(ReviewPages)
 
     def read(apps: list) -> DataFrame:
-        return spark.read.format("review_pages").options(client=client, apps=json.dumps(apps), **options).load()
+        return spark.read.format("review_pages").options(apps=json.dumps(apps), **config.as_options(), **options).load()
 
     return read
+
+
+def ingest_nodes(spark: SparkSession, config: EngineConfig = EngineConfig(), dumps: str | None = None, now: datetime | None = None, api: CatalogApi | None = None, **options) -> Registry:
+    """The loads as nodes of the model graph: dumps to catalog, catalog to counts, counts to reviews.
+
+    dumps: the folder of the catalog's files, downloaded through api first if one is
+    given. options go to the review_pages source. A node returns its load's metrics.
+    """
+
+    def catalog(warehouse: Warehouse) -> CatalogMetrics:
+        if api:
+            download_dumps(api, dumps)
+        return ingest_catalog(spark, warehouse, dumps, config, now)
+
+    def census(warehouse: Warehouse) -> int:
+        targets = census_targets(warehouse.read("raw.catalog_games")).withColumn("total", F.lit(None).cast("bigint"))
+        apps = [[r["app_id"], None] for r in targets.orderBy("app_id").toLocalIterator()]  # bounded by the catalog
+        return ingest_census(warehouse, page_reader(spark, config, mode="summary", **options)(apps), now)
+
+    def reviews(warehouse: Warehouse) -> LoadMetrics:
+        return ingest_reviews(spark, warehouse, page_reader(spark, config, **options), config, now)
+
+    return Registry([
+        Node("ingest_catalog", "ingest", load=catalog),
+        Node("ingest_census", "ingest", load=census, deps=("ingest_catalog",)),
+        Node("ingest_reviews", "ingest", load=reviews, deps=("ingest_census",)),
+    ])

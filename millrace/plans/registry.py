@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
@@ -13,7 +14,7 @@ from millrace.operators.quality import Check, CheckResult, run_check, run_not_nu
 
 @dataclass(frozen=True)
 class Node:
-    """A model (or source, when build is None). build receives {dependency: DataFrame}."""
+    """A model, a load or a source (neither). build receives {dependency: DataFrame}; load gets the warehouse, writes what it loads and returns its metrics."""
 
     name: str
     layer: str
@@ -21,6 +22,7 @@ class Node:
     deps: tuple[str, ...] = ()
     checks: tuple[Check, ...] = ()
     produced_by: str | None = None
+    load: Callable[[object], object] | None = None
     doc: str = ""
 
     @property
@@ -38,6 +40,7 @@ class BuildReport:
     built: list[str] = field(default_factory=list)
     skipped: list[str] = field(default_factory=list)
     checks: list[CheckResult] = field(default_factory=list)
+    loaded: dict[str, object] = field(default_factory=dict)
 
 
 class Registry:
@@ -54,8 +57,12 @@ class Registry:
     def merge(self, other: Registry) -> Registry:
         return Registry([*self.nodes.values(), *other.nodes.values()])
 
+    def needs(self, node: Node) -> set[str]:
+        """Dependencies, with the load that produces a source."""
+        return {*node.deps, *([node.produced_by] if node.produced_by in self.nodes else [])}
+
     def order(self) -> list[Node]:
-        graph = TopologicalSorter({n.name: n.deps for n in self.nodes.values()})
+        graph = TopologicalSorter({n.name: self.needs(n) for n in self.nodes.values()})
         return [self.nodes[x] for x in graph.static_order()]
 
     def select(self, what: str = "*") -> set[str]:
@@ -70,10 +77,10 @@ class Registry:
         chosen = {name}
         if what.startswith("+"):
             for n in reversed(self.order()):
-                chosen.update(n.deps if n.name in chosen else ())
+                chosen.update(self.needs(n) if n.name in chosen else ())
         if what.endswith("+"):
             for n in self.order():
-                if chosen.intersection(n.deps):
+                if chosen.intersection(self.needs(n)):
                     chosen.add(n.name)
         return chosen
 
@@ -85,30 +92,51 @@ class Registry:
                 out[n.name] = n.build({d: out[d] for d in n.deps})
         return out
 
-    def run(self, warehouse, select: str = "*", full_refresh: bool = False) -> BuildReport:
-        """Build the selected models as tables and run their checks.
+    def run(self, warehouse, select: str = "*", full_refresh: bool = False, threads: int = 4) -> BuildReport:
+        """Run the selected loads, build the selected models as tables and run their checks.
 
-        A check that ends in error skips all descendants. Models are rebuilt
-        whole either way, so full_refresh changes no result.
+        Nodes that wait for nothing run side by side, up to threads at a time, while
+        Spark shares the executors among them. A check that ends in error skips all
+        descendants. Models are rebuilt whole either way, so full_refresh changes no result.
         """
         chosen, report, blocked = self.select(select), BuildReport(), set()
-        for n in self.order():
-            if blocked.intersection(n.deps):
-                blocked.add(n.name)
-                if n.name in chosen and n.build:
-                    report.skipped.append(n.name)
-                continue
-            if n.name not in chosen:
-                continue
-            if n.build:
-                deps = {d: warehouse.read(self.nodes[d].table) for d in n.deps}
-                warehouse.overwrite(n.table, n.build(deps))
-                report.built.append(n.name)
-            if n.checks:
-                df = warehouse.read(n.table)
-                nulls = [c for c in n.checks if c.kind == "not_null"]
-                found = run_not_nulls(nulls, df) + [run_check(c, df) for c in n.checks if c not in nulls]
-                report.checks += found
-                if any(r.status == "error" for r in found):
-                    blocked.add(n.name)
+        graph = TopologicalSorter({n.name: self.needs(n) for n in self.nodes.values()})
+        graph.prepare()
+        with ThreadPoolExecutor(threads) as pool:
+            running: dict[Future, Node] = {}
+            while graph.is_active():
+                for name in sorted(graph.get_ready()):
+                    n = self.nodes[name]
+                    if blocked.intersection(self.needs(n)):
+                        blocked.add(name)
+                        if name in chosen and (n.build or n.load):
+                            report.skipped.append(name)
+                    elif name in chosen:
+                        running[pool.submit(self._run_node, n, warehouse)] = n
+                        continue
+                    graph.done(name)
+                if not running:
+                    continue
+                finished, _ = wait(running, return_when=FIRST_COMPLETED)
+                for f in finished:
+                    n = running.pop(f)
+                    metrics, found = f.result()
+                    if n.load:
+                        report.loaded[n.name] = metrics
+                    if n.build:
+                        report.built.append(n.name)
+                    report.checks += found
+                    if any(r.status == "error" for r in found):
+                        blocked.add(n.name)
+                    graph.done(n.name)
         return report
+
+    def _run_node(self, n: Node, warehouse) -> tuple[object, list[CheckResult]]:
+        metrics = n.load(warehouse) if n.load else None
+        if n.build:
+            warehouse.overwrite(n.table, n.build({d: warehouse.read(self.nodes[d].table) for d in n.deps}))
+        if not n.checks:
+            return metrics, []
+        df = warehouse.read(n.table)
+        nulls = [c for c in n.checks if c.kind == "not_null"]
+        return metrics, run_not_nulls(nulls, df) + [run_check(c, df) for c in n.checks if c not in nulls]

@@ -47,7 +47,13 @@ REVIEWS = _table(
     ("loaded_at", TS, False, "load time"),
 )
 
-RAW_TABLES = {"catalog_games": CATALOG_GAMES, "review_counts": REVIEW_COUNTS, "reviews": REVIEWS}
+REVIEW_MARKS = _table(
+    ("app_id", L, False, "store application id"),
+    ("max_seen", L, True, "latest update among the rows loaded"),
+    ("marked_at", TS, False, "time of the complete load"),
+)
+
+RAW_TABLES = {"catalog_games": CATALOG_GAMES, "review_counts": REVIEW_COUNTS, "reviews": REVIEWS, "review_marks": REVIEW_MARKS}
 
 #: Columns read from each catalog dump; all arrive as text.
 DUMP_COLUMNS = {

@@ -52,7 +52,8 @@ class EngineConfig:
     The defaults are fixed values that decide results (thresholds, template,
     retry schedule); from_env() overrides them with MILLRACE_<FIELD> variables.
     Row batches of the loaders (catalog, census, page flushes) have no setting:
-    partitions and streamed readers take their place.
+    partitions and streamed readers take their place. as_options() hands the values
+    to a data source, whose readers run elsewhere.
     """
 
     min_review_length: int = 20
@@ -67,13 +68,28 @@ class EngineConfig:
     http_max_retries: int = 5
     http_backoff_base_seconds: float = 2.0
     page_size: int = 100
+    page_order: str = "updated"
+    review_language: str = "all"
     backfill_batch_size: int = 100
+    heavy_workers: int = 5
     pause_every_batches: int = 10
     pause_seconds: float = 120.0
     duplicate_error_threshold: int = 10000
     checklist_glyphs: str = "✅☐"
+    review_api_url: str = "https://store.steampowered.com/appreviews"
+    catalog_api_url: str = "https://api.igdb.com/v4"
+    catalog_token_url: str = "https://id.twitch.tv/oauth2/token"
     cover_url_template: str = "https://images.igdb.com/igdb/image/upload/t_cover_big/{image_id}.jpg"
 
+    def as_options(self) -> dict[str, str]:
+        return {f"config.{f.name}": str(getattr(self, f.name)) for f in fields(self)}
+
+    @classmethod
+    def from_options(cls, options: dict[str, str]) -> EngineConfig:
+        """The values among a data source's options, whose names may have lost their case."""
+        low = {k.lower(): v for k, v in options.items()}
+        return cls.from_env({f.name.upper(): low[f"config.{f.name}"] for f in fields(cls) if f"config.{f.name}" in low}, prefix="")
+
     @classmethod
     def from_env(cls, environ: dict[str, str] | None = None, prefix: str = "MILLRACE_") -> EngineConfig:
         env = os.environ if environ is None else environ

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import EngineConfig
+from millrace.sources.http import fetch_json, stream_bytes
+
 #: Refresh margin, default lifetime, download chunk.
 REFRESH_MARGIN_S, DEFAULT_TTL_S, CHUNK_BYTES = 60, 3600, 1 << 20
 
@@ -29,16 +32,34 @@ class TokenCache:
         return self.token
 
 
-def download_dump(endpoint: str, dest_dir: Path, locate: Callable[[str], str], stream: Callable[[str, int], Iterable[bytes]]) -> Path:
+class CatalogApi:
+    """The catalog's dump service: finds the short-lived address of a dump with a client's token."""
+
+    def __init__(self, client_id: str, client_secret: str, config: EngineConfig = EngineConfig(), fetch: Callable[..., dict] = fetch_json):
+        self.client_id, self.config, self.fetch = client_id, config, fetch
+        grant = {"client_id": client_id, "client_secret": client_secret, "grant_type": "client_credentials"}
+        self.tokens = TokenCache(lambda: fetch(config.catalog_token_url, grant, post=True))
+
+    def locate(self, endpoint: str) -> str:
+        headers = {"Client-ID": self.client_id, "Authorization": f"Bearer {self.tokens.get()}", "Accept": "application/json"}
+        found = self.fetch(f"{self.config.catalog_api_url}/dumps/{endpoint}", headers=headers).get("s3_url")
+        if not found:
+            raise ValueError(f"the service has no address for dump {endpoint}")
+        return found
+
+
+def download_dump(endpoint: str, dest_dir: Path, locate: Callable[[str], str], stream: Callable[[str, int], Iterable[bytes]] = stream_bytes) -> Path:
     """Look up the signed address of a dump and write it to dest_dir in chunks.
 
-    Runs on the driver, outside Spark; locate and stream do the network calls.
+    Runs on the driver, outside Spark. The file appears under its name when it is whole.
     """
-    path = Path(dest_dir) / f"{endpoint}.csv"
-    with path.open("wb") as out:
+    folder = Path(dest_dir)
+    folder.mkdir(parents=True, exist_ok=True)
+    path, part = folder / f"{endpoint}.csv", folder / f".{endpoint}.part"
+    with part.open("wb") as out:
         for chunk in stream(locate(endpoint), CHUNK_BYTES):
             out.write(chunk)
-    return path
+    return part.replace(path)
 
 
 def read_dump(spark: SparkSession, path: str, columns: list[str], row_no: str | None = None) -> DataFrame:

@@ -1,22 +1,25 @@
 """Python data source over paged reviews: one input partition per batch of applications.
 
     spark.dataSource.register(ReviewPages)
-    spark.read.format("review_pages").options(client="module:factory", apps="[[10, 120], [20, null]]").load()
+    spark.read.format("review_pages").options(apps="[[10, 120], [20, null]]", **config.as_options()).load()
 
-`client` names a factory that returns an object with page(app_id, cursor) and
-summary(app_id); options beginning with "client." are passed to it.
+`client` names a factory (ReviewApi if not given) that returns an object with
+page(app_id, cursor) and summary(app_id); it gets the configuration and, by name,
+the options beginning with "client.". mode="summary" reads one row of counts per
+application.
 """
 
 from __future__ import annotations
 
 import importlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from millrace.session import EngineConfig
+from millrace.sources.http import RateLimiter, fetch_json, get_with_retry
 from millrace.sources.paging import pages
 
 REVIEW_ROWS = T.StructType(
@@ -52,12 +55,29 @@ def summary_row(app_id: int, answer: dict) -> tuple:
     return (app_id, *(found.get(f.name) for f in SUMMARY_ROWS.fields[1:]))
 
 
+class ReviewApi:
+    """Requests of the review service, one answer each; spacing and retries are the reader's."""
+
+    def __init__(self, config: EngineConfig = EngineConfig(), fetch: Callable[..., dict] = fetch_json):
+        self.config, self.fetch = config, fetch
+
+    def _get(self, app_id: int, **params) -> dict:
+        # off-topic reviews are included in pages and totals alike
+        fixed = {"json": 1, "language": self.config.review_language, "purchase_type": "all", "filter_offtopic_activity": 0}
+        return self.fetch(f"{self.config.review_api_url}/{app_id}", fixed | params)
+
+    def page(self, app_id: int, cursor: str) -> dict:
+        return self._get(app_id, num_per_page=self.config.page_size, filter=self.config.page_order, cursor=cursor)
+
+    def summary(self, app_id: int) -> dict:
+        return self._get(app_id, num_per_page=0, filter="all")
+
+
 class RecordedClient:
-    """Answers from a JSON file, for tests and offline runs: {"pages": {app: {cursor: answer}}, "summaries": {app: answer}}."""
+    """Answers from JSON text, for tests and offline runs: {"pages": {app: {cursor: answer}}, "summaries": {app: answer}}."""
 
-    def __init__(self, path: str):
-        with open(path) as f:
-            self.data = json.load(f)
+    def __init__(self, config: EngineConfig, data: str):
+        self.data = json.loads(data)
 
     def page(self, app_id: int, cursor: str) -> dict:
         return self.data["pages"].get(str(app_id), {}).get(cursor, {})
@@ -67,32 +87,34 @@ class RecordedClient:
 
 
 class Apps(InputPartition):
-    def __init__(self, apps: list):
+    def __init__(self, apps: list, tasks: int):
         super().__init__(None)
-        self.apps = apps
+        self.apps, self.tasks = apps, tasks
 
 
 class ReviewPagesReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.options = options
-        self.config = EngineConfig(stop_backoff_base_seconds=float(options.get("backoff", EngineConfig.stop_backoff_base_seconds)))
+        self.options, self.config = options, EngineConfig.from_options(options)
 
     def partitions(self) -> list[Apps]:
         apps, size = json.loads(self.options["apps"]), int(self.options.get("batch", self.config.backfill_batch_size))
-        return [Apps(apps[i : i + size]) for i in range(0, len(apps), size)]
+        groups = [apps[i : i + size] for i in range(0, len(apps), size)]
+        return [Apps(g, len(groups)) for g in groups]
 
     def client(self):
-        module, _, factory = self.options["client"].partition(":")
+        module, _, factory = self.options.get("client", f"{__name__}:ReviewApi").partition(":")
         given = {k.removeprefix("client."): v for k, v in self.options.items() if k.startswith("client.")}
-        return getattr(importlib.import_module(module), factory)(**given)
+        return getattr(importlib.import_module(module), factory)(self.config, **given)
 
     def read(self, partition: Apps) -> Iterator[tuple]:
-        client = self.client()
+        """Every request waits its turn and is retried; tasks that run beside this one share the allowed rate."""
+        client, limiter = self.client(), RateLimiter(self.config.http_min_interval_seconds * partition.tasks)
+        ask = lambda f, *a: get_with_retry(lambda: f(*a), limiter, self.config)
         for app_id, total in partition.apps:
             if self.options.get("mode", "reviews") == "summary":
-                yield summary_row(app_id, client.summary(app_id))
+                yield summary_row(app_id, ask(client.summary, app_id))
                 continue
-            for page in pages(lambda cursor: client.page(app_id, cursor), total, self.config):
+            for page in pages(lambda cursor: ask(client.page, app_id, cursor), total, self.config):
                 for review in page:
                     yield review_row(app_id, review)
 

@@ -1,23 +1,41 @@
-"""A warehouse of Parquet tables with atomic publication.
-
-A table is a folder of immutable parts and numbered manifests that list the
-parts of a version. Publishing writes a manifest under a temporary name and
-renames it; a failed or abandoned load leaves the previous version untouched.
-All paths go through Hadoop's FileSystem, so any store that Spark reads works.
+"""A warehouse of Parquet tables with atomic publication over several tables.
+
+A table is a set of immutable parts. Numbered versions, one sequence for the whole
+warehouse, list the parts of every table, so one commit can add rows to a table and
+marks to another, or neither. A commit writes the next version under a temporary
+name and renames it without overwriting; a failed load leaves all tables as they
+were. The file system must refuse such a rename when the target exists, as HDFS and
+local file systems do; plain object stores don't, and need a table format instead.
 """
 
 from __future__ import annotations
 
 import json
+import threading
+import time
 import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+#: Versions that stay readable, and how often a commit is tried when others are faster.
+KEPT_VERSIONS, ATTEMPTS = 50, 20
+
+
+@dataclass
+class Commit:
+    """Changes that become visible together: parts to add to tables, and parts that replace what tables hold."""
+
+    added: dict[str, list[str]] = field(default_factory=dict)
+    replaced: dict[str, list[str]] = field(default_factory=dict)
+    schemas: dict[str, T.StructType] = field(default_factory=dict)
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._lock = threading.Lock()
 
     def _fs(self, path: str):
         jvm = self.spark._jvm
@@ -27,40 +45,83 @@ class Warehouse:
     def _dir(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
 
-    def _versions(self, table: str) -> list[int]:
-        fs, p = self._fs(f"{self._dir(table)}/_manifests")
+    def versions(self) -> list[int]:
+        fs, p = self._fs(f"{self.root}/_versions")
         if not fs.exists(p):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(p)]
         return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
 
-    def manifest(self, table: str) -> dict | None:
-        versions = self._versions(table)
-        if not versions:
-            return None
-        fs, p = self._fs(f"{self._dir(table)}/_manifests/{versions[-1]}.json")
+    def _state(self, version: int) -> dict[str, dict]:
+        fs, p = self._fs(f"{self.root}/_versions/{version}.json")
         stream = fs.open(p)
         try:
             return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
-    def _publish(self, table: str, parts: list[str], schema: T.StructType) -> None:
-        version = (self._versions(table) or [0])[-1] + 1
-        fs, tmp = self._fs(f"{self._dir(table)}/_manifests/.{uuid.uuid4().hex}")
+    def state(self) -> tuple[int, dict[str, dict]]:
+        """The latest version's number and {table: {"parts": [...], "schema": {...}}}."""
+        versions = self.versions()
+        return (versions[-1], self._state(versions[-1])) if versions else (0, {})
+
+    def _put(self, version: int, state: dict[str, dict]) -> bool:
+        """Write a version unless it exists."""
+        jvm = self.spark._jvm
+        fs, tmp = self._fs(f"{self.root}/_versions/.{uuid.uuid4().hex}")
         out = fs.create(tmp)
-        out.write(bytearray(json.dumps({"parts": parts, "schema": schema.jsonValue()}).encode()))
+        out.write(bytearray(json.dumps(state).encode()))
         out.close()
-        _, final = self._fs(f"{self._dir(table)}/_manifests/{version}.json")
-        if not fs.rename(tmp, final):
+        _, final = self._fs(f"{self.root}/_versions/{version}.json")
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), self.spark._jsc.hadoopConfiguration())
+        options = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context.rename(tmp, final, options)
+        except Exception:
             fs.delete(tmp, False)
-            raise RuntimeError(f"{table}: version {version} was published by another writer")
+            if fs.exists(final):
+                return False
+            raise
+        return True
+
+    def commit(self, change: Commit) -> int:
+        """Publish all of a change or nothing; returns the version.
+
+        Added parts go to whatever the table holds by then. A replaced table must
+        not have changed since this call began.
+        """
+        with self._lock:  # threads of this driver take turns; other writers are met by the version's number
+            version, state = self.state()
+            before = {t: state.get(t, {}).get("parts", []) for t in change.replaced}
+            for _ in range(ATTEMPTS):
+                if any(state.get(t, {}).get("parts", []) != parts for t, parts in before.items()):
+                    raise RuntimeError(f"{', '.join(before)}: replaced by another writer")
+                new = dict(state)
+                for t, parts in change.added.items():
+                    new[t] = self._entry(new.get(t), new.get(t, {}).get("parts", []) + parts, t, change)
+                for t, parts in change.replaced.items():
+                    new[t] = self._entry(None if t in change.schemas else new.get(t), parts, t, change)
+                if self._put(version + 1, new):
+                    self._forget(version + 1 - KEPT_VERSIONS)
+                    return version + 1
+                version, state = self.state()
+        raise RuntimeError(f"other writers were faster {ATTEMPTS} times")
+
+    def _entry(self, old: dict | None, parts: list[str], table: str, change: Commit) -> dict:
+        if old:
+            return {"parts": parts, "schema": old["schema"]}
+        schema = change.schemas.get(table) or self.spark.read.parquet(f"{self._dir(table)}/{parts[0]}").schema
+        return {"parts": parts, "schema": schema.jsonValue()}
+
+    def _forget(self, version: int) -> None:
+        fs, p = self._fs(f"{self.root}/_versions/{version}.json")
+        fs.delete(p, False)
 
     def exists(self, table: str) -> bool:
-        return bool(self._versions(table))
+        return table in self.state()[1]
 
     def read(self, table: str) -> DataFrame:
-        found = self.manifest(table)
+        found = self.state()[1].get(table)
         if found is None:
             raise LookupError(f"no table {table}")
         schema = T.StructType.fromJson(found["schema"])
@@ -74,22 +135,41 @@ class Warehouse:
         df.write.parquet(f"{self._dir(table)}/{part}")
         return part
 
+    def read_part(self, table: str, part: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self._dir(table)}/{part}")
+
+    def drop_part(self, table: str, part: str) -> None:
+        """Delete a staged part that is not to be published."""
+        fs, p = self._fs(f"{self._dir(table)}/{part}")
+        fs.delete(p, True)
+
     def overwrite(self, table: str, df: DataFrame) -> None:
-        self._publish(table, [self.stage(table, df)], df.schema)
+        self.commit(Commit(replaced={table: [self.stage(table, df)]}, schemas={table: df.schema}))
 
     def append(self, table: str, df: DataFrame) -> None:
-        self.publish_parts(table, [self.stage(table, df)])
+        self.commit(Commit(added={table: [self.stage(table, df)]}))
 
-    def publish_parts(self, table: str, parts: list[str]) -> None:
-        """Add staged parts, all or none."""
-        found = self.manifest(table)
-        schema = T.StructType.fromJson(found["schema"]) if found else self.spark.read.parquet(f"{self._dir(table)}/{parts[0]}").schema
-        self._publish(table, (found["parts"] if found else []) + parts, schema)
+    def bootstrap(self, tables: dict[str, T.StructType], database: str = "raw") -> None:
+        """Create the tables that don't exist, all in one version."""
+        there = self.state()[1]
+        new = {f"{database}.{name}": schema for name, schema in tables.items() if f"{database}.{name}" not in there}
+        if new:
+            self.commit(Commit(replaced={t: [] for t in new}, schemas=new))
 
     def create_if_absent(self, table: str, schema: T.StructType) -> None:
         if not self.exists(table):
-            self._publish(table, [], schema)
-
-    def bootstrap(self, tables: dict[str, T.StructType], database: str = "raw") -> None:
-        for name, schema in tables.items():
-            self.create_if_absent(f"{database}.{name}", schema)
+            self.commit(Commit(replaced={table: []}, schemas={table: schema}))
+
+    def vacuum(self, min_age_hours: float = 24.0) -> int:
+        """Delete parts that no kept version lists, as crashed loads leave them; younger ones may belong to a running load."""
+        listed: dict[str, set[str]] = {}
+        for v in self.versions():
+            for t, entry in self._state(v).items():
+                listed.setdefault(t, set()).update(entry["parts"])
+        gone, oldest = 0, (time.time() - 3600 * min_age_hours) * 1000
+        for t, parts in listed.items():
+            fs, p = self._fs(f"{self._dir(t)}/parts")
+            for s in fs.listStatus(p) if fs.exists(p) else []:
+                if f"parts/{s.getPath().getName()}" not in parts and s.getModificationTime() <= oldest:
+                    gone += bool(fs.delete(s.getPath(), True))
+        return gone

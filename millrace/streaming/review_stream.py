@@ -1,8 +1,9 @@
 """Extension: reviews arriving as a stream of files, merged into the latest state per key.
 
 The batch loaders need no streaming; this shows the same upsert with a
-micro-batch sink. The checkpoint makes the source exactly-once; the upsert is
-idempotent, so a replayed batch changes nothing.
+micro-batch sink. The checkpoint makes the source exactly-once; a row only replaces
+a stored one of the same or a lower version, so a replayed or late batch changes
+nothing.
 """
 
 from __future__ import annotations
@@ -20,9 +21,18 @@ def latest(batch: DataFrame, keys: list[str], version: str) -> DataFrame:
     return batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(version)).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
+def merge_versions(target: DataFrame, fresh: DataFrame, keys: list[str], version: str) -> DataFrame:
+    """upsert_replace by those rows of fresh whose stored row is absent or not newer; a version that is null is older than any other."""
+    stored = target.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(version).alias("_version"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    stale = F.col("_version").isNotNull() & (F.col(version).isNull() | (F.col(version) < F.col("_version")))
+    wins = fresh.join(stored, same, "left").where(~stale).select(fresh.columns)
+    return upsert_replace(target, wins, keys)
+
+
 def stream_upsert(spark: SparkSession, source: DataFrame, warehouse, table: str, keys: list[str], version: str, checkpoint: str) -> StreamingQuery:
     def merge(batch: DataFrame, _: int) -> None:
         fresh = latest(batch, keys, version)
-        warehouse.overwrite(table, upsert_replace(warehouse.read(table), fresh, keys))
+        warehouse.overwrite(table, merge_versions(warehouse.read(table), fresh, keys, version))
 
     return source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

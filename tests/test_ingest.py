@@ -11,12 +11,15 @@ from millrace.plans import ingest, models
 from millrace.plans.registry import Registry, Node, database_for
 from millrace.operators.quality import Check
 from millrace.session import EngineConfig
-from millrace.sources.dumps import TokenCache, download_dump
+from millrace.sources.dumps import CatalogApi, TokenCache, download_dump
 from millrace.sources.http import RateLimiter, get_with_retry
 from millrace.sources.paging import pages
-from millrace.sources.tables import Warehouse
+from millrace.sources.review_pages import Apps, RecordedClient, ReviewApi, ReviewPagesReader
+from millrace.sources.tables import Commit, Warehouse
 from millrace.streaming.review_stream import stream_upsert
 
+#: No pauses.
+QUICK = EngineConfig(stop_backoff_base_seconds=0.0, http_min_interval_seconds=0.0, http_backoff_base_seconds=0.0)
 NOW, LATER = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
 
 
@@ -132,8 +135,78 @@ def test_token_and_download(tmp_path):
     assert cache.get() == cache.get() == "t1"
     clock[0] = 41
     assert cache.get() == "t2"
-    p = download_dump("genres", tmp_path, lambda e: f"signed/{e}", lambda url, size: [url.encode(), b"!"])
+    p = download_dump("genres", tmp_path / "new", lambda e: f"signed/{e}", lambda url, size: [url.encode(), b"!"])
     assert p.read_bytes() == b"signed/genres!"
+    with pytest.raises(OSError):
+        download_dump("games", tmp_path, str, lambda url, size: (_ for _ in ()).throw(OSError()))
+    assert not (tmp_path / "games.csv").exists()
+
+
+def test_dump_addresses_are_asked_for_with_a_token():
+    asked = []
+
+    def fetch(url, params=None, headers=None, post=False):
+        asked.append((url, params, headers, post))
+        return {"access_token": "T"} if post else {"s3_url": "signed"} if url.endswith("games") else {}
+
+    api = CatalogApi("me", "secret", EngineConfig(catalog_api_url="http://c", catalog_token_url="http://t"), fetch)
+    assert api.locate("games") == api.locate("games") == "signed"
+    assert [a[0] for a in asked] == ["http://t", "http://c/dumps/games", "http://c/dumps/games"]
+    assert asked[0][1] == {"client_id": "me", "client_secret": "secret", "grant_type": "client_credentials"}
+    assert asked[1][2]["Authorization"] == "Bearer T" and asked[1][2]["Client-ID"] == "me"
+    with pytest.raises(ValueError):
+        api.locate("none")
+
+
+def test_review_requests():
+    asked = []
+    api = ReviewApi(EngineConfig(review_api_url="http://r", page_size=7), lambda url, params: asked.append((url, params)) or {})
+    api.page(5, "*"), api.summary(5)
+    shared = {"json": 1, "language": "all", "purchase_type": "all", "filter_offtopic_activity": 0}
+    assert asked == [("http://r/5", {**shared, "num_per_page": 7, "filter": "updated", "cursor": "*"}), ("http://r/5", {**shared, "num_per_page": 0, "filter": "all"})]
+
+
+def test_configuration_reaches_readers():
+    given = EngineConfig(page_size=9, stop_backoff_base_seconds=0.5, cover_url_template="x{image_id}")
+    assert EngineConfig.from_options({k.upper(): v for k, v in given.as_options().items()}) == given
+    assert EngineConfig.from_env({"MILLRACE_PAGE_SIZE": "3"}).page_size == 3
+
+
+class FlakyClient(RecordedClient):
+    """Fails twice on every request before it answers."""
+
+    calls = 0
+
+    def page(self, app_id, cursor):
+        FlakyClient.calls += 1
+        if FlakyClient.calls % 3:
+            raise OSError("reset")
+        return super().page(app_id, cursor)
+
+
+def test_reader_retries_and_spaces_requests(monkeypatch):
+    data = json.dumps({"pages": {"1": {"*": {"reviews": [review_json(1, 1)], "cursor": "b"}}}, "summaries": {}})
+    waited = []
+    monkeypatch.setattr("millrace.sources.http.time.sleep", waited.append)
+    reader = ReviewPagesReader({"client": "tests.test_ingest:FlakyClient", "client.data": data, "apps": "[[1, null]]", **EngineConfig(http_backoff_base_seconds=2.0, http_min_interval_seconds=5.0).as_options()})
+    limits = []
+    monkeypatch.setattr("millrace.sources.review_pages.RateLimiter", lambda interval: limits.append(interval))
+    assert [r[0] for r in reader.read(Apps([[1, None]], 3))] == [1]
+    assert limits == [15.0] and FlakyClient.calls == 6
+
+
+def test_limiter_keeps_threads_apart():
+    from concurrent.futures import ThreadPoolExecutor
+
+    t, passed = [0.0], []
+
+    def sleep(s):
+        t[0] += s
+
+    limiter = RateLimiter(0.5, lambda: t[0], sleep)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda _: limiter.wait() or passed.append(t[0]), range(8)))
+    assert t[0] == pytest.approx(3.5)
 
 
 def review_json(i, ts):
@@ -148,9 +221,8 @@ def test_review_load_is_all_or_nothing(spark, warehouse, tmp_path):
         },
         "summaries": {"1": {"query_summary": {"total_reviews": 110, "total_positive": 100}}},
     }
-    (tmp_path / "r.json").write_text(json.dumps(recorded))
-    client = {"client": "millrace.sources.review_pages:RecordedClient", "client.path": str(tmp_path / "r.json"), "backoff": "0"}
-    read = ingest.page_reader(spark, **client)
+    client = {"client": "millrace.sources.review_pages:RecordedClient", "client.data": json.dumps(recorded)}
+    read = ingest.page_reader(spark, QUICK, **client)
     ingest.ingest_census(warehouse, census(spark, (1, 110), (2, 400), (3, 0), (4, 20000)), NOW)
     m = ingest.ingest_reviews(spark, warehouse, read, EngineConfig(), NOW)
     assert (m.reviews_loaded, m.apps_backfilled, m.apps_incomplete) == (100, 2, 2)
@@ -160,10 +232,92 @@ def test_review_load_is_all_or_nothing(spark, warehouse, tmp_path):
     assert marks == {1: (True, 99), 2: (False, None), 3: (True, 0), 4: (False, None)}
     again = ingest.ingest_reviews(spark, warehouse, read, EngineConfig(), NOW)
     assert again.reviews_loaded == 0
+    assert len(list((tmp_path / "wh/raw/reviews/parts").iterdir())) == 1  # incomplete and staged rows are gone
     s = spark.read.format("review_pages").options(**client, apps="[[1, null], [9, null]]", mode="summary").load().orderBy("app_id").collect()
     assert [r["total_reviews"] for r in s] == [110, None]
 
 
+def loaded(warehouse):
+    return sorted((r["app_id"], r["recommendation_id"]) for r in warehouse.read("raw.reviews").collect())
+
+
+def test_a_crash_while_publishing_doubles_nothing(spark, warehouse, monkeypatch):
+    recorded = {"pages": {str(a): {"*": {"reviews": [review_json(i, i) for i in range(5)], "cursor": "b"}} for a in (1, 2)}, "summaries": {}}
+    read = ingest.page_reader(spark, QUICK, client="millrace.sources.review_pages:RecordedClient", **{"client.data": json.dumps(recorded)})
+    ingest.ingest_census(warehouse, census(spark, (1, 5), (2, 5)), NOW)
+    put = Warehouse._put
+
+    def crash(*a):
+        raise OSError("lost")
+
+    monkeypatch.setattr(Warehouse, "_put", crash)  # before the version is there: neither rows nor marks
+    with pytest.raises(OSError):
+        ingest.ingest_reviews(spark, warehouse, read, QUICK, NOW)
+    monkeypatch.setattr(Warehouse, "_put", put)
+    assert loaded(warehouse) == []
+    monkeypatch.setattr(ingest, "fold_marks", lambda w, real=ingest.fold_marks: crash() if w.read("raw.reviews").count() else real(w))
+    with pytest.raises(OSError):  # after it: rows and marks are both there
+        ingest.ingest_reviews(spark, warehouse, read, QUICK, NOW)
+    monkeypatch.undo()
+    assert len(loaded(warehouse)) == 10 and {r["app_id"] for r in ingest.marked_counts(warehouse).where("last_backfill_at IS NOT NULL").collect()} == {1, 2}
+    assert ingest.ingest_reviews(spark, warehouse, read, QUICK, LATER).reviews_loaded == 0
+    assert len(loaded(warehouse)) == 10 and warehouse.read("raw.review_marks").count() == 0
+
+
+def test_heavy_applications_load_side_by_side(spark, warehouse):
+    heavy = EngineConfig(heavy_review_threshold=3, stop_tolerance_min=0, stop_backoff_base_seconds=0.0, http_min_interval_seconds=0.0, http_backoff_base_seconds=0.0)
+    recorded = {"pages": {str(a): {"*": {"reviews": [review_json(i, i) for i in range(5)], "cursor": "b"}} for a in range(1, 7)}, "summaries": {}}
+    recorded["pages"]["3"]["*"]["reviews"][1].pop("timestamp_updated")  # its load fails, the others go on
+    read = ingest.page_reader(spark, heavy, client="millrace.sources.review_pages:RecordedClient", **{"client.data": json.dumps(recorded)})
+    ingest.ingest_census(warehouse, census(spark, *[(a, 5) for a in range(1, 7)]), NOW)
+    m = ingest.ingest_reviews(spark, warehouse, read, heavy, NOW)
+    assert (m.reviews_loaded, m.apps_backfilled) == (25, 5) and {a for a, _ in loaded(warehouse)} == {1, 2, 4, 5, 6}
+
+
+def test_versions_and_vacuum(spark, warehouse, tmp_path):
+    one = spark.createDataFrame([(1,)], "k bigint")
+    warehouse.create_if_absent("staging.a", one.schema), warehouse.create_if_absent("staging.b", one.schema)
+    part = warehouse.stage("staging.a", one)
+    warehouse.commit(Commit(added={"staging.a": [part], "staging.b": []}))
+    stale = warehouse.stage("staging.a", one)
+    assert warehouse.read("staging.a").count() == 1 and warehouse.vacuum(1.0) == 0 and warehouse.vacuum(-1.0) == 1
+    with pytest.raises(Exception):
+        warehouse.read_part("staging.a", stale).count()
+    version, state = warehouse.state()
+    assert not warehouse._put(version, state)  # a version is never overwritten
+    # another writer between our look and our rename: an addition is tried again, a replacement of a changed table is not
+    other, real = Warehouse(spark, warehouse.root), warehouse._put
+
+    def late(v, s, first=[True]):
+        if first.pop() if first else False:
+            other.append("staging.a", one)
+        return real(v, s)
+
+    warehouse._put = late
+    warehouse.append("staging.a", one)
+    assert warehouse.read("staging.a").count() == 3
+    late.__defaults__[0].append(True)
+    with pytest.raises(RuntimeError):
+        warehouse.overwrite("staging.a", one)
+
+
+def test_loads_are_nodes_of_the_graph(spark, warehouse, tmp_path):
+    for name, text in DUMPS.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    recorded = {
+        "pages": {"11": {"*": {"reviews": [review_json(i, i) for i in range(3)], "cursor": "b"}}},
+        "summaries": {"11": {"query_summary": {"total_reviews": 3, "total_positive": 2, "total_negative": 1}}, "40": {"query_summary": {"total_reviews": 0}}},
+    }
+    nodes = ingest.ingest_nodes(spark, QUICK, str(tmp_path), NOW, client="millrace.sources.review_pages:RecordedClient", **{"client.data": json.dumps(recorded)})
+    graph = nodes.merge(models.review_models(QUICK))
+    order = [n.name for n in graph.order()]
+    assert order.index("ingest_catalog") < order.index("ingest_census") < order.index("ingest_reviews") < order.index("reviews") < order.index("review")
+    report = graph.run(warehouse)
+    assert report.loaded["ingest_catalog"].rows_upserted == 3 and report.loaded["ingest_census"] == 3 and report.loaded["ingest_reviews"].reviews_loaded == 3
+    stats = {r["steam_app_id"]: r for r in warehouse.read("marts.game_stats").collect()}
+    assert stats[11]["pct_positive_reviews"] == 66.7 and stats[40]["total_reviews"] == 0
+
+
 def test_registry_builds_checks_and_selects(spark, warehouse):
     reg = models.review_models()
     order = [n.name for n in reg.order()]
@@ -194,3 +348,8 @@ def test_stream_upsert(spark, warehouse, tmp_path):
         src = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
         stream_upsert(spark, src, warehouse, "staging.s", ["k"], "at", f"{tmp_path}/cp").awaitTermination()
     assert sorted(map(tuple, warehouse.read("staging.s").collect())) == [(1, 2, 2), (2, 6, 2), (3, 7, 1)]
+    # an older row that comes late changes nothing
+    spark.createDataFrame([(1, 9, 1), (2, 9, 3), (3, 9, None)], schema).write.mode("append").parquet(f"{tmp_path}/in")
+    src = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+    stream_upsert(spark, src, warehouse, "staging.s", ["k"], "at", f"{tmp_path}/cp").awaitTermination()
+    assert sorted(map(tuple, warehouse.read("staging.s").collect())) == [(1, 2, 2), (2, 9, 3), (3, 7, 1)]
