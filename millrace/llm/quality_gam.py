@@ -12,9 +12,12 @@ Labels come from at most MAX_TRAIN rows (those with the least hash of their id,
 bound that the caller can set), all others are scored only. Ids, languages,
 sources and labels are never inputs of a score.
 
-Nulls are empty texts; those have a score too. Repeated labels of a document are
-averaged. Without labels every score is the prior of 0.5. Empty tables give empty
-results; other columns don't matter.
+Nulls are empty texts; those have a score too. Very long texts are counted whole.
+Repeated labels of a document are averaged; repeated rows and equal texts get equal
+scores; rows without an id are scored, never trained on. Ties: a score at the
+threshold is accepted, and equal gains split at the first place. Without labels
+every score is the prior of 0.5. Empty tables give empty results; other columns
+don't matter, and one named score is replaced.
 """
 
 from __future__ import annotations

@@ -165,3 +165,14 @@ def test_url_rules(spark):
 
 def test_op4_oracle(spark):
     compare(QUERIES["op4_url_filters"](spark, "/root/testdata/sf0.01"), ORACLES["op4_url_filters"], "/root/testdata/sf0.01")
+
+
+def test_url_rules_with_odd_ids_and_long_urls(spark):
+    long = "http://" + "a." * 20_000 + "com/en/" + "x/" * 50_000
+    rows = [(1, "http://x.com/en/1"), (1, "http://fine.com/"), (None, "http://x.com/en/1"), (None, None), (2, long)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string")
+    table = spark.createDataFrame([(r.host, r.path, r.verdict) for r in RULES], "host string, path string, verdict string")
+    want = sorted((i or 0, *brute(u)) for i, u in rows)
+    for out in (judge_urls(df, RULES), join_rules(df.where("page_id IS NULL OR page_id < 2"), table)):
+        got = sorted((r[0] or 0, *r[1:]) for r in out.collect())
+        assert got == [w for w in want if len(got) == 5 or w[0] < 2]

@@ -170,3 +170,13 @@ def test_recall_with_scattered_edits(spark, share, least):
     found = sum(got[i] == got[i + 1] for i in pairs)
     print(f"aligned at {share}: {found} of {len(pairs)}")
     assert len(pairs) == 60 and found >= least * 60
+
+
+def test_regular_edits_meet():
+    """Every tenth word replaced: a pair that aligns at 0.9 shares a tuple."""
+    rnd, texts = random.Random(5), []
+    for _ in range(60):
+        base = [f"u{rnd.randrange(10**6)}" for _ in range(300)]
+        texts += [" ".join(base), " ".join(f"e{rnd.randrange(10**6)}" if i % 10 == 0 else w for i, w in enumerate(base))]
+    _, bands = sketched(texts)
+    assert sum(bool(bands[i] & bands[i + 1]) for i in range(0, 120, 2)) >= 57
