@@ -158,11 +158,6 @@ def levels(calls: DataFrame) -> DataFrame:
     return calls.select("call_id").join(done, "call_id", "left").join(missing, "call_id", "left").select("call_id", "level", F.coalesce("n_missing", F.lit(0)).alias("n_missing"))
 
 
-def canonical_json(text: Column) -> Column:
-    """A JSON text with sorted keys and no blanks."""
-    return F.to_json(F.try_parse_json(text))
-
-
 def link(calls: DataFrame, results: DataFrame, tools: dict[str, list[Field]], context: DataFrame | None = None) -> DataFrame:
     """One row per call id, and per id and role of context: call_id, turn, name, level, n_missing, n_calls, n_results, status, problems and json.
 
