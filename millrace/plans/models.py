@@ -10,7 +10,7 @@ from millrace.functions.numeric import exact_ratio, flag_rate
 from millrace.functions.text import char_length, has_any_glyph
 from millrace.operators.quality import Check
 from millrace.operators.ranking import top_n_wide
-from millrace.plans.registry import Node, Registry
+from millrace.plans.registry import Node, Registry, database_for
 from millrace.schemas import PAYLOAD_FIELDS
 from millrace.session import EngineConfig
 
@@ -135,19 +135,20 @@ def _not_null(table: str, *columns: str) -> tuple[Check, ...]:
     return tuple(Check(table, "not_null", (c,)) for c in columns)
 
 
-def review_models(config: EngineConfig = EngineConfig()) -> Registry:
-    """All layers over the three raw tables; raw nodes carry the source checks."""
+def review_models(config: EngineConfig = EngineConfig(), databases: dict[str, str] | None = None) -> Registry:
+    """All layers over the three raw tables; raw nodes carry the source checks. databases renames the database of a layer's folder."""
     pair = ("recommendation_id", "app_id")
+    staging, intermediate, marts = (database_for(folder, (databases or {}).get(folder)) for folder in ("staging", "intermediate", "marts"))
     return Registry(
         [
             Node("catalog_games", "raw", produced_by="ingest_catalog", checks=(Check("catalog_games", "unique", ("igdb_id",)), *_not_null("catalog_games", "igdb_id"))),
             Node("review_counts", "raw", produced_by="ingest_census", checks=(Check("review_counts", "unique", ("app_id",)), *_not_null("review_counts", "app_id"))),
             Node("reviews", "raw", produced_by="ingest_reviews", checks=(Check("reviews", "unique_combination", pair, severity="warn"), *_not_null("reviews", *pair, "timestamp_updated"))),
-            Node("game", "staging", lambda d: game(d["catalog_games"]), ("catalog_games",)),
-            Node("game_review_count", "staging", lambda d: game_review_count(d["review_counts"]), ("review_counts",)),
+            Node("game", staging, lambda d: game(d["catalog_games"]), ("catalog_games",)),
+            Node("game_review_count", staging, lambda d: game_review_count(d["review_counts"]), ("review_counts",)),
             Node(
                 "review",
-                "staging",
+                staging,
                 lambda d: review(d["reviews"], config),
                 ("reviews",),
                 (
@@ -155,9 +156,9 @@ def review_models(config: EngineConfig = EngineConfig()) -> Registry:
                     *_not_null("review", *pair, "is_generic", "voted_up", "created_at", "updated_at"),
                 ),
             ),
-            Node("review_agg", "intermediate", lambda d: review_agg(d["review"]), ("review",)),
-            Node("game_stats", "marts", lambda d: game_stats(d["game"], d["game_review_count"], d["review_agg"]), ("game", "game_review_count", "review_agg")),
-            Node("review_highlight", "marts", lambda d: review_highlight(d["review"], config), ("review",)),
-            Node("game_review_trend_daily", "marts", lambda d: daily_trend(d["review"], "app_id", "created_at", "voted_up"), ("review",)),
+            Node("review_agg", intermediate, lambda d: review_agg(d["review"]), ("review",)),
+            Node("game_stats", marts, lambda d: game_stats(d["game"], d["game_review_count"], d["review_agg"]), ("game", "game_review_count", "review_agg")),
+            Node("review_highlight", marts, lambda d: review_highlight(d["review"], config), ("review",)),
+            Node("game_review_trend_daily", marts, lambda d: daily_trend(d["review"], "app_id", "created_at", "voted_up"), ("review",)),
         ]
     )

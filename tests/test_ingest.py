@@ -337,6 +337,7 @@ def test_registry_builds_checks_and_selects(spark, warehouse):
     with pytest.raises(ValueError):
         reg.add(Node("game", "staging"))
     assert database_for("a/b") == "a_b" and database_for("a", " c ") == "c"
+    assert models.review_models(databases={"marts": "gold"}).nodes["game_stats"].table == "gold.game_stats"
     assert Check("t", "unique", ("a",), error_above=10000).status(10001) == "error"
 
 
