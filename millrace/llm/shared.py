@@ -15,15 +15,19 @@ from pyspark.sql import functions as F
 
 #: Most bytes of a batch that goes to a Python worker, however long its texts are.
 BATCH_BYTES = "16m"
+#: Workers stay between tasks: arrays of 4 MB or more go back to the system when they are freed, batches at once.
+WORKER_ENV = {"MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(4 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
 
 def importable(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it (on a cluster, ship it with --py-files), and bound their batches."""
+    """Let Python workers import this package from where the driver has it (on a cluster, ship it with --py-files), and bound their memory."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+    for name, value in WORKER_ENV.items():
+        env.setdefault(name, value)
     return spark
 
 
