@@ -337,12 +337,14 @@ def verify(docs: DataFrame, text_col: str, pairs: DataFrame) -> DataFrame:
 def match_blocks(docs: DataFrame, text_col: str, hot: DataFrame, decided: DataFrame, limits: Limits) -> DataFrame:
     """Distinct (row, line) of lines that have a match on a long list and none before; every task holds two blocks of a list at most."""
     flagged = hot.join(decided.withColumn("done", F.lit(True)), ["row", "line"], "left").withColumn("open", F.col("more") & F.col("done").isNull()).drop("done", "more")
-    live = flagged.groupBy("word").agg(F.bool_or("open").alias("any")).where("any").select("word")
+    # tables of one row a word are stored, so that the joins with them can be split where a word is hot
+    live = stored(flagged.groupBy("word").agg(F.bool_or("open").alias("any")).where("any").select("word"), "open-words")
     flagged = stored(flagged.join(live, "word"), "open-lists")
     ends = stored(flagged.select("row", "line").distinct(), "open-lines")
     lines = fetch_lines(docs, text_col, ends)
     listed = stored(flagged.join(lines, ["row", "line"]), "listed-lines")
-    blocks = listed.groupBy("word").agg(F.ceil(F.greatest(F.count(F.lit(1)) / limits.block, F.sum(F.octet_length("text")) / limits.block_bytes, F.lit(1.0))).cast("int").alias("blocks"))
+    count = F.ceil(F.greatest(F.count(F.lit(1)) / limits.block, F.sum(F.octet_length("text")) / limits.block_bytes, F.lit(1.0))).cast("int")
+    blocks = stored(listed.groupBy("word").agg(count.alias("blocks")), "open-blocks")
     own = F.pmod(F.xxhash64("row", "line"), F.col("blocks")).cast("int")
     dealt = listed.join(blocks, "word").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("word", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "row", "line", "size", "pos", "bits0", "bits1", "open", "text")
@@ -371,7 +373,7 @@ def match_blocks(docs: DataFrame, text_col: str, hot: DataFrame, decided: DataFr
             yield pa.RecordBatch.from_arrays([pa.array(row[hit]), pa.array(line[hit])], ["row", "line"])
 
     out = stored(dealt.repartition("word", "lo", "hi").groupBy("word", "lo", "hi").applyInArrow(run, "row bigint, line int").distinct(), "lines-matched")
-    discard(flagged, ends, lines, listed)
+    discard(live, flagged, ends, lines, listed, blocks)
     return out
 
 
