@@ -345,7 +345,8 @@ def cross_links(docs: DataFrame, text_col: str, members: DataFrame, labels: Data
     named = members.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
     named = stored(named.join(reps.select("row", "size"), "row"), "bucket-members")
     count = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_BYTES)).cast("int")
-    mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), count.alias("blocks")).where("lo <> hi").select("bucket", F.greatest("blocks", F.lit(1)).alias("blocks"))
+    mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), count.alias("blocks")).where("lo <> hi")
+    mixed = stored(mixed.select("bucket", F.greatest("blocks", F.lit(1)).alias("blocks")), "bucket-blocks")  # stored, so that the join can be split where a bucket is hot
     rows = stored(named.join(mixed, "bucket").drop("size"), "mixed-buckets")
     ends = stored(rows.groupBy("row").agg(F.collect_list("bucket").alias("shared")), "mixed-rows")  # BANDS at most
     texts = texts_of(docs, text_col, ends)
@@ -360,7 +361,7 @@ def cross_links(docs: DataFrame, text_col: str, members: DataFrame, labels: Data
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     out = stored(dealt.repartition("bucket", "b1", "b2").groupBy("bucket", "b1", "b2").applyInArrow(run, "a bigint, b bigint"), "links")
-    discard(named, rows, ends, texts)
+    discard(named, mixed, rows, ends, texts)
     return out
 
 
