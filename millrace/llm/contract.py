@@ -72,7 +72,23 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), [Rule.parse(t, v) for t, v in URL_RULES])
 
 
-@query()
+@query(
+    r"""WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
+    lines AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS no FROM split),
+    sets AS (SELECT row_number() OVER (ORDER BY doc_id, no) AS id, doc_id, no, line,
+      list_distinct(list_filter(regexp_split_to_array(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\r\f\x0b]+'), lambda x: x <> '')) AS w FROM lines),
+    words AS (SELECT id, len(w) AS n, unnest(w) AS word FROM sets),
+    freq AS (SELECT word, count(*) AS f FROM words GROUP BY 1),
+    ranked AS (SELECT id, n, word, row_number() OVER (PARTITION BY id ORDER BY f, word) AS pos FROM words JOIN freq USING (word)),
+    prefix AS (SELECT id, n, word FROM ranked WHERE pos <= n - (4 * n + 4) // 5 + 1),
+    pairs AS (SELECT DISTINCT a.id AS a, b.id AS b FROM prefix a JOIN prefix b ON a.word = b.word AND a.id < b.id AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+    common AS (SELECT p.b, len(x.w) + len(y.w) AS n, len(list_intersect(x.w, y.w)) AS i FROM pairs p JOIN sets x ON x.id = p.a JOIN sets y ON y.id = p.b),
+    gone AS (SELECT DISTINCT b AS id FROM common WHERE 5 * i >= 4 * (n - i)),
+    left_over AS (SELECT doc_id, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(g.id) AS INTEGER) AS n_removed,
+      coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (WHERE g.id IS NULL), '') AS rest FROM sets s LEFT JOIN gone g ON g.id = s.id GROUP BY 1)
+    SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, CAST(strlen(rest) AS BIGINT) AS n_bytes_left, sha256(rest) AS text_sha256
+    FROM documents d LEFT JOIN left_over USING (doc_id)"""
+)
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.line_dedup import dedup_lines
 

@@ -123,3 +123,10 @@ def test_sets_of_more_lines_than_a_key_holds(monkeypatch):
     for x, y in zip(want, line_sets(w, codes)):
         assert sorted(x.tolist()) == sorted(y.tolist())
     assert (want[1] == line_sets(w, codes)[1]).all() and (want[2] == line_sets(w, codes)[2]).all()
+
+
+def test_oracle(spark):
+    from millrace.llm.contract import ORACLES, QUERIES
+    from tests.oracle import compare
+
+    compare(QUERIES["op9_line_dedup"](spark, "/root/testdata/sf0.01"), ORACLES["op9_line_dedup"], "/root/testdata/sf0.01")
