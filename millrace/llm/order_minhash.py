@@ -63,6 +63,8 @@ _ODD = (mix(np.arange(BANDS, dtype=np.uint64), 78) >> np.uint64(32)).astype(np.u
 _ROWS = np.arange(BANDS)
 #: k-mers hashed at a time (bounds memory for very long texts).
 STRIDE = 1 << 14
+#: Words of a text whose places are kept as bits of one number at a time.
+WIDE = 1 << 14
 
 
 def grams(h: np.ndarray, k: int) -> np.ndarray:
@@ -211,23 +213,71 @@ def in_common(a: np.ndarray, b: np.ndarray, need: np.ndarray) -> np.ndarray:
     return (np.minimum(a, b).sum(-1, dtype=np.int64) >= need) | ((a == 255) & (b == 255)).any(-1)
 
 
-def aligned(a: list, b: list) -> bool:
-    """Whether an alignment of two lists of words (or of their hashes) within the band matches 4/5 of the longer one.
+def places(a: list) -> dict:
+    """The places of each word of a, as bits of one number."""
+    at: dict = {}
+    for i, w in enumerate(a):
+        at[w] = at.get(w, 0) | 1 << i
+    return at
 
-    A sufficient alignment leaves at most n + m - 2 * need words unmatched, so it
-    stays that close to the diagonal. The longest common subsequence within the
-    band is found with one bit per word of a: each word of b updates all of a row's
-    bits at once.
+
+def matched(a: list, b: list) -> int:
+    """Length of the longest common subsequence, with one bit per word of a: each word of b updates all bits of a row at once.
+
+    A long a is cut into stretches of WIDE words; what a row carries from one into
+    the next is kept, so memory follows the lengths, not their product.
     """
-    n, m = len(a), len(b)
-    need = -(-NUM * max(n, m) // DEN)
-    band = n + m - 2 * need
-    if min(n, m) < need:
-        return False
-    lo = 0
+    total, carried = 0, bytearray(len(b))
+    for lo in range(0, len(a), WIDE):
+        part = a[lo : lo + WIDE]
+        at, size, last = places(part), len(part), lo + WIDE >= len(a)
+        free = full = (1 << size) - 1
+        for j, w in enumerate(b):
+            hits = at.get(w, 0)
+            if hits or carried[j]:
+                use = free & hits
+                row = free + use + carried[j]
+                carried[j] = 0 if last else row >> size
+                free = (row | free ^ use) & full
+        total += size - free.bit_count()
+    return total
+
+
+class Aligner:
+    """One text, as a list of words or of their hashes, against many others."""
+
+    def __init__(self, a: list):
+        self.a, self.at = a, places(a) if len(a) <= WIDE else None
+
+    def matches(self, b: list) -> bool:
+        """Whether an alignment matches 4/5 of the longer text.
+
+        A sufficient one leaves at most n + m - 2 * need words unmatched, so it stays
+        in a band of that width around the diagonal; as only its length decides, the
+        band needs no bookkeeping.
+        """
+        n, m = len(self.a), len(b)
+        need = -(-NUM * max(n, m) // DEN)
+        if min(n, m) < need:
+            return False
+        if self.at is None:
+            return _long_match(self.a, b, need)
+        get = self.at.get
+        rows = [x for x in [get(w, 0) for w in b] if x]
+        if len(rows) < need:
+            return False
+        free = full = (1 << n) - 1
+        for hits in rows:
+            use = free & hits
+            free = free + use | free ^ use  # bits beyond the last word do no harm
+        return n - (free & full).bit_count() >= need
+
+
+def _long_match(a: list, b: list, need: int) -> bool:
+    """Equal beginnings and ends need no table."""
+    n, m, lo, hi = len(a), len(b), 0, 0
     while lo < min(n, m) and a[lo] == b[lo]:
         lo += 1
-    hi = 0
     while hi < min(n, m) - lo and a[n - 1 - hi] == b[m - 1 - hi]:
         hi += 1
     need -= lo + hi
@@ -235,20 +285,12 @@ def aligned(a: list, b: list) -> bool:
         return True
     a, b = a[lo : n - hi], b[lo : m - hi]
     known = set(a)
-    if sum(w in known for w in b) < need:
-        return False
-    at: dict = {}
-    for i, w in enumerate(a):
-        at[w] = at.get(w, 0) | 1 << i
-    full = free = (1 << len(a)) - 1
-    window = (1 << (2 * band + 1)) - 1
-    for j, w in enumerate(b):
-        hits = at.get(w, 0)
-        if hits:
-            hits &= window << (j - band) if j >= band else window >> (band - j)
-            use = free & hits
-            free = ((free + use) | (free - use)) & full
-    return len(a) - free.bit_count() >= need
+    return sum(w in known for w in b) >= need and matched(a, b) >= need
+
+
+def aligned(a: list, b: list) -> bool:
+    """Aligner(a).matches(b)."""
+    return Aligner(a).matches(b)
 
 
 def texts_of(docs: DataFrame, text_col: str, ends: DataFrame) -> DataFrame:
@@ -328,9 +370,9 @@ def linked_in_block(t: pa.Table) -> list[tuple[int, int]]:
             near[others] = False
         j = np.flatnonzero(near)
         j = j[in_common(bins[j], bins[i][None], -(-NUM * np.maximum(n[j], n[i]) // DEN))]
-        mine = text(i) if len(j) else []
+        mine = Aligner(text(i)) if len(j) else None
         for k in j:
-            if label[k] != label[i] and aligned(mine, text(k)):
+            if label[k] != label[i] and mine.matches(text(k)):
                 label[label == label[k]] = label[i]
                 links.append((int(row[i]), int(row[k])))
     return links

@@ -31,7 +31,9 @@ def lcs(a, b):
     return row[-1]
 
 
-def test_alignment_like_dynamic_programming():
+@pytest.mark.parametrize("wide", [1 << 14, 4, 1])
+def test_alignment_like_dynamic_programming(monkeypatch, wide):
+    monkeypatch.setattr(m, "WIDE", wide)
     rnd = random.Random(4)
     for _ in range(600):
         a = rnd.choices("abcdefgh", k=rnd.randint(0, 30))
@@ -39,7 +41,7 @@ def test_alignment_like_dynamic_programming():
         for _ in range(rnd.randint(0, 9)):
             k = rnd.randrange(len(b) + 1)
             b[k : k + rnd.randint(0, 2)] = rnd.choices("abcdefgh", k=rnd.randint(0, 2))
-        assert aligned(a, b) == (5 * lcs(a, b) >= 4 * max(len(a), len(b)))
+        assert aligned(a, b) == (5 * lcs(a, b) >= 4 * max(len(a), len(b))) and m.matched(a, b) == lcs(a, b)
 
 
 def test_order_matters_and_occurrences_count():
