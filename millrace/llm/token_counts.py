@@ -211,7 +211,8 @@ def count_tokens(docs: DataFrame, path: str, cache_path: str | None = None, id_c
     spark, keep = docs.sparkSession, [c for c in keep if c not in (id_col, "n_bytes", "n_tokens")]
     cache = open_cache(spark, cache_path or new_path(spark, "token-counts"), path)
     fill(docs, path, cache, text_col)
-    counts = cache.read().groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))  # writers at the same time may have stored one twice
+    # writers at the same time may have stored a digest twice; the sums are stored, so that the join can be split where a digest is hot
+    counts = stored(cache.read().groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "counts")
     text, counts = text_or_empty(text_col), counts.select(F.col("digest").alias("_digest"), F.col("n_tokens").alias("_n_tokens"))
     rows = docs.select(id_col, *keep, F.octet_length(text).cast("bigint").alias("_n_bytes"), digest(text).alias("_digest"))
     named = [F.col("_n_bytes").alias("n_bytes"), F.col("_n_tokens").alias("n_tokens")]
