@@ -1,8 +1,8 @@
 """Words of whole batches from their UTF-8 bytes, without a Python string per word.
 
 A word is a run of bytes other than ASCII white space, with A-Z lower-cased, as
-bytes.lower().split() gives it. Its hash is a polynomial of its bytes modulo 2^64,
-from one running sum over the batch, then mixed with its length.
+bytes.lower().split() gives it. Its hash takes eight bytes of it at a time, for all
+words at once, and its length.
 """
 
 from __future__ import annotations
@@ -12,34 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SEGMENT = 1 << 20
-_BASE = 0x9E3779B97F4A7C15 | 1
-_VALUE = np.arange(256, dtype=np.uint64)
-_VALUE[65:91] += 32
-_VALUE += np.uint64(1)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.empty(n, np.uint64)
-    out[0], have, step = 1, 1, base & 0xFFFFFFFFFFFFFFFF
-    with np.errstate(over="ignore"):
-        while have < n:  # doubling: the second half is the first times base^have
-            k = min(have, n - have)
-            out[have : have + k] = out[:k] * np.uint64(step)
-            have, step = have + k, step * step & 0xFFFFFFFFFFFFFFFF
-    return out
-
-
-class _Powers:
-    """Powers of the base and of its inverse, as far as they were needed."""
-
-    up = down = np.empty(0, np.uint64)
-
-    @classmethod
-    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            cls.up, cls.down = _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
-        return cls.up, cls.down
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_ODD1, _ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 @dataclass
@@ -65,22 +39,29 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    out = np.empty(len(start), np.uint64)
-    at = 0
+    low = np.zeros(len(raw) + 8, np.uint8)
+    np.multiply(raw - np.uint8(65) < 26, np.uint8(32), out=low[: len(raw)])
+    low[: len(raw)] += raw
+    eight = np.ndarray((len(raw) + 1,), "<u8", low, 0, (1,))  # the eight bytes from each place on
+    size = end - start
     with np.errstate(over="ignore"):
-        while at < len(start):
-            lo = start[at]
-            to = max(at + 1, int(np.searchsorted(end, lo + SEGMENT, "right")))
-            hi = end[to - 1]
-            up, down = _Powers.of(int(hi - lo) + 1)
-            sums = np.zeros(hi - lo + 1, np.uint64)
-            np.cumsum(_VALUE[raw[lo:hi]] * up[: hi - lo], out=sums[1:])
-            s, e = start[at:to] - lo, end[at:to] - lo
-            h = (sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)
-            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-            out[at:to] = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-            at = to
-    return out ^ (out >> np.uint64(32))
+        h = size.astype(np.uint64) * _ODD1
+        h ^= eight[start] & _MASK[np.minimum(size, 8)]
+        h *= _ODD2
+        h ^= h >> np.uint64(32)
+        more, at = np.flatnonzero(size > 8), 8
+        while len(more):
+            x = h[more]
+            x ^= eight[start[more] + at] & _MASK[np.minimum(size[more] - at, 8)]
+            x *= _ODD2
+            x ^= x >> np.uint64(29)
+            h[more] = x
+            at += 8
+            more = more[size[more] > at]
+        h *= _ODD1
+        h ^= h >> np.uint64(32)
+        h *= _ODD2
+    return h ^ (h >> np.uint64(32))
 
 
 def words(column: pa.Array) -> Words:

@@ -203,7 +203,7 @@ def send_lines(docs: DataFrame, text_col: str, sketch: Sketch) -> DataFrame:
 
 def may_match(size: np.ndarray, pos: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Length, positional and bit filters for pairs (i, j); a bit that only one set has stands for a word that only it has."""
-    a, b = size[i].astype(np.int64), size[j].astype(np.int64)
+    a, b = size[i], size[j]
     need = overlap_needed(a, b)
     ok = (np.minimum(a, b) * DEN >= np.maximum(a, b) * NUM) & (np.minimum(a - pos[i], b - pos[j]) >= need)
     at = np.flatnonzero(ok)
@@ -241,7 +241,8 @@ def meeting(limits: Limits):
         lists, copies = lists[order], copies[order]
         first = np.r_[True, (lists[1:] != lists[:-1]) | (copies[1:] != copies[:-1])]
         kept = order[first]
-        word, row, number, size, pos, bits = word[kept], row[kept], number[kept], size[kept], pos[kept], np.stack([b0[kept], b1[kept]])
+        word, row, number, size, pos = word[kept], row[kept], number[kept], size[kept].astype(np.int64), pos[kept].astype(np.int64)
+        bits = np.stack([b0[kept], b1[kept]])
         del lists, copies, order, kept, b0, b1, digest
         start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
         length = np.diff(np.r_[start, len(word)])
@@ -266,7 +267,7 @@ def meeting(limits: Limits):
         while len(active):
             shift += 1
             active = active[active - shift >= begin[active]]
-            active = active[size[active - shift].astype(np.int64) * DEN >= size[active].astype(np.int64) * NUM]
+            active = active[size[active - shift] * DEN >= size[active] * NUM]
             if len(active):
                 yield from pairs(active - shift, active)
         long = length > limits.short_list
