@@ -4,7 +4,8 @@ import re
 import pytest
 
 from millrace.llm.contract import QUERIES
-from millrace.llm.templates import NUM, UNIT, UNITS, Tokens, canonical, leaks, mark_leaks
+from millrace.llm import templates as tp
+from millrace.llm.templates import NUM, UNIT, UNITS, canonical, codes, leaks, mark_leaks
 
 ITEM = "Alice walked 12 km to the market and bought 12 apples from Bob Smith before the old clock struck again"
 
@@ -62,7 +63,7 @@ def test_reparameterised_questions(spark):
 
 
 def test_kinds():
-    kind, _, _, at, raw = canonical(["It took 5km, or 3 hours, not twelve days."], Tokens())
+    kind, _, _, at, raw = canonical(["It took 5km, or 3 hours, not twelve days."])
     assert kind.tolist() == [0, 0, NUM, UNIT, 0, NUM, UNIT, 0, NUM, UNIT]
 
 
@@ -198,3 +199,31 @@ def test_names_and_slots_like_brute_force(spark, seed):
                 want[d].append(i)
     got = run(spark, docs, [(i, " ".join(t)) for i, t in enumerate(items)])
     assert got == want and 20 < sum(map(bool, want.values())) < 60
+
+
+def plain_flags(raw):
+    """Flags of a token by plain string functions."""
+    bare = tp.OUTER.sub("", raw)
+    word = bare.lower()
+    number = bool(tp.NUMBER.fullmatch(bare)) or word in tp.NUMBER_WORDS
+    m = tp.JOINED.fullmatch(bare)
+    joined = not number and bool(m) and m[2].lower() in UNITS
+    capital = bool(bare) and not number and not joined and bare[0].isupper()
+    return not bare, number and bool(bare), joined, capital, capital and bare[1:].islower(), word in UNITS, raw[-1] in ".!?:;"
+
+
+def test_codes_like_plain_strings(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    odd = "5km 12kg +5 -5 -5km ²x ½ 5² one, zwei. ZWEI (seven) _a_ __ -- é É. Éa ÉA a1 1a 1a. 5. 5, 5% 12:30 1/2 km. Km KM! '' ... x² ²³ ٣ ٣km McDonald O'Brien NASA. word;: (word) «mot» ’s A Ab. aB DŽ Dža ß ẞ i̇".split()
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    words = sorted({w for t in texts for w in (t or "").split()} | set(odd))
+    got = codes(pa.array(words))
+    for k, bit in enumerate((tp._EMPTY, tp._NUM, tp._JOINED, tp._CAPITAL, tp._TITLE, tp._UNIT, tp._END)):
+        have = ((got & bit) != 0).tolist()
+        assert [w for w, h in zip(words, have) if h != plain_flags(w)[k]] == [], k
+    by = {}
+    for w, h in zip(words, (got & tp._HASH).tolist()):
+        assert by.setdefault(tp.OUTER.sub("", w).lower(), h) == h
+    assert len(set(by.values())) == len(by) and np.unique(got).size > 100
