@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+SEGMENT = 1 << 20
 _MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _ODD1, _ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -39,6 +40,17 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words that lie between start and end; a segment of the bytes is copied at a time."""
+    out, at = np.empty(len(start), np.uint64), 0
+    while at < len(start):
+        to = max(at + 1, int(np.searchsorted(end, start[at] + SEGMENT, "right")))
+        lo = start[at]
+        out[at:to] = _segment_hashes(raw[lo : end[to - 1]], start[at:to] - lo, end[at:to] - lo)
+        at = to
+    return out
+
+
+def _segment_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     low = np.zeros(len(raw) + 8, np.uint8)
     np.multiply(raw - np.uint8(65) < 26, np.uint8(32), out=low[: len(raw)])
     low[: len(raw)] += raw
