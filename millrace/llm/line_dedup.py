@@ -53,7 +53,7 @@ from millrace.llm.shared import discard, numbered, stored
 NUM, DEN = 4, 5
 CELLS, BITS, CHUNKS = 1 << 20, 1 << 25, 64
 #: Bytes of text handled at a time; bounds a task's memory.
-SLICE = 2_000_000
+SLICE = 1_000_000
 #: Smallest set that can be similar to a different one.
 LEAST = -(-NUM // (DEN - NUM))
 #: Lines of a slice whose number fits a sort key.

@@ -34,7 +34,7 @@ def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
 class Packer:
     """Buffers records of one kind and cuts them into a block per target."""
 
-    def __init__(self, kind: int, targets: int, limit: int = 1 << 19):
+    def __init__(self, kind: int, targets: int, limit: int = 1 << 18):
         self.kind, self.targets, self.limit = kind, targets, limit
         self.held: list[tuple[np.ndarray, ...]] = []
         self.n = 0

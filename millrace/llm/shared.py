@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 #: Most bytes of a batch that goes to a Python worker, however long its texts are.
 BATCH_BYTES = "16m"
 #: Workers stay between tasks: arrays of 4 MB or more go back to the system when they are freed, batches at once.
-WORKER_ENV = {"MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(4 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
+WORKER_ENV = {"MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(4 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
 
 def importable(spark: SparkSession) -> SparkSession:
