@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-#: Most bytes of a batch that goes to a Python worker, however long its texts are.
-BATCH_BYTES = "16m"
+#: Most bytes of a batch that goes to a Python worker, however long its texts are. Each task's buffer for it lies outside
+#: the JVM's heap and is freed by a later garbage collection of the executor, so many tasks' buffers add up.
+BATCH_BYTES = "2m"
 #: Workers stay between tasks: arrays of 4 MB or more go back to the system when they are freed, batches at once.
 WORKER_ENV = {"MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(4 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
