@@ -7,6 +7,8 @@ words at once, and its length.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -97,3 +99,18 @@ def words(column: pa.Array) -> Words:
     first_line = before + np.arange(n_texts)
     line_text = np.repeat(np.arange(n_texts), lines)
     return Words(word_hashes(raw, start, end), text, passed + text, line_text, np.arange(len(line_text)) - first_line[line_text])
+
+
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def word_lists(raw: bytes, most: int = SEGMENT) -> Iterator[list[bytes]]:
+    """The words of a text as they are, in lists from about `most` bytes each: a very long text never lies in memory as words."""
+    at = 0
+    while len(raw) - at > most:
+        cut = _SPACE.search(raw, at + most)
+        if cut is None:
+            break
+        yield raw[at : cut.start()].split()
+        at = cut.end()
+    yield (raw[at:] if at else raw).split()

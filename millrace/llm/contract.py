@@ -155,3 +155,65 @@ def op7_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     calls, results, context = conversation_calls(table(spark, sf_dir, "conversations"))
     return link(calls, results, TOOLS, context)
+
+
+#: Masks of the five filters in SQL; all that follows is sums over them.
+_MASKS = r"""words AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+      list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+    copies AS (SELECT text, min(doc_id) AS least FROM words GROUP BY 1),
+    masks AS (SELECT doc_id, part, CAST(len(w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+      + 4 * CAST(100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text) AS INT)
+      + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(doc_id > least, false) AS INT) AS m FROM words JOIN copies USING (text))"""
+
+
+@query(
+    f"""WITH {_MASKS},
+    known AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS q, max(CAST(toxic = 1 AS INT)) AS x FROM labels GROUP BY 1),
+    hist AS (SELECT part, m, count(*) AS n, count(*) FILTER (WHERE q = 1) AS good, count(*) FILTER (WHERE x = 1) AS bad FROM masks LEFT JOIN known USING (doc_id) GROUP BY 1, 2),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS bit),
+    orders AS (SELECT a.l || b.l || c.l || d.l || e.l AS o, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits FROM letters a, letters b, letters c, letters d, letters e
+      WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+    steps AS (SELECT o, s, bits[s] AS bit, CAST(coalesce(list_sum(bits[1:s - 1]), 0) AS INT) AS before FROM orders, (SELECT unnest(range(1, 6)) AS s)),
+    found AS (SELECT part, o, s, bit, sum(n) FILTER (WHERE m & (before | bit) = 0) AS kept, sum(n) FILTER (WHERE m & before = 0 AND m & bit > 0) AS removed,
+      sum(n) FILTER (WHERE m & before > 0 AND m & bit > 0) AS redundant, sum(n) FILTER (WHERE m = bit) AS unique_fails,
+      sum(good) FILTER (WHERE m & before = 0 AND m & bit > 0) AS good_lost, sum(bad) FILTER (WHERE m & before = 0 AND m & bit > 0) AS toxic_lost FROM hist, steps GROUP BY 1, 2, 3, 4)
+    SELECT part, o AS filter_order, CAST(s AS INT) AS step, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"))},
+      CAST(coalesce(sum(removed) OVER (PARTITION BY part, bit), 0) AS BIGINT) AS shapley FROM found"""
+)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.filter_audit import audit, mask_histograms
+
+    return audit(mask_histograms(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+#: crc32 of the digits of an id, a bit at a time (DuckDB has no crc32).
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, [CAST(ascii(c) AS BIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT FOR i IN range(8)]), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+@query(
+    rf"""WITH h AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda w: w <> '') AS v, {_CRC} AS h FROM documents),
+    a AS (SELECT doc_id, v, h, len(v) AS n, CASE WHEN len(v) > 0 THEN h // 10 % len(v) END AS a, 3 + h // 10 % 8 AS e FROM h),
+    w AS (SELECT doc_id, CASE WHEN h % 10 = 0 AND n > 0 THEN v[:a] || [v[a + 1 + i % (1 + (n - a) // e)] FOR i IN range(n - a)] ELSE v END AS w FROM a),
+    words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i, len(w) AS n FROM w),
+    same AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND y.i - x.i <= x.n // 3),
+    isles AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS len FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM same) GROUP BY doc_id, q, k HAVING count(*) + q >= greatest(24, 3 * q)),
+    runs AS (SELECT doc_id, s, len, min(q) AS q FROM isles GROUP BY 1, 2, 3),
+    told AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+      list({{'s': s, 'len': len, 'q': q}} ORDER BY CAST(len AS DOUBLE) / q DESC, s, q)[1] AS b FROM runs GROUP BY 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM runs),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS rest FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(b.s AS BIGINT) AS start, CAST(b.len AS BIGINT) AS length, CAST(b.q AS BIGINT) AS period, CAST(1000 * b.len // b.q AS BIGINT) AS exponent_milli,
+      sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256 FROM documents LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+)
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.periodic_runs import mark_runs, planted, run_digests
+
+    return run_digests(mark_runs(table(spark, sf_dir, "documents"), prepare=planted))
+
+
+@query()
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
