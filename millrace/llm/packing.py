@@ -42,8 +42,8 @@ from millrace.llm.bytewords import SEGMENT, word_lists
 from millrace.llm.shared import stored
 
 CAPACITY, END_ID = 4096, 1
-#: Items that a task packs, about; the share of a sequence that must be free for another round; words remembered by a worker.
-GROUP, MERGE, TABLE = 8192, 8, 400_000
+#: Items that a task packs, about; the share of a sequence that must be free for another round; words remembered by a worker (about 200 bytes each).
+GROUP, MERGE, TABLE = 8192, 8, 1_000_000
 
 
 class WordIds:
@@ -215,7 +215,8 @@ def pack_groups(items: DataFrame, n: int, capacity: int, group: int, turn: int)
 
 
 def pack(lengths: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
-    """_key, sequence_id and offset of every row of a stored table (_key unique, length), in rounds."""
+    """_key, sequence_id and offset of every row of a stored table (_key unique, length), in rounds. A group has at least 2 * capacity items, so that even the shortest fill sequences."""
+    group = max(group, 2 * capacity)
     names = ["_key", "sequence_id", "offset"]
     out = lengths.where(F.col("length") == capacity).select("_key", (-F.col("_key") - 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     items = lengths.where(F.col("length") < capacity)

@@ -93,15 +93,15 @@ def test_pack_documents(spark):
 
 def test_rounds_join_what_groups_leave_open(spark):
     """Groups of few items each leave an open sequence; together these fill whole ones."""
-    lengths = spark.range(4000).selectExpr("id AS _key", "CAST(7 + id % 13 AS bigint) AS length")
-    rows = pack(lengths, 1000, 50).collect()
-    total = sum(7 + k % 13 for k in range(4000))
+    lengths = spark.range(40000).selectExpr("id AS _key", "CAST(7 + id % 13 AS bigint) AS length")
+    rows = pack(lengths, 100, 200).collect()
+    alone = place(np.sort(np.array([7 + k % 13 for k in range(40000)]))[::-1], 100)[0].max() + 1
     held = {}
     for r in rows:
         held.setdefault(r["sequence_id"], []).append((r["offset"], 7 + r["_key"] % 13))
-    assert len(rows) == 4000 and all(sum(n for _, n in v) <= 1000 for v in held.values())
+    assert len(rows) == 40000 and all(sum(n for _, n in v) <= 100 for v in held.values())
     assert all(sum(n for _, n in sorted(v)[:k]) == sorted(v)[k][0] for v in held.values() for k in range(len(v)))
-    assert len(held) <= -(-total // 1000) + 4
+    assert len(held) <= 1.01 * alone + 1
 
 
 def test_words_like_whole_texts():
