@@ -10,22 +10,44 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import blank_to_null, brace_list, digits_only, fill_template, leading_date
-from millrace.operators.gating import completeness, keep_complete, size_class, work_list
+from millrace.operators.gating import size_class, work_list
 from millrace.operators.lookup import attach_lists, last_wins, positions, resolve_names
-from millrace.operators.upsert import advance_watermark, upsert_replace, upsert_with_previous
+from millrace.operators.upsert import upsert_replace, upsert_with_previous
 from millrace.plans.registry import Node, Registry
-from millrace.schemas import CATALOG_GAMES, DUMP_COLUMNS
+from millrace.schemas import CATALOG_GAMES, DUMP_COLUMNS, RAW_TABLES, REVIEWS
 from millrace.session import EngineConfig, current_time
 from millrace.sources.dumps import CatalogApi, download_dump, read_dump
 from millrace.sources.http import stream_bytes
-from millrace.sources.tables import Commit, Warehouse
+from millrace.sources.loads import create_log, new_load_id, publish_stage, write_load
+from millrace.sources.review_pages import Progress, ReviewPages
+from millrace.sources.tables import ATTEMPTS, Conflict, Layout, Warehouse
 
 #: Fixed value: the store's number among the external catalogs.
 STORE_CATEGORY = 1
+#: The catalog is looked up by application and by genre.
+CATALOG_LAYOUT = Layout(bloom=("steam_app_id", "genres"), index=("steam_app_id", "genres"))
+
+
+def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
+    """The warehouse under a folder, with its raw tables and views; what doesn't exist is created."""
+    warehouse = Warehouse(spark, root)
+    for name, (schema, comment) in RAW_TABLES.items():
+        warehouse.create_if_absent(f"raw.{name}", schema, comment, CATALOG_LAYOUT if name == "catalog_games" else None)
+        warehouse.attach(f"raw.{name}")
+    create_log(spark, review_log(warehouse), "raw.reviews", "raw.review_marks", REVIEWS)
+    marked = """SELECT c.app_id, c.total_reviews, c.total_positive, c.total_negative, c.review_score, c.review_score_desc, c.checked_at, c.prev_total_reviews,
+        coalesce(m.marked_at, c.last_backfill_at) AS last_backfill_at, greatest(m.max_seen, c.last_seen_timestamp_updated) AS last_seen_timestamp_updated
+        FROM raw.review_census c LEFT JOIN (SELECT app_id, max(marked_at) AS marked_at, max(max_seen) AS max_seen FROM raw.review_marks GROUP BY app_id) m ON m.app_id = c.app_id"""
+    spark.sql(f"CREATE OR REPLACE VIEW raw.review_counts COMMENT 'counts of the last census and marks of the loads' AS {marked}")
+    return warehouse
+
+
+def review_log(warehouse: Warehouse) -> str:
+    return warehouse.folder("raw.review_log")
 
 
 def app_ids(external: DataFrame) -> DataFrame:
@@ -36,10 +58,10 @@ def app_ids(external: DataFrame) -> DataFrame:
     return last_wins(kept, "game", "row_no")
 
 
-def catalog_games(dumps: dict[str, DataFrame], config: EngineConfig = EngineConfig(), now: datetime | None = None) -> DataFrame:
+def catalog_games(dumps: dict[str, DataFrame], config: EngineConfig = EngineConfig(), now: datetime | None = None, ids: DataFrame | None = None) -> DataFrame:
     """Catalog rows of games that have an application id, with names in place of ids.
 
-    dumps: the frames of DUMP_COLUMNS, each with row_no (file order). Broadcasts
+    dumps: the frames of DUMP_COLUMNS, each with row_no (file order); ids: app_ids of them. Broadcasts
     are left to the optimizer, which knows the sizes.
     """
     named = {t: last_wins(dumps[t].select("id", "name", "row_no"), "id", "row_no") for t in ("genres", "companies")}
@@ -49,7 +71,7 @@ def catalog_games(dumps: dict[str, DataFrame], config: EngineConfig = EngineConf
     covers = last_wins(dumps["covers"].where(blank_to_null(F.col("image_id")).isNotNull()), "id", "row_no").select(
         F.col("id").alias("cover"), "image_id"
     )
-    ids = app_ids(dumps["external_games"])
+    ids = app_ids(dumps["external_games"]) if ids is None else ids
     games = dumps["games"].join(ids.withColumnRenamed("game", "id"), "id").withColumn("row_key", F.col("row_no"))
 
     genre_items = positions(games, "row_key", brace_list(F.col("genres")))
@@ -89,17 +111,37 @@ class CatalogMetrics:
 def ingest_catalog(spark: SparkSession, warehouse: Warehouse, folder: str, config: EngineConfig = EngineConfig(), now: datetime | None = None) -> CatalogMetrics:
     """Read the six dumps in a folder and upsert the catalog; games that vanish stay.
 
-    The incoming rows are staged, so the plan over the dumps runs once and its rows
-    are counted where they were written.
+    Each dump is read once, into columns that the joins read from then on. The metrics are
+    observed while rows are written, so nothing is read again to be counted.
     """
-    dumps = {t: read_dump(spark, f"{folder}/{t}.csv", cols, "row_no") for t, cols in DUMP_COLUMNS.items()}
-    part = warehouse.stage("raw.catalog_games", catalog_games(dumps, config, now))
+    staged, seen = {}, {k: Observation() for k in ("games", "ids", "rows")}
+    count = F.count(F.lit(1)).alias("n")
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        staged[name] = warehouse.stage(df.observe(seen[name], count) if name in seen else df, name)
+        return spark.read.schema(df.schema).parquet(staged[name])
+
     try:
-        incoming = warehouse.read_part("raw.catalog_games", part)
-        warehouse.overwrite("raw.catalog_games", upsert_replace(warehouse.read("raw.catalog_games"), incoming, ["igdb_id"]))
-        return CatalogMetrics(dumps["games"].count(), app_ids(dumps["external_games"]).count(), incoming.count())
+        dumps = {t: stage(read_dump(spark, f"{folder}/{t}.csv", cols, "row_no"), t) for t, cols in DUMP_COLUMNS.items()}
+        ids = stage(app_ids(dumps["external_games"]), "ids")
+        incoming = stage(catalog_games(dumps, config, now, ids), "rows")
+        merge_table(warehouse, "raw.catalog_games", lambda old: upsert_replace(old, incoming, ["igdb_id"]))
+        return CatalogMetrics(*(seen[k].get["n"] for k in ("games", "ids", "rows")))
     finally:
-        warehouse.drop_part("raw.catalog_games", part)
+        for path in staged.values():
+            warehouse.delete(path)
+
+
+def merge_table(warehouse: Warehouse, table: str, merge: Callable[[DataFrame], DataFrame]) -> int:
+    """Publish merge(what the table holds); merged again if another writer has published meanwhile."""
+    for attempt in range(ATTEMPTS):
+        old = warehouse.snapshot(table)
+        try:
+            return warehouse.publish(table, merge(old.df), old.version)
+        except Conflict:
+            if attempt == ATTEMPTS - 1:
+                raise
+    raise AssertionError("unreachable")
 
 
 def download_dumps(api: CatalogApi, folder: str, stream: Callable = stream_bytes) -> list[str]:
@@ -114,17 +156,15 @@ def census_targets(catalog: DataFrame) -> DataFrame:
 
 def ingest_census(warehouse: Warehouse, summaries: DataFrame, now: datetime | None = None) -> int:
     """Upsert the counts of probed applications, keeping the total before; returns how many were probed. Summaries are read once."""
-    fold_marks(warehouse)
-    part = warehouse.stage("raw.review_counts", summaries.withColumn("checked_at", current_time(now)))
+    seen = Observation()
+    path = warehouse.stage(summaries.withColumn("checked_at", current_time(now)).observe(seen, F.count(F.lit(1)).alias("n")), "census")
     try:
-        incoming = warehouse.read_part("raw.review_counts", part)
-        merged = upsert_with_previous(
-            warehouse.read("raw.review_counts"), incoming, ["app_id"], "total_reviews", "prev_total_reviews", ["last_backfill_at", "last_seen_timestamp_updated"]
-        )
-        warehouse.overwrite("raw.review_counts", merged)
-        return incoming.count()
+        incoming = warehouse.spark.read.parquet(path)
+        untouched = ["last_backfill_at", "last_seen_timestamp_updated"]
+        merge_table(warehouse, "raw.review_census", lambda old: upsert_with_previous(old, incoming, ["app_id"], "total_reviews", "prev_total_reviews", untouched))
+        return seen.get["n"]
     finally:
-        warehouse.drop_part("raw.review_counts", part)
+        warehouse.delete(path)
 
 
 @dataclass
@@ -133,48 +173,38 @@ class LoadMetrics:
     apps_backfilled: int = 0
     apps_incomplete: int = 0
 
+    @classmethod
+    def of(cls, verdicts: DataFrame) -> LoadMetrics:
+        n = F.coalesce(F.sum(F.when(F.col("complete"), F.col("fetched"))), F.lit(0))
+        return cls(*verdicts.agg(n, F.count_if("complete"), F.count_if(~F.col("complete"))).first())
 
-def load_batch(warehouse: Warehouse, expected: DataFrame, rows: DataFrame, config: EngineConfig, now: datetime | None) -> LoadMetrics:
-    """Publish the rows of complete applications and their marks in one commit; the others leave no trace.
 
-    The rows are staged once, so that a source is not read twice, and published as
-    they are if all applications are complete; else the complete ones are written anew.
-    """
-    staged = [warehouse.stage("raw.reviews", rows.withColumn("loaded_at", current_time(now)))]
-    kept: list[str] = []
-    try:
-        fetched = warehouse.read_part("raw.reviews", staged[0])
-        verdicts = completeness(expected, fetched, "app_id", "total_reviews", "timestamp_updated", config)
-        tally = verdicts.agg(
-            F.count_if("complete").alias("ok"), F.count_if(~F.col("complete")).alias("bad"), F.coalesce(F.sum(F.when(F.col("complete"), F.col("fetched"))), F.lit(0)).alias("n")
-        ).first()
-        if tally["bad"] and tally["n"]:
-            staged.append(warehouse.stage("raw.reviews", keep_complete(fetched, verdicts, "app_id")))
-        kept = staged[-1:] if tally["n"] else []
-        mark = warehouse.stage("raw.review_marks", verdicts.where("complete").select("app_id", "max_seen", current_time(now).alias("marked_at")))
-        warehouse.commit(Commit(added={"raw.reviews": kept, "raw.review_marks": [mark]}))
-    except BaseException:
-        kept = []
-        raise
-    finally:
-        for part in set(staged) - set(kept):
-            warehouse.drop_part("raw.reviews", part)
-    return LoadMetrics(tally["n"], tally["ok"], tally["bad"])
+def load_batch(warehouse: Warehouse, apps: list[tuple[int, int | None]], rows: DataFrame, config: EngineConfig, now: datetime | None) -> LoadMetrics:
+    """Load the rows of complete applications and their marks in one transaction; the others leave no trace. The rows are read and written once."""
+    stamped = rows.withColumn("loaded_at", current_time(now)).select(*[f.name for f in REVIEWS])
+    return LoadMetrics.of(write_load(stamped, review_log(warehouse), new_load_id(), apps, config, now))
 
 
-def marked_counts(warehouse: Warehouse) -> DataFrame:
-    """The review counts with all marks applied, also those of loads that ended early."""
-    marks = warehouse.read("raw.review_marks").groupBy("app_id").agg(F.max("max_seen").alias("max_seen"), F.max("marked_at").alias("marked_at"))
-    counts = warehouse.read("raw.review_counts")
-    return advance_watermark(counts, marks, "app_id", "last_seen_timestamp_updated", "last_backfill_at", "max_seen", F.col("marked_at"))
+def load_streamed(warehouse: Warehouse, app: tuple[int, int | None], pages: PageReader, config: EngineConfig, now: datetime | None) -> LoadMetrics:
+    """Load one application by a resumable stream of its pages, published as a whole when its last page is there.
 
+    Micro-batches gather in a folder of the application with the stream's checkpoint; a
+    load that ends early goes on there, at the page where it stopped, when it is called
+    again. A repeated micro-batch replaces its own files.
+    """
+    spark, folder = warehouse.spark, f"{warehouse.root}/_stage/app-{app[0]}"
+
+    def keep(batch: DataFrame, number: int) -> None:
+        stamped = batch.withColumn("loaded_at", current_time(now)).select(*[f.name for f in REVIEWS])
+        stamped.write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
 
-def fold_marks(warehouse: Warehouse) -> None:
-    """Write the marks into the review counts and empty their table, in one commit."""
-    if not warehouse.read("raw.review_marks").limit(1).count():
-        return
-    counts = warehouse.stage("raw.review_counts", marked_counts(warehouse))
-    warehouse.commit(Commit(replaced={"raw.review_counts": [counts], "raw.review_marks": []}))
+    while not pages.finished(app, f"{folder}/pages"):
+        stream = pages.stream([app], f"{folder}/pages")
+        stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema(REVIEWS).option("recursiveFileLookup", "true").parquet(f"{folder}/rows")
+    verdicts = publish_stage(spark, f"{folder}/rows", review_log(warehouse), new_load_id(), [app], config, now, rows)
+    warehouse.delete(folder)
+    return LoadMetrics.of(verdicts)
 
 
 def ingest_reviews(
@@ -187,25 +217,17 @@ def ingest_reviews(
 ) -> LoadMetrics:
     """Load every application that was never loaded: none expected, light batches, then heavy ones, each by itself and a few at a time.
 
-    read_apps turns (app, expected total) pairs into review rows, for instance
-    through the review_pages source. An error in a light batch ends the load, with
-    earlier batches kept; an error in a heavy application skips only that one. Rows
-    of a heavy application stream through their task into files, so memory has a
-    bound without flushes. The work list is bounded by the catalog's size, not by the reviews.
+    read_apps turns (app, expected total) pairs into review rows; a PageReader can also
+    stream the heavy ones, so that they resume. An error in a light batch ends the load,
+    with earlier batches kept; an error in a heavy application skips only that one. Rows
+    stream through their tasks into files, so memory has a bound without flushes. The
+    work list is bounded by the catalog's size, not by the reviews.
     """
     done, lock = LoadMetrics(), threading.Lock()
-    fold_marks(warehouse)  # of a load that ended early
     pending = work_list(warehouse.read("raw.review_counts"), "last_backfill_at", "total_reviews").withColumn("class", size_class(F.col("total_reviews"), config))
     work = [(r["app_id"], r["total_reviews"], r["class"]) for r in pending.select("app_id", "total_reviews", "class").toLocalIterator()]
-    empty = [(a, 0) for a, _, c in work if c == "zero"]
-    if empty:
-        marks = spark.createDataFrame(empty, "app_id bigint, max_seen bigint").withColumn("marked_at", current_time(now))
-        warehouse.append("raw.review_marks", marks)
-        done.apps_backfilled += len(empty)
-
-    def load(apps: list[tuple[int, int | None]]) -> None:
-        expected = spark.createDataFrame(apps, "app_id bigint, total_reviews bigint")
-        m = load_batch(warehouse, expected, read_apps(apps), config, now)
+
+    def add(m: LoadMetrics) -> None:
         with lock:
             done.reviews_loaded += m.reviews_loaded
             done.apps_backfilled += m.apps_backfilled
@@ -213,31 +235,59 @@ def ingest_reviews(
 
     def load_alone(app: tuple[int, int | None]) -> None:
         try:
-            load([app])
+            if isinstance(read_apps, PageReader):
+                add(load_streamed(warehouse, app, read_apps.shared(config.heavy_workers), config, now))
+            else:
+                add(load_batch(warehouse, [app], read_apps([app]), config, now))
         except Exception as error:  # the application stays unmarked and is retried by the next run
             print(f"application {app[0]} skipped: {error}")
 
+    empty = [(a, 0) for a, _, c in work if c == "zero"]
+    if empty:  # marked without a request
+        add(load_batch(warehouse, empty, spark.createDataFrame([], REVIEWS), config, now))
     light = [(a, t) for a, t, c in work if c == "light"]
     for n, i in enumerate(range(0, len(light), config.backfill_batch_size), 1):
-        load(light[i : i + config.backfill_batch_size])
+        batch = light[i : i + config.backfill_batch_size]
+        add(load_batch(warehouse, batch, read_apps(batch), config, now))
         if n % config.pause_every_batches == 0:
             sleep(config.pause_seconds)
     with ThreadPoolExecutor(config.heavy_workers) as pool:
         list(pool.map(load_alone, [(a, t) for a, t, c in work if c == "heavy"]))
-    fold_marks(warehouse)
     return done
 
 
-def page_reader(spark: SparkSession, config: EngineConfig = EngineConfig(), **options) -> Callable[[list], DataFrame]:
-    """read_apps over the review_pages source; the configuration and options reach its readers."""
-    from millrace.sources.review_pages import ReviewPages
+class PageReader:
+    """read_apps over the review_pages source; the configuration and options reach its readers.
+
+    lanes is the number of tasks that read side by side. They share the allowed rate with
+    the tasks of other reads that run at the same time (`shared`).
+    """
+
+    def __init__(self, spark: SparkSession, config: EngineConfig = EngineConfig(), lanes: int | None = None, side_by_side: int = 1, **options):
+        spark.dataSource.register(ReviewPages)
+        self.spark, self.config, self.given = spark, config, options
+        self.lanes, self.side_by_side = lanes or config.light_workers, side_by_side
+
+    def options(self, apps: list) -> dict[str, str]:
+        return {"apps": json.dumps([list(a) for a in apps]), "lanes": str(self.lanes), "side_by_side": str(self.side_by_side)} | self.config.as_options() | self.given
+
+    def __call__(self, apps: list) -> DataFrame:
+        return self.spark.read.format("review_pages").options(**self.options(apps)).load()
+
+    def shared(self, reads: int) -> PageReader:
+        """A reader for one of so many reads at the same time, with a task of its own."""
+        return PageReader(self.spark, self.config, 1, reads, **self.given)
+
+    def stream(self, apps: list, state: str) -> DataFrame:
+        return self.spark.readStream.format("review_pages").options(state=state, **self.options(apps)).load()
 
-    spark.dataSource.register(ReviewPages)
+    def finished(self, app: tuple[int, int | None], state: str) -> bool:
+        progress = Progress(state)
+        return progress.at(app[0], progress.last(app[0]))["done"]
 
-    def read(apps: list) -> DataFrame:
-        return spark.read.format("review_pages").options(apps=json.dumps(apps), **config.as_options(), **options).load()
 
-    return read
+def page_reader(spark: SparkSession, config: EngineConfig = EngineConfig(), **options) -> PageReader:
+    return PageReader(spark, config, **options)
 
 
 def ingest_nodes(spark: SparkSession, config: EngineConfig = EngineConfig(), dumps: str | None = None, now: datetime | None = None, api: CatalogApi | None = None, **options) -> Registry:
@@ -255,7 +305,7 @@ def ingest_nodes(spark: SparkSession, config: EngineConfig = EngineConfig(), dum
     def census(warehouse: Warehouse) -> int:
         targets = census_targets(warehouse.read("raw.catalog_games")).withColumn("total", F.lit(None).cast("bigint"))
         apps = [[r["app_id"], None] for r in targets.orderBy("app_id").toLocalIterator()]  # bounded by the catalog
-        return ingest_census(warehouse, page_reader(spark, config, mode="summary", **options)(apps), now)
+        return ingest_census(warehouse, page_reader(spark, config, lanes=config.census_workers, mode="summary", **options)(apps), now)
 
     def reviews(warehouse: Warehouse) -> LoadMetrics:
         return ingest_reviews(spark, warehouse, page_reader(spark, config, **options), config, now)

@@ -10,11 +10,17 @@ from graphlib import TopologicalSorter
 from pyspark.sql import DataFrame
 
 from millrace.operators.quality import Check, CheckResult, run_check, run_not_nulls
+from millrace.sources.tables import Layout, commented
 
 
 @dataclass(frozen=True)
 class Node:
-    """A model, a load or a source (neither). build receives {dependency: DataFrame}; load gets the warehouse, writes what it loads and returns its metrics."""
+    """A model, a load or a source (neither).
+
+    build receives {dependency: DataFrame}; load gets the warehouse, writes what it loads
+    and returns its metrics. doc and columns become comments of the table and its columns
+    in the catalog; columns that carry a comment from a dependency keep it.
+    """
 
     name: str
     layer: str
@@ -24,6 +30,8 @@ class Node:
     produced_by: str | None = None
     load: Callable[[object], object] | None = None
     doc: str = ""
+    columns: dict[str, str] = field(default_factory=dict)
+    layout: Layout | None = None
 
     @property
     def table(self) -> str:
@@ -134,7 +142,8 @@ class Registry:
     def _run_node(self, n: Node, warehouse) -> tuple[object, list[CheckResult]]:
         metrics = n.load(warehouse) if n.load else None
         if n.build:
-            warehouse.overwrite(n.table, n.build({d: warehouse.read(self.nodes[d].table) for d in n.deps}))
+            built = n.build({d: warehouse.read(self.nodes[d].table) for d in n.deps})
+            warehouse.publish(n.table, commented(built, n.columns), comment=n.doc or None, layout=n.layout)
         if not n.checks:
             return metrics, []
         df = warehouse.read(n.table)

@@ -47,13 +47,8 @@ REVIEWS = _table(
     ("loaded_at", TS, False, "load time"),
 )
 
-REVIEW_MARKS = _table(
-    ("app_id", L, False, "store application id"),
-    ("max_seen", L, True, "latest update among the rows loaded"),
-    ("marked_at", TS, False, "time of the complete load"),
-)
-
-RAW_TABLES = {"catalog_games": CATALOG_GAMES, "review_counts": REVIEW_COUNTS, "reviews": REVIEWS, "review_marks": REVIEW_MARKS}
+#: Tables that are replaced as a whole, with their comments. The reviews are a log: see sources/loads.py.
+RAW_TABLES = {"catalog_games": (CATALOG_GAMES, "games of the external catalog"), "review_census": (REVIEW_COUNTS, "counts of the last census")}
 
 #: Columns read from each catalog dump; all arrive as text.
 DUMP_COLUMNS = {

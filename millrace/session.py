@@ -71,7 +71,10 @@ class EngineConfig:
     page_order: str = "updated"
     review_language: str = "all"
     backfill_batch_size: int = 100
+    light_workers: int = 5
     heavy_workers: int = 5
+    census_workers: int = 8
+    pages_per_batch: int = 1000
     pause_every_batches: int = 10
     pause_seconds: float = 120.0
     duplicate_error_threshold: int = 10000

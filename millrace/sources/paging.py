@@ -49,21 +49,36 @@ class PageState:
         return config.stop_backoff_base_seconds * 2 ** (self.retries - 1)
 
 
-def pages(
+def read_pages(
     fetch: Callable[[str], dict],
-    total: int | None,
+    state: PageState,
+    most: int | None,
     config: EngineConfig = EngineConfig(),
     sleep: Callable[[float], None] = time.sleep,
-) -> Iterator[list[dict]]:
-    """Pages of rows, one in memory at a time."""
-    state = PageState(total)
-    while True:
+) -> Iterator[tuple[Step, list[dict]]]:
+    """(step, rows) from where state stands, at most so many pages; the last step tells whether there are more. state moves on."""
+    n = 0
+    while most is None or n < most:
         answer = fetch(state.cursor)
         rows = answer.get("reviews") or []
         step = state.decide(len(rows), answer.get("cursor"), config)
         if step is Step.TAKE:
-            yield rows
+            n += 1
+            yield step, rows
         elif step is Step.REPLAY:
             sleep(state.pause(config))
         else:
+            yield step, []
             return
+
+
+def pages(
+    fetch: Callable[[str], dict],
+    total: int | None,
+    config: EngineConfig = EngineConfig(),
+    sleep: Callable[[float], None] = time.sleep,
+) -> Iterator[list[dict]]:
+    """Pages of rows, one in memory at a time."""
+    for step, rows in read_pages(fetch, PageState(total), None, config, sleep):
+        if step is Step.TAKE:
+            yield rows

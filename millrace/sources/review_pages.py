@@ -1,26 +1,37 @@
-"""Python data source over paged reviews: one input partition per batch of applications.
+"""Python data source over paged reviews, read as a batch or as a resumable stream.
 
     spark.dataSource.register(ReviewPages)
     spark.read.format("review_pages").options(apps="[[10, 120], [20, null]]", **config.as_options()).load()
 
+Applications are dealt to `lanes` input partitions (one if not given). All requests
+together keep the allowed rate: a partition waits as many intervals as there are
+partitions in all the reads that run side by side (`side_by_side`, one if not given).
+
 `client` names a factory (ReviewApi if not given) that returns an object with
 page(app_id, cursor) and summary(app_id); it gets the configuration and, by name,
 the options beginning with "client.". mode="summary" reads one row of counts per
 application.
+
+As a stream (`readStream`, option `state`: a shared folder) an offset is the number of
+pages read per application. Where a page ends the task writes the service's next cursor
+into the state folder, so that the next micro-batch, or a restarted query, goes on at
+that page; a micro-batch that is repeated reads the same pages again.
 """
 
 from __future__ import annotations
 
 import importlib
 import json
+import uuid
 from collections.abc import Callable, Iterator
 
+import pyarrow.fs as pf
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from millrace.session import EngineConfig
 from millrace.sources.http import RateLimiter, fetch_json, get_with_retry
-from millrace.sources.paging import pages
+from millrace.sources.paging import FIRST_CURSOR, PageState, Step, pages, read_pages
 
 REVIEW_ROWS = T.StructType(
     [
@@ -87,29 +98,42 @@ class RecordedClient:
 
 
 class Apps(InputPartition):
+    """Applications of one task, and how many tasks share the allowed rate."""
+
     def __init__(self, apps: list, tasks: int):
         super().__init__(None)
         self.apps, self.tasks = apps, tasks
 
 
-class ReviewPagesReader(DataSourceReader):
+class _Requests:
+    """What batch and stream readers share: options, client, spacing and retries."""
+
     def __init__(self, options: dict):
-        self.options, self.config = options, EngineConfig.from_options(options)
+        self.options, self.config = dict(options), EngineConfig.from_options(options)
+        self.side_by_side = int(self.options.get("side_by_side", 1))
 
-    def partitions(self) -> list[Apps]:
-        apps, size = json.loads(self.options["apps"]), int(self.options.get("batch", self.config.backfill_batch_size))
-        groups = [apps[i : i + size] for i in range(0, len(apps), size)]
-        return [Apps(g, len(groups)) for g in groups]
+    def deal(self) -> list[Apps]:
+        apps = json.loads(self.options["apps"])
+        lanes = max(1, min(len(apps), int(self.options.get("lanes", 1))))
+        return [Apps(apps[i::lanes], lanes * self.side_by_side) for i in range(lanes)]
 
     def client(self):
         module, _, factory = self.options.get("client", f"{__name__}:ReviewApi").partition(":")
         given = {k.removeprefix("client."): v for k, v in self.options.items() if k.startswith("client.")}
         return getattr(importlib.import_module(module), factory)(self.config, **given)
 
+    def asking(self, tasks: int) -> Callable:
+        """A caller whose requests wait their turn, in one of so many tasks, and are retried."""
+        limiter = RateLimiter(self.config.http_min_interval_seconds * tasks)
+        return lambda f, *a: get_with_retry(lambda: f(*a), limiter, self.config)
+
+
+class ReviewPagesReader(_Requests, DataSourceReader):
+    def partitions(self) -> list[Apps]:
+        return self.deal()
+
     def read(self, partition: Apps) -> Iterator[tuple]:
-        """Every request waits its turn and is retried; tasks that run beside this one share the allowed rate."""
-        client, limiter = self.client(), RateLimiter(self.config.http_min_interval_seconds * partition.tasks)
-        ask = lambda f, *a: get_with_retry(lambda: f(*a), limiter, self.config)
+        client, ask = self.client(), self.asking(partition.tasks)
         for app_id, total in partition.apps:
             if self.options.get("mode", "reviews") == "summary":
                 yield summary_row(app_id, ask(client.summary, app_id))
@@ -119,6 +143,73 @@ class ReviewPagesReader(DataSourceReader):
                     yield review_row(app_id, review)
 
 
+class Progress:
+    """Where the pages of each application end, in files that all machines see: cursor, rows so far and whether that was all."""
+
+    def __init__(self, path: str):
+        self.fs, self.root = pf.FileSystem.from_uri(path)
+
+    def at(self, app_id: int, page: int) -> dict:
+        if not page:
+            return {"cursor": FIRST_CURSOR, "fetched": 0, "done": False}
+        with self.fs.open_input_stream(f"{self.root}/{app_id}/{page}.json") as f:
+            return json.loads(f.read())
+
+    def put(self, app_id: int, page: int, state: PageState, step: Step | None) -> None:
+        self.fs.create_dir(f"{self.root}/{app_id}", recursive=True)
+        part = f"{self.root}/{app_id}/.{uuid.uuid4().hex}"
+        with self.fs.open_output_stream(part) as f:
+            f.write(json.dumps({"cursor": state.cursor, "fetched": state.fetched, "done": step in (Step.END, Step.GIVE_UP)}).encode())
+        self.fs.move(part, f"{self.root}/{app_id}/{page}.json")
+
+    def last(self, app_id: int) -> int:
+        found = self.fs.get_file_info(pf.FileSelector(f"{self.root}/{app_id}", allow_not_found=True))
+        return max((int(i.base_name[:-5]) for i in found if i.base_name[0] != "." and i.base_name.endswith(".json")), default=0)
+
+
+class Pages(InputPartition):
+    """Pages [begin, end) of applications: (app, total, begin, end)."""
+
+    def __init__(self, spans: list, tasks: int):
+        super().__init__(None)
+        self.spans, self.tasks = spans, tasks
+
+
+class ReviewPagesStream(_Requests, DataSourceStreamReader):
+    def __init__(self, options: dict):
+        super().__init__(options)
+        self.progress = Progress(self.options["state"])
+
+    def initialOffset(self) -> dict:
+        return {str(a): 0 for a, _ in json.loads(self.options["apps"])}
+
+    def latestOffset(self) -> dict:
+        """A micro-batch's worth of pages beyond the last known end, for applications that have more."""
+        out = {}
+        for a, _ in json.loads(self.options["apps"]):
+            page = self.progress.last(a)
+            out[str(a)] = page if self.progress.at(a, page)["done"] else page + self.config.pages_per_batch
+        return out
+
+    def partitions(self, start: dict, end: dict) -> list[Pages]:
+        lanes = []
+        for part in self.deal():
+            spans = [(a, t, start.get(str(a), 0), end[str(a)]) for a, t in part.apps if end[str(a)] > start.get(str(a), 0)]
+            lanes += [Pages(spans, part.tasks)] if spans else []
+        return lanes
+
+    def read(self, partition: Pages) -> Iterator[tuple]:
+        client, ask = self.client(), self.asking(partition.tasks)
+        for app_id, total, begin, end in partition.spans:
+            known = self.progress.at(app_id, begin)
+            state, step = PageState(total, known["cursor"], known["fetched"]), None
+            if not known["done"]:
+                for step, page in read_pages(lambda cursor: ask(client.page, app_id, cursor), state, end - begin, self.config):
+                    for review in page:
+                        yield review_row(app_id, review)
+            self.progress.put(app_id, end, state, Step.END if known["done"] else step)
+
+
 class ReviewPages(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -128,4 +219,7 @@ class ReviewPages(DataSource):
         return SUMMARY_ROWS if self.options.get("mode") == "summary" else REVIEW_ROWS
 
     def reader(self, schema: T.StructType) -> ReviewPagesReader:
-        return ReviewPagesReader(dict(self.options))
+        return ReviewPagesReader(self.options)
+
+    def streamReader(self, schema: T.StructType) -> ReviewPagesStream:
+        return ReviewPagesStream(self.options)

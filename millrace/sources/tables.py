@@ -1,175 +1,254 @@
-"""A warehouse of Parquet tables with atomic publication over several tables.
-
-A table is a set of immutable parts. Numbered versions, one sequence for the whole
-warehouse, list the parts of every table, so one commit can add rows to a table and
-marks to another, or neither. A commit writes the next version under a temporary
-name and renames it without overwriting; a failed load leaves all tables as they
-were. The file system must refuse such a rename when the target exists, as HDFS and
-local file systems do; plain object stores don't, and need a table format instead.
+"""A warehouse in Spark's catalog: a database per layer, tables that are replaced as a whole.
+
+A table is external, its columns and itself carry comments, and `SELECT ... FROM
+marts.game_stats` reads it. Its files lie in a folder per version. Publishing writes
+the next version under a hidden name, renames the folder without overwriting and points
+the catalog's table at it: readers see the old files or the new ones, a failed write
+leaves nothing, and a writer that read an older version than the latest is refused. The
+file system must refuse a rename onto an existing folder, as HDFS and local file systems
+do. Rows that are only ever added go through the load sink (see loads.py).
+
+The versions are the truth; a catalog that doesn't outlive the session is filled from
+them by attach().
 """
 
 from __future__ import annotations
 
-import json
-import threading
+import contextlib
 import time
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Versions that stay readable, and how often a commit is tried when others are faster.
-KEPT_VERSIONS, ATTEMPTS = 50, 20
+from millrace.sources.index import write_index
 
+#: Versions whose files stay for running readers; attempts of a writer that replaces whatever is there.
+KEPT_VERSIONS, ATTEMPTS = 5, 20
 
-@dataclass
-class Commit:
-    """Changes that become visible together: parts to add to tables, and parts that replace what tables hold."""
 
-    added: dict[str, list[str]] = field(default_factory=dict)
-    replaced: dict[str, list[str]] = field(default_factory=dict)
-    schemas: dict[str, T.StructType] = field(default_factory=dict)
+class Conflict(RuntimeError):
+    """Another writer has published since this one read the table."""
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """One version of a table; later ones don't change it."""
+
+    table: str
+    version: int
+    df: DataFrame
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How files are written: buckets (sorted by the same columns), columns with Bloom filters, columns with an inverted index."""
+
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 16
+    bloom: tuple[str, ...] = ()
+    index: tuple[str, ...] = ()
+
+
+def column_ddl(schema: T.StructType) -> str:
+    def one(f: T.StructField) -> str:
+        comment = f.metadata.get("comment", "").replace("\\", "\\\\").replace("'", "\\'")
+        return f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{comment}'" if comment else "")
+
+    return ", ".join(map(one, schema.fields))
+
+
+def commented(df: DataFrame, comments: dict[str, str]) -> DataFrame:
+    """df with comments on columns; other columns keep theirs."""
+    return df.select(*[F.col(f"`{c}`").alias(c, metadata={"comment": comments[c]}) if c in comments else F.col(f"`{c}`") for c in df.columns])
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self._lock = threading.Lock()
+        self._layouts: dict[str, Layout] = {}
 
     def _fs(self, path: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _dir(self, table: str) -> str:
+    def folder(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
 
-    def versions(self) -> list[int]:
-        fs, p = self._fs(f"{self.root}/_versions")
-        if not fs.exists(p):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
-
-    def _state(self, version: int) -> dict[str, dict]:
-        fs, p = self._fs(f"{self.root}/_versions/{version}.json")
-        stream = fs.open(p)
-        try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
-        finally:
-            stream.close()
+    def _names(self, path: str) -> list[str]:
+        fs, p = self._fs(path)
+        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
-    def state(self) -> tuple[int, dict[str, dict]]:
-        """The latest version's number and {table: {"parts": [...], "schema": {...}}}."""
-        versions = self.versions()
-        return (versions[-1], self._state(versions[-1])) if versions else (0, {})
+    def delete(self, path: str) -> None:
+        fs, p = self._fs(path)
+        fs.delete(p, True)
 
-    def _put(self, version: int, state: dict[str, dict]) -> bool:
-        """Write a version unless it exists."""
+    def _rename(self, source: str, target: str) -> bool:
+        """Rename unless the target exists."""
         jvm = self.spark._jvm
-        fs, tmp = self._fs(f"{self.root}/_versions/.{uuid.uuid4().hex}")
-        out = fs.create(tmp)
-        out.write(bytearray(json.dumps(state).encode()))
-        out.close()
-        _, final = self._fs(f"{self.root}/_versions/{version}.json")
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), self.spark._jsc.hadoopConfiguration())
+        (_, a), (fs, b) = self._fs(source), self._fs(target)
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(b.toUri(), self.spark._jsc.hadoopConfiguration())
         options = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
         try:
-            context.rename(tmp, final, options)
+            context.rename(a, b, options)
         except Exception:
-            fs.delete(tmp, False)
-            if fs.exists(final):
+            if fs.exists(b):
                 return False
             raise
         return True
 
-    def commit(self, change: Commit) -> int:
-        """Publish all of a change or nothing; returns the version.
+    def versions(self, table: str) -> list[int]:
+        return sorted(int(n[1:]) for n in self._names(self.folder(table)) if n[:1] == "v" and n[1:].isdigit())
 
-        Added parts go to whatever the table holds by then. A replaced table must
-        not have changed since this call began.
-        """
-        with self._lock:  # threads of this driver take turns; other writers are met by the version's number
-            version, state = self.state()
-            before = {t: state.get(t, {}).get("parts", []) for t in change.replaced}
-            for _ in range(ATTEMPTS):
-                if any(state.get(t, {}).get("parts", []) != parts for t, parts in before.items()):
-                    raise RuntimeError(f"{', '.join(before)}: replaced by another writer")
-                new = dict(state)
-                for t, parts in change.added.items():
-                    new[t] = self._entry(new.get(t), new.get(t, {}).get("parts", []) + parts, t, change)
-                for t, parts in change.replaced.items():
-                    new[t] = self._entry(None if t in change.schemas else new.get(t), parts, t, change)
-                if self._put(version + 1, new):
-                    self._forget(version + 1 - KEPT_VERSIONS)
-                    return version + 1
-                version, state = self.state()
-        raise RuntimeError(f"other writers were faster {ATTEMPTS} times")
-
-    def _entry(self, old: dict | None, parts: list[str], table: str, change: Commit) -> dict:
-        if old:
-            return {"parts": parts, "schema": old["schema"]}
-        schema = change.schemas.get(table) or self.spark.read.parquet(f"{self._dir(table)}/{parts[0]}").schema
-        return {"parts": parts, "schema": schema.jsonValue()}
-
-    def _forget(self, version: int) -> None:
-        fs, p = self._fs(f"{self.root}/_versions/{version}.json")
-        fs.delete(p, False)
+    def version(self, table: str) -> int:
+        """The latest version; -1 without any."""
+        return max(self.versions(table), default=-1)
 
     def exists(self, table: str) -> bool:
-        return table in self.state()[1]
+        return self.version(table) >= 0
 
-    def read(self, table: str) -> DataFrame:
-        found = self.state()[1].get(table)
-        if found is None:
-            raise LookupError(f"no table {table}")
-        schema = T.StructType.fromJson(found["schema"])
-        if not found["parts"]:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self._dir(table)}/{p}" for p in found["parts"]])
-
-    def stage(self, table: str, df: DataFrame) -> str:
-        """Write a part that no version lists yet."""
-        part = f"parts/{uuid.uuid4().hex}"
-        df.write.parquet(f"{self._dir(table)}/{part}")
-        return part
-
-    def read_part(self, table: str, part: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._dir(table)}/{part}")
-
-    def drop_part(self, table: str, part: str) -> None:
-        """Delete a staged part that is not to be published."""
-        fs, p = self._fs(f"{self._dir(table)}/{part}")
-        fs.delete(p, True)
+    def files(self, table: str, version: int) -> str:
+        return f"{self.folder(table)}/v{version}"
 
-    def overwrite(self, table: str, df: DataFrame) -> None:
-        self.commit(Commit(replaced={table: [self.stage(table, df)]}, schemas={table: df.schema}))
+    def snapshot(self, table: str) -> Snapshot:
+        """The latest version, to read from and to publish on."""
+        version = self.version(table)
+        if version < 0:
+            raise LookupError(f"no table {table}")
+        return Snapshot(table, version, self.spark.read.parquet(self.files(table, version)))
 
-    def append(self, table: str, df: DataFrame) -> None:
-        self.commit(Commit(added={table: [self.stage(table, df)]}))
+    def read(self, table: str) -> DataFrame:
+        """The table by its name in the catalog, brought up to the latest version; views are read as they are."""
+        if table.split(".")[-1] not in self._views(table.split(".")[0]):
+            self.attach(table)
+        return self.spark.table(table)
+
+    def _views(self, database: str) -> set[str]:
+        if not self.spark.catalog.databaseExists(database):
+            return set()
+        return {r["viewName"] for r in self.spark.sql(f"SHOW VIEWS IN `{database}`").collect() if r["namespace"]}
+
+    def attach(self, table: str) -> None:
+        """Point the catalog's table at the latest version, where it isn't."""
+        version = self.version(table)
+        if version < 0:
+            raise LookupError(f"no table {table}")
+        path = self.files(table, version)
+        if not self.spark.catalog.tableExists(table) or not self._location(table).endswith(path.removeprefix("file://").removeprefix("file:")):
+            self._point(table, path, self.spark.read.parquet(path).schema)
+
+    def attach_all(self) -> list[str]:
+        """Attach every table under the root; returns their names."""
+        found = [f"{db}.{t}" for db in self._names(self.root) for t in self._names(f"{self.root}/{db}") if self.exists(f"{db}.{t}")]
+        for table in found:
+            self.attach(table)
+        return found
+
+    def _location(self, table: str) -> str:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+        return rows[0]["data_type"] if rows else ""
+
+    def _point(self, table: str, path: str, schema: T.StructType, comment: str | None = None, layout: Layout | None = None) -> None:
+        """Let the catalog's table read a folder: a new location where nothing else changes, else a new entry."""
+        database = table.split(".")[0]
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")  # without a location: dropping it must not delete files
+        there = self.spark.catalog.tableExists(table)
+        same = there and self.spark.table(table).schema.simpleString() == schema.simpleString() and layout in (None, self._layouts.get(table, Layout()))
+        if same:
+            self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            if comment:
+                self.spark.sql(f"COMMENT ON TABLE {table} IS '{_quoted(comment)}'")
+            for f in schema.fields:
+                if f.metadata.get("comment"):
+                    self.spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{f.name}` COMMENT '{_quoted(f.metadata['comment'])}'")
+            return
+        if there:
+            self.spark.sql(f"DROP TABLE {table}")  # an external table: its files stay
+        layout = layout or self._layouts.get(table, Layout())
+        columns = ", ".join(f"`{c}`" for c in layout.bucket_by)
+        cut = f" CLUSTERED BY ({columns}) SORTED BY ({columns}) INTO {layout.buckets} BUCKETS" if layout.bucket_by else ""
+        about = f" COMMENT '{_quoted(comment)}'" if comment else ""
+        self.spark.sql(f"CREATE TABLE {table} ({column_ddl(schema)}) USING parquet{cut}{about} LOCATION '{path}'")
+        self._layouts[table] = layout
+
+    def _write(self, df: DataFrame, table: str, path: str, layout: Layout) -> None:
+        writer = df.write
+        for c in layout.bloom:
+            element = ".list.element" if isinstance(df.schema[c].dataType, T.ArrayType) else ""
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}{element}", "true")
+        if not layout.bucket_by:
+            writer.parquet(path)
+            return
+        database, name = table.split(".")[0], f"pending_{uuid.uuid4().hex}"  # buckets are only written by way of a catalog entry
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        try:
+            writer.format("parquet").bucketBy(layout.buckets, *layout.bucket_by).sortBy(*layout.bucket_by).option("path", path).saveAsTable(f"{database}.{name}")
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
 
-    def bootstrap(self, tables: dict[str, T.StructType], database: str = "raw") -> None:
-        """Create the tables that don't exist, all in one version."""
-        there = self.state()[1]
-        new = {f"{database}.{name}": schema for name, schema in tables.items() if f"{database}.{name}" not in there}
-        if new:
-            self.commit(Commit(replaced={t: [] for t in new}, schemas=new))
+    def publish(self, table: str, df: DataFrame, based_on: int | None = None, comment: str | None = None, layout: Layout | None = None) -> int:
+        """Write df as the table's next version; returns its number.
 
-    def create_if_absent(self, table: str, schema: T.StructType) -> None:
+        based_on is the version that df was made from: if another has been published
+        since, nothing happens and Conflict is raised. Without it df replaces whatever is
+        there.
+        """
+        layout = layout or self._layouts.get(table, Layout())
+        pending = f"{self.folder(table)}/_pending-{uuid.uuid4().hex}"
+        try:
+            self._write(df, table, pending, layout)
+            version = self._claim(table, pending, based_on)
+        except BaseException:
+            with contextlib.suppress(Exception):
+                self.delete(pending)
+            raise
+        path = self.files(table, version)
+        if layout.index:
+            write_index(self.spark, path, self.index_path(table, version), layout.index)
+        self._point(table, path, df.schema, comment, layout)
+        for old in self.versions(table)[: -KEPT_VERSIONS]:
+            self.delete(self.files(table, old))
+            self.delete(self.index_path(table, old))
+        return version
+
+    def _claim(self, table: str, pending: str, based_on: int | None) -> int:
+        for _ in range(ATTEMPTS):
+            version = (self.version(table) if based_on is None else based_on) + 1
+            later = based_on is not None and self.version(table) > based_on
+            if not later and self._rename(pending, self.files(table, version)):
+                return version
+            if based_on is not None:
+                raise Conflict(f"{table}: version {based_on} was read, {self.version(table)} is there")
+        raise Conflict(f"{table}: other writers were faster {ATTEMPTS} times")
+
+    def index_path(self, table: str, version: int) -> str:
+        return f"{self.folder(table)}/_index/v{version}"
+
+    def stage(self, df: DataFrame, name: str) -> str:
+        """Write rows that a load reads more than once; the caller deletes them."""
+        path = f"{self.root}/_stage/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return path
+
+    def create_if_absent(self, table: str, schema: T.StructType, comment: str | None = None, layout: Layout | None = None) -> None:
         if not self.exists(table):
-            self.commit(Commit(replaced={table: []}, schemas={table: schema}))
+            with contextlib.suppress(Conflict):
+                self.publish(table, self.spark.createDataFrame([], schema), -1, comment, layout)
 
     def vacuum(self, min_age_hours: float = 24.0) -> int:
-        """Delete parts that no kept version lists, as crashed loads leave them; younger ones may belong to a running load."""
-        listed: dict[str, set[str]] = {}
-        for v in self.versions():
-            for t, entry in self._state(v).items():
-                listed.setdefault(t, set()).update(entry["parts"])
+        """Delete what crashed writers left, unless it is young and may belong to a running one; returns how many folders."""
         gone, oldest = 0, (time.time() - 3600 * min_age_hours) * 1000
-        for t, parts in listed.items():
-            fs, p = self._fs(f"{self._dir(t)}/parts")
-            for s in fs.listStatus(p) if fs.exists(p) else []:
-                if f"parts/{s.getPath().getName()}" not in parts and s.getModificationTime() <= oldest:
-                    gone += bool(fs.delete(s.getPath(), True))
+        for db in self._names(self.root):
+            below = [f"{self.root}/{db}"] if db == "_stage" else [f"{self.root}/{db}/{t}{sub}" for t in self._names(f"{self.root}/{db}") for sub in ("", "/rows", "/marks")]
+            for folder in below:
+                fs, p = self._fs(folder)
+                for s in fs.listStatus(p) if fs.exists(p) and fs.getFileStatus(p).isDirectory() else []:
+                    if (db == "_stage" or s.getPath().getName().startswith("_pending-")) and s.getModificationTime() <= oldest:
+                        gone += bool(fs.delete(s.getPath(), True))
         return gone
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.upsert import upsert_replace
+from millrace.plans.ingest import merge_table
 
 
 def latest(batch: DataFrame, keys: list[str], version: str) -> DataFrame:
@@ -31,8 +32,10 @@ def merge_versions(target: DataFrame, fresh: DataFrame, keys: list[str], version
 
 
 def stream_upsert(spark: SparkSession, source: DataFrame, warehouse, table: str, keys: list[str], version: str, checkpoint: str) -> StreamingQuery:
+    """Publish the merged table after every micro-batch; the warehouse keeps the last few versions only."""
+
     def merge(batch: DataFrame, _: int) -> None:
         fresh = latest(batch, keys, version)
-        warehouse.overwrite(table, merge_versions(warehouse.read(table), fresh, keys, version))
+        merge_table(warehouse, table, lambda old: merge_versions(old, fresh, keys, version))
 
     return source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,5 +1,8 @@
 import datetime as dt
 import json
+import os
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,9 +16,11 @@ from millrace.operators.quality import Check
 from millrace.session import EngineConfig
 from millrace.sources.dumps import CatalogApi, TokenCache, download_dump
 from millrace.sources.http import RateLimiter, get_with_retry
+from millrace.sources.index import lookup
+from millrace.sources.loads import write_load
 from millrace.sources.paging import pages
 from millrace.sources.review_pages import Apps, RecordedClient, ReviewApi, ReviewPagesReader
-from millrace.sources.tables import Commit, Warehouse
+from millrace.sources.tables import Conflict, Layout
 from millrace.streaming.review_stream import stream_upsert
 
 #: No pauses.
@@ -25,9 +30,7 @@ NOW, LATER = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
 
 @pytest.fixture
 def warehouse(spark, tmp_path):
-    w = Warehouse(spark, f"file://{tmp_path}/wh")
-    w.bootstrap(schemas.RAW_TABLES)
-    return w
+    return ingest.open_warehouse(spark, f"file://{tmp_path}/wh")
 
 
 DUMPS = {
@@ -224,15 +227,17 @@ def test_review_load_is_all_or_nothing(spark, warehouse, tmp_path):
     client = {"client": "millrace.sources.review_pages:RecordedClient", "client.data": json.dumps(recorded)}
     read = ingest.page_reader(spark, QUICK, **client)
     ingest.ingest_census(warehouse, census(spark, (1, 110), (2, 400), (3, 0), (4, 20000)), NOW)
-    m = ingest.ingest_reviews(spark, warehouse, read, EngineConfig(), NOW)
+    m = ingest.ingest_reviews(spark, warehouse, read, QUICK, NOW)
     assert (m.reviews_loaded, m.apps_backfilled, m.apps_incomplete) == (100, 2, 2)
     rows = warehouse.read("raw.reviews")
     assert rows.select("app_id").distinct().collect()[0][0] == 1 and rows.count() == 100
     marks = {r["app_id"]: (r["last_backfill_at"] is not None, r["last_seen_timestamp_updated"]) for r in warehouse.read("raw.review_counts").collect()}
     assert marks == {1: (True, 99), 2: (False, None), 3: (True, 0), 4: (False, None)}
-    again = ingest.ingest_reviews(spark, warehouse, read, EngineConfig(), NOW)
-    assert again.reviews_loaded == 0
-    assert len(list((tmp_path / "wh/raw/reviews/parts").iterdir())) == 1  # incomplete and staged rows are gone
+    again = ingest.ingest_reviews(spark, warehouse, read, QUICK, NOW)
+    assert again.reviews_loaded == 0 and rows.count() == 100
+    log = tmp_path / "wh/raw/review_log"
+    assert len(list(log.glob("rows/load=*/part-*.parquet"))) == 2  # the first, empty one and the complete application's; others left nothing
+    assert not list(log.glob("*/_pending-*"))
     s = spark.read.format("review_pages").options(**client, apps="[[1, null], [9, null]]", mode="summary").load().orderBy("app_id").collect()
     assert [r["total_reviews"] for r in s] == [110, None]
 
@@ -241,27 +246,127 @@ def loaded(warehouse):
     return sorted((r["app_id"], r["recommendation_id"]) for r in warehouse.read("raw.reviews").collect())
 
 
-def test_a_crash_while_publishing_doubles_nothing(spark, warehouse, monkeypatch):
-    recorded = {"pages": {str(a): {"*": {"reviews": [review_json(i, i) for i in range(5)], "cursor": "b"}} for a in (1, 2)}, "summaries": {}}
-    read = ingest.page_reader(spark, QUICK, client="millrace.sources.review_pages:RecordedClient", **{"client.data": json.dumps(recorded)})
-    ingest.ingest_census(warehouse, census(spark, (1, 5), (2, 5)), NOW)
-    put = Warehouse._put
+def recorded_pages(*apps, rows=5):
+    return json.dumps({"pages": {str(a): {"*": {"reviews": [review_json(i, i) for i in range(rows)], "cursor": "b"}} for a in apps}, "summaries": {}})
 
-    def crash(*a):
-        raise OSError("lost")
 
-    monkeypatch.setattr(Warehouse, "_put", crash)  # before the version is there: neither rows nor marks
-    with pytest.raises(OSError):
-        ingest.ingest_reviews(spark, warehouse, read, QUICK, NOW)
-    monkeypatch.setattr(Warehouse, "_put", put)
+def test_a_crash_while_publishing_doubles_nothing(spark, warehouse, tmp_path, monkeypatch):
+    read = ingest.page_reader(spark, QUICK, client="millrace.sources.review_pages:RecordedClient", **{"client.data": recorded_pages(1, 2)})
+    ingest.ingest_census(warehouse, census(spark, (1, 5), (2, 5)), NOW)
+    marks = tmp_path / "wh/raw/review_log/marks"
+    marks.chmod(0o500)  # the rows are published, their verdicts can't be: the rows don't count and go with the abort
+    if not os.access(marks, os.W_OK):
+        with pytest.raises(Exception):
+            ingest.ingest_reviews(spark, warehouse, read, QUICK, NOW)
+    marks.chmod(0o700)
     assert loaded(warehouse) == []
-    monkeypatch.setattr(ingest, "fold_marks", lambda w, real=ingest.fold_marks: crash() if w.read("raw.reviews").count() else real(w))
-    with pytest.raises(OSError):  # after it: rows and marks are both there
-        ingest.ingest_reviews(spark, warehouse, read, QUICK, NOW)
-    monkeypatch.undo()
-    assert len(loaded(warehouse)) == 10 and {r["app_id"] for r in ingest.marked_counts(warehouse).where("last_backfill_at IS NOT NULL").collect()} == {1, 2}
+    # rows of a driver that died between the two renames: nobody sees them
+    (tmp_path / "wh/raw/review_log/rows/load=dead").mkdir()
+    spark.createDataFrame([(9, 1, "{}", 0, 0, NOW)], schemas.REVIEWS).write.mode("overwrite").parquet(f"{tmp_path}/wh/raw/review_log/rows/load=dead")
+    assert loaded(warehouse) == []
+    assert ingest.ingest_reviews(spark, warehouse, read, QUICK, NOW).reviews_loaded == 10
+    assert len(loaded(warehouse)) == 10 and {r["app_id"] for r in warehouse.read("raw.review_counts").where("last_backfill_at IS NOT NULL").collect()} == {1, 2}
     assert ingest.ingest_reviews(spark, warehouse, read, QUICK, LATER).reviews_loaded == 0
-    assert len(loaded(warehouse)) == 10 and warehouse.read("raw.review_marks").count() == 0
+    assert len(loaded(warehouse)) == 10
+
+
+class DyingClient(RecordedClient):
+    """Answers for the first applications, then the task dies."""
+
+    def page(self, app_id, cursor):
+        if app_id == 2:
+            raise KeyError("killed")
+        return super().page(app_id, cursor)
+
+
+def test_a_task_that_dies_half_way_leaves_nothing(spark, warehouse, tmp_path):
+    ingest.ingest_census(warehouse, census(spark, (1, 5), (2, 5)), NOW)
+    read = ingest.PageReader(spark, QUICK, lanes=1, client="tests.test_ingest:DyingClient", **{"client.data": recorded_pages(1, 2)})
+    with pytest.raises(Exception, match="killed"):
+        ingest.ingest_reviews(spark, warehouse, read, QUICK, NOW)
+    log = tmp_path / "wh/raw/review_log"
+    assert loaded(warehouse) == [] and [p.name for p in log.glob("rows/*load*")] == ["load=none"] and [p.name for p in log.glob("marks/*load*")] == ["load=none"]
+    assert warehouse.read("raw.review_counts").where("last_backfill_at IS NOT NULL").count() == 0
+
+
+def test_sink_streams_heavy_applications_and_drops_the_incomplete(spark, warehouse, tmp_path, monkeypatch):
+    rows = spark.range(0, 70_000, 1, 1).selectExpr("id AS recommendation_id", "CASE WHEN id < 30000 THEN 1 WHEN id < 60000 THEN 2 WHEN id < 60010 THEN 3 ELSE 4 END AS app_id", "'{}' AS payload", "id AS timestamp_created", "id AS timestamp_updated", "TIMESTAMP '2024-01-01' AS loaded_at")
+    rows = rows.withColumn("app_id", F.col("app_id").cast("bigint"))
+    v = {r["app_id"]: r for r in write_load(rows, ingest.review_log(warehouse), "a", [(1, 30000), (2, 90000), (3, 10), (4, None), (5, 10), (6, 900)], marked_at=NOW).collect()}
+    assert {a: (r["fetched"], r["complete"]) for a, r in v.items()} == {1: (30000, True), 2: (30000, False), 3: (10, True), 4: (9990, True), 5: (0, True), 6: (0, False)}
+    assert v[1]["max_seen"] == 29999 and v[6]["max_seen"] == 0
+    assert sorted(map(tuple, warehouse.read("raw.reviews").groupBy("app_id").count().collect())) == [(1, 30000), (3, 10), (4, 9990)]
+    # an application that comes from two tasks, or in two stretches of one, is refused and leaves nothing
+    for bad in (rows.where("app_id = 3").repartition(2), rows.where("app_id > 2").union(rows.where("app_id = 3")).coalesce(1)):
+        with pytest.raises(Exception, match="two tasks|together"):
+            write_load(bad, ingest.review_log(warehouse), "b", [(3, 10)])
+    assert warehouse.read("raw.reviews").count() == 40_000
+
+
+class CountingClient(RecordedClient):
+    """Notes when a request is made."""
+
+    def __init__(self, config, data, log):
+        super().__init__(config, data)
+        self.log = log
+
+    def summary(self, app_id):
+        open(f"{self.log}/{time.time()}-{app_id}-{os.getpid()}", "w").close()
+        return super().summary(app_id)
+
+    page = lambda self, app_id, cursor: self.summary(app_id) and {}
+
+
+def test_all_tasks_together_keep_the_rate(spark, tmp_path):
+    """A thousand applications in eight lanes, and five reads of one application side by side: the interval holds for all requests together."""
+    given = {"client": "tests.test_ingest:CountingClient", "client.data": '{"summaries": {}}', "client.log": str(tmp_path)}
+    quick = EngineConfig(http_min_interval_seconds=0.004)
+    apps = [(a, None) for a in range(1000)]
+    read = ingest.PageReader(spark, quick, lanes=8, mode="summary", **given)
+    assert read(apps).rdd.getNumPartitions() == 8 and read(apps).count() == 1000
+    at = sorted(float(n.split("-")[0]) for n in os.listdir(tmp_path))
+    assert len(at) == 1000 and at[-1] - at[0] >= 0.004 * (1000 - 8) * 0.95
+    assert at[-1] - at[0] < 4 * 0.004 * 1000  # and the lanes do work side by side
+    reader = ReviewPagesReader(read.shared(5).options([(1, None)]))
+    [part] = reader.partitions()
+    assert part.tasks == 5
+    assert [p.tasks for p in ReviewPagesReader(read.options(apps[:3])).partitions()] == [3, 3, 3]
+
+
+class ChainClient(RecordedClient):
+    """Pages p0, p1, ... of three reviews each; dies once at a page, and notes every request."""
+
+    def __init__(self, config, pages, log, dies="-1"):
+        self.pages, self.log, self.dies = int(pages), log, int(dies)
+
+    def page(self, app_id, cursor):
+        n = 0 if cursor == "*" else int(cursor[1:])
+        open(f"{self.log}/{app_id}-{n}-{time.time_ns()}", "w").close()
+        if n == self.dies and not os.path.exists(f"{self.log}/died"):
+            open(f"{self.log}/died", "w").close()
+            raise KeyError("died")
+        if n >= self.pages:
+            return {"reviews": [], "cursor": cursor}
+        return {"reviews": [review_json(1000 * app_id + 3 * n + i, n) for i in range(3)], "cursor": f"p{n + 1}"}
+
+
+def test_a_stopped_stream_resumes_at_its_page(spark, warehouse, tmp_path):
+    log = tmp_path / "asked"
+    log.mkdir()
+    config = EngineConfig(pages_per_batch=4, heavy_review_threshold=10, stop_tolerance_min=0, stop_backoff_base_seconds=0.0, http_min_interval_seconds=0.0, http_max_retries=0)
+    read = ingest.PageReader(spark, config, client="tests.test_ingest:ChainClient", **{"client.pages": "11", "client.log": str(log), "client.dies": "9"})
+    ingest.ingest_census(warehouse, census(spark, (7, 33), (8, 33)), NOW)
+    one = EngineConfig(**{**config.__dict__, "heavy_workers": 1})
+    m = ingest.ingest_reviews(spark, warehouse, read, one, NOW)
+    asked = lambda app: [int(p.name.split("-")[1]) for p in sorted(log.glob(f"{app}-*"), key=lambda p: int(p.name.split("-")[2]))]
+    assert m.reviews_loaded == 33 and m.apps_backfilled == 1  # the other one died in its third micro-batch
+    dead = 7 if len(asked(7)) == 10 else 8
+    assert asked(dead) == list(range(10)) and {a for a, _ in loaded(warehouse)} == {15 - dead}
+    assert ingest.ingest_reviews(spark, warehouse, read, one, LATER).reviews_loaded == 33
+    assert asked(dead) == [*range(10), 8, 9, 10, 11]  # the micro-batch of pages 8 to 11 is repeated, nothing before it
+    rows = loaded(warehouse)
+    assert len(rows) == len(set(rows)) == 66
+    assert not list((tmp_path / "wh/_stage").iterdir())
 
 
 def test_heavy_applications_load_side_by_side(spark, warehouse):
@@ -276,29 +381,71 @@ def test_heavy_applications_load_side_by_side(spark, warehouse):
 
 def test_versions_and_vacuum(spark, warehouse, tmp_path):
     one = spark.createDataFrame([(1,)], "k bigint")
-    warehouse.create_if_absent("staging.a", one.schema), warehouse.create_if_absent("staging.b", one.schema)
-    part = warehouse.stage("staging.a", one)
-    warehouse.commit(Commit(added={"staging.a": [part], "staging.b": []}))
-    stale = warehouse.stage("staging.a", one)
-    assert warehouse.read("staging.a").count() == 1 and warehouse.vacuum(1.0) == 0 and warehouse.vacuum(-1.0) == 1
-    with pytest.raises(Exception):
-        warehouse.read_part("staging.a", stale).count()
-    version, state = warehouse.state()
-    assert not warehouse._put(version, state)  # a version is never overwritten
-    # another writer between our look and our rename: an addition is tried again, a replacement of a changed table is not
-    other, real = Warehouse(spark, warehouse.root), warehouse._put
-
-    def late(v, s, first=[True]):
-        if first.pop() if first else False:
-            other.append("staging.a", one)
-        return real(v, s)
-
-    warehouse._put = late
-    warehouse.append("staging.a", one)
-    assert warehouse.read("staging.a").count() == 3
-    late.__defaults__[0].append(True)
-    with pytest.raises(RuntimeError):
-        warehouse.overwrite("staging.a", one)
+    assert warehouse.publish("staging.a", one) == 0 and warehouse.publish("staging.a", one.union(one)) == 1
+    old, stale = warehouse.snapshot("staging.a"), warehouse.read("staging.a")
+    # another writer publishes what we haven't read: our change is refused and leaves nothing
+    assert warehouse.publish("staging.a", old.df.limit(0), old.version) == 2
+    with pytest.raises(Conflict):
+        warehouse.publish("staging.a", one, old.version)
+    assert warehouse.read("staging.a").count() == 0 and stale.count() == 2  # a reader keeps the version it began with
+    assert not list((tmp_path / "wh/staging/a").glob("_pending-*"))
+    for _ in range(6):
+        warehouse.publish("staging.a", one)
+    assert warehouse.versions("staging.a") == [4, 5, 6, 7, 8]  # older ones are gone
+    (tmp_path / "wh/staging/a/_pending-dead").mkdir()
+    assert warehouse.vacuum(1.0) == 0 and warehouse.vacuum(-1.0) == 1
+
+
+def test_concurrent_merges_lose_nothing(spark, warehouse):
+    """A census and a mark, or two merges, that read the same version: the slower one merges again."""
+    row = lambda k: spark.createDataFrame([(k,)], "k bigint")
+    warehouse.publish("staging.m", row(0))
+    calls = []
+
+    def slow(old):
+        calls.append(1)
+        if len(calls) == 1:
+            ingest.merge_table(warehouse, "staging.m", lambda o: o.union(row(1)))
+        return old.union(row(2))
+
+    ingest.merge_table(warehouse, "staging.m", slow)
+    assert sorted(r["k"] for r in warehouse.read("staging.m").collect()) == [0, 1, 2] and len(calls) == 2
+
+
+def test_tables_are_in_the_catalog(spark, warehouse, tmp_path):
+    spark.createDataFrame([(1, "x")], "k bigint, s string").write.mode("overwrite").parquet(f"{tmp_path}/x")
+    reg = Registry([Node("t", "gold", lambda d: spark.read.parquet(f"{tmp_path}/x"), doc="it's a table", columns={"k": "the key's comment"}, layout=Layout(bucket_by=("k",), buckets=2))])
+    reg.run(warehouse)
+    assert [tuple(r) for r in spark.sql("SELECT * FROM gold.t").collect()] == [(1, "x")]
+    about = {r["col_name"]: (r["data_type"], r["comment"]) for r in spark.sql("DESCRIBE TABLE EXTENDED gold.t").collect()}
+    assert about["k"][1] == "the key's comment" and about["Comment"][0] == "it's a table" and about["Num Buckets"][0] == "2"
+    assert {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE TABLE raw.reviews").collect()}["payload"] == "review document, JSON text"
+    # a session whose catalog is empty finds everything again
+    spark.sql("DROP DATABASE gold CASCADE")
+    assert "gold.t" in warehouse.attach_all() and spark.table("gold.t").count() == 1
+    assert spark.table("gold.t").schema["k"].metadata["comment"] == "the key's comment"
+
+
+def test_lookups_read_only_the_listed_files(spark, warehouse):
+    rows = spark.range(0, 4000, 1, 8).selectExpr("id AS k", "CASE WHEN id % 7 > 0 THEN id div 100 END AS app", "array(concat('g', id div 500), CASE WHEN id = 1234 THEN 'rare' END, 'all') AS genres")
+    warehouse.publish("staging.g", rows, layout=Layout(bloom=("app", "genres"), index=("app", "genres")))
+    assert len(warehouse.snapshot("staging.g").df.inputFiles()) == 8
+    rare = lookup(warehouse, "staging.g", "genres", ["rare"])
+    assert len(rare.inputFiles()) == 1 and [r["k"] for r in rare.collect()] == [1234]
+    assert scanned_files(rare) == 1
+    both = lookup(warehouse, "staging.g", "app", [3, 39])
+    assert len(both.inputFiles()) == 2 and both.count() == rows.where("app IN (3, 39)").count()
+    assert lookup(warehouse, "staging.g", "genres", ["none"]).count() == 0
+    assert lookup(warehouse, "staging.g", "genres", ["all"]).count() == 4000
+    assert lookup(warehouse, "staging.g", "k", [5]).count() == 1  # not indexed: scanned
+    assert lookup(warehouse, "raw.catalog_games", "genres", ["x"]).count() == 0
+    warehouse.publish("staging.g", rows.where("k < 500"))  # the layout stays, the new version has its own index
+    assert lookup(warehouse, "staging.g", "genres", ["rare"]).count() == 0
+
+
+def scanned_files(df):
+    """Files of the scan in a plan."""
+    return int(re.search(r"InMemoryFileIndex\((\d+) paths\)", df._jdf.queryExecution().executedPlan().toString())[1])
 
 
 def test_loads_are_nodes_of_the_graph(spark, warehouse, tmp_path):
@@ -325,13 +472,14 @@ def test_registry_builds_checks_and_selects(spark, warehouse):
     assert reg.select("layer:marts") == {"game_stats", "review_highlight", "game_review_trend_daily"}
     assert "reviews" in reg.select("+game_stats") and "game_stats" in reg.select("review_agg+")
     row = (1, 5, json.dumps({"voted_up": True, "review": "x"}), 0, 0, NOW)
-    warehouse.append("raw.reviews", spark.createDataFrame([row] * 2, schemas.REVIEWS))
+    add = lambda df, load: write_load(df.coalesce(1), ingest.review_log(warehouse), load, [])
+    add(spark.createDataFrame([row] * 2, schemas.REVIEWS), "a")
     report = reg.run(warehouse)
     assert set(report.built) == {"game", "game_review_count", "review", "review_agg", "game_stats", "review_highlight", "game_review_trend_daily"}
     status = {r.check.name: r.status for r in report.checks}
     assert status["unique_combination(reviews: recommendation_id, app_id)"] == "warn"
     assert status["unique_combination(review: recommendation_id, app_id)"] == "warn"
-    warehouse.append("raw.reviews", spark.createDataFrame([(2, 5, "{}", 0, 0, NOW)], schemas.REVIEWS))
+    add(spark.createDataFrame([(2, 5, "{}", 0, 0, NOW)], schemas.REVIEWS), "b")
     report = reg.run(warehouse, full_refresh=True)
     assert "review_agg" in report.skipped and "game_stats" in report.skipped and "game" in report.built
     with pytest.raises(ValueError):
