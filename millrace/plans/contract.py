@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.arrays import ordered_distinct
@@ -20,9 +20,14 @@ from millrace.operators.gating import completeness, keep_complete, size_class, s
 from millrace.operators.lookup import attach_lists, last_wins, resolve_names
 from millrace.operators.quality import Check, failing_not_null, failing_unique
 from millrace.operators.ranking import top_n_wide
+from millrace.operators.running import exact_median, global_rank
 from millrace.operators.upsert import advance_watermark, upsert_replace, upsert_with_previous
 from millrace.plans.models import daily_trend, median_and_rates, renamed
+from millrace.plans.stand_ins import CONFIG, COUNT_SQL, GAME_SQL, REVIEW_SQL, built
 from millrace.session import configure
+from millrace.sources.index import lookup
+from millrace.sources.scratch import new_path
+from millrace.sources.tables import Layout, Warehouse
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -161,28 +166,16 @@ def null_filter(t):
     return t("documents").join(t("labels"), "doc_id", "left").where(F.col("quality").isNull()).select("doc_id", "lang")
 
 
-#: Keys numbered by one task in sort_nulls_first_rank.
-RUN_KEYS = 100_000
-
-
 @query(
     """SELECT c_custkey, total, row_number() OVER (ORDER BY total ASC NULLS FIRST, c_custkey) AS position
     FROM (SELECT c_custkey, sum_n AS total FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS sum_n FROM orders
     WHERE o_orderstatus = 'F' GROUP BY 1) ON o_custkey = c_custkey)"""
 )
 def sort_nulls_first_rank(t):
-    """The position of each row in a global sort: rows before its total, from one row per distinct total, and its place among equals, from one per run of keys."""
+    """The position of each row in a global sort."""
     counts = t("orders").where("o_orderstatus = 'F'").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("total"))
     rows = t("customer").select("c_custkey").join(counts, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "total")
-    # a total that very many rows share is numbered in runs of keys, so that no task holds all of its rows
-    placed = rows.withColumn("run", F.floor(F.col("c_custkey") / RUN_KEYS))
-    by_run = placed.groupBy("total", "run").agg(F.count(F.lit(1)).alias("n"))
-    earlier = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    by_total = by_run.groupBy("total").agg(F.sum("n").alias("n")).select(F.col("total").alias("t"), earlier(Window.orderBy(F.col("total").asc_nulls_first())).alias("before"))
-    starts = by_run.select("total", "run", earlier(Window.partitionBy("total").orderBy("run")).alias("in_total")).join(by_total, F.col("total").eqNullSafe(F.col("t"))).drop("t")
-    within = placed.withColumn("k", F.row_number().over(Window.partitionBy("total", "run").orderBy("c_custkey")))
-    joined = within.alias("w").join(starts.alias("s"), F.col("w.total").eqNullSafe(F.col("s.total")) & (F.col("w.run") == F.col("s.run")))
-    return joined.select("c_custkey", F.col("w.total").alias("total"), (F.col("before") + F.col("in_total") + F.col("k")).cast("bigint").alias("position"))
+    return global_rank(rows, [F.col("total").asc_nulls_first(), F.col("c_custkey").asc()])
 
 
 @query("SELECT p_partkey AS part_id, p_name AS part_name, p_size AS size FROM part")
@@ -430,3 +423,122 @@ def left_lookup(t):
 def dq_thresholds(t):
     check = Check("events", "unique_combination", ("user_id", "event_type"), error_above=10000)
     return check.failing(t("events")).select("failures", check.status_column(F.col("failures")).alias("status"))
+
+
+@query("SELECT doc_id, n_chars, row_number() OVER (ORDER BY n_chars ASC NULLS FIRST, doc_id DESC) AS position FROM documents")
+def global_rank_by_length(t):
+    return global_rank(t("documents").select("doc_id", "n_chars"), [F.col("n_chars").asc_nulls_first(), F.col("doc_id").desc()])
+
+
+_HOT = "CASE WHEN doc_id % 3 = 0 THEN -1 ELSE doc_id % 1000 END"
+
+
+@query(f"SELECT {_HOT} AS key, median(CASE WHEN doc_id % 50 > 0 THEN n_chars + doc_id % 100 END) AS median_chars FROM documents GROUP BY 1")
+def median_of_hot_key(t):
+    """An exact median per key, where one key has a third of the rows."""
+    rows = t("documents").select(F.expr(_HOT).alias("key"), F.expr("CASE WHEN doc_id % 50 > 0 THEN n_chars + doc_id % 100 END").alias("v"))
+    return exact_median(rows, "key", "v", "median_chars")
+
+
+@query("SELECT doc_id, lang, n_chars FROM documents WHERE 'c' || n_chars % 1000 IN ('c77', 'c300', 'c999') OR source || doc_id % 100 = 'none'")
+def indexed_array_lookup(t):
+    """Rows whose list of tags holds a value, from the files that the inverted index names."""
+    documents = t("documents")
+    spark = documents.sparkSession
+    w = Warehouse(spark, new_path(spark, "indexed"))
+    tagged = documents.select("doc_id", "lang", "n_chars", F.expr("array(lang, concat('c', n_chars % 1000), concat(source, doc_id % 100))").alias("tags"))
+    w.publish("staging.tagged", tagged.sort(F.expr("n_chars % 1000")), layout=Layout(bloom=("tags", "doc_id"), index=("tags",)))
+    return lookup(w, "staging.tagged", "tags", ["c77", "c300", "c999", "none"]).select("doc_id", "lang", "n_chars")
+
+
+def _readable(df: DataFrame) -> DataFrame:
+    """Lists, times and whole texts as text that both engines write alike."""
+    out = []
+    for f in df.schema:
+        kind, c = f.dataType.simpleString(), F.col(f.name)
+        if kind == "array<string>":
+            c = F.array_join(c, "|")
+        elif kind == "timestamp":
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        elif kind == "variant":
+            c = F.to_json(c)
+        elif f.name == "review_text":
+            c = F.sha2(c, 256)
+        out.append(c.alias(f.name))
+    return df.select(out)
+
+
+def _model(t, name: str, as_sql: bool = False) -> DataFrame:
+    return _readable(built(t("documents"), t("labels"), name, as_sql))
+
+
+_TIMES = lambda *names: ", ".join(f"strftime({n}, '%Y-%m-%d %H:%M:%S.%f') AS {n}" for n in names)
+
+
+@query(f"WITH {GAME_SQL} SELECT * FROM game")
+def model_game(t):
+    return _model(t, "game")
+
+
+@query(f"WITH {COUNT_SQL} SELECT *, '2024-02-01 00:00:00.000000' AS checked_at, CAST(NULL AS BIGINT) AS prev_total_reviews, CASE WHEN false THEN '' END AS last_backfill_at FROM counts")
+def model_game_review_count(t):
+    return _model(t, "game_review_count")
+
+
+@query(
+    f"""WITH {REVIEW_SQL} SELECT * EXCLUDE (author_last_played_at, app_release_date, created_at, updated_at, loaded_at, review_text), sha256(review_text) AS review_text,
+    {_TIMES("author_last_played_at", "app_release_date", "created_at", "updated_at", "loaded_at")} FROM typed"""
+)
+def model_review(t):
+    """All thirty fields of the payload, read from the stored VARIANT, and the two that are derived."""
+    return _model(t, "review")
+
+
+_SHARE = lambda c: f"CAST(round(sum(CAST({c} AS INT)) / CAST(nullif(count({c}), 0) AS DOUBLE), 12) AS DOUBLE)"
+
+
+@query(
+    f"""WITH {REVIEW_SQL} SELECT app_id AS steam_app_id, median(author_playtime_forever_minutes) AS median_playtime_forever_minutes,
+    {_SHARE("primarily_steam_deck")} AS pct_primarily_steam_deck, {_SHARE("refunded")} AS pct_refunded FROM typed GROUP BY 1"""
+)
+def model_review_agg(t):
+    share = lambda c: F.round(F.col(c), 12).cast("double").alias(c)
+    return _model(t, "review_agg").select("steam_app_id", "median_playtime_forever_minutes", share("pct_primarily_steam_deck"), share("pct_refunded"))
+
+
+@query(
+    f"""WITH {REVIEW_SQL}, {GAME_SQL}, {COUNT_SQL},
+    agg AS (SELECT app_id, median(author_playtime_forever_minutes) AS m, CAST(sum(CAST(primarily_steam_deck AS INT)) AS BIGINT) AS d, count(primarily_steam_deck) AS dn,
+      CAST(sum(CAST(refunded AS INT)) AS BIGINT) AS r, count(refunded) AS rn FROM typed GROUP BY 1)
+    SELECT igdb_id, g.steam_app_id, game_name, genres, developers, publishers, cover_url, first_release_date, total_reviews, {half_up("total_positive", "total_reviews", 1000, 10.0)} AS pct_positive_reviews, review_score,
+    m AS median_playtime_forever_minutes, {half_up("d", "dn", 1000, 10.0)} AS pct_primarily_steam_deck, {half_up("r", "rn", 1000, 10.0)} AS pct_refunded
+    FROM game g LEFT JOIN counts c ON c.steam_app_id = g.steam_app_id LEFT JOIN agg a ON a.app_id = g.steam_app_id"""
+)
+def mart_game_stats(t):
+    return _model(t, "game_stats")
+
+
+_HIGHLIGHT = f"""WITH {REVIEW_SQL}, best AS (SELECT recommendation_id, app_id, row_number() OVER (PARTITION BY app_id, voted_up, language
+    ORDER BY weighted_vote_score DESC NULLS FIRST, votes_up DESC NULLS FIRST, recommendation_id ASC) AS rank_in_game FROM typed
+    WHERE author_playtime_at_review_minutes > {CONFIG.min_playtime_minutes} AND review_text_length > {CONFIG.min_review_length} AND NOT is_generic)
+    SELECT CAST(rank_in_game AS INT) AS rank_in_game, recommendation_id, app_id, sha256(review_text) AS review_text, language, voted_up, votes_up, votes_funny, weighted_vote_score, author_personaname, author_avatar, author_profile_url,
+    author_playtime_at_review_minutes, {_TIMES("author_last_played_at")} FROM best JOIN typed USING (recommendation_id, app_id) WHERE rank_in_game <= {CONFIG.top_n_reviews}"""
+
+
+@query(_HIGHLIGHT)
+def mart_review_highlight(t):
+    return _model(t, "review_highlight")
+
+
+@query(_HIGHLIGHT)
+def mart_review_highlight_sql(t):
+    """The same mart from SQL text with named values."""
+    return _model(t, "review_highlight", as_sql=True)
+
+
+@query(
+    f"""WITH {REVIEW_SQL} SELECT app_id, review_date, n AS total_reviews, pos AS total_positive, n - pos AS total_negative, {half_up("pos", "n", 10000, 10000.0)} AS pct_positive FROM (
+    SELECT app_id, CAST(created_at AS DATE) AS review_date, count(*) AS n, count(*) FILTER (WHERE voted_up) AS pos FROM typed GROUP BY 1, 2)"""
+)
+def mart_game_review_trend_daily(t):
+    return _model(t, "game_review_trend_daily")

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
+from string import Formatter
 
 from pyspark.sql import DataFrame
 
@@ -38,6 +39,18 @@ class Node:
         return f"{self.layer}.{self.name}"
 
 
+def sql_node(name: str, layer: str, sql: str, args: dict | None = None, **more) -> Node:
+    """A model from SQL text. {other} stands for another model, which becomes a dependency; :name for a value in args."""
+    deps = tuple(dict.fromkeys(field for _, field, _, _ in Formatter().parse(sql) if field))
+    if not deps:
+        raise ValueError(f"{name} reads no model")
+
+    def build(frames: dict[str, DataFrame]) -> DataFrame:
+        return frames[deps[0]].sparkSession.sql(sql, args=args or {}, **{d: frames[d] for d in deps})
+
+    return Node(name, layer, build, deps, **more)
+
+
 def database_for(folder: str, custom: str | None = None) -> str:
     """Database of a model: a given name wins, else the folder path with underscores."""
     return custom.strip() if custom else folder.strip("/").replace("/", "_")

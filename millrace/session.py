@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.bucketing.coalesceBucketsInJoin.enabled": "true",  # tables with different numbers of buckets still join without a shuffle
+    "spark.sql.variant.allowDuplicateKeys": "true",  # the last of repeated keys wins, as in the loader
 }
 
 

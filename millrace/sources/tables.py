@@ -17,7 +17,7 @@ from __future__ import annotations
 import contextlib
 import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,8 @@ from millrace.sources.index import write_index
 
 #: Versions whose files stay for running readers; attempts of a writer that replaces whatever is there.
 KEPT_VERSIONS, ATTEMPTS = 5, 20
+#: Bytes of a bucket, by the optimizer's estimate; fewest and most buckets.
+BUCKET_BYTES, LEAST_BUCKETS, MOST_BUCKETS = 256 << 20, 8, 1 << 15
 
 
 class Conflict(RuntimeError):
@@ -44,7 +46,11 @@ class Snapshot:
 
 @dataclass(frozen=True)
 class Layout:
-    """How files are written: buckets (sorted by the same columns), columns with Bloom filters, columns with an inverted index."""
+    """How files are written: buckets (sorted by the same columns), columns with Bloom filters, columns with an inverted index.
+
+    Without a number of buckets it follows the size of the rows, as a power of two, so that
+    tables of different sizes still join bucket by bucket.
+    """
 
     bucket_by: tuple[str, ...] = ()
     buckets: int = 16
@@ -52,6 +58,15 @@ class Layout:
     index: tuple[str, ...] = ()
 
 
+def sized(layout: Layout, df: DataFrame) -> Layout:
+    """The layout with a number of buckets."""
+    if not layout.bucket_by or layout.buckets:
+        return layout
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    wanted = min(MOST_BUCKETS, max(LEAST_BUCKETS, size // BUCKET_BYTES))
+    return replace(layout, buckets=1 << (wanted - 1).bit_length())
+
+
 def column_ddl(schema: T.StructType) -> str:
     def one(f: T.StructField) -> str:
         comment = f.metadata.get("comment", "").replace("\\", "\\\\").replace("'", "\\'")
@@ -195,7 +210,7 @@ class Warehouse:
         since, nothing happens and Conflict is raised. Without it df replaces whatever is
         there.
         """
-        layout = layout or self._layouts.get(table, Layout())
+        layout = sized(layout or self._layouts.get(table, Layout()), df)
         pending = f"{self.folder(table)}/_pending-{uuid.uuid4().hex}"
         try:
             self._write(df, table, pending, layout)
