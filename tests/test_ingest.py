@@ -475,7 +475,7 @@ def test_registry_builds_checks_and_selects(spark, warehouse):
     add = lambda df, load: write_load(df.coalesce(1), ingest.review_log(warehouse), load, [])
     add(spark.createDataFrame([row] * 2, schemas.REVIEWS), "a")
     report = reg.run(warehouse)
-    assert set(report.built) == {"game", "game_review_count", "review", "review_agg", "game_stats", "review_highlight", "game_review_trend_daily"}
+    assert set(report.built) == {"game", "game_review_count", "review_document", "review", "review_agg", "game_stats", "review_highlight", "game_review_trend_daily"}
     status = {r.check.name: r.status for r in report.checks}
     assert status["unique_combination(reviews: recommendation_id, app_id)"] == "warn"
     assert status["unique_combination(review: recommendation_id, app_id)"] == "warn"
