@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm.shared import stored
 
-#: Pivots (a sample of this many distinct vectors, but one in PIVOT_SHARE at most, and FEW at least); files a vector is posted in and files a query reads; candidates reranked per block: a floor and a share.
-PIVOTS, PIVOT_SHARE, FEW, POSTED, READ, LEAST_CANDIDATES, SHARE = 2048, 4, 32, 64, 14, 1024, 0.3
+#: Pivots (a sample of this many distinct vectors, but one in PIVOT_SHARE at most, and FEW at least); files a vector is posted in and files a query reads; share of a block's entries that is reranked.
+PIVOTS, PIVOT_SHARE, FEW, POSTED, READ, SHARE = 2048, 2, 32, 64, 14, 0.3
 #: Rows per block: as many as keep 64 blocks busy, within these limits.
 LEAST_BLOCK, MOST_BLOCK, CHUNK = 4096, 1 << 20, 256
 
@@ -47,10 +47,14 @@ def nearest_pivots(pivots: np.ndarray, x: np.ndarray, most: int) -> np.ndarray:
 
 
 class Block:
-    """The entries of a block with the inverted files of the pivots; without pivots, every entry is a candidate."""
+    """The entries of a block with the inverted files of the pivots; without pivots, every entry is a candidate.
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, pivots: np.ndarray | None):
-        self.ids, self.x, self.pivots, self.touched = ids, x, pivots, 0
+    share of the entries is reranked, at least so many that a result can be full; None: all.
+    """
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, pivots: np.ndarray | None, share: float | None = SHARE):
+        self.ids, self.x, self.touched, self.share = ids, x, 0, share
+        self.pivots = pivots = None if share is None else pivots
         if pivots is None:
             return
         near = np.concatenate([nearest_pivots(pivots, x[lo : lo + 4096], POSTED) for lo in range(0, len(x), 4096)])
@@ -59,14 +63,16 @@ class Block:
         self.entries, self.ranks = at // self.posted, (at % self.posted).astype(np.int16)
         self.ends = np.searchsorted(near.ravel()[at], np.arange(len(pivots) + 1))
 
-    def candidates(self, files: np.ndarray) -> np.ndarray:
-        """Entries posted in the files, or the best of them by footrule."""
+    def candidates(self, files: np.ndarray, k: int) -> np.ndarray:
+        """Entries posted in the files, or the best of them by footrule; entries in none of the files make up for too few."""
         parts = [slice(self.ends[p], self.ends[p + 1]) for p in files.tolist()]
         closer = [(self.posted - r) - np.abs(self.ranks[s] - r) for r, s in enumerate(parts)]  # than an entry without the pivot
         score = np.bincount(np.concatenate([self.entries[s] for s in parts]), np.concatenate(closer), len(self.ids))
         found = np.flatnonzero(score)
         self.touched += len(found)
-        most = max(LEAST_CANDIDATES, int(SHARE * len(self.ids)))
+        most = max(k, int(self.share * len(self.ids)))
+        if len(found) < min(k, len(self.ids)):
+            return np.arange(len(self.ids))
         if len(found) > most:  # all that tie with the last one are reranked too
             s = score[found]
             found = found[s >= np.partition(s, len(s) - most)[len(s) - most]]
@@ -74,10 +80,10 @@ class Block:
 
     def search(self, q: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids and exact distances of the k best entries found for each row of q."""
-        whole = self.pivots is None or len(self.ids) <= LEAST_CANDIDATES
+        whole = self.pivots is None
         files = None if whole else nearest_pivots(self.pivots, q, READ)
         for i in range(len(q)):
-            found = slice(None) if whole else self.candidates(files[i])
+            found = slice(None) if whole else self.candidates(files[i], k)
             d = np.sqrt(((self.x[found] - q[i]) ** 2).sum(1))
             ids = self.ids[found]
             best = np.lexsort((ids, d))[:k]
@@ -107,8 +113,12 @@ def entries(df: DataFrame, id_col: str, vec_col: str, k: int, is_query) -> DataF
     return stored(rows.withColumn("asks", is_query(F.col("id"))), "vectors")
 
 
-def nearest(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """query_id, rank, id and score: the k nearest others found for every id for which is_query(column) holds."""
+def nearest(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", share: float | None = SHARE) -> DataFrame:
+    """query_id, rank, id and score: the k nearest others found for every id for which is_query(column) holds.
+
+    share is the part of a block's entries that is reranked at most; None reranks all of
+    them, which is exact.
+    """
     spark = df.sparkSession
     rows = entries(df, id_col, vec_col, k, is_query)
     key = F.sha2("vec", 256)
@@ -141,7 +151,7 @@ def nearest(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_co
                     held.append((ids, _matrix(vecs)))
                     continue
                 if block is None and held:
-                    block, held = Block(*(np.concatenate(p) for p in zip(*held, strict=True)), shared.value.get(int(size[lo]))), []
+                    block, held = Block(*(np.concatenate(p) for p in zip(*held, strict=True)), shared.value.get(int(size[lo])), share), []
                 if block is None:
                     continue
                 x = _matrix(vecs)

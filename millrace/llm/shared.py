@@ -1,17 +1,16 @@
-"""What the operators share: the scratch folder, intermediate tables and small column helpers."""
+"""What the operators share: session settings, intermediate tables (of the core's scratch folder) and small column helpers."""
 
 from __future__ import annotations
 
-import atexit
-import contextlib
 import os
-import tempfile
-import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.scratch import delete, discard, new_path, shared_dir, stored
+
+__all__ = ["delete", "digest", "discard", "importable", "new_path", "numbered", "shared_dir", "stored", "table", "text_or_empty"]
 
 #: Most bytes of a batch that goes to a Python worker, however long its texts are. Each task's buffer for it lies outside
 #: the JVM's heap and is freed by a later garbage collection of the executor, so many tasks' buffers add up.
@@ -32,59 +31,6 @@ def importable(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir.
-
-    Where it is unset (tests, local mode) a temporary folder is used; on a
-    cluster an unset folder is an error, as a local one would lose files.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-_FOLDERS: set[str] = set()
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path for a table of this application. What results still read is deleted when the driver's Python ends."""
-    folder = f"{shared_dir(spark)}/millrace-{spark.sparkContext.applicationId}"
-    if folder not in _FOLDERS:
-        _FOLDERS.add(folder)
-        atexit.register(_delete_at_exit, spark, folder)
-    return f"{folder}/{name}-{uuid.uuid4().hex}"
-
-
-def _delete_at_exit(spark: SparkSession, folder: str) -> None:
-    with contextlib.suppress(Exception):  # the JVM may be gone
-        delete(spark, folder)
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: the lineage is cut and a lost executor costs nothing."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.stored_at = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete stored tables that no later plan reads."""
-    for t in tables:
-        delete(t.sparkSession, t.stored_at)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

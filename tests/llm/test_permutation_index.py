@@ -28,7 +28,7 @@ def found(df):
     return {q: [v[k] for k in sorted(v)] for q, v in out.items()}, out
 
 
-def test_small_table_is_exact(spark):
+def test_reranking_all_is_exact(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(size=6).tolist()) for i in range(400)]
     rows += [(i, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]) for i in range(400, 900)]  # one very frequent vector
@@ -36,7 +36,7 @@ def test_small_table_is_exact(spark):
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id bigint, embedding array<float>, rank int").repartition(5)
     rows32 = [(i, None if v is None else [None if c is None else float(np.float32(c)) for c in v]) for i, v in rows]
     want = brute(rows32)
-    got, ranks = found(nearest(df, lambda c: c % 100 == 0))
+    got, ranks = found(nearest(df, lambda c: c % 100 == 0, share=None))
     assert set(got) == set(want)
     for q in want:
         assert [i for i, _ in got[q]] == [i for i, _ in want[q]] and sorted(ranks[q]) == list(range(1, 11))
@@ -59,7 +59,7 @@ def test_vectors_of_several_lengths(spark):
         own = [(i, x) for i, x in rows if len(x) == len(rows[q][1])]
         d = sorted((float(np.sqrt(((np.array(x) - np.array(rows[q][1])) ** 2).sum())), i) for i, x in own if i != q)
         assert len(v) == min(10, len(own) - 1)
-        if len(own) <= m.LEAST_CANDIDATES:
+        if len(own) < 32:  # too rare for pivots
             assert [i for i, _ in v] == [i for _, i in d[:10]]
     assert set(got) == {501, *range(0, 3000, 100)} and len(got[501]) == 4
 
@@ -73,15 +73,31 @@ def test_recall_where_the_share_decides():
     q, hits, most = x[:60], [], []
     best = np.argsort(-(q @ x.T), 1)[:, 1:11]
     candidates = block.candidates
-    block.candidates = lambda files: most.append(c := candidates(files)) or c
+    block.candidates = lambda files, k: most.append(c := candidates(files, k)) or c
     for i, (ids, _) in enumerate(block.search(q, 11)):
         hits.append(len(set(ids.tolist()) & set(best[i].tolist())) / 10)
     assert np.mean(hits) >= 0.9 and block.touched / (60 * len(x)) < 0.36 and max(map(len, most)) < 0.32 * len(x)
     print(f"recall {np.mean(hits):.3f}, touched {block.touched / (60 * len(x)):.3f}")
 
 
-def test_recall(spark):
-    sf = "/root/testdata/sf0.1"
+def test_small_tables_go_through_the_index(spark, monkeypatch):
+    """A block of a few hundred entries has files, too, and part of it is reranked."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(500, 64))
+    block = m.Block(np.arange(500), x, x[:250])
+    most, hits, candidates = [], [], block.candidates
+    block.candidates = lambda files, k: most.append(c := candidates(files, k)) or c
+    for i, (ids, _) in enumerate(block.search(x[:100], 11)):
+        best = np.argsort(((x - x[i]) ** 2).sum(1))[:11]
+        hits.append(len(set(ids.tolist()) & set(best.tolist())) / 11)
+    assert len(most) == 100 and max(map(len, most)) < 0.35 * 500 and np.mean(hits) >= 0.9
+    # a result is full even where the files that are read hold too few entries
+    far = m.Block(np.arange(40), np.eye(40), np.eye(40)[:32], 0.0)
+    assert all(len(ids) == 11 for ids, _ in far.search(np.eye(40), 11))
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_recall(spark, sf):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()]
     want = brute(rows)
     got, _ = found(QUERIES["op6_permutation_index"](spark, sf))
