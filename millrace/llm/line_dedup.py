@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.bpe import slices
 from millrace.llm.bytewords import Words, words
-from millrace.llm.packed import BLOCKS_SCHEMA, Bloom, Packer, exchange, gather, mix, targets_for, unpack
+from millrace.llm.packed import BLOCKS_SCHEMA, Bloom, Packer, deal, exchange, gather, mix, targets_for, unpack
 from millrace.llm.shared import discard, numbered, stored
 
 #: Similarity threshold as a fraction; sketch cells, and bits of the sketch of repeated words.
@@ -57,7 +57,7 @@ SLICE = 1_000_000
 #: Smallest set that can be similar to a different one.
 LEAST = -(-NUM // (DEN - NUM))
 #: Lines of a slice whose number fits a sort key.
-KEY_LINES = 1 << 24
+KEY_LINES = 1 << 22
 LINES, POSTINGS = 0, 1
 LINE_TYPES = ["<u8", "<u8", "<i8", "<u4"]  # digest (2), row, line
 POSTING_TYPES = ["<u4", "<u4", "<u8", "<u8", "<i8", "<u4", "<u4", "<u4"]  # word, digest, bits (2), row, line, size, position
@@ -132,13 +132,18 @@ def word_sketch(docs: DataFrame, text_col: str) -> Sketch:
     unzip = zstandard.ZstdDecompressor()
     for k, c, t in salted.repartition("chunk").mapInArrow(add, SKETCH_SCHEMA).select("chunk", "counts", "twice").collect():
         counts[k], repeated[k] = np.frombuffer(unzip.decompress(bytes(c)), np.int64), np.frombuffer(unzip.decompress(bytes(t)), np.uint8)
-    return Sketch(np.minimum(63, np.ceil(4 * np.log2(counts.ravel() + 1))).astype(np.uint8), repeated.ravel())
+    return Sketch(rarity(counts.ravel()), repeated.ravel())
+
+
+def rarity(counts: np.ndarray) -> np.ndarray:
+    """Codes of a byte that rise with the count, five for each doubling: they tell counts apart up to 2^51, more words than any corpus has."""
+    return np.minimum(255, np.ceil(5 * np.log2(counts.astype(np.float64) + 1))).astype(np.uint8)
 
 
 def line_sets(w: Words, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words of each line, rarest first: (hashes, line of each, start of each line, size of each line); lines without words have size 0."""
     if len(w.line_text) < KEY_LINES:
-        order = np.argsort(w.line.astype(np.uint64) << np.uint64(40) | codes.astype(np.uint64) << np.uint64(34) | w.hashes >> np.uint64(30))
+        order = np.argsort(w.line.astype(np.uint64) << np.uint64(42) | codes.astype(np.uint64) << np.uint64(34) | w.hashes >> np.uint64(30))
     else:
         order = np.lexsort((w.hashes, codes, w.line))
     h, line = w.hashes[order], w.line  # lines stay in place, as their number leads the key
@@ -336,7 +341,11 @@ def verify(docs: DataFrame, text_col: str, pairs: DataFrame) -> DataFrame:
 
 
 def match_blocks(docs: DataFrame, text_col: str, hot: DataFrame, decided: DataFrame, limits: Limits) -> DataFrame:
-    """Distinct (row, line) of lines that have a match on a long list and none before; every task holds two blocks of a list at most."""
+    """Distinct (row, line) of lines that have a match on a long list and none before.
+
+    A task holds a block of a list and a block of its open lines, those without a match so
+    far; so a list of a million lines with one open line is dealt about once.
+    """
     flagged = hot.join(decided.withColumn("done", F.lit(True)), ["row", "line"], "left").withColumn("open", F.col("more") & F.col("done").isNull()).drop("done", "more")
     # tables of one row a word are stored, so that the joins with them can be split where a word is hot
     live = stored(flagged.groupBy("word").agg(F.bool_or("open").alias("any")).where("any").select("word"), "open-words")
@@ -344,36 +353,37 @@ def match_blocks(docs: DataFrame, text_col: str, hot: DataFrame, decided: DataFr
     ends = stored(flagged.select("row", "line").distinct(), "open-lines")
     lines = fetch_lines(docs, text_col, ends)
     listed = stored(flagged.join(lines, ["row", "line"]), "listed-lines")
-    count = F.ceil(F.greatest(F.count(F.lit(1)) / limits.block, F.sum(F.octet_length("text")) / limits.block_bytes, F.lit(1.0))).cast("int")
-    blocks = stored(listed.groupBy("word").agg(count.alias("blocks")), "open-blocks")
-    own = F.pmod(F.xxhash64("row", "line"), F.col("blocks")).cast("int")
-    dealt = listed.join(blocks, "word").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("word", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "row", "line", "size", "pos", "bits0", "bits1", "open", "text")
+    size_of = F.octet_length("text")
+    blocks_of = lambda n, size: F.ceil(F.greatest(n / limits.block, size / limits.block_bytes, F.lit(1.0))).cast("int")
+    blocks = listed.groupBy("word").agg(blocks_of(F.count(F.lit(1)), F.sum(size_of)).alias("blocks"), blocks_of(F.count_if("open"), F.coalesce(F.sum(F.when(F.col("open"), size_of)), F.lit(0))).alias("opens"))
+    blocks = stored(blocks, "open-blocks")
+    dealt = deal(listed.join(blocks, "word"), ["row", "line"], "blocks", "opens", F.col("open"))
+    dealt = dealt.select("word", "b1", "b2", "side", "row", "line", "size", "pos", "bits0", "bits1", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches)).sort_by("size")
-        row, line, own, size, pos, open_ = (table.column(c).to_numpy() for c in ("row", "line", "own", "size", "pos", "open"))
+        row, line, side, size, pos = (table.column(c).to_numpy() for c in ("row", "line", "side", "size", "pos"))
         bits = np.stack([table.column(c).to_numpy().view(np.uint64) for c in ("bits0", "bits1")])
-        text, apart, known, hit = table.column("text"), table.column("lo")[0] != table.column("hi")[0], {}, []
+        text, known, hit = table.column("text"), {}, []
 
         def words_of(i: int) -> set[bytes]:
             if i not in known:
                 known[i] = set(text[i].as_py().encode().lower().split())
             return known[i]
 
-        todo = np.flatnonzero(open_)
+        todo = np.flatnonzero(side > 0)
         least, most = np.searchsorted(size, -(-size[todo] * NUM // DEN)), np.searchsorted(size, size[todo] * DEN // NUM, "right")
         for y, lo, hi in zip(todo.tolist(), least.tolist(), most.tolist(), strict=True):
             near = slice(lo, hi)
             before = (row[near] < row[y]) | ((row[near] == row[y]) & (line[near] < line[y]))
-            x = lo + np.flatnonzero(before & (own[near] != own[y]) if apart else before)
+            x = lo + np.flatnonzero(before & (side[near] != 1))
             x = x[may_match(size, pos, bits, x, np.full(len(x), y))]
             if any(alike(words_of(i), words_of(y)) for i in x.tolist()):
                 hit.append(y)
         if hit:
             yield pa.RecordBatch.from_arrays([pa.array(row[hit]), pa.array(line[hit])], ["row", "line"])
 
-    out = stored(dealt.repartition("word", "lo", "hi").groupBy("word", "lo", "hi").applyInArrow(run, "row bigint, line int").distinct(), "lines-matched")
+    out = stored(dealt.repartition("word", "b1", "b2").groupBy("word", "b1", "b2").applyInArrow(run, "row bigint, line int").distinct(), "lines-matched")
     discard(live, flagged, ends, lines, listed, blocks)
     return out
 

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from millrace.llm.bpe import slices
 from millrace.llm.bytewords import words
 from millrace.llm.components import connected
-from millrace.llm.packed import BLOCKS_SCHEMA, Bloom, Packer, exchange, gather, mix, targets_for, unpack, without_rows
+from millrace.llm.packed import BLOCKS_SCHEMA, Bloom, Packer, deal, exchange, gather, mix, targets_for, unpack, without_rows
 from millrace.llm.shared import discard, numbered, stored
 
 #: k-mer words; hash functions whose tuples are compared; k-mers in a tuple; similarity as a fraction; rounds of naming partners; rows and bytes of text in a block; bins of words; bytes of text handled at a time.
@@ -339,9 +339,14 @@ def partners(named: DataFrame, labels: DataFrame | None, tried: DataFrame | None
 
 
 def linked_in_block(t: pa.Table) -> list[tuple[int, int]]:
-    """Links between rows of different classes in one or two blocks of a bucket (columns bucket, b1, b2, own, row, label, shared, t)."""
-    row, label, own = (t.column(c).to_numpy() for c in ("row", "label", "own"))
-    label, apart, bucket = label.copy(), t.column("b1")[0] != t.column("b2")[0], t.column("bucket")[0].as_py()
+    """Links of a bucket between a block of its members and a block of those outside its largest class.
+
+    Columns bucket, side (1: of the second block, 2: of both), rest (outside the largest
+    class), row, label, shared, t. Two rows of the rest meet where the one with the lesser
+    row number is of the second block.
+    """
+    side, rest, row, label = (t.column(c).to_numpy() for c in ("side", "rest", "row", "label"))
+    label, bucket = label.copy(), t.column("bucket")[0].as_py()
     w = words(t.column("t").combine_chunks())
     n = np.bincount(w.text, minlength=len(row))
     ends = np.cumsum(n)
@@ -357,13 +362,11 @@ def linked_in_block(t: pa.Table) -> list[tuple[int, int]]:
     met: list[list[np.ndarray]] = [[] for _ in row]
     for lo, hi in zip(start.tolist(), [*start[1:].tolist(), len(flat)], strict=False):
         if hi - lo > 1:
-            for i in of[lo:hi].tolist():
+            for i in of[lo:hi][side[of[lo:hi]] > 0].tolist():
                 met[i].append(of[lo:hi])
     links: list[tuple[int, int]] = []
-    for i in range(len(row)):
-        near = (row > row[i]) & (label != label[i]) & (np.minimum(n, n[i]) * DEN >= np.maximum(n, n[i]) * NUM)
-        if apart:
-            near &= own != own[i]
+    for i in np.flatnonzero(side > 0).tolist():
+        near = (side != 1) & (label != label[i]) & (~rest | (row > row[i])) & (np.minimum(n, n[i]) * DEN >= np.maximum(n, n[i]) * NUM)
         if not near.any():
             continue
         for others in met[i]:
@@ -381,20 +384,24 @@ def linked_in_block(t: pa.Table) -> list[tuple[int, int]]:
 def cross_links(docs: DataFrame, text_col: str, members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
     """Links (a, b) between members of one bucket whose classes differ; a task holds two blocks of a bucket at most.
 
-    A task joins classes as it finds links and skips pairs that are in one class by
-    then, so it returns fewer links than it has rows.
+    Members of a bucket's largest class meet only those outside of it, so a group of n near
+    copies with one stranger is dealt about once, not once per block. A task joins classes
+    as it finds links and skips pairs that are in one class by then, so it returns fewer
+    links than it has rows.
     """
     named = members.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
     named = stored(named.join(reps.select("row", "size"), "row"), "bucket-members")
-    count = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_BYTES)).cast("int")
-    mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), count.alias("blocks")).where("lo <> hi")
-    mixed = stored(mixed.select("bucket", F.greatest("blocks", F.lit(1)).alias("blocks")), "bucket-blocks")  # stored, so that the join can be split where a bucket is hot
+    per = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    whole = per.groupBy("bucket").agg(F.max(F.struct("n", "label", "bytes")).alias("top"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).where("n > top.n")
+    blocks_of = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES, F.lit(1.0))).cast("int")
+    rest = blocks_of(F.col("n") - F.col("top.n"), F.col("bytes") - F.col("top.bytes"))
+    mixed = whole.select("bucket", F.col("top.label").alias("main"), blocks_of(F.col("n"), F.col("bytes")).alias("blocks"), rest.alias("rests"))
+    mixed = stored(mixed, "bucket-blocks")  # stored, so that the join can be split where a bucket is hot
     rows = stored(named.join(mixed, "bucket").drop("size"), "mixed-buckets")
     ends = stored(rows.groupBy("row").agg(F.collect_list("bucket").alias("shared")), "mixed-rows")  # BANDS at most
     texts = texts_of(docs, text_col, ends)
-    own = F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")
-    dealt = rows.join(ends.join(texts.withColumnRenamed("_row", "row"), "row"), "row").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "row", "label", "shared", "t")
+    full = rows.join(ends.join(texts.withColumnRenamed("_row", "row"), "row"), "row").withColumn("rest", F.col("label") != F.col("main"))
+    dealt = deal(full, ["row"], "blocks", "rests", F.col("rest")).select("bucket", "b1", "b2", "side", "rest", "row", "label", "shared", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links = linked_in_block(pa.Table.from_batches(list(batches)))

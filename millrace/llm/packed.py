@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.shared import stored
@@ -100,6 +100,23 @@ def key_hash(rows: np.ndarray, lines: np.ndarray) -> np.ndarray:
         return mix(mix(rows.astype(np.int64).view(np.uint64)) + lines.astype(np.uint64))
 
 
+def deal(rows: DataFrame, ids: list[str], blocks: str, rests: str, special: Column) -> DataFrame:
+    """rows dealt to the tasks (b1, b2) of their group, so that every special row meets every row once.
+
+    A group is cut into `blocks` blocks of rows (b1) and `rests` blocks of its special rows
+    (b2). side says of which block of a task a row is: 0 of the rows', 1 of the special
+    ones', 2 of both (a group with one task). A group of n rows with one special row is
+    dealt n times and once more for each block.
+    """
+    single = (F.col(blocks) == 1) & (F.col(rests) == 1)
+    numbers = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    own, of_rest = F.pmod(F.xxhash64(*ids), F.col(blocks)).cast("int"), F.pmod(F.xxhash64(*ids, F.lit(1)), F.col(rests)).cast("int")
+    place = lambda x, y, side: F.struct(x.cast("int").alias("b1"), y.cast("int").alias("b2"), side.alias("side"))
+    as_row = F.transform(numbers(rests), lambda r: place(own, r, F.when(single & special, 2).otherwise(0)))
+    as_special = F.when(special & ~single, F.transform(numbers(blocks), lambda b: place(b, of_rest, F.lit(1)))).otherwise(F.array().cast("array<struct<b1: int, b2: int, side: int>>"))
+    return rows.withColumn("_at", F.explode(F.concat(as_row, as_special))).select("*", "_at.*").drop("_at")
+
+
 class Bloom:
     """Membership of (row, line) keys with few false hits and no misses; at most 2^26 bits (8 MB)."""
 
