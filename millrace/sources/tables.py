@@ -29,6 +29,8 @@ from millrace.sources.index import write_index
 KEPT_VERSIONS, ATTEMPTS = 5, 20
 #: Bytes of a bucket, by the optimizer's estimate; fewest and most buckets.
 BUCKET_BYTES, LEAST_BUCKETS, MOST_BUCKETS = 256 << 20, 8, 1 << 15
+#: Bytes of a row group: what a task that writes long texts holds in memory.
+ROW_GROUP = 32 << 20
 
 
 class Conflict(RuntimeError):
@@ -189,7 +191,9 @@ class Warehouse:
         self._layouts[table] = layout
 
     def _write(self, df: DataFrame, table: str, path: str, layout: Layout) -> None:
-        writer = df.write
+        if layout.bucket_by:  # one file a bucket, not one for each task and bucket
+            df = df.repartition(layout.buckets, *layout.bucket_by)
+        writer = df.write.option("parquet.block.size", ROW_GROUP)
         for c in layout.bloom:
             element = ".list.element" if isinstance(df.schema[c].dataType, T.ArrayType) else ""
             writer = writer.option(f"parquet.bloom.filter.enabled#{c}{element}", "true")
@@ -244,7 +248,7 @@ class Warehouse:
     def stage(self, df: DataFrame, name: str) -> str:
         """Write rows that a load reads more than once; the caller deletes them."""
         path = f"{self.root}/_stage/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
         return path
 
     def create_if_absent(self, table: str, schema: T.StructType, comment: str | None = None, layout: Layout | None = None) -> None:
