@@ -469,7 +469,7 @@ def _readable(df: DataFrame) -> DataFrame:
 
 
 def _model(t, name: str, as_sql: bool = False) -> DataFrame:
-    return _readable(built(t("documents"), t("labels"), name, as_sql))
+    return _readable(built(t("documents"), name, as_sql))
 
 
 _TIMES = lambda *names: ", ".join(f"strftime({n}, '%Y-%m-%d %H:%M:%S.%f') AS {n}" for n in names)

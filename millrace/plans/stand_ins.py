@@ -1,4 +1,4 @@
-"""Raw tables made from `documents` and `labels`, so that the whole warehouse runs at any size, with the same rows in SQL.
+"""Raw tables made from `documents`, so that the whole warehouse runs at any size, with the same rows in SQL.
 
 A document is a review, whole text included; a third of all reviews belong to one
 application. Every fifth document is also a catalog entry.
@@ -47,7 +47,7 @@ def count_rows(documents: DataFrame) -> DataFrame:
     )
 
 
-def review_rows(documents: DataFrame, labels: DataFrame) -> DataFrame:
+def review_rows(documents: DataFrame) -> DataFrame:
     """Raw reviews; every 997th comes twice."""
     e = F.expr
     author = F.struct(
@@ -56,20 +56,19 @@ def review_rows(documents: DataFrame, labels: DataFrame) -> DataFrame:
         e("CASE WHEN doc_id % 19 > 0 THEN doc_id * 7919 % 100003 END").alias("playtime_forever"), e("doc_id * 31 % 1000").alias("playtime_at_review"), e("doc_id % 5").alias("playtime_last_two_weeks"), e("1600000000 + doc_id * 3600").alias("last_played"),
     )
     body = F.struct(
-        author.alias("author"), e("concat(coalesce(text, ''), CASE WHEN doc_id % 23 = 0 THEN ' ☐' ELSE '' END)").alias("review"), F.col("lang").alias("language"), e("coalesce(quality = 1, doc_id % 3 > 0)").alias("voted_up"),
+        author.alias("author"), e("concat(coalesce(text, ''), CASE WHEN doc_id % 23 = 0 THEN ' ☐' ELSE '' END)").alias("review"), F.col("lang").alias("language"), e("n_chars % 3 > 0").alias("voted_up"),
         e("doc_id % 100").alias("votes_up"), e("doc_id * 2654435761 % 4294967296").alias("votes_funny"), e("CASE WHEN doc_id % 29 > 0 THEN concat('0.', lpad(CAST(doc_id * 7919 % 100000 AS STRING), 5, '0')) END").alias("weighted_vote_score"),
         e("doc_id % 4").alias("comment_count"), e("doc_id % 2 = 0").alias("steam_purchase"), e("doc_id % 3 = 0").alias("received_for_free"), e("doc_id % 5 = 0").alias("written_during_early_access"),
         e("CASE WHEN doc_id % 8 > 0 THEN doc_id % 6 = 0 END").alias("primarily_steam_deck"), e("CASE WHEN doc_id % 10 > 0 THEN doc_id % 7 = 0 END").alias("refunded"), e("CAST(doc_id * 8639 AS DOUBLE) + 0.25D").alias("app_release_date"), F.struct(e("doc_id % 3").alias("k")).alias("reactions"),
     )
-    voted = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    rows = documents.join(voted, "doc_id", "left").select(
+    rows = documents.select(
         F.col("doc_id").alias("recommendation_id"), e(f"CAST({APP} AS BIGINT)").alias("app_id"), F.to_json(body).alias("payload"), e("1500000000 + doc_id * 977").alias("timestamp_created"), e("1500000000 + doc_id * 977 + doc_id % 1000").alias("timestamp_updated"), e(LOADED).alias("loaded_at"),
     )
     twice = F.explode(F.when(F.col("recommendation_id") % 997 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     return rows.withColumn("_copy", twice).drop("_copy")
 
 
-def stand_in_warehouse(spark: SparkSession, documents: DataFrame, labels: DataFrame, need: set[str]) -> Warehouse:
+def stand_in_warehouse(spark: SparkSession, documents: DataFrame, need: set[str]) -> Warehouse:
     """A new warehouse in the shared folder with those raw tables that a model needs; reviews are published as one load."""
     w = open_warehouse(spark, new_path(spark, "warehouse"))
     if "catalog_games" in need:
@@ -77,18 +76,18 @@ def stand_in_warehouse(spark: SparkSession, documents: DataFrame, labels: DataFr
     if "review_counts" in need:
         merge_table(w, "raw.review_census", lambda old: upsert_replace(old, count_rows(documents).select([f.name for f in REVIEW_COUNTS]), ["app_id"]))
     if "reviews" in need:
-        path = w.stage(review_rows(documents, labels).select([f.name for f in REVIEWS]), "reviews")
+        path = w.stage(review_rows(documents).select([f.name for f in REVIEWS]), "reviews")
         publish_stage(spark, path, review_log(w), new_load_id(), [])
     return w
 
 
-def built(documents: DataFrame, labels: DataFrame, model: str, as_sql: bool = False) -> DataFrame:
+def built(documents: DataFrame, model: str, as_sql: bool = False) -> DataFrame:
     """A model built with all that it depends on, read by its name in the catalog. as_sql: review_highlight from its SQL text."""
     spark, graph = documents.sparkSession, review_models(CONFIG)
     if as_sql:
         graph.nodes["review_highlight"] = highlight_sql_node(config=CONFIG)
     chosen = graph.select(f"+{model}")
-    w = stand_in_warehouse(spark, documents, labels, chosen)
+    w = stand_in_warehouse(spark, documents, chosen)
     report = graph.run(w, f"+{model}")
     if model not in report.built:
         raise RuntimeError(f"{model} was not built: {[(r.check.name, r.failures) for r in report.checks if r.status == 'error']}")
@@ -96,18 +95,17 @@ def built(documents: DataFrame, labels: DataFrame, model: str, as_sql: bool = Fa
 
 
 #: The typed reviews in DuckDB SQL, one column each as the model has it.
-REVIEW_SQL = f"""voted AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1),
-    review AS (SELECT d.doc_id AS recommendation_id, CAST({APP.replace("doc_id", "d.doc_id")} AS BIGINT) AS app_id, d.doc_id * 7 AS author_steamid, 'user ' || d.doc_id % 900 AS author_personaname,
+REVIEW_SQL = f"""review AS (SELECT d.doc_id AS recommendation_id, CAST({APP.replace("doc_id", "d.doc_id")} AS BIGINT) AS app_id, d.doc_id * 7 AS author_steamid, 'user ' || d.doc_id % 900 AS author_personaname,
     CASE WHEN d.doc_id % 4 > 0 THEN 'https://u.example/' || d.doc_id END AS author_profile_url, 'a' || d.doc_id % 50 AS author_avatar, CASE WHEN d.doc_id % 2 = 0 THEN 'online' ELSE 'offline' END AS author_persona_status,
     CAST(d.doc_id % 300 AS INT) AS author_num_games_owned, CAST(d.doc_id % 9 AS INT) AS author_num_reviews, CASE WHEN d.doc_id % 19 > 0 THEN CAST(d.doc_id * 7919 % 100003 AS INT) END AS author_playtime_forever_minutes,
     CAST(d.doc_id * 31 % 1000 AS INT) AS author_playtime_at_review_minutes, CAST(d.doc_id % 5 AS INT) AS author_playtime_last_two_weeks_minutes, make_timestamp((1600000000 + d.doc_id * 3600) * 1000000) AS author_last_played_at,
-    coalesce(d.text, '') || CASE WHEN d.doc_id % 23 = 0 THEN ' ☐' ELSE '' END AS review_text, d.lang AS language, coalesce(v.quality = 1, d.doc_id % 3 > 0) AS voted_up, CAST(d.doc_id % 100 AS INT) AS votes_up,
+    coalesce(d.text, '') || CASE WHEN d.doc_id % 23 = 0 THEN ' ☐' ELSE '' END AS review_text, d.lang AS language, d.n_chars % 3 > 0 AS voted_up, CAST(d.doc_id % 100 AS INT) AS votes_up,
     CAST(CASE WHEN d.doc_id * 2654435761 % 4294967296 > 2147483647 THEN d.doc_id * 2654435761 % 4294967296 - 4294967296 ELSE d.doc_id * 2654435761 % 4294967296 END AS INT) AS votes_funny,
     CASE WHEN d.doc_id % 29 > 0 THEN CAST('0.' || lpad(CAST(d.doc_id * 7919 % 100000 AS VARCHAR), 5, '0') AS DECIMAL(38, 20)) END AS weighted_vote_score, CAST(d.doc_id % 4 AS INT) AS comment_count,
     d.doc_id % 2 = 0 AS steam_purchase, d.doc_id % 3 = 0 AS received_for_free, d.doc_id % 5 = 0 AS written_during_early_access, CASE WHEN d.doc_id % 8 > 0 THEN d.doc_id % 6 = 0 END AS primarily_steam_deck,
     CASE WHEN d.doc_id % 10 > 0 THEN d.doc_id % 7 = 0 END AS refunded, make_timestamp(d.doc_id * 8639 * 1000000 + 250000) AS app_release_date, '{{"k":' || d.doc_id % 3 || '}}' AS reactions,
     make_timestamp((1500000000 + d.doc_id * 977) * 1000000) AS created_at, make_timestamp((1500000000 + d.doc_id * 977 + d.doc_id % 1000) * 1000000) AS updated_at, {LOADED} AS loaded_at
-    FROM documents d LEFT JOIN voted v ON v.doc_id = d.doc_id, (SELECT unnest([0, 1]) AS c) WHERE c = 0 OR d.doc_id % 997 = 0),
+    FROM documents d, (SELECT unnest([0, 1]) AS c) WHERE c = 0 OR d.doc_id % 997 = 0),
     typed AS (SELECT *, CAST(length(review_text) AS INT) AS review_text_length, regexp_matches(review_text, '[✅☐]') AS is_generic FROM review)"""
 GAME_SQL = f"""game AS (SELECT doc_id AS igdb_id, CASE WHEN doc_id % 11 > 0 THEN CAST({APP} AS BIGINT) END AS steam_app_id, source || ' ' || doc_id AS game_name,
     CASE WHEN doc_id % 7 > 0 THEN DATE '2000-01-01' + CAST(doc_id % 9000 AS INT) END AS first_release_date, lang || '|c' || n_chars % 1000 AS genres, source AS developers, '' AS publishers,

@@ -42,6 +42,12 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def activate(spark: SparkSession) -> SparkSession:
+    """Make a session this thread's active one: writers look up Python data sources there, and threads of a pool have none."""
+    SparkSession._get_j_spark_session_class(spark._jvm).setActiveSession(spark._jsparkSession)
+    return spark
+
+
 def current_time(now: datetime | None = None) -> Column:
     """Load time: the query's clock, or a fixed instant for reproducible runs."""
     return F.current_timestamp() if now is None else F.lit(now).cast("timestamp")

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from millrace.operators.gating import stop_tolerance_value
-from millrace.session import EngineConfig
+from millrace.session import EngineConfig, activate
 
 #: Rows of an application that a task holds before it gives them a file of their own.
 HELD_ROWS = 20_000
@@ -204,7 +204,7 @@ def _spark_type(t: pa.DataType) -> T.DataType:
 
 def write_load(rows: DataFrame, path: str, load: str, expected: list[tuple[int, int | None]], config: EngineConfig = EngineConfig(), marked_at: datetime | None = None) -> DataFrame:
     """Run a load; returns its verdicts. The rows of an application must come from one task, one after the other."""
-    spark = rows.sparkSession
+    spark = activate(rows.sparkSession)
     spark.dataSource.register(LoadSink)
     options = config.as_options() | {"path": path, "load": load, "expected": json.dumps([list(e) for e in expected])}
     if marked_at:

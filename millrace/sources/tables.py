@@ -27,8 +27,8 @@ from millrace.sources.index import write_index
 
 #: Versions whose files stay for running readers; attempts of a writer that replaces whatever is there.
 KEPT_VERSIONS, ATTEMPTS = 5, 20
-#: Bytes of a bucket, by the optimizer's estimate; fewest and most buckets.
-BUCKET_BYTES, LEAST_BUCKETS, MOST_BUCKETS = 256 << 20, 8, 1 << 15
+#: Bytes of a bucket, by the optimizer's estimate; most buckets.
+BUCKET_BYTES, MOST_BUCKETS = 256 << 20, 1 << 15
 #: Bytes of a row group: what a task that writes long texts holds in memory.
 ROW_GROUP = 32 << 20
 
@@ -50,8 +50,9 @@ class Snapshot:
 class Layout:
     """How files are written: buckets (sorted by the same columns), columns with Bloom filters, columns with an inverted index.
 
-    Without a number of buckets it follows the size of the rows, as a power of two, so that
-    tables of different sizes still join bucket by bucket.
+    Without a number of buckets it follows the size of the rows and the shuffle partitions
+    (Spark shuffles a table with fewer buckets anew), as a power of two, so that tables of
+    different sizes still join bucket by bucket.
     """
 
     bucket_by: tuple[str, ...] = ()
@@ -65,7 +66,8 @@ def sized(layout: Layout, df: DataFrame) -> Layout:
     if not layout.bucket_by or layout.buckets:
         return layout
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    wanted = min(MOST_BUCKETS, max(LEAST_BUCKETS, size // BUCKET_BYTES))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MOST_BUCKETS, max(partitions, size // BUCKET_BYTES, 2))
     return replace(layout, buckets=1 << (wanted - 1).bit_length())
 
 

@@ -21,7 +21,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture
 def documents(spark):
-    return spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    return spark.read.parquet(f"{SF}/documents.parquet")
 
 
 def flat(df):
@@ -30,7 +30,7 @@ def flat(df):
 
 
 def test_variant_and_text_give_the_same_reviews(spark, documents, tmp_path):
-    raw = review_rows(*documents).union(
+    raw = review_rows(documents).union(
         reviews(
             spark,
             (1, 5, 86399, {"votes_funny": 4294967295, "author": None, "review": None, "refunded": "true"}),
@@ -53,7 +53,7 @@ def test_a_malformed_payload_raises(spark):
 
 
 def test_only_used_fields_of_a_variant_are_read(spark, documents, tmp_path):
-    review_document(review_rows(*documents)).write.parquet(f"{tmp_path}/doc")
+    review_document(review_rows(documents)).write.parquet(f"{tmp_path}/doc")
     plan = review(spark.read.parquet(f"{tmp_path}/doc")).select("app_id", "votes_up")._jdf.queryExecution().executedPlan().toString()
     read = plan[plan.index("ReadSchema") :]
     assert "struct" in read and "variant" not in read.replace("variant_get", "")
@@ -61,7 +61,7 @@ def test_only_used_fields_of_a_variant_are_read(spark, documents, tmp_path):
 
 def test_marts_join_by_buckets(spark, documents):
     graph = review_models(CONFIG)
-    w = stand_in_warehouse(spark, *documents, graph.select("+review_highlight") | graph.select("+game_stats"))
+    w = stand_in_warehouse(spark, documents, graph.select("+review_highlight") | graph.select("+game_stats"))
     graph.run(w)
     t = lambda name: spark.table(graph.nodes[name].table)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
