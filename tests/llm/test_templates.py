@@ -205,7 +205,7 @@ def plain_flags(raw):
     """Flags of a token by plain string functions."""
     bare = tp.OUTER.sub("", raw)
     word = bare.lower()
-    number = bool(tp.NUMBER.fullmatch(bare)) or word in tp.NUMBER_WORDS
+    number = bool(tp.NUMBER.fullmatch(bare)) or word in tp.NUMBER_WORDS or bool(re.fullmatch(tp.COMPOUND, word))
     m = tp.JOINED.fullmatch(bare)
     joined = not number and bool(m) and m[2].lower() in UNITS
     capital = bool(bare) and not number and not joined and bare[0].isupper()
@@ -227,3 +227,29 @@ def test_codes_like_plain_strings(spark):
     for w, h in zip(words, (got & tp._HASH).tolist()):
         assert by.setdefault(tp.OUTER.sub("", w).lower(), h) == h
     assert len(set(by.values())) == len(by) and np.unique(got).size > 100
+
+
+def test_a_common_opening_leaks_nothing(spark):
+    """A hundred items begin alike; a document with that beginning and another ending leaks none of them, one with an item's ending leaks that one."""
+    opening = "choose the correct answer from the options listed below and write it into the box"
+    endings = [" ".join(f"q{chr(97 + i // 26)}{chr(97 + i % 26)}{chr(97 + k)}" for k in range(14)) for i in range(100)]
+    items = [(i, f"{opening} {e}") for i, e in enumerate(endings)]
+    docs = [(k, f"so then: {opening} " + " ".join(f"d{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + j)}" for j in range(9))) for k in range(100)]
+    docs += [(200, f"so then: {opening} {endings[7]}"), (201, f"so then: {endings[9]} and more")]
+    got = run(spark, docs, items)
+    assert [d for d, v in got.items() if v] == [200, 201] and got[200] == [7] and got[201] == [9]
+    # items that have nothing but shared windows are still found
+    same = [(i, f"{opening} in lane {chr(97 + i)}{chr(97 + i)}") for i in range(20)]
+    assert run(spark, [(1, f"so then: {opening} in lane cc")], same)[1] == [2]
+
+
+def test_compound_numbers_and_ordinals(spark):
+    import pyarrow as pa
+
+    numbers = "twenty-one Thirty-Two one-hundred 1st 2nd 23rd 4th 3e 1er einundzwanzig dreihundertzwölf zweitausend fünfhundertsechsundachtzig quatre-vingt-dix vingt-et-un veintiuno doscientos quinientas twenty 7".split()
+    words = "twenty-something one-way undzwanzig hundertste e st and-one well-known einund tausendfach".split()
+    flags = (codes(pa.array(numbers + words)) & tp._NUM) != 0
+    assert flags.tolist() == [True] * len(numbers) + [False] * len(words)
+    item = "a baker sold {} loaves of rye bread on the {} day of the long fair"
+    docs = [(1, "so " + item.format("twenty-one", "3rd")), (2, "so " + item.format("12", "ninth")), (3, "so " + item.format("einundzwanzig", "1st"))]
+    assert run(spark, docs, [(1, item.format("5", "2nd"))]) == {1: [1], 2: [], 3: [1]}
