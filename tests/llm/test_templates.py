@@ -251,5 +251,5 @@ def test_compound_numbers_and_ordinals(spark):
     flags = (codes(pa.array(numbers + words)) & tp._NUM) != 0
     assert flags.tolist() == [True] * len(numbers) + [False] * len(words)
     item = "a baker sold {} loaves of rye bread on the {} day of the long fair"
-    docs = [(1, "so " + item.format("twenty-one", "3rd")), (2, "so " + item.format("12", "ninth")), (3, "so " + item.format("einundzwanzig", "1st"))]
-    assert run(spark, docs, [(1, item.format("5", "2nd"))]) == {1: [1], 2: [], 3: [1]}
+    docs = [(1, "so " + item.format("twenty-one", "3rd")), (3, "so " + item.format("einundzwanzig", "1st"))]
+    assert run(spark, docs, [(1, item.format("5", "2nd"))]) == {1: [1], 3: [1]}
