@@ -65,6 +65,8 @@ _ROWS = np.arange(BANDS)
 STRIDE = 1 << 14
 #: Words of a text whose places are kept as bits of one number at a time.
 WIDE = 1 << 14
+#: Words after which an alignment's band moves on.
+BAND_STEP = 512
 
 
 def grams(h: np.ndarray, k: int) -> np.ndarray:
@@ -252,9 +254,10 @@ class Aligner:
     def matches(self, b: list) -> bool:
         """Whether an alignment matches 4/5 of the longer text.
 
-        A sufficient one leaves at most n + m - 2 * need words unmatched, so it stays
-        in a band of that width around the diagonal; as only its length decides, the
-        band needs no bookkeeping.
+        A sufficient one leaves at most m - need words of b and n - need words of a
+        unmatched, so it stays in a band of that many places before and behind the
+        diagonal. The bits of a row are those of the band for BAND_STEP words of b; then it
+        moves on, and the words of a that it leaves behind are counted.
         """
         n, m = len(self.a), len(b)
         need = -(-NUM * max(n, m) // DEN)
@@ -263,14 +266,24 @@ class Aligner:
         if self.at is None:
             return _long_match(self.a, b, need)
         get = self.at.get
-        rows = [x for x in [get(w, 0) for w in b] if x]
-        if len(rows) < need:
+        rows = [get(w, 0) for w in b]
+        if m - rows.count(0) < need:
             return False
-        free = full = (1 << n) - 1
-        for hits in rows:
-            use = free & hits
-            free = free + use | free ^ use  # bits beyond the last word do no harm
-        return n - (free & full).bit_count() >= need
+        done = free = low = high = 0  # words of a that are matched for good; which words of a[low:high] are still free
+        for j in range(0, m, BAND_STEP):
+            begin, end = max(0, j - (m - need)), min(n, j + BAND_STEP + n - need)
+            if begin > low:
+                done += begin - low - (free & (1 << begin - low) - 1).bit_count()
+                free, low = free >> begin - low, begin
+            free |= (1 << end - high) - 1 << high - low
+            high, mask = end, (1 << end - low) - 1
+            step = rows[j : j + BAND_STEP]
+            for hits in step if not low and high == n else [h >> low & mask for h in step]:
+                if hits:
+                    use = free & hits
+                    free = free + use | free ^ use  # bits beyond the band do no harm
+            free &= mask
+        return done + high - low - free.bit_count() >= need
 
 
 def _long_match(a: list, b: list, need: int) -> bool:
