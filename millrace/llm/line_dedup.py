@@ -10,8 +10,9 @@ Steps:
    the order (code, hash) is the same everywhere, which is all that the prefix
    filter needs for exactness, and rare words come first, which keeps lists short.
    A second sketch tells which words surely occur once; those need no posting;
-2. each line sends its set's digest (equal sets are told by 128 bits) and, for each
-   word of its prefix, a posting; postings of a word meet and pairs pass length,
+2. each line sends its set's digest (equal sets are told by 128 bits; what a task has
+   sent before is known to come again) and, for each word of its prefix, a posting;
+   postings of a word meet and pairs pass length,
    positional and bit filters. A line that has more than FIRST partners on a list
    names FIRST of them; on a very long list it tries the earliest lines only;
 3. the texts of candidate lines are fetched and Jaccard is verified on the words;
@@ -58,8 +59,11 @@ SLICE = 1_000_000
 LEAST = -(-NUM // (DEN - NUM))
 #: Lines of a slice whose number fits a sort key.
 KEY_LINES = 1 << 22
-LINES, POSTINGS = 0, 1
+#: Sets that a task remembers as sent.
+SEEN = 500_000
+LINES, POSTINGS, AGAIN = 0, 1, 2
 LINE_TYPES = ["<u8", "<u8", "<i8", "<u4"]  # digest (2), row, line
+AGAIN_TYPES = ["<i8", "<u4"]  # row, line
 POSTING_TYPES = ["<u4", "<u4", "<u8", "<u8", "<i8", "<u4", "<u4", "<u4"]  # word, digest, bits (2), row, line, size, position
 
 
@@ -163,12 +167,15 @@ def overlap_needed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def send_lines(docs: DataFrame, text_col: str, sketch: Sketch) -> DataFrame:
-    """Blocks of line digests and postings; equal sets of a task send their earliest line only (and the digests of all)."""
+    """Blocks of line digests and postings, of the earliest line of equal sets of a task only; of the others, that they come again.
+
+    So a line that very many documents have costs its target a record a task.
+    """
     shared, targets = docs.sparkSession.sparkContext.broadcast(sketch), targets_for(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lines, postings = Packer(LINES, targets), Packer(POSTINGS, targets)
-        seen: dict[int, int] = {}  # earliest row of the sets that this task has sent
+        lines, postings, repeats = Packer(LINES, targets), Packer(POSTINGS, targets), Packer(AGAIN, targets)
+        seen: dict[bytes, int] = {}  # earliest row of the sets that this task has sent
         for b in slices(batches, "_text", SLICE):
             w = words(b.column(1))
             row_of, number = b.column(0).to_numpy(zero_copy_only=False)[w.line_text], w.line_number
@@ -179,15 +186,21 @@ def send_lines(docs: DataFrame, text_col: str, sketch: Sketch) -> DataFrame:
             with np.errstate(over="ignore"):
                 at = start[full]
                 d1, d2 = np.add.reduceat(mix(h, 1), at), np.add.reduceat(mix(h, 2), at)
-            yield from lines.add(d1, d1, d2, row_of[full], number[full].astype("<u4"))
-            # postings of the earliest line of each set, unless this task has sent an earlier one
-            order = np.lexsort((number[full], row_of[full], d1))
-            pick = order[np.r_[True, d1[order[1:]] != d1[order[:-1]]]]
-            pick = pick[n[full[pick]] >= LEAST]
-            last = np.iinfo(np.int64).max
-            fresh = [i for i, d, r in zip(pick.tolist(), d1[pick].tolist(), row_of[full[pick]].tolist(), strict=True) if r < seen.get(d, last)]
-            if len(seen) < 1_000_000:  # bounds the task's memory; a set sent again is merged by its receiver
-                seen.update(zip(d1[fresh].tolist(), row_of[full[fresh]].tolist(), strict=True))
+            # the earliest line of each set, unless this task has sent an earlier one
+            order = np.lexsort((number[full], row_of[full], d2, d1))
+            x, y = d1[order], d2[order]
+            pick = order[np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])]]
+            keys, rows, last = np.stack([d1[pick], d2[pick]], 1).view("S16").ravel().tolist(), row_of[full[pick]].tolist(), np.iinfo(np.int64).max
+            new = np.fromiter((r < seen.get(k, last) for k, r in zip(keys, rows, strict=True)), bool, len(pick))
+            if len(seen) < SEEN:  # bounds the task's memory; a set sent again is merged by its receiver
+                seen.update((k, r) for k, r, f in zip(keys, rows, new.tolist(), strict=True) if f)
+            sent = pick[new]
+            yield from lines.add(d1[sent], d1[sent], d2[sent], row_of[full[sent]], number[full[sent]].astype("<u4"))
+            again = np.ones(len(full), bool)
+            again[sent] = False
+            again = full[again]
+            yield from repeats.add(mix(row_of[again].view(np.uint64), 5), row_of[again].astype("<i8"), number[again].astype("<u4"))
+            fresh = sent[n[full[sent]] >= LEAST]
             chosen = np.zeros(len(n), bool)
             chosen[full[fresh]] = True
             pos = np.arange(len(h)) - start[line]
@@ -202,6 +215,7 @@ def send_lines(docs: DataFrame, text_col: str, sketch: Sketch) -> DataFrame:
             yield from postings.add(mix(x), x, digest[l], bits[0, l], bits[1, l], row_of[l], number[l].astype("<u4"), n[l].astype("<u4"), pos[sel].astype("<u4"))
         yield from lines.flush()
         yield from postings.flush()
+        yield from repeats.flush()
 
     return docs.select("_row", F.col(text_col).alias("_text")).mapInArrow(run, BLOCKS_SCHEMA)
 
@@ -229,6 +243,9 @@ def meeting(limits: Limits):
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = gather(batches)
+        row, number = unpack(held.pop(AGAIN, []), AGAIN_TYPES)
+        none = np.zeros(len(row), np.int64)
+        yield from out(0, none, none, none, row, number, none, none, none, none)
         d1, d2, row, number = unpack(held.pop(LINES, []), LINE_TYPES)
         order = np.lexsort((number, row, d2, d1))
         d1, d2, row, number = d1[order], d2[order], row[order], number[order]
