@@ -15,9 +15,10 @@ them by attach().
 from __future__ import annotations
 
 import contextlib
+import json
 import time
 import uuid
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,14 +62,14 @@ class Layout:
     index: tuple[str, ...] = ()
 
 
-def sized(layout: Layout, df: DataFrame) -> Layout:
-    """The layout with a number of buckets."""
+def bucket_count(layout: Layout, df: DataFrame) -> int:
+    """Buckets for the rows of df; 0 without a column to cut by."""
     if not layout.bucket_by or layout.buckets:
-        return layout
+        return layout.buckets if layout.bucket_by else 0
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = min(MOST_BUCKETS, max(partitions, size // BUCKET_BYTES, 2))
-    return replace(layout, buckets=1 << (wanted - 1).bit_length())
+    return 1 << (wanted - 1).bit_length()
 
 
 def column_ddl(schema: T.StructType) -> str:
@@ -87,7 +88,6 @@ def commented(df: DataFrame, comments: dict[str, str]) -> DataFrame:
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self._layouts: dict[str, Layout] = {}
 
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -155,8 +155,9 @@ class Warehouse:
         if version < 0:
             raise LookupError(f"no table {table}")
         path = self.files(table, version)
-        if not self.spark.catalog.tableExists(table) or not self._location(table).endswith(path.removeprefix("file://").removeprefix("file:")):
-            self._point(table, path, self.spark.read.parquet(path).schema)
+        if not self.spark.catalog.tableExists(table) or not self._described(table)[0].endswith(path.removeprefix("file://").removeprefix("file:")):
+            layout, buckets = self._layout(path)
+            self._point(table, path, self.spark.read.parquet(path).schema, None, layout, buckets)
 
     def attach_all(self) -> list[str]:
         """Attach every table under the root; returns their names."""
@@ -165,36 +166,56 @@ class Warehouse:
             self.attach(table)
         return found
 
-    def _location(self, table: str) -> str:
-        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
-        return rows[0]["data_type"] if rows else ""
+    def _described(self, table: str) -> tuple[str, tuple[str, ...], int, str]:
+        """Location, bucket columns, number of buckets and comment of the catalog's table."""
+        about = {r["col_name"]: r["data_type"] for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        columns = tuple(c.strip(" `") for c in about.get("Bucket Columns", "[]").strip("[]").split(",") if c.strip())
+        return about.get("Location", ""), columns, int(about.get("Num Buckets", 0)), about.get("Comment", "")
+
+    def _layout(self, path: str) -> tuple[Layout, int]:
+        """The layout that a version was written with, and its number of buckets."""
+        fs, p = self._fs(f"{path}/_layout.json")
+        if not fs.exists(p):
+            return Layout(), 0
+        stream = fs.open(p)
+        try:
+            known = json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+        buckets = known.pop("used")
+        return Layout(**{k: tuple(v) if isinstance(v, list) else v for k, v in known.items()}), buckets
+
+    def _note_layout(self, path: str, layout: Layout, buckets: int) -> None:
+        fs, p = self._fs(f"{path}/_layout.json")
+        out = fs.create(p)
+        out.write(bytearray(json.dumps(asdict(layout) | {"used": buckets}).encode()))
+        out.close()
 
-    def _point(self, table: str, path: str, schema: T.StructType, comment: str | None = None, layout: Layout | None = None) -> None:
+    def _point(self, table: str, path: str, schema: T.StructType, comment: str | None, layout: Layout, buckets: int) -> None:
         """Let the catalog's table read a folder: a new location where nothing else changes, else a new entry."""
         database = table.split(".")[0]
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")  # without a location: dropping it must not delete files
         there = self.spark.catalog.tableExists(table)
-        same = there and self.spark.table(table).schema.simpleString() == schema.simpleString() and layout in (None, self._layouts.get(table, Layout()))
-        if same:
+        known = self.spark.table(table).schema if there else T.StructType()
+        if there and known.simpleString() == schema.simpleString() and self._described(table)[1:3] == (layout.bucket_by, buckets):
             self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
             if comment:
                 self.spark.sql(f"COMMENT ON TABLE {table} IS '{_quoted(comment)}'")
             for f in schema.fields:
-                if f.metadata.get("comment"):
-                    self.spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{f.name}` COMMENT '{_quoted(f.metadata['comment'])}'")
+                if f.metadata.get("comment", "") != known[f.name].metadata.get("comment", ""):
+                    self.spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{f.name}` COMMENT '{_quoted(f.metadata.get('comment', ''))}'")
             return
         if there:
+            comment = comment or self._described(table)[3]
             self.spark.sql(f"DROP TABLE {table}")  # an external table: its files stay
-        layout = layout or self._layouts.get(table, Layout())
         columns = ", ".join(f"`{c}`" for c in layout.bucket_by)
-        cut = f" CLUSTERED BY ({columns}) SORTED BY ({columns}) INTO {layout.buckets} BUCKETS" if layout.bucket_by else ""
+        cut = f" CLUSTERED BY ({columns}) SORTED BY ({columns}) INTO {buckets} BUCKETS" if layout.bucket_by else ""
         about = f" COMMENT '{_quoted(comment)}'" if comment else ""
         self.spark.sql(f"CREATE TABLE {table} ({column_ddl(schema)}) USING parquet{cut}{about} LOCATION '{path}'")
-        self._layouts[table] = layout
 
-    def _write(self, df: DataFrame, table: str, path: str, layout: Layout) -> None:
+    def _write(self, df: DataFrame, table: str, path: str, layout: Layout, buckets: int) -> None:
         if layout.bucket_by:  # one file a bucket, not one for each task and bucket
-            df = df.repartition(layout.buckets, *layout.bucket_by)
+            df = df.repartition(buckets, *layout.bucket_by)
         writer = df.write.option("parquet.block.size", ROW_GROUP)
         for c in layout.bloom:
             element = ".list.element" if isinstance(df.schema[c].dataType, T.ArrayType) else ""
@@ -205,7 +226,7 @@ class Warehouse:
         database, name = table.split(".")[0], f"pending_{uuid.uuid4().hex}"  # buckets are only written by way of a catalog entry
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         try:
-            writer.format("parquet").bucketBy(layout.buckets, *layout.bucket_by).sortBy(*layout.bucket_by).option("path", path).saveAsTable(f"{database}.{name}")
+            writer.format("parquet").bucketBy(buckets, *layout.bucket_by).sortBy(*layout.bucket_by).option("path", path).saveAsTable(f"{database}.{name}")
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
 
@@ -214,12 +235,14 @@ class Warehouse:
 
         based_on is the version that df was made from: if another has been published
         since, nothing happens and Conflict is raised. Without it df replaces whatever is
-        there.
+        there. The layout stays as it is unless another is given.
         """
-        layout = sized(layout or self._layouts.get(table, Layout()), df)
+        layout = layout or self._layout(self.files(table, self.version(table)))[0]
+        buckets = bucket_count(layout, df)
         pending = f"{self.folder(table)}/_pending-{uuid.uuid4().hex}"
         try:
-            self._write(df, table, pending, layout)
+            self._write(df, table, pending, layout, buckets)
+            self._note_layout(pending, layout, buckets)
             version = self._claim(table, pending, based_on)
         except BaseException:
             with contextlib.suppress(Exception):
@@ -228,7 +251,7 @@ class Warehouse:
         path = self.files(table, version)
         if layout.index:
             write_index(self.spark, path, self.index_path(table, version), layout.index)
-        self._point(table, path, df.schema, comment, layout)
+        self._point(table, path, df.schema, comment, layout, buckets)
         for old in self.versions(table)[: -KEPT_VERSIONS]:
             self.delete(self.files(table, old))
             self.delete(self.index_path(table, old))
