@@ -274,7 +274,7 @@ def mark_runs(docs: DataFrame, limits: Runs = Runs(), id_col: str = "doc_id", te
                 all_runs.append([named(r) for r in found])
                 best.append(named(best_run(found)))
                 collapsed.append(b" ".join(kept_words(words, found)))
-            texts = pa.array(collapsed, pa.binary()).cast(pa.string())
+            texts = pa.array(collapsed, pa.binary()).view(pa.string())  # as they came, checked by nobody
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words, pa.int64()), pa.array(all_runs, pa.list_(run_type)), pa.array(best, run_type), texts], ["_id", "n_words", "runs", "best", "collapsed"])
 
     one = "struct<start: bigint, length: bigint, period: bigint>"
