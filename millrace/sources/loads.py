@@ -69,7 +69,7 @@ class _Rows:
 
     def _new_file(self, schema: pa.Schema) -> tuple[str, pq.ParquetWriter]:
         name = f"part-{uuid.uuid4().hex}.parquet"
-        return name, pq.ParquetWriter(f"{self.folder}/{name}", schema, filesystem=self.fs, compression="snappy")
+        return name, pq.ParquetWriter(f"{self.folder}/{name}", schema, filesystem=self.fs, compression="zstd")
 
     def add(self, app: int, rows: pa.RecordBatch, seen: int) -> None:
         if app != self.app:
@@ -232,7 +232,7 @@ def publish_stage(spark: SparkSession, stage: str, path: str, load: str, expecte
     source = stage
     if 0 < len(good) < len(fetched):
         source = f"{path}/rows/_pending-{load}-part"
-        rows.where(rows[writer.key].isin(good)).write.parquet(source)
+        rows.where(rows[writer.key].isin(good)).write.option("compression", "zstd").parquet(source)
     files = []
     if good:
         fs.create_dir(pending, recursive=True)

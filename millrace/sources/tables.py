@@ -30,8 +30,8 @@ from millrace.sources.index import write_index
 KEPT_VERSIONS, ATTEMPTS = 5, 20
 #: Bytes of a bucket, by the optimizer's estimate; most buckets.
 BUCKET_BYTES, MOST_BUCKETS = 256 << 20, 1 << 15
-#: Bytes of a row group: what a task that writes long texts holds in memory.
-ROW_GROUP = 32 << 20
+#: Parquet files: zstd halves most texts; row groups bound what a task that writes them holds in memory.
+FILES = {"compression": "zstd", "parquet.block.size": str(32 << 20)}
 
 
 class Conflict(RuntimeError):
@@ -216,7 +216,7 @@ class Warehouse:
     def _write(self, df: DataFrame, table: str, path: str, layout: Layout, buckets: int) -> None:
         if layout.bucket_by:  # one file a bucket, not one for each task and bucket
             df = df.repartition(buckets, *layout.bucket_by)
-        writer = df.write.option("parquet.block.size", ROW_GROUP)
+        writer = df.write.options(**FILES)
         for c in layout.bloom:
             element = ".list.element" if isinstance(df.schema[c].dataType, T.ArrayType) else ""
             writer = writer.option(f"parquet.bloom.filter.enabled#{c}{element}", "true")
@@ -273,7 +273,7 @@ class Warehouse:
     def stage(self, df: DataFrame, name: str) -> str:
         """Write rows that a load reads more than once; the caller deletes them."""
         path = f"{self.root}/_stage/{name}-{uuid.uuid4().hex}"
-        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+        df.write.options(**FILES).parquet(path)
         return path
 
     def create_if_absent(self, table: str, schema: T.StructType, comment: str | None = None, layout: Layout | None = None) -> None:
