@@ -235,9 +235,14 @@ class Warehouse:
 
         based_on is the version that df was made from: if another has been published
         since, nothing happens and Conflict is raised. Without it df replaces whatever is
-        there. The layout stays as it is unless another is given.
+        there. The layout and comments stay as they are unless others are given.
         """
-        layout = layout or self._layout(self.files(table, self.version(table)))[0]
+        latest = self.version(table)
+        if latest >= 0:
+            self.attach(table)
+            known = {f.name: f.metadata["comment"] for f in self.spark.table(table).schema if f.metadata.get("comment")}
+            df = commented(df, {c: t for c, t in known.items() if c in df.columns and not df.schema[c].metadata.get("comment")})
+        layout = layout or self._layout(self.files(table, latest))[0]
         buckets = bucket_count(layout, df)
         pending = f"{self.folder(table)}/_pending-{uuid.uuid4().hex}"
         try:

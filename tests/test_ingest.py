@@ -429,6 +429,7 @@ def test_tables_are_in_the_catalog(spark, warehouse, tmp_path):
     buckets = lambda: {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE TABLE EXTENDED gold.t").collect()}.get("Num Buckets")
     other.publish("gold.t", spark.createDataFrame([(5, "y")], "k bigint, s string"))
     assert buckets() == "2" and spark.table("gold.t").count() == 1
+    assert spark.table("gold.t").schema["k"].metadata["comment"] == "the key's comment"  # nor comments
     other.publish("gold.t", spark.createDataFrame([(5, "y"), (6, "z")], "k bigint, s string"), layout=Layout())
     assert buckets() is None and spark.table("gold.t").where("k = 6").count() == 1
 
