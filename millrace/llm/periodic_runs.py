@@ -23,7 +23,6 @@ empty tables empty ones. Columns of docs beyond the id and the text don't matter
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Callable, Iterator
