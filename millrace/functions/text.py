@@ -26,6 +26,17 @@ def leading_date(c: Column) -> Column:
     return F.to_date(F.substring(blank_to_null(c), 1, 10))
 
 
+def time_text(at: Column, rest: str = "MM-dd HH:mm:ss") -> Column:
+    """A timestamp as text: the year, a hyphen and the rest by its pattern.
+
+    Years are those of SQL's strftime: four digits at least from 0 to 9999, plain numbers
+    beyond, year 0 before year 1. date_format would put a plus before five digits and count
+    the years before 1 backwards.
+    """
+    year = F.year(at)
+    return F.concat(F.when(year.between(0, 999), F.lpad(year.cast("string"), 4, "0")).otherwise(year.cast("string")), F.lit("-"), F.date_format(at, rest))
+
+
 def fill_template(template: str, name: str, value: Column) -> Column:
     """The template with {name} replaced; NULL where the value is NULL or blank."""
     head, tail = template.split("{" + name + "}")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions.arrays import ordered_distinct
 from millrace.functions.json_fields import json_text, typed_fields
 from millrace.functions.numeric import exact_ratio, wrap_uint32
-from millrace.functions.text import blank_to_null, brace_list, char_length, digits_only, fill_template, has_any_glyph, leading_date
+from millrace.functions.text import blank_to_null, brace_list, char_length, digits_only, fill_template, has_any_glyph, leading_date, time_text
 from millrace.operators.gating import completeness, keep_complete, size_class, stop_tolerance, work_list
 from millrace.operators.lookup import attach_lists, last_wins, resolve_names
 from millrace.operators.quality import Check, failing_not_null, failing_unique
@@ -144,7 +144,7 @@ def uint32_wrap(t):
 )
 def epoch_to_timestamp_date(t):
     at = F.timestamp_seconds(F.col("event_id") * 86399)
-    return t("events").select("event_id", F.to_date(at).alias("day"), F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("at"))
+    return t("events").select("event_id", F.to_date(at).alias("day"), time_text(at).alias("at"))
 
 
 @query(
