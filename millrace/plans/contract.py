@@ -383,7 +383,7 @@ def json_typed_fields(t):
     doc = F.concat(F.lit('{"flag":'), flag, F.lit(',"ratio":"'), F.col("value").cast("string"), F.lit('","at":'), (k * 86399).cast("string"), F.lit('.25,"sub":'), F.col("props"), F.lit("}"))
     fields = [("flag", "flag", "boolean"), ("ratio", "ratio", "double"), ("at", "at", "epoch_real"), ("sub", "sub", "json"), ("gone", "gone", "boolean")]
     typed = typed_fields(t("events").select("event_id", doc.alias("doc")), "doc", fields, [k])
-    return typed.withColumns({"at": F.date_format("at", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "sub": F.to_json("sub")})
+    return typed.withColumns({"at": time_text(F.col("at"), "MM-dd HH:mm:ss.SSSSSS"), "sub": F.to_json("sub")})
 
 
 @query(
