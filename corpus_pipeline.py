@@ -50,7 +50,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: documents that leak a benchmark item go, those without an id too."""
+    """Operator 8: documents that leak a benchmark item go, those without an id too, and those that share with items only what many items hold."""
     return drop_leaks(docs.select(COLUMNS), table(spark, sf_dir, "benchmark"))
 
 

@@ -253,3 +253,44 @@ def test_compound_numbers_and_ordinals(spark):
     item = "a baker sold {} loaves of rye bread on the {} day of the long fair"
     docs = [(1, "so " + item.format("twenty-one", "3rd")), (3, "so " + item.format("einundzwanzig", "1st"))]
     assert run(spark, docs, [(1, item.format("5", "2nd"))]) == {1: [1], 3: [1]}
+
+
+def test_common_windows_are_counted_and_decide_alone_in_the_pipeline(spark, tmp_path):
+    """Twelve questions about one passage: a document with the passage alone goes, one with its end and two words of a question leaks that question."""
+    import corpus_pipeline
+
+    passage = "the old mill beside the river was sold in spring to a baker who wanted its great stone wheel for his new house"
+    items = [(i, f"{passage} " + " ".join(f"q{chr(97 + i)}{chr(97 + k)}" for k in range(12))) for i in range(12)]
+    docs = [(1, f"so then: {passage} and so on"), (2, f"so then: {passage} qda qdb and so on"), (3, "nothing of the kind is told in this text about mills and rivers and bakers at all"), (4, f"so then: {items[5][1]}")]
+    d = spark.createDataFrame([(*x, "en", "s", 1) for x in docs], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    every = list(range(12))
+    assert run(spark, docs, items) == {1: [], 2: [3], 3: [], 4: [5]}
+    assert {r["doc_id"]: r["item_ids"] for r in mark_leaks(d, b, common=True).collect()} == {1: every, 2: every, 3: [], 4: every}
+    b.write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [r["doc_id"] for r in corpus_pipeline.decontaminate(spark, d, str(tmp_path)).collect()] == [3]
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_common_windows_like_brute_force(spark, monkeypatch, seed):
+    """Items are made of pieces that several share, windows of two holders or more are common: nothing is lost where they decide alone."""
+    monkeypatch.setattr(tp, "SHARED", 1)
+    rnd = random.Random(seed)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    pieces = [" ".join(rnd.choices(words, k=rnd.randint(4, 14))) for _ in range(12)]
+    items = sorted({" ".join(rnd.sample(pieces, rnd.randint(1, 3)) + rnd.choices(words, k=rnd.choice([0, 1, 2, 9]))) for _ in range(40)})
+    items = list(enumerate(items))
+    docs = []
+    for k in range(120):
+        w = rnd.choices(words, k=rnd.randint(0, 40))
+        for _ in range(rnd.choice([0, 1, 1, 2])):
+            t = rnd.choice(items)[1].split()
+            a = rnd.randrange(len(t))
+            w[(at := rnd.randrange(len(w) + 1)) : at] = t[a : a + rnd.randint(8, 30)]
+        docs.append((k, " ".join(w)))
+    want = brute(docs, [x for x in items if len(x[1].split()) >= 8])
+    items = [x for x in items if len(x[1].split()) >= 8]
+    d, b = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    assert {r["doc_id"]: r["item_ids"] for r in mark_leaks(d, b, common=True).collect()} == want
+    assert sorted(r["doc_id"] for r in tp.drop_leaks(d, b).collect()) == [k for k, v in want.items() if not v]
+    assert 20 < sum(map(bool, want.values())) < 115
